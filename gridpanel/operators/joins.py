@@ -25,13 +25,18 @@ def row_bytes(df: DataFrame) -> int:
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int | None = None,
-                    known_rows: int | None = None) -> DataFrame:
+                    known_rows: int | None = None, cache: bool = True) -> DataFrame:
     """``broadcast(df)`` when its measured size is under the limit, else ``df`` unchanged.
 
-    The row count is measured (one action on a small side) unless the caller
-    already knows it; above the limit the join stays a shuffle join, so growth of
-    this side can never turn into an oversized broadcast.
+    The row count is measured (one action on the small side, which is cached so
+    the join does not compute it again) unless the caller already knows it;
+    above the limit the join stays a shuffle join, so growth of this side can
+    never turn into an oversized broadcast. A lost cached block is recomputed
+    from lineage.
     """
     limit = max_bytes if max_bytes is not None else broadcast_limit_bytes(df)
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n * row_bytes(df) <= limit else df
+    if known_rows is None:
+        if cache:
+            df = df.cache()
+        known_rows = df.count()
+    return F.broadcast(df) if known_rows * row_bytes(df) <= limit else df

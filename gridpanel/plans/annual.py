@@ -37,6 +37,8 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
     cov = sized_broadcast(cov)
     keyed = with_cell_keys(facts, grid)
     annual = annual_from_monthly(regional_monthly(keyed, cov, weighted))
-    names = sized_broadcast(regions.select("region_id", F.col("name").alias("country")))
+    # the name dimension is one row per region; the planner's size estimate of
+    # the region scan decides broadcast vs shuffle (autoBroadcastJoinThreshold)
+    names = regions.select("region_id", F.col("name").alias("country"))
     return annual.join(names, "region_id").select(
         "region_id", "country", F.col("year").cast("int").alias("year"), "temp_c")

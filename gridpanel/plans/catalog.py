@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import fixtures as fx
+from ..session import table as _table
 from ..sources.grid import GridSpec, normalize_facts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +29,9 @@ def facts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_facts(raw, value="t2m", lat="latitude", lon="longitude", time="valid_time")
 
 
-def grid_of(facts: DataFrame) -> GridSpec:
-    return GridSpec.from_facts(facts)
+def grid_of(facts: DataFrame | None = None) -> GridSpec:
+    """The derived grid's axes (``GridSpec.from_facts`` gives the same, see tests)."""
+    return fx.fixture_grid()
 
 
 def r6(c: str) -> F.Column:
@@ -46,3 +48,132 @@ def annual_means_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = fx.box_polygons(fx.regions_box(spark, sf_dir))
     out = direct_annual_means(facts, regions, grid_of(facts))
     return out.select("country", "year", r6("temp_c"))
+
+
+# -- ingest: CO2 and indicator panels -------------------------------------------------
+
+CO2_START_YEAR = 1996
+
+
+def co2_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .panels import clean_co2
+
+    return clean_co2(fx.co2_raw(spark, sf_dir), CO2_START_YEAR, None)
+
+
+def wb_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .panels import tidy_indicators
+
+    return tidy_indicators(fx.indicators_wide(spark, sf_dir))
+
+
+def _round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@query("co2_clean")
+def co2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_doubles(co2_panel(spark, sf_dir))
+
+
+@query("wb_melt")
+def wb_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .panels import melt_indicators
+
+    return _round_doubles(melt_indicators(fx.indicators_wide(spark, sf_dir)))
+
+
+@query("wb_tidy")
+def wb_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_doubles(wb_panel(spark, sf_dir))
+
+
+@query("keep_iso3_year")
+def keep_iso3_year_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-level rows with mixed-quality codes; first order per (iso3, year)."""
+    from ..operators.clean import keep_iso3_year
+
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    code = (F.when(F.col("o_orderkey") % 50 == 0, F.lit("OWID_WRL"))
+            .when(F.col("o_orderkey") % 50 == 1, F.lit("eu"))
+            .when(F.col("o_orderkey") % 50 == 2, F.lit(None).cast("string"))
+            .when(F.col("o_orderkey") % 2 == 0, F.lower(fx.iso_code(F.col("c_nationkey"))))
+            .otherwise(fx.iso_code(F.col("c_nationkey"))))
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        code.alias("iso3"), F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice")
+    return keep_iso3_year(rows, ["o_orderkey"])
+
+
+def temp_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship means with synthetic codes ``Nkk`` (shared with the other panels)."""
+    from .annual import direct_annual_means
+
+    facts = facts_of(spark, sf_dir)
+    regions = fx.box_polygons(fx.regions_box(spark, sf_dir))
+    out = direct_annual_means(facts, regions, grid_of(facts))
+    return out.select(fx.iso_code(F.col("region_id")).alias("iso3"), "year", "country", "temp_c")
+
+
+@query("align_years")
+def align_years_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.clean import keep_iso3_year
+    from .panels import align_years
+
+    panels = [keep_iso3_year(temp_panel(spark, sf_dir), ["country"]),
+              keep_iso3_year(co2_panel(spark, sf_dir)), keep_iso3_year(wb_panel(spark, sf_dir))]
+    aligned = align_years(panels)
+    parts = [p.agg(F.lit(name).alias("panel"), F.count("*").alias("n_rows"),
+                   F.min("year").alias("min_year"), F.max("year").alias("max_year"))
+             for name, p in zip(["temperature", "co2", "indicators"], aligned)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("enrich")
+def enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .panels import enrich
+
+    out = enrich(temp_panel(spark, sf_dir), co2_panel(spark, sf_dir), wb_panel(spark, sf_dir))
+    return _round_doubles(out)
+
+
+# -- names: text fold and the iso3 cascade ----------------------------------------------
+
+# Fixture names per nation key: exercises every step of the cascade.
+NATION_NAMES = [
+    "Türkiye", "Cote d'Ivoire", "Côte d'Ivoire", " Kosovo ", "CONGO",
+    "Dhekelia Sovereign Base Area", "Atlantis", "DE", "republic of india", "Germany",
+    "France", "Russia", "Viet Nam", "Bolivia", "Turkey",
+    "Brunei", "Åland Islands", "Aland", "Curaçao", " Curacao",
+    "São Tomé and Príncipe", "Korea, Republic of", "United States", "usa", "840",
+]
+
+
+def customer_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = spark.createDataFrame(list(enumerate(NATION_NAMES)), "nationkey int, country string")
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return c.join(F.broadcast(names), c.c_nationkey == names.nationkey).select("c_custkey", "country")
+
+
+@query("iso3_lookup")
+def iso3_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.names import add_iso3
+
+    mapped = add_iso3(customer_countries(spark, sf_dir), "country", "iso3")
+    return mapped.groupBy("country", "iso3").agg(F.count("*").alias("n_customers"))
+
+
+@query("iso3_unmapped")
+def iso3_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.names import add_iso3, unmapped_names
+
+    return unmapped_names(add_iso3(customer_countries(spark, sf_dir), "country", "iso3"))
+
+
+@query("norm_text")
+def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import fold_ascii
+
+    d = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", fold_ascii(F.col("text")).alias("norm"))

@@ -59,3 +59,158 @@ m as (select name, year, time, sum(w*v)/sum(case when v is not null then w end)
       from cell group by name, year, time)
 select name as country, cast(year as int) as year, round(avg(mt), 6) as temp_c
 from m group by name, year"""
+
+CO2_RAW = """
+co2_raw as (
+  select case when o_orderkey % 50 = 0 then 'OWID_WRL' when o_orderkey % 50 = 1 then 'eu'
+              when o_orderkey % 50 = 2 then null
+              else lower(concat('N', lpad(cast(c_nationkey as varchar), 2, '0'))) end as iso_code,
+         year(o_orderdate) as year,
+         sum(o_totalprice)/1e6 as co2, avg(o_totalprice)/1e5 as co2_per_capita,
+         max(o_totalprice)/1e6 as share_global_co2, min(o_totalprice)/1e6 as consumption_co2
+  from orders join customer on o_custkey = c_custkey group by 1, 2)"""
+
+_YEARS = list(range(1995, 2002))
+_SERIES = ["NY.GDP.PCAP.KD", "GE.EST", "RL.EST", "RQ.EST", "CC.EST", "PV.EST", "VA.EST"]
+_SHORT = ["gdp_pc_const_usd", "wgi_gov_effectiveness", "wgi_rule_of_law", "wgi_reg_quality",
+          "wgi_control_corruption", "wgi_political_stability", "wgi_voice_accountability"]
+
+INDICATORS_WIDE = """
+indicators_wide as (
+  select concat('N', lpad(cast(s_nationkey as varchar), 2, '0')) as economy,
+         case l_linenumber """ + " ".join(f"when {i + 1} then '{s}'" for i, s in enumerate(_SERIES[:-1])) + \
+    f" else '{_SERIES[-1]}' end as series,\n         " + ",\n         ".join(
+        f"avg(case when year(l_shipdate) = {y} then l_extendedprice end) as YR{y}" for y in _YEARS) + """
+  from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2)"""
+
+WB_LONG = """
+wb_long as (
+  """ + "\n  union all ".join(
+    f"select economy as iso3, series, try_cast(regexp_replace('yr{y}', '^yr', '') as integer) as year, "
+    f"cast(YR{y} as double) as value from indicators_wide where length(economy) = 3" for y in _YEARS) + ")"
+
+CO2_CLEAN = """
+co2_clean as (
+  select upper(iso_code) as iso3, cast(year as int) as year, co2 as co2_mt, co2_per_capita as co2_t_per_capita,
+         share_global_co2 as share_global_co2_pct, consumption_co2 as consumption_co2_mt
+  from co2_raw where length(upper(iso_code)) = 3 and not starts_with(upper(iso_code), 'OWID') and year >= 1996)"""
+
+WB_TIDY = """
+wb_tidy as (
+  select iso3, year, """ + ", ".join(
+    f"max(value) filter (where series = '{s}') as {n}" for s, n in zip(_SERIES, _SHORT)) + """
+  from wb_long where value is not null and year is not null and iso3 is not null group by iso3, year)"""
+
+TEMP_PANEL = """
+temp_m as (select region_id, name, year, time, sum(w*v)/sum(case when v is not null then w end) as mt
+           from cell group by region_id, name, year, time),
+temp_panel as (select concat('N', lpad(cast(region_id as varchar), 2, '0')) as iso3, cast(year as int) as year,
+                      name as country, avg(mt) as temp_c from temp_m group by region_id, name, year)"""
+
+
+def _r6(cols):
+    return ", ".join(f"round({c}, 6) as {c}" for c in cols)
+
+
+ORACLES["co2_clean"] = _with(CO2_RAW, CO2_CLEAN) + f"""
+select iso3, year, {_r6(['co2_mt', 'co2_t_per_capita', 'share_global_co2_pct', 'consumption_co2_mt'])}
+from co2_clean"""
+
+ORACLES["wb_melt"] = _with(INDICATORS_WIDE, WB_LONG) + "select iso3, series, year, round(value, 6) as value from wb_long"
+
+ORACLES["wb_tidy"] = _with(INDICATORS_WIDE, WB_LONG, WB_TIDY) + f"select iso3, year, {_r6(_SHORT)} from wb_tidy"
+
+ORACLES["keep_iso3_year"] = """
+with r as (
+  select case when o_orderkey % 50 = 0 then 'OWID_WRL' when o_orderkey % 50 = 1 then 'eu'
+              when o_orderkey % 50 = 2 then null
+              when o_orderkey % 2 = 0 then lower(concat('N', lpad(cast(c_nationkey as varchar), 2, '0')))
+              else concat('N', lpad(cast(c_nationkey as varchar), 2, '0')) end as iso3,
+         year(o_orderdate) as year, o_orderkey, o_totalprice
+  from orders join customer on o_custkey = c_custkey),
+c as (select upper(iso3) as iso3, cast(year as int) as year, o_orderkey, o_totalprice
+      from r where iso3 is not null and length(upper(iso3)) = 3),
+k as (select *, row_number() over (partition by iso3, year order by o_orderkey) as rn from c)
+select iso3, year, o_orderkey, o_totalprice from k where rn = 1"""
+
+_PANELS = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, TEMP_PANEL, CO2_RAW, CO2_CLEAN, INDICATORS_WIDE,
+                WB_LONG, WB_TIDY)
+
+ORACLES["align_years"] = _PANELS + """,
+cap as (select least((select max(year) from temp_panel), (select max(year) from co2_clean),
+                     (select max(year) from wb_tidy)) as y)
+select 'temperature' as panel, count(*) as n_rows, min(year) as min_year, max(year) as max_year
+  from temp_panel where year <= (select y from cap)
+union all
+select 'co2', count(*), min(year), max(year) from co2_clean where year <= (select y from cap)
+union all
+select 'indicators', count(*), min(year), max(year) from wb_tidy where year <= (select y from cap)"""
+
+ORACLES["enrich"] = _PANELS + f""",
+cap as (select least((select max(year) from temp_panel), (select max(year) from co2_clean),
+                     (select max(year) from wb_tidy)) as y)
+select t.iso3, t.year, t.country, round(t.temp_c, 6) as temp_c,
+       {_r6(['c.co2_mt', 'c.co2_t_per_capita', 'c.share_global_co2_pct', 'c.consumption_co2_mt']).replace('as c.', 'as ')},
+       {_r6(['w.' + s for s in _SHORT]).replace('as w.', 'as ')}
+from temp_panel t join co2_clean c on t.iso3 = c.iso3 and t.year = c.year
+                  join wb_tidy w on t.iso3 = w.iso3 and t.year = w.year
+where t.year <= (select y from cap)"""
+
+NORM_SQL = "regexp_replace(strip_accents(trim({x})), '[^\\x00-\\x7F]', '', 'g')"
+
+ORACLES["norm_text"] = f"select doc_id, {NORM_SQL.format(x='text')} as norm from documents"
+
+
+def _q(s):
+    return "null" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+def _names_lookup_sql() -> str:
+    from ..operators.names import ISO_FIELDS, NAME_OVERRIDES, iso_rows
+    from .catalog import NATION_NAMES
+
+    names = ", ".join(f"({i}, {_q(n)})" for i, n in enumerate(NATION_NAMES))
+    ov = ", ".join(f"({_q(a)}, {_q(v)}, {i})" for i, (a, v) in enumerate(NAME_OVERRIDES))
+    iso = []
+    for r in iso_rows():
+        for rank, f in enumerate(ISO_FIELDS):
+            if r.get(f):
+                iso.append(f"({_q(r[f])}, {_q(r['alpha_3'])}, {rank * 1000 + int(r['country_pos'])})")
+    norm = NORM_SQL
+    return f"""
+with names(nationkey, country) as (values {names}),
+ov(alias, iso3, priority) as (values {ov}),
+ovn as (select alias_norm, iso3 from (
+          select {norm.format(x='alias')} as alias_norm, iso3,
+                 row_number() over (partition by {norm.format(x='alias')} order by priority) as rn from ov) t
+        where rn = 1),
+iso(ident, iso3, priority) as (values {", ".join(iso)}),
+keys as (select key, iso3 from (select lower(ident) as key, iso3,
+                                       row_number() over (partition by lower(ident) order by priority) as rn
+                                from iso) t where rn = 1),
+cust as (select c.c_custkey, n.country from customer c join names n on c.c_nationkey = n.nationkey),
+d as (select distinct country from cust),
+m as (select d.country,
+             case when o1.alias is not null then o1.iso3
+                  when o2.alias_norm is not null then o2.iso3
+                  else coalesce(k1.iso3, k2.iso3) end as iso3
+      from d left join ov o1 on d.country = o1.alias
+             left join ovn o2 on {norm.format(x='d.country')} = o2.alias_norm
+             left join keys k1 on lower(d.country) = k1.key
+             left join keys k2 on lower({norm.format(x='d.country')}) = k2.key)
+"""
+
+
+def _lazy_names():
+    base = _names_lookup_sql()
+    ORACLES["iso3_lookup"] = base + """
+select cust.country, m.iso3, count(*) as n_customers from cust join m on cust.country = m.country
+group by cust.country, m.iso3"""
+    ORACLES["iso3_unmapped"] = base + """,
+u as (select distinct country from m where iso3 is null)
+select country, (select count(*) from u) as n_unmapped from u"""
+
+
+def all_oracles() -> dict[str, str]:
+    _lazy_names()
+    return dict(ORACLES)

@@ -19,6 +19,15 @@ GRID_NLON = 72
 GRID_STEP = 5.0
 
 
+def fixture_grid():
+    """Axes of the derived grid, known by construction: latitude 90..-90 (stored
+    north to south), longitude 0..355 (wrapped to -180..175)."""
+    from .grid import GridSpec
+
+    return GridSpec(lat0=-90.0, dlat=GRID_STEP, nlat=GRID_NLAT, lon0=-180.0, dlon=GRID_STEP,
+                    nlon=GRID_NLON, lat_descending=True, src_lon0=0.0)
+
+
 def grid_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-degree global grid facts from lineitem, Kelvin, some values NULL.
 
