@@ -49,20 +49,24 @@ def _class(chars) -> str:
 
 def strip_unicode(c: Column) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    ws = _class(_tables()[3])
-    return F.regexp_replace(c, f"^{ws}+|{ws}+$", "")
+    return F.btrim(c, F.lit("".join(_tables()[3])))
 
 
 def fold_ascii_untrimmed(c: Column) -> Column:
+    """Per-character ASCII fold. Membership tests use ``translate`` (a hash lookup
+    per character) rather than a regex character class, whose cost grows with
+    the class size; pure-ASCII rows skip the fold after one cheap scan."""
     src, dst, multi, _ = _tables()
     keys = list(multi)
     mmap = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
                              F.array(*[F.lit(multi[k]) for k in keys]))
+    has_multi = F.length(F.translate(c, "".join(keys), "")) != F.length(c)
     expanded = F.when(
-        c.rlike(_class(keys)),
+        has_multi,
         F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(mmap, ch), ch)), ""),
     ).otherwise(c)
-    return F.regexp_replace(F.translate(expanded, src, dst), "[^\\x00-\\x7F]", "")
+    folded = F.regexp_replace(F.translate(expanded, src, dst), "[^\\x00-\\x7F]", "")
+    return F.when(c.rlike("[^\\x00-\\x7F]"), folded).otherwise(c)
 
 
 def fold_ascii(c: Column) -> Column:

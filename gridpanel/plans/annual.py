@@ -42,3 +42,43 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
     names = regions.select("region_id", F.col("name").alias("country"))
     return annual.join(names, "region_id").select(
         "region_id", "country", F.col("year").cast("int").alias("year"), "temp_c")
+
+
+def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = None,
+                 buffer_m: float = 15000.0, cap_km: float = 25.0, weighted: bool = True,
+                 use_representative_point: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Full job: ``(annual(country, year, temp_c), audit(country, status, min_km,
+    near_lat, near_lon))``.
+
+    * cover of every region (buffered containment), computed once and reused;
+    * regions with no cell get their nearest node (capped) as a one-cell cover;
+    * direct and fallback cells go through the same two-level aggregate (a
+      one-cell weighted mean is the plain mean of that cell);
+    * keep-first per (country, year) prefers direct rows over fallback rows.
+
+    The audit has one row per region that needed a fallback (not one per year).
+    """
+    from ..operators.dedup import keep_first
+    from ..operators.nearest import fallback_plan
+    from ..operators.shapes import centroid, representative_point
+
+    grid = grid or GridSpec.from_facts(facts)
+    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0))
+    direct = sized_broadcast(direct)
+    names = regions.select("region_id", "name")
+    missing = names.join(direct.select("region_id").distinct(), "region_id", "left_anti")
+    pts = (representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
+           if use_representative_point else
+           centroid(regions).withColumnsRenamed({"cx": "plon", "cy": "plat"}))
+    fb_cells, audit = fallback_plan(missing, pts, grid, cap_km)
+    cover = direct.unionByName(fb_cells.withColumn("priority", F.lit(1)))
+    cover = sized_broadcast(cover)
+    keyed = with_cell_keys(facts, grid)
+    monthly = regional_monthly(keyed, cover.select("region_id", "ilat", "ilon"), weighted)
+    annual = annual_from_monthly(monthly)
+    prio = cover.groupBy("region_id").agg(F.min("priority").alias("priority"))
+    out = (annual.join(prio, "region_id").join(names, "region_id")
+           .select(F.col("name").alias("country"), F.col("year").cast("int").alias("year"),
+                   F.col("temp_c").cast("double").alias("temp_c"), "priority"))
+    out = keep_first(out, ["country", "year"], ["priority"]).drop("priority")
+    return out, audit.drop("region_id")

@@ -177,3 +177,169 @@ def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", fold_ascii(F.col("text")).alias("norm"))
+
+
+# -- climate: fallback, audit, shapes --------------------------------------------------
+
+FALLBACK_CAP_KM = 230.0
+
+
+def _boxes(spark, sf_dir):
+    return fx.box_polygons(fx.regions_box(spark, sf_dir))
+
+
+@query("unweighted_means")
+def unweighted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .annual import direct_annual_means
+
+    facts = facts_of(spark, sf_dir)
+    out = direct_annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), weighted=False)
+    return out.select("country", "year", r6("temp_c"))
+
+
+@query("annual_means_full")
+def annual_means_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .annual import annual_means
+
+    facts = facts_of(spark, sf_dir)
+    out, _ = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
+                          cap_km=FALLBACK_CAP_KM)
+    return out.select("country", "year", r6("temp_c"))
+
+
+@query("fallback_audit")
+def fallback_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .annual import annual_means
+
+    facts = facts_of(spark, sf_dir)
+    _, audit = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
+                            cap_km=FALLBACK_CAP_KM)
+    return audit.select("country", "status", r6("min_km"), "near_lat", "near_lon")
+
+
+@query("fallback_series")
+def fallback_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual means of the regions that were filled from their nearest node."""
+    from .annual import annual_means
+
+    facts = facts_of(spark, sf_dir)
+    out, audit = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
+                              cap_km=FALLBACK_CAP_KM)
+    used = audit.where(F.col("status") == "fallback_used").select("country")
+    return out.join(used, "country", "left_semi").select("country", "year", r6("temp_c"))
+
+
+@query("nearest_cell")
+def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.nearest import nearest_node
+    from ..operators.shapes import representative_point
+
+    regions = _boxes(spark, sf_dir)
+    pts = representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
+    near = nearest_node(pts, grid_of())
+    return (near.join(regions.select("region_id", "name"), "region_id")
+            .select(F.col("name").alias("country"), r6("min_km"), "near_lat", "near_lon",
+                    (F.col("min_km") <= FALLBACK_CAP_KM).alias("within_cap")))
+
+
+@query("cover_scanline")
+def cover_scanline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.cover import scanline_cover
+    from ..operators.geometry import region_edges
+
+    g = grid_of()
+    cov = scanline_cover(region_edges(fx.triangle_polygons(fx.regions_box(spark, sf_dir))), g)
+    return cov.select("region_id", g.lat_of(F.col("ilat")).alias("lat"), g.lon_of(F.col("ilon")).alias("lon"))
+
+
+COVER_BUFFER_M = 300000.0
+
+
+@query("cover_buffered")
+def cover_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.cover import buffered_cover
+    from ..operators.geometry import region_edges
+
+    g = grid_of()
+    cov = buffered_cover(region_edges(fx.triangle_polygons(fx.regions_box(spark, sf_dir))), g, COVER_BUFFER_M)
+    return cov.select("region_id", g.lat_of(F.col("ilat")).alias("lat"), g.lon_of(F.col("ilon")).alias("lon"))
+
+
+@query("cover_overlap_counts")
+def cover_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many grid nodes holding facts lie in 1, 2, ... boxes."""
+    from ..operators.cover import scanline_cover
+    from ..operators.geometry import region_edges
+    from ..sources.grid import with_cell_keys
+
+    g = grid_of()
+    cov = scanline_cover(region_edges(_boxes(spark, sf_dir)), g)
+    per_cell = cov.groupBy("ilat", "ilon").agg(F.count("*").alias("n_regions"))
+    nodes = with_cell_keys(facts_of(spark, sf_dir), g).select("ilat", "ilon").distinct()
+    return (per_cell.join(nodes, ["ilat", "ilon"]).groupBy("n_regions")
+            .agg(F.count("*").alias("n_cells")))
+
+
+@query("centroid")
+def centroid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.shapes import centroid
+
+    return centroid(fx.triangle_polygons(fx.regions_box(spark, sf_dir))).select("region_id", r6("cx"), r6("cy"))
+
+
+@query("representative_point")
+def representative_point_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.shapes import representative_point
+
+    rp = representative_point(fx.triangle_polygons(fx.regions_box(spark, sf_dir)))
+    return rp.select("region_id", r6("rx"), r6("ry"))
+
+
+@query("project_metres")
+def project_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.geodesy import ease_x, ease_y
+
+    c = _table(spark, sf_dir, "customer").select("c_custkey")
+    lon = (F.col("c_custkey") % 3600).cast("double") / 10.0 - 180.0
+    lat = (F.col("c_custkey") % 1799).cast("double") / 10.0 - 89.9
+    return c.select("c_custkey", F.round(ease_x(lon), 3).alias("x"), F.round(ease_y(lat), 3).alias("y"))
+
+
+@query("haversine_pairs")
+def haversine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Great-circle distance between the supplier's and the customer's nation
+    centres for every line item, averaged per nation pair."""
+    from ..functions.geodesy import haversine_km
+
+    boxes = fx.regions_box(spark, sf_dir).select("region_id", "clon", "clat")
+    sb = boxes.select(F.col("region_id").alias("s_nationkey"), F.col("clon").alias("slon"), F.col("clat").alias("slat"))
+    cb = boxes.select(F.col("region_id").alias("c_nationkey"), F.col("clon").alias("clon"), F.col("clat").alias("clat"))
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+         .join(s, li.l_suppkey == s.s_suppkey).join(sb, "s_nationkey").join(cb, "c_nationkey"))
+    km = haversine_km(F.col("slat"), F.col("slon"), F.col("clat"), F.col("clon"))
+    return j.groupBy("s_nationkey", "c_nationkey").agg(F.count("*").alias("n_lines"),
+                                                       F.round(F.avg(km), 6).alias("avg_km"))
+
+
+@query("grid_mesh")
+def grid_mesh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the grid whose axes are derived from the facts."""
+    from ..operators.reshape import grid_mesh
+
+    g = GridSpec.from_facts(facts_of(spark, sf_dir))
+    return grid_mesh(spark, g.nlat, g.nlon, g.lat_of, g.lon_of).select("lat", "lon")
+
+
+@query("array_flatten")
+def array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding vectors as 8-wide 2-d arrays, flattened with two posexplodes."""
+    e = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows = F.transform(F.sequence(F.lit(0), (F.size("embedding") / 8).cast("int") - 1),
+                       lambda i: F.slice("embedding", i * 8 + 1, 8))
+    g = e.select("vec_id", F.posexplode(rows).alias("r", "row"))
+    return g.select("vec_id", "r", F.posexplode("row").alias("c", "value")).select(
+        "vec_id", (F.col("r") * 8 + F.col("c")).alias("pos"), "r", "c", "value")

@@ -214,3 +214,142 @@ select country, (select count(*) from u) as n_unmapped from u"""
 def all_oracles() -> dict[str, str]:
     _lazy_names()
     return dict(ORACLES)
+
+
+# -- climate: fallback, shapes, distances --------------------------------------------
+
+def _hav(lat1, lon1, lat2, lon2):
+    return (f"2*6371.0088*asin(sqrt(pow(sin((radians({lat2}) - radians({lat1}))/2), 2) + "
+            f"cos(radians({lat1}))*cos(radians({lat2}))*pow(sin((radians({lon2}) - radians({lon1}))/2), 2)))")
+
+
+AXES = """
+lat_axis as (select distinct lat, lat_idx from grid_facts),
+lon_axis as (select distinct ((lon + 180) % 360) - 180 as lon, lon_idx from grid_facts),
+mesh as (select a.lat, a.lat_idx, o.lon, o.lon_idx from lat_axis a cross join lon_axis o)"""
+
+FALLBACK = AXES + """,
+pts as (select region_id, name, (lon0 + lon1)/2 as plon, (lat0 + lat1)/2 as plat from regions_box),
+dist as (select p.region_id, p.name, m.lat, m.lon, m.lat_idx, m.lon_idx,
+                """ + _hav("p.plat", "p.plon", "m.lat", "m.lon") + """ as km
+         from pts p cross join mesh m),
+best as (select * from (select *, row_number() over (partition by region_id order by km, lat_idx, lon_idx) as rn
+                        from dist) t where rn = 1),
+covered as (select distinct region_id from cell),
+missing as (select * from best where region_id not in (select region_id from covered)),
+fb_m as (select f.name, g.year, g.time, avg(g.t2m - 273.15) as mt
+         from missing f join grid_facts g on g.lat_idx = f.lat_idx and g.lon_idx = f.lon_idx
+         where f.km <= 230.0 group by f.name, g.year, g.time),
+fb as (select name as country, cast(year as int) as year, avg(mt) as temp_c from fb_m group by name, year),
+direct_m as (select name, year, time, sum(w*v)/sum(case when v is not null then w end) as mt
+             from cell group by name, year, time),
+direct as (select name as country, cast(year as int) as year, avg(mt) as temp_c from direct_m group by name, year)"""
+
+ORACLES["annual_means_full"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
+select country, year, round(temp_c, 6) as temp_c from direct
+union all
+select country, year, round(temp_c, 6) from fb where country not in (select country from direct)"""
+
+ORACLES["fallback_series"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
+select country, year, round(temp_c, 6) as temp_c from fb"""
+
+ORACLES["fallback_audit"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
+select name as country,
+       case when km <= 230.0 then 'fallback_used' else 'no_cell_within_230.0km' end as status,
+       round(km, 6) as min_km,
+       case when km <= 230.0 then lat end as near_lat,
+       case when km <= 230.0 then lon end as near_lon
+from missing"""
+
+ORACLES["nearest_cell"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
+select name as country, round(km, 6) as min_km, lat as near_lat, lon as near_lon, km <= 230.0 as within_cap
+from best"""
+
+ORACLES["unweighted_means"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS) + """,
+m as (select name, year, time, avg(v) as mt from cell group by name, year, time)
+select name as country, cast(year as int) as year, round(avg(mt), 6) as temp_c from m group by name, year"""
+
+# even-odd rule with the half-open crossing test; a crossing at x <= lon counts
+_TRI_INSIDE = """
+inside as (
+  select e.region_id, m.lat, m.lon
+  from mesh m join tri_edges e
+    on least(e.y0, e.y1) <= m.lat and m.lat < greatest(e.y0, e.y1) and e.y0 <> e.y1
+   and e.x0 + (m.lat - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) <= m.lon
+  group by e.region_id, m.lat, m.lon having count(*) % 2 = 1)"""
+
+ORACLES["cover_scanline"] = _with(GRID_FACTS, REGIONS_BOX, AXES, TRI_EDGES, _TRI_INSIDE) + \
+    "select region_id, lat, lon from inside"
+
+def _ease_sql():
+    from ..functions.geodesy import K0, WGS84_A, _E, _E2
+
+    x = f"({WGS84_A * K0!r} * radians({{lon}}))"
+    s = "sin(radians({lat}))"
+    q = (f"({1 - _E2!r} * ({s} / (1.0 - {_E2!r} * {s} * {s}) - "
+         f"ln((1.0 - {_E!r} * {s}) / (1.0 + {_E!r} * {s})) / {2 * _E!r}))")
+    y = f"({WGS84_A / (2 * K0)!r} * {q})"
+    return x, y
+
+
+def _geo_oracles():
+    ex, ey = _ease_sql()
+    ORACLES["project_metres"] = (
+        "with p as (select c_custkey, cast(c_custkey % 3600 as double) / 10.0 - 180.0 as lon, "
+        "cast(c_custkey % 1799 as double) / 10.0 - 89.9 as lat from customer)\n"
+        f"select c_custkey, round({ex.format(lon='lon')}, 3) as x, round({ey.format(lat='lat')}, 3) as y from p")
+    proj_edges = f"""
+pe as (select region_id, {ex.format(lon='x0')} as ax, {ey.format(lat='y0')} as ay,
+              {ex.format(lon='x1')} as b_x, {ey.format(lat='y1')} as b_y from tri_edges),
+pm as (select lat, lon, {ex.format(lon='lon')} as px, {ey.format(lat='lat')} as py from mesh),
+seg as (select pe.region_id, pm.lat, pm.lon, pm.px, pm.py, pe.ax, pe.ay, pe.b_x, pe.b_y,
+               (pe.b_x - pe.ax) * (pe.b_x - pe.ax) + (pe.b_y - pe.ay) * (pe.b_y - pe.ay) as len2
+        from pe cross join pm),
+segt as (select *, greatest(0.0, least(1.0, case when len2 > 0 then
+                 ((px - ax) * (b_x - ax) + (py - ay) * (b_y - ay)) / len2 else 0.0 end)) as t from seg),
+near_edge as (select distinct region_id, lat, lon from segt
+              where sqrt(pow(px - (ax + t * (b_x - ax)), 2) + pow(py - (ay + t * (b_y - ay)), 2)) <= 300000.0)"""
+    ORACLES["cover_buffered"] = _with(GRID_FACTS, REGIONS_BOX, AXES, TRI_EDGES, _TRI_INSIDE, proj_edges) + """
+select region_id, lat, lon from inside union select region_id, lat, lon from near_edge"""
+
+
+_geo_oracles()
+
+ORACLES["cover_overlap_counts"] = _with(GRID_FACTS, REGIONS_BOX) + """,
+nodes as (select distinct lat, ((lon + 180) % 360) - 180 as lon from grid_facts),
+pc as (select n.lat, n.lon, count(*) as n_regions from nodes n join regions_box r
+         on n.lat >= r.lat0 and n.lat < r.lat1 and n.lon >= r.lon0 and n.lon < r.lon1
+       group by n.lat, n.lon)
+select n_regions, count(*) as n_cells from pc group by n_regions"""
+
+ORACLES["centroid"] = _with(REGIONS_BOX, TRI_EDGES) + """,
+s as (select region_id, sum(x0*y1 - x1*y0) as a2, sum((x0 + x1)*(x0*y1 - x1*y0)) as mx,
+             sum((y0 + y1)*(x0*y1 - x1*y0)) as my from tri_edges group by region_id)
+select region_id, round(mx / (3.0 * a2), 6) as cx, round(my / (3.0 * a2), 6) as cy from s"""
+
+# scan line halfway between the base and the apex; crossings on the two slanted edges
+ORACLES["representative_point"] = _with(REGIONS_BOX) + """,
+y as (select region_id, lon0, lon1, clon, lat0, lat1, (lat0 + lat1) / 2.0 as sy from regions_box),
+x as (select region_id, sy,
+             lon1 + (sy - lat0) / ((lat1 - lat0) / (clon - lon1)) as xa,
+             clon + (sy - lat1) / ((lat0 - lat1) / (lon0 - clon)) as xb from y)
+select region_id, round((least(xa, xb) + greatest(xa, xb)) / 2.0, 6) as rx, round(sy, 6) as ry from x"""
+
+ORACLES["haversine_pairs"] = _with(REGIONS_BOX) + """
+select s.s_nationkey, c.c_nationkey, count(*) as n_lines,
+       round(avg(""" + _hav("sb.clat", "sb.clon", "cb.clat", "cb.clon") + """), 6) as avg_km
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+     join customer c on o.o_custkey = c.c_custkey
+     join supplier s on l.l_suppkey = s.s_suppkey
+     join regions_box sb on sb.region_id = s.s_nationkey
+     join regions_box cb on cb.region_id = c.c_nationkey
+group by s.s_nationkey, c.c_nationkey"""
+
+ORACLES["grid_mesh"] = _with(GRID_FACTS, AXES) + "select lat, lon from mesh"
+
+ORACLES["array_flatten"] = """
+with u as (select vec_id, unnest(generate_series(0, len(embedding) - 1)) as pos, embedding from embeddings
+           where len(embedding) >= 8)
+select vec_id, cast(pos as int) as pos, cast(pos // 8 as int) as r, cast(pos % 8 as int) as c,
+       embedding[pos + 1] as value
+from u where pos < (len(embedding) // 8) * 8"""
