@@ -234,12 +234,11 @@ def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.nearest import nearest_node
     from ..operators.shapes import representative_point
 
-    regions = _boxes(spark, sf_dir)
+    regions = fx.triangle_polygons(fx.customer_boxes(spark, sf_dir))
     pts = representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
     near = nearest_node(pts, grid_of())
-    return (near.join(regions.select("region_id", "name"), "region_id")
-            .select(F.col("name").alias("country"), r6("min_km"), "near_lat", "near_lon",
-                    (F.col("min_km") <= FALLBACK_CAP_KM).alias("within_cap")))
+    return near.select("region_id", r6("min_km"), "near_lat", "near_lon",
+                       (F.col("min_km") <= FALLBACK_CAP_KM).alias("within_cap"))
 
 
 @query("cover_scanline")
@@ -248,7 +247,7 @@ def cover_scanline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.geometry import region_edges
 
     g = grid_of()
-    cov = scanline_cover(region_edges(fx.triangle_polygons(fx.regions_box(spark, sf_dir))), g)
+    cov = scanline_cover(region_edges(fx.triangle_polygons(fx.customer_boxes(spark, sf_dir))), g)
     return cov.select("region_id", g.lat_of(F.col("ilat")).alias("lat"), g.lon_of(F.col("ilon")).alias("lon"))
 
 
@@ -261,7 +260,7 @@ def cover_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.geometry import region_edges
 
     g = grid_of()
-    cov = buffered_cover(region_edges(fx.triangle_polygons(fx.regions_box(spark, sf_dir))), g, COVER_BUFFER_M)
+    cov = buffered_cover(region_edges(fx.triangle_polygons(fx.customer_boxes(spark, sf_dir))), g, COVER_BUFFER_M)
     return cov.select("region_id", g.lat_of(F.col("ilat")).alias("lat"), g.lon_of(F.col("ilon")).alias("lon"))
 
 
@@ -284,14 +283,14 @@ def cover_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def centroid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.shapes import centroid
 
-    return centroid(fx.triangle_polygons(fx.regions_box(spark, sf_dir))).select("region_id", r6("cx"), r6("cy"))
+    return centroid(fx.triangle_polygons(fx.customer_boxes(spark, sf_dir))).select("region_id", r6("cx"), r6("cy"))
 
 
 @query("representative_point")
 def representative_point_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.shapes import representative_point
 
-    rp = representative_point(fx.triangle_polygons(fx.regions_box(spark, sf_dir)))
+    rp = representative_point(fx.triangle_polygons(fx.customer_boxes(spark, sf_dir)))
     return rp.select("region_id", r6("rx"), r6("ry"))
 
 
@@ -343,3 +342,154 @@ def array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = e.select("vec_id", F.posexplode(rows).alias("r", "row"))
     return g.select("vec_id", "r", F.posexplode("row").alias("c", "value")).select(
         "vec_id", (F.col("r") * 8 + F.col("c")).alias("pos"), "r", "c", "value")
+
+
+# -- publish: partitions in, one CSV out ----------------------------------------------
+
+PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR = 1996, 2000
+
+
+def _landed_annual(spark: SparkSession, sf_dir: str) -> str:
+    """Write the flagship result as year partitions under the shared checkpoint
+    folder and return the path (the publish job's input)."""
+    from ..session import scratch_path
+    from ..sinks.files import write_year_partitions
+
+    path = scratch_path(spark, "annual_temp")
+    write_year_partitions(annual_means_box(spark, sf_dir), path)
+    return path
+
+
+@query("parquet_roundtrip")
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_landed_annual(spark, sf_dir)).select("country", "year", "temp_c")
+
+
+@query("path_year")
+def path_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.years import year_from_path
+
+    df = spark.read.parquet(_landed_annual(spark, sf_dir))
+    return (df.select(year_from_path(F.col("_metadata.file_path")).alias("path_year"))
+            .groupBy("path_year").agg(F.count("*").alias("n_rows")))
+
+
+@query("publish_rows")
+def publish_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .publish import load_partitions, publish_rows
+
+    df = load_partitions(spark, _landed_annual(spark, sf_dir), PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR)
+    return publish_rows(df)
+
+
+@query("publish_stats")
+def publish_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import scratch_path
+    from .publish import publish
+
+    out = scratch_path(spark, "published") + ".csv"
+    s = publish(spark, _landed_annual(spark, sf_dir), out, PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR,
+                success_marker=out + "._SUCCESS")
+    from .publish import publish_stats
+    from ..schemas import ANNUAL_TEMP
+
+    published = spark.read.option("header", True).schema(ANNUAL_TEMP).csv(out)
+    assert s.n_rows == published.count()
+    return publish_stats(published)
+
+
+# -- quality reports ---------------------------------------------------------------------
+
+def _full(spark, sf_dir):
+    from .annual import annual_means
+
+    facts = facts_of(spark, sf_dir)
+    return annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+
+
+@query("geom_quality")
+def geom_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.geometry import clean_regions
+    from ..operators.quality import geometry_counts
+
+    raw = fx.customer_geometries(spark, sf_dir)
+    return geometry_counts(raw, "raw").unionByName(geometry_counts(clean_regions(raw), "clean"))
+
+
+@query("temp_outliers")
+def temp_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly regional means outside the plausible range, counted with the range seen."""
+    from ..operators.quality import out_of_range
+    from ..operators.spatial_agg import regional_monthly
+    from .annual import region_cover
+    from ..sources.grid import with_cell_keys
+
+    g = grid_of()
+    cov = region_cover(_boxes(spark, sf_dir), g)
+    m = regional_monthly(with_cell_keys(facts_of(spark, sf_dir), g), cov).withColumnRenamed("mt", "temp_c")
+    return m.agg(F.count("*").alias("n_rows"),
+                 F.count_if((F.col("temp_c") < -60.0) | (F.col("temp_c") > 60.0)).alias("n_out_of_range"),
+                 F.round(F.min("temp_c"), 6).alias("min_temp_c"), F.round(F.max("temp_c"), 6).alias("max_temp_c"))
+
+
+@query("latest_stats")
+def latest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import latest_year_stats
+
+    annual, _ = _full(spark, sf_dir)
+    s = latest_year_stats(annual)
+    return s.select("year", "n_rows", r6("mean"), r6("min"), r6("max"), r6("std"))
+
+
+@query("coverage_report")
+def coverage_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import coverage_report
+
+    annual, audit = _full(spark, sf_dir)
+    return coverage_report(fx.regions_box(spark, sf_dir), annual, audit, list(range(1996, 2001)))
+
+
+@query("top_regions")
+def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five warmest countries of the latest year (a top-k report)."""
+    annual, _ = _full(spark, sf_dir)
+    latest = annual.select(F.max("year")).scalar()
+    return (annual.where(F.col("year") == latest)
+            .orderBy(F.col("temp_c").desc_nulls_last(), F.col("country")).limit(5)
+            .select("country", "year", r6("temp_c")))
+
+
+@query("sample_latest")
+def sample_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reproducible sample of five rows of the latest year (order by a hash)."""
+    annual, _ = _full(spark, sf_dir)
+    latest = annual.select(F.max("year")).scalar()
+    return (annual.where(F.col("year") == latest).orderBy(F.xxhash64("country")).limit(5)
+            .select("country", "year", r6("temp_c")))
+
+
+# -- year sets ---------------------------------------------------------------------------
+
+@query("year_spec_filter")
+def year_spec_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.years import years_df
+
+    o = _table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
+    wanted = years_df(spark, "1996,1998,2000,1998")
+    return o.join(F.broadcast(wanted), "year", "left_semi").groupBy("year").agg(F.count("*").alias("n_orders"))
+
+
+@query("years_to_load")
+def years_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested years with no landed data yet (the incremental plan)."""
+    from ..functions.years import years_df, years_missing
+
+    landed = _table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
+    return years_missing(years_df(spark, "1990-2005"), landed)
+
+
+@query("years_outside")
+def years_outside_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.years import years_df, years_outside
+
+    return years_outside(annual_means_box(spark, sf_dir), years_df(spark, "1996-1999"))

@@ -33,12 +33,22 @@ GRID_NODES = """
 nodes as (
   select distinct lat, ((lon + 180) % 360) - 180 as lon, lat_idx, lon_idx from grid_facts)"""
 
-# triangle edges (lon0,lat0) -> (lon1,lat0) -> (clon,lat1) -> (lon0,lat0)
+CUST_BOX = """
+cust_box as (
+  select region_id, name, clon - half as lon0, clon + half as lon1, clat - half as lat0, clat + half as lat1,
+         clon, clat
+  from (select c_custkey as region_id, c_name as name,
+               cast(c_custkey % 3597 as double) / 10.0 - 179.83 as clon,
+               cast(c_custkey % 1193 as double) / 10.0 - 59.67 as clat,
+               cast(3 + c_custkey % 5 as double) as half
+        from customer) c)"""
+
+# triangle edges (lon0,lat0) -> (lon1,lat0) -> (clon,lat1) -> (lon0,lat0) of the customer boxes
 TRI_EDGES = """
 tri_edges as (
-  select region_id, lon0 as x0, lat0 as y0, lon1 as x1, lat0 as y1 from regions_box
-  union all select region_id, lon1, lat0, clon, lat1 from regions_box
-  union all select region_id, clon, lat1, lon0, lat0 from regions_box)"""
+  select region_id, lon0 as x0, lat0 as y0, lon1 as x1, lat0 as y1 from cust_box
+  union all select region_id, lon1, lat0, clon, lat1 from cust_box
+  union all select region_id, clon, lat1, lon0, lat0 from cust_box)"""
 
 BOX_CELLS = """
 cell as (
@@ -261,8 +271,17 @@ select name as country,
        case when km <= 230.0 then lon end as near_lon
 from missing"""
 
-ORACLES["nearest_cell"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
-select name as country, round(km, 6) as min_km, lat as near_lat, lon as near_lon, km <= 230.0 as within_cap
+ORACLES["nearest_cell"] = _with(GRID_FACTS, CUST_BOX, AXES) + """,
+y as (select region_id, lon0, lon1, clon, lat0, lat1, (lat0 + lat1) / 2.0 as sy from cust_box),
+x as (select region_id, sy, lon1 + (sy - lat0) / ((lat1 - lat0) / (clon - lon1)) as xa,
+             clon + (sy - lat1) / ((lat0 - lat1) / (lon0 - clon)) as xb from y),
+pts as (select region_id, (least(xa, xb) + greatest(xa, xb)) / 2.0 as plon, sy as plat from x),
+dist as (select p.region_id, m.lat, m.lon, m.lat_idx, m.lon_idx,
+                """ + _hav("p.plat", "p.plon", "m.lat", "m.lon") + """ as km
+         from pts p cross join mesh m),
+best as (select * from (select *, row_number() over (partition by region_id order by km, lat_idx, lon_idx) as rn
+                        from dist) t where rn = 1)
+select region_id, round(km, 6) as min_km, lat as near_lat, lon as near_lon, km <= 230.0 as within_cap
 from best"""
 
 ORACLES["unweighted_means"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS) + """,
@@ -278,7 +297,7 @@ inside as (
    and e.x0 + (m.lat - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) <= m.lon
   group by e.region_id, m.lat, m.lon having count(*) % 2 = 1)"""
 
-ORACLES["cover_scanline"] = _with(GRID_FACTS, REGIONS_BOX, AXES, TRI_EDGES, _TRI_INSIDE) + \
+ORACLES["cover_scanline"] = _with(GRID_FACTS, CUST_BOX, AXES, TRI_EDGES, _TRI_INSIDE) + \
     "select region_id, lat, lon from inside"
 
 def _ease_sql():
@@ -309,7 +328,7 @@ segt as (select *, greatest(0.0, least(1.0, case when len2 > 0 then
                  ((px - ax) * (b_x - ax) + (py - ay) * (b_y - ay)) / len2 else 0.0 end)) as t from seg),
 near_edge as (select distinct region_id, lat, lon from segt
               where sqrt(pow(px - (ax + t * (b_x - ax)), 2) + pow(py - (ay + t * (b_y - ay)), 2)) <= 300000.0)"""
-    ORACLES["cover_buffered"] = _with(GRID_FACTS, REGIONS_BOX, AXES, TRI_EDGES, _TRI_INSIDE, proj_edges) + """
+    ORACLES["cover_buffered"] = _with(GRID_FACTS, CUST_BOX, AXES, TRI_EDGES, _TRI_INSIDE, proj_edges) + """
 select region_id, lat, lon from inside union select region_id, lat, lon from near_edge"""
 
 
@@ -322,14 +341,14 @@ pc as (select n.lat, n.lon, count(*) as n_regions from nodes n join regions_box
        group by n.lat, n.lon)
 select n_regions, count(*) as n_cells from pc group by n_regions"""
 
-ORACLES["centroid"] = _with(REGIONS_BOX, TRI_EDGES) + """,
+ORACLES["centroid"] = _with(CUST_BOX, TRI_EDGES) + """,
 s as (select region_id, sum(x0*y1 - x1*y0) as a2, sum((x0 + x1)*(x0*y1 - x1*y0)) as mx,
              sum((y0 + y1)*(x0*y1 - x1*y0)) as my from tri_edges group by region_id)
 select region_id, round(mx / (3.0 * a2), 6) as cx, round(my / (3.0 * a2), 6) as cy from s"""
 
 # scan line halfway between the base and the apex; crossings on the two slanted edges
-ORACLES["representative_point"] = _with(REGIONS_BOX) + """,
-y as (select region_id, lon0, lon1, clon, lat0, lat1, (lat0 + lat1) / 2.0 as sy from regions_box),
+ORACLES["representative_point"] = _with(CUST_BOX) + """,
+y as (select region_id, lon0, lon1, clon, lat0, lat1, (lat0 + lat1) / 2.0 as sy from cust_box),
 x as (select region_id, sy,
              lon1 + (sy - lat0) / ((lat1 - lat0) / (clon - lon1)) as xa,
              clon + (sy - lat1) / ((lat0 - lat1) / (lon0 - clon)) as xb from y)
@@ -353,3 +372,69 @@ with u as (select vec_id, unnest(generate_series(0, len(embedding) - 1)) as pos,
 select vec_id, cast(pos as int) as pos, cast(pos // 8 as int) as r, cast(pos % 8 as int) as c,
        embedding[pos + 1] as value
 from u where pos < (len(embedding) // 8) * 8"""
+
+
+# -- publish, quality, year sets ------------------------------------------------------
+
+_FLAGSHIP = ORACLES["annual_means_box"]
+_FULL = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """,
+full_ as (select country, year, temp_c from direct
+          union all select country, year, temp_c from fb where country not in (select country from direct))"""
+
+ORACLES["parquet_roundtrip"] = _FLAGSHIP
+ORACLES["path_year"] = f"select year as path_year, count(*) as n_rows from ({_FLAGSHIP}) f group by year"
+ORACLES["publish_rows"] = f"select * from ({_FLAGSHIP}) f where year between 1996 and 2000"
+ORACLES["publish_stats"] = f"""
+select count(distinct year) as n_partitions, count(distinct country) as n_countries, count(*) as n_rows,
+       min(year) as y_min, max(year) as y_max
+from ({_FLAGSHIP}) f where year between 1996 and 2000"""
+
+ORACLES["geom_quality"] = _with(CUST_BOX) + """
+select 'raw' as stage, count(*) as n_rows, count(*) filter (where region_id % 7 = 3) as n_null,
+       count(*) filter (where region_id % 7 = 5) as n_empty from cust_box
+union all
+select 'clean', count(*) filter (where region_id % 7 not in (3, 5)), 0, 0 from cust_box"""
+
+ORACLES["temp_outliers"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS) + """,
+m as (select name, year, time, sum(w*v)/sum(case when v is not null then w end) as mt
+      from cell group by name, year, time)
+select count(*) as n_rows, count(*) filter (where mt < -60.0 or mt > 60.0) as n_out_of_range,
+       round(min(mt), 6) as min_temp_c, round(max(mt), 6) as max_temp_c from m"""
+
+ORACLES["latest_stats"] = _FULL + """
+select year, count(*) as n_rows, round(avg(temp_c), 6) as mean, round(min(temp_c), 6) as min,
+       round(max(temp_c), 6) as max, round(stddev_samp(temp_c), 6) as std
+from full_ where year = (select max(year) from full_) group by year"""
+
+ORACLES["coverage_report"] = _FULL + """,
+used as (select distinct name as country from missing where km <= 230.0),
+present as (select distinct country from full_),
+c as (select
+  (select count(distinct name) from regions_box) as n_expected,
+  (select count(*) from present where country not in (select country from used)) as n_direct,
+  (select count(*) from used) as n_fallback,
+  (select count(*) from (select distinct name from regions_box) e
+     where name not in (select country from present)) as n_missing,
+  (select count(distinct year) from full_ where year not in (1996, 1997, 1998, 1999, 2000)) as n_outside,
+  (select count(*) from full_ where temp_c < -60.0 or temp_c > 60.0) as n_range)
+select 'countries_expected' as "check", 'info' as severity, n_expected as n, true as passed from c
+union all select 'direct_coverage', 'info', n_direct, true from c
+union all select 'fallback_used', 'info', n_fallback, true from c
+union all select 'missing_after_fallback', 'error', n_missing, n_missing = 0 from c
+union all select 'years_outside_request', 'warn', n_outside, n_outside = 0 from c
+union all select 'temp_out_of_range', 'warn', n_range, n_range = 0 from c"""
+
+ORACLES["top_regions"] = _FULL + """
+select country, year, round(temp_c, 6) as temp_c from full_ where year = (select max(year) from full_)
+order by temp_c desc nulls last, country limit 5"""
+
+ORACLES["year_spec_filter"] = """
+select cast(year(o_orderdate) as int) as year, count(*) as n_orders from orders
+where year(o_orderdate) in (1996, 1998, 2000) group by 1"""
+
+ORACLES["years_to_load"] = """
+select cast(y as int) as year from generate_series(1990, 2005) t(y)
+where y not in (select distinct year(o_orderdate) from orders)"""
+
+ORACLES["years_outside"] = f"""
+select distinct year from ({_FLAGSHIP}) f where year not in (1996, 1997, 1998, 1999)"""

@@ -123,3 +123,30 @@ def indicators_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (j.groupBy(iso_code(F.col("s_nationkey")).alias("economy"), series.alias("series"))
             .agg(*[F.avg(F.when(yr == y, F.col("l_extendedprice"))).alias(f"YR{y}")
                    for y in INDICATOR_YEARS]))
+
+
+def customer_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One box per customer (grows with the data): centre from the key, half-size
+    3..7 degrees; offsets keep centres off the 5-degree grid's midlines."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    clon = (F.col("c_custkey") % 3597).cast("double") / 10.0 - 179.83
+    clat = (F.col("c_custkey") % 1193).cast("double") / 10.0 - 59.67
+    half = (F.lit(3) + F.col("c_custkey") % 5).cast("double")
+    r = c.select(F.col("c_custkey").alias("region_id"), F.col("c_name").alias("name"),
+                 clon.alias("clon"), clat.alias("clat"), half.alias("half"))
+    return r.select(
+        "region_id", "name",
+        (F.col("clon") - F.col("half")).alias("lon0"), (F.col("clon") + F.col("half")).alias("lon1"),
+        (F.col("clat") - F.col("half")).alias("lat0"), (F.col("clat") + F.col("half")).alias("lat1"),
+        "clon", "clat",
+    )
+
+
+def customer_geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer triangles with some NULL (key % 7 = 3) and empty (key % 7 = 5)
+    geometries, for the geometry-cleaning checks."""
+    tri = triangle_polygons(customer_boxes(spark, sf_dir))
+    k = F.col("region_id") % 7
+    empty = F.array().cast("array<array<array<struct<lon:double,lat:double>>>>")
+    return tri.withColumn("parts", F.when(k == 3, F.lit(None).cast(
+        "array<array<array<struct<lon:double,lat:double>>>>")).when(k == 5, empty).otherwise(F.col("parts")))
