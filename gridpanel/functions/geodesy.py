@@ -82,15 +82,23 @@ def haversine_py(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     return 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(a))
 
 
-def point_segment_distance(px, py, x0, y0, x1, y1) -> Column:
-    """Planar distance from point P to segment [A, B] (all Columns, same units)."""
+def point_segment_distance2(px, py, x0, y0, x1, y1) -> Column:
+    """Squared planar distance from point P to segment [A, B] (same units).
+
+    Written with the clamped projection parameter used once per coordinate so the
+    expression stays small inside filters (no common-subexpression elimination there)."""
     px, py, x0, y0, x1, y1 = map(_c, (px, py, x0, y0, x1, y1))
     dx, dy = x1 - x0, y1 - y0
     len2 = dx * dx + dy * dy
     t = F.when(len2 > 0, ((px - x0) * dx + (py - y0) * dy) / len2).otherwise(F.lit(0.0))
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-    qx, qy = x0 + t * dx, y0 + t * dy
-    return F.sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))
+    ex, ey = px - x0 - t * dx, py - y0 - t * dy
+    return F.pow(ex, 2) + F.pow(ey, 2)
+
+
+def point_segment_distance(px, py, x0, y0, x1, y1) -> Column:
+    """Planar distance from point P to segment [A, B] (all Columns, same units)."""
+    return F.sqrt(point_segment_distance2(px, py, x0, y0, x1, y1))
 
 
 _QP = (1 - _E2) * (1 / (1 - _E2) - math.log((1 - _E) / (1 + _E)) / (2 * _E))

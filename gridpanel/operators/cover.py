@@ -18,7 +18,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geodesy import K0, WGS84_A, ease_lat_of_y, ease_x, ease_y, point_segment_distance
+from ..functions.geodesy import (K0, WGS84_A, ease_lat_of_y, ease_x, ease_xy_py, ease_y,
+                                 point_segment_distance2)
 from ..sources.grid import GridSpec
 
 
@@ -110,9 +111,13 @@ def boundary_cells(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFra
                     F.explode(F.sequence("r_lo", "r_hi")).alias("ilat"))
             .select("region_id", "sx0", "sy0", "sx1", "sy1", "ilat",
                     F.explode(F.sequence("c_lo", "c_hi")).alias("ilon")))
-    cx, cy = ease_x(grid.lon_of(F.col("ilon"))), ease_y(grid.lat_of(F.col("ilat")))
-    d = point_segment_distance(cx, cy, F.col("sx0"), F.col("sy0"), F.col("sx1"), F.col("sy1"))
-    return cand.where(d <= F.lit(b)).select("region_id", "ilat", "ilon").distinct()
+    # projected cell centres depend on the row or the column only: look them up in
+    # per-axis constant arrays (nlat + nlon values) instead of re-projecting each candidate
+    xs = F.array(*[F.lit(ease_xy_py(grid.lon0 + grid.dlon * c, 0.0)[0]) for c in range(grid.nlon)])
+    ys = F.array(*[F.lit(ease_xy_py(0.0, grid.lat0 + grid.dlat * r)[1]) for r in range(grid.nlat)])
+    cx, cy = F.element_at(xs, F.col("ilon") + 1), F.element_at(ys, F.col("ilat") + 1)
+    d2 = point_segment_distance2(cx, cy, F.col("sx0"), F.col("sy0"), F.col("sx1"), F.col("sy1"))
+    return cand.where(d2 <= F.lit(b * b)).select("region_id", "ilat", "ilon").distinct()
 
 
 def buffered_cover(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFrame:

@@ -57,8 +57,9 @@ def region_edges(regions: DataFrame) -> DataFrame:
     """One row per ring segment: ``region_id, part_id, ring_id, seg_id, x0, y0, x1, y1``
     (x = lon, y = lat, degrees)."""
     p = regions.select("region_id", F.posexplode("parts").alias("part_id", "part"))
-    r = p.select("region_id", "part_id", F.posexplode("part").alias("ring_id", "ring"))
-    ring = _closed(F.col("ring"))
+    r = (p.select("region_id", "part_id", F.posexplode("part").alias("ring_id", "ring"))
+         .select("region_id", "part_id", "ring_id", _closed(F.col("ring")).alias("ring")))
+    ring = F.col("ring")   # closed once in its own projection, then indexed
     segs = F.transform(F.sequence(F.lit(1), F.size(ring) - 1),
                        lambda i: F.struct(i.alias("i"), F.element_at(ring, i).alias("a"),
                                           F.element_at(ring, i + 1).alias("b")))

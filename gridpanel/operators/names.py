@@ -77,24 +77,40 @@ def iso_rows() -> list[dict]:
         return list(csv.DictReader(f))
 
 
+_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
+def _session_cached(spark: SparkSession, name: str, build) -> DataFrame:
+    """Fixed lookup tables are built once per application and kept cached (a lost
+    block is rebuilt from its lineage)."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _CACHE:
+        _CACHE[key] = build().cache()
+    return _CACHE[key]
+
+
 def overrides_df(spark: SparkSession) -> DataFrame:
-    rows = [(a, v, i) for i, (a, v) in enumerate(NAME_OVERRIDES)]
-    df = spark.createDataFrame(rows, "alias string, iso3 string, priority int")
-    return df.withColumn("alias_norm", fold_ascii(F.col("alias")))
+    def build():
+        rows = [(a, v, i) for i, (a, v) in enumerate(NAME_OVERRIDES)]
+        df = spark.createDataFrame(rows, "alias string, iso3 string, priority int")
+        return df.withColumn("alias_norm", fold_ascii(F.col("alias")))
+    return _session_cached(spark, "overrides", build)
 
 
 def iso_keys_df(spark: SparkSession) -> DataFrame:
     """``(key, iso3)``: every lower-cased identifier of every ISO country, one
     code per key (field order, then list order, decide collisions)."""
-    rows = []
-    for r in iso_rows():
-        for rank, field in enumerate(ISO_FIELDS):
-            v = r.get(field) or ""
-            if v:
-                rows.append((v, r["alpha_3"], rank * 1000 + int(r["country_pos"])))
-    df = spark.createDataFrame(rows, "ident string, iso3 string, priority int")
-    return (df.groupBy(F.lower("ident").alias("key"))
-            .agg(F.min_by("iso3", "priority").alias("iso3")))
+    def build():
+        rows = []
+        for r in iso_rows():
+            for rank, field in enumerate(ISO_FIELDS):
+                v = r.get(field) or ""
+                if v:
+                    rows.append((v, r["alpha_3"], rank * 1000 + int(r["country_pos"])))
+        df = spark.createDataFrame(rows, "ident string, iso3 string, priority int")
+        return (df.groupBy(F.lower("ident").alias("key"))
+                .agg(F.min_by("iso3", "priority").alias("iso3")))
+    return _session_cached(spark, "iso_keys", build)
 
 
 def name_to_iso3(names: DataFrame, name_col: str = "_name") -> DataFrame:

@@ -50,48 +50,67 @@ def centroid(regions: DataFrame) -> DataFrame:
                           (tot["my"] / (F.lit(3.0) * tot["a"])).alias("cy"))
 
 
-def _part_interior_point(part: Column) -> Column:
-    """struct(width, x, y) for one polygon (shell + holes).
-
-    Scan line: halfway between the two vertex latitudes closest to the middle of
-    the polygon's latitude extent (so it passes through no vertex); crossings
-    of all rings with it (half-open rule) pair up into interior intervals; the
-    widest interval's midpoint is the point (first in x order on ties). A
-    polygon the line does not cross keeps its first vertex with width 0."""
+def _part_scan(part: Column) -> Column:
+    """struct(part, y): the polygon with its scan-line latitude."""
     ys = F.transform(F.flatten(part), lambda p: p["lat"])
-    lo_all, hi_all = F.array_min(ys), F.array_max(ys)
-    centre = (lo_all + hi_all) / 2.0
-    lo = F.array_max(F.filter(ys, lambda y: y <= centre))
-    hi = F.coalesce(F.array_min(F.filter(ys, lambda y: y > centre)), hi_all)
-    Y = (lo + hi) / 2.0
+    ext = F.struct(F.array_min(ys).alias("lo"), F.array_max(ys).alias("hi"))
+
+    def pick(e):
+        centre = (e["lo"] + e["hi"]) / 2.0
+        lo = F.array_max(F.filter(ys, lambda y: y <= centre))
+        hi = F.coalesce(F.array_min(F.filter(ys, lambda y: y > centre)), e["hi"])
+        return (lo + hi) / 2.0
+
+    # ``ext`` is evaluated once per polygon by passing it through a one-element array
+    y = F.element_at(F.transform(F.array(ext), pick), 1)
+    return F.struct(part.alias("part"), y.alias("y"))
+
+
+def _part_crossings(s: Column) -> Column:
+    """struct(xs, y, x0, y0): sorted crossings of all rings with the scan line
+    (half-open rule) plus the polygon's first vertex."""
+    Y = s["y"]
 
     def crossings(ring):
-        segs = F.filter(_segments(ring), lambda s: (s["a"]["lat"] != s["b"]["lat"]) & (
-            F.least(s["a"]["lat"], s["b"]["lat"]) <= Y) & (Y < F.greatest(s["a"]["lat"], s["b"]["lat"])))
-        return F.transform(segs, lambda s: F.when(
-            s["a"]["lon"] == s["b"]["lon"], s["a"]["lon"]).otherwise(
-            s["a"]["lon"] + (Y - s["a"]["lat"]) / ((s["b"]["lat"] - s["a"]["lat"]) / (s["b"]["lon"] - s["a"]["lon"]))))
+        segs = F.filter(_segments(ring), lambda g: (g["a"]["lat"] != g["b"]["lat"]) & (
+            F.least(g["a"]["lat"], g["b"]["lat"]) <= Y) & (Y < F.greatest(g["a"]["lat"], g["b"]["lat"])))
+        return F.transform(segs, lambda g: F.when(
+            g["a"]["lon"] == g["b"]["lon"], g["a"]["lon"]).otherwise(
+            g["a"]["lon"] + (Y - g["a"]["lat"]) / ((g["b"]["lat"] - g["a"]["lat"]) / (g["b"]["lon"] - g["a"]["lon"]))))
+
+    first = F.element_at(F.element_at(s["part"], 1), 1)
+    return F.struct(F.array_sort(F.flatten(F.transform(s["part"], crossings))).alias("xs"), Y.alias("y"),
+                    first["lon"].alias("x0"), first["lat"].alias("y0"))
+
 
-    xs = F.array_sort(F.flatten(F.transform(part, crossings)))
+def _part_best(c: Column) -> Column:
+    """struct(width, x, y): midpoint of the widest interior interval (first in x
+    order on ties); a polygon the line does not cross keeps its first vertex."""
+    xs = c["xs"]
     n_pairs = (F.size(xs) / 2).cast("int")
-    ivals = F.transform(F.sequence(F.lit(0), n_pairs - 1), lambda k: F.struct(
+    ivals = F.transform(F.sequence(F.lit(0), F.greatest(n_pairs - 1, F.lit(0))), lambda k: F.struct(
         (F.element_at(xs, 2 * k + 2) - F.element_at(xs, 2 * k + 1)).alias("width"),
         ((F.element_at(xs, 2 * k + 1) + F.element_at(xs, 2 * k + 2)) / 2.0).alias("x")))
-    first = F.element_at(F.element_at(part, 1), 1)
-    init = F.struct(F.lit(0.0).alias("width"), first["lon"].alias("x"), first["lat"].alias("y"))
-    best = F.aggregate(
+    init = F.struct(F.lit(0.0).alias("width"), c["x0"].alias("x"), c["y0"].alias("y"))
+    return F.aggregate(
         F.when(n_pairs > 0, ivals).otherwise(F.array().cast("array<struct<width:double,x:double>>")),
         init,
         lambda acc, iv: F.when(iv["width"] > acc["width"],
-                               F.struct(iv["width"].alias("width"), iv["x"].alias("x"), Y.alias("y"))).otherwise(acc))
-    return best
+                               F.struct(iv["width"].alias("width"), iv["x"].alias("x"), c["y"].alias("y")))
+        .otherwise(acc))
 
 
 def representative_point(regions: DataFrame) -> DataFrame:
     """A point guaranteed inside each region: ``(region_id, rx, ry)``; across
-    parts the widest scan interval wins (first part on ties)."""
-    pts = F.transform(F.col("parts"), _part_interior_point)
+    parts the widest scan interval wins (first part on ties).
+
+    Computed in three projections so that each per-polygon intermediate (scan
+    line, sorted crossings) is materialised once instead of being re-derived at
+    every reference inside the lambdas."""
+    a = regions.select("region_id", F.transform(F.col("parts"), _part_scan).alias("_s"))
+    b = a.select("region_id", F.transform(F.col("_s"), _part_crossings).alias("_c"))
+    c = b.select("region_id", F.transform(F.col("_c"), _part_best).alias("_p"))
     init = F.struct(F.lit(-1.0).alias("width"), F.lit(None).cast("double").alias("x"),
                     F.lit(None).cast("double").alias("y"))
-    best = F.aggregate(pts, init, lambda acc, p: F.when(p["width"] > acc["width"], p).otherwise(acc))
-    return regions.select("region_id", best["x"].alias("rx"), best["y"].alias("ry"))
+    best = F.aggregate(F.col("_p"), init, lambda acc, p: F.when(p["width"] > acc["width"], p).otherwise(acc))
+    return c.select("region_id", best["x"].alias("rx"), best["y"].alias("ry"))

@@ -401,10 +401,15 @@ def publish_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- quality reports ---------------------------------------------------------------------
 
 def _full(spark, sf_dir):
+    """The full annual job, checkpointed to the shared checkpoint folder: the
+    reports below read it several times (scalar subqueries), so lineage is cut
+    once instead of re-running the job per reference."""
     from .annual import annual_means
 
     facts = facts_of(spark, sf_dir)
-    return annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+    annual, audit = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
+                                 cap_km=FALLBACK_CAP_KM)
+    return annual.checkpoint(), audit.checkpoint()
 
 
 @query("geom_quality")

@@ -71,9 +71,11 @@ def enrich(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> DataFrame:
     names mapping to one code) keep the alphabetically first name."""
     if "iso3" not in era5.columns:
         era5 = add_iso3(era5, "country", "iso3")
-    era5 = keep_iso3_year(era5, ["country"] if "country" in era5.columns else None)
-    owid = keep_iso3_year(owid)
-    wb = keep_iso3_year(wb)
+    # panels are country x year tables; each is read by the alignment scalar and
+    # by the join, so they are cached rather than computed twice
+    era5 = keep_iso3_year(era5, ["country"] if "country" in era5.columns else None).cache()
+    owid = keep_iso3_year(owid).cache()
+    wb = keep_iso3_year(wb).cache()
     era5, owid, wb = align_years([era5, owid, wb])
     era5 = select_existing(era5, ERA5_KEEP)
     owid = select_existing(owid, OWID_KEEP)
