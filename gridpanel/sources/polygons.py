@@ -56,7 +56,7 @@ def regions_from_features(features: DataFrame, country_col: str | None = None) -
     The property key list is gathered with one small aggregate over the feature
     table (bounded by the number of distinct property names).
     """
-    keys = [r["k"] for r in features.select(F.explode(F.map_keys("properties")).alias("k"))
+    keys = [r["k"] for r in features.select("feature_pos", F.explode(F.map_keys("properties")).alias("k"))
             .groupBy("k").agg(F.min("feature_pos").alias("first"))
             .orderBy("first", "k").collect()]
     col = resolve_country_column(keys, country_col)
