@@ -29,7 +29,8 @@ def load_partitions(spark: SparkSession, base_dir: str, min_year: int | None = N
                     max_year: int | None = None) -> DataFrame:
     """Year-partitioned table restricted to [min_year, max_year] on the *path's*
     year (partition pruning), strict schema, enforced types."""
-    df = spark.read.parquet(base_dir)
+    # only the year=YYYY directories (the folder may also hold e.g. an audit CSV)
+    df = spark.read.option("basePath", base_dir).parquet(f"{base_dir.rstrip('/')}/year=*")
     check_columns(df.columns, REQUIRED, base_dir)
     py = year_from_path(F.col("_metadata.file_path"))
     if min_year is not None:
