@@ -54,7 +54,9 @@ def scanline_cover(edges: DataFrame, grid: GridSpec) -> DataFrame:
     [xa, xb); a cell counts when xa <= lon < xb. Parity is per part, then parts
     are unioned with ``distinct`` so overlapping parts do not cancel.
     """
-    cr = scanline_crossings(edges, grid)
+    # one shuffle on (region, row): it satisfies both the per-part window below and
+    # the final distinct on (region, row, column), and spreads a large region by row
+    cr = scanline_crossings(edges, grid).repartition("region_id", "ilat")
     w = Window.partitionBy("region_id", "part_id", "ilat").orderBy("x")
     pairs = (cr.withColumn("k", F.row_number().over(w))
              .withColumn("xb", F.lead("x").over(w))
