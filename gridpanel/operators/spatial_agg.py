@@ -20,24 +20,28 @@ from ..functions.geodesy import area_weight
 
 
 def regional_monthly(facts: DataFrame, cover: DataFrame, weighted: bool = True,
-                     key: str = "region_id") -> DataFrame:
-    """``(key, year, time, mt)``; ``facts`` carries ``ilat, ilon, lat, time, year, v``.
+                     key: str = "region_id", carry: list[str] | None = None) -> DataFrame:
+    """``(key, *carry, year, time, mt)``; ``facts`` carries ``ilat, ilon, lat, time, year, v``.
 
     ``cover`` should already carry a broadcast hint when its size is bounded
     (see ``joins.sized_broadcast``); otherwise this is a shuffle join on the cell key.
+    ``carry`` are cover columns that depend on ``key`` only (kept as grouping keys,
+    which does not change the groups).
     """
+    carry = carry or []
     j = facts.select("ilat", "ilon", "lat", "time", "year", "v").join(cover, ["ilat", "ilon"])
     if weighted:
         w = area_weight(F.col("lat"))
         mt = F.try_divide(F.sum(w * F.col("v")), F.sum(F.when(F.col("v").isNotNull(), w)))
     else:
         mt = F.avg("v")
-    return j.groupBy(key, "year", "time").agg(mt.alias("mt"))
+    return j.groupBy(key, *carry, "year", "time").agg(mt.alias("mt"))
 
 
-def annual_from_monthly(monthly: DataFrame, key: str = "region_id") -> DataFrame:
-    """``(key, year, temp_c)``: unweighted mean over the months of each year."""
-    return monthly.groupBy(key, "year").agg(F.avg("mt").alias("temp_c"))
+def annual_from_monthly(monthly: DataFrame, key: str = "region_id",
+                        carry: list[str] | None = None) -> DataFrame:
+    """``(key, *carry, year, temp_c)``: unweighted mean over the months of each year."""
+    return monthly.groupBy(key, *(carry or []), "year").agg(F.avg("mt").alias("temp_c"))
 
 
 def region_annual_means(facts: DataFrame, cover: DataFrame, weighted: bool = True,

@@ -63,8 +63,9 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
     from ..operators.shapes import centroid, representative_point
 
     grid = grid or GridSpec.from_facts(facts)
-    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0))
-    direct = sized_broadcast(direct)
+    # cached, not counted: it is read by the anti join and the union below, and
+    # the union's measured size decides the broadcast
+    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
     names = regions.select("region_id", "name")
     missing = names.join(direct.select("region_id").distinct(), "region_id", "left_anti")
     pts = (representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
@@ -74,10 +75,10 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
     cover = direct.unionByName(fb_cells.withColumn("priority", F.lit(1)))
     cover = sized_broadcast(cover)
     keyed = with_cell_keys(facts, grid)
-    monthly = regional_monthly(keyed, cover.select("region_id", "ilat", "ilon"), weighted)
-    annual = annual_from_monthly(monthly)
-    prio = cover.groupBy("region_id").agg(F.min("priority").alias("priority"))
-    out = (annual.join(prio, "region_id").join(names, "region_id")
+    # a region is either direct or fallback, so priority rides along as a key
+    monthly = regional_monthly(keyed, cover, weighted, carry=["priority"])
+    annual = annual_from_monthly(monthly, carry=["priority"])
+    out = (annual.join(names, "region_id")
            .select(F.col("name").alias("country"), F.col("year").cast("int").alias("year"),
                    F.col("temp_c").cast("double").alias("temp_c"), "priority"))
     out = keep_first(out, ["country", "year"], ["priority"]).drop("priority")

@@ -54,8 +54,14 @@ def melt_indicators(wide: DataFrame) -> DataFrame:
 # -- C4: enrichment -----------------------------------------------------------------
 
 def max_common_year(*panels: DataFrame):
-    """min over panels of max(year), as a scalar-subquery Column (no driver round trip)."""
-    return F.least(*[p.select(F.max("year")).scalar() for p in panels])
+    """min over panels of max(year), as one scalar-subquery Column (no driver round
+    trip). The maxima are a union inside a single subquery, so the panels are
+    evaluated by concurrent stages of one job."""
+    maxes = [p.select(F.max("year").alias("m")) for p in panels]
+    u = maxes[0]
+    for m in maxes[1:]:
+        u = u.unionByName(m)
+    return u.select(F.min("m")).scalar()
 
 
 def align_years(panels: list[DataFrame]) -> list[DataFrame]:
