@@ -123,3 +123,35 @@ def test_clean_and_dissolve(spark):
     assert sorted(r["region_id"] for r in c.collect()) == [1, 5]
     d = dissolve_by_name(c).collect()
     assert len(d) == 1 and d[0]["region_id"] == 1 and len(d[0]["parts"]) == 2
+
+
+def test_random_polygons_match_brute_force(spark):
+    """60 random simple and self-crossing polygons (3-7 vertices, some with holes),
+    containment and 250 km buffer, against per-node brute force."""
+    import random
+
+    rnd = random.Random(7)
+    rows, shapes = [], {}
+    for rid in range(60):
+        cx, cy = rnd.uniform(-170, 170), rnd.uniform(-70, 70)
+        n = rnd.randint(3, 7)
+        ring = [(cx + rnd.uniform(-15, 15), cy + rnd.uniform(-12, 12)) for _ in range(n)]
+        ring.append(ring[0])
+        rings = [ring]
+        if rid % 4 == 0:
+            hole = [(cx - 2, cy - 2), (cx + 2, cy - 2), (cx + 2, cy + 2), (cx - 2, cy + 2), (cx - 2, cy - 2)]
+            rings.append(hole)
+        shapes[rid] = rings
+        rows.append((rid, f"r{rid}", [poly(*rings)]))
+    df = regions_df(spark, rows)
+    e = region_edges(df)
+    inside = set(cells(scanline_cover(e, G)))
+    expect = {(rid, G.lat0 + G.dlat * r, G.lon0 + G.dlon * c)
+              for rid, rings in shapes.items() for r in range(G.nlat) for c in range(G.nlon)
+              if brute_inside(rings, G.lat0 + G.dlat * r, G.lon0 + G.dlon * c)}
+    assert inside == expect
+    buffered = set(cells(buffered_cover(e, G, 250000.0)))
+    expect_b = set()
+    for rid, rings in shapes.items():
+        expect_b |= set(brute_buffer(rid, rings, 250000.0))
+    assert buffered == expect_b

@@ -75,3 +75,20 @@ def test_co2_csv_nulls(spark):
         .coalesce(1).write.option("header", True).csv(path)
     r = read_co2_csv(spark, path).collect()[0]
     assert r["year"] == 2000 and r["co2"] is None and r["co2_per_capita"] is None
+
+
+def test_grid_years_missing_error_and_warn(spark):
+    import pytest
+
+    from gridpanel.sources.grid import read_grid_years
+
+    root = scratch_path(spark, "gridyears")
+    fx.grid_facts(spark, SF).withColumn("year", F.year("valid_time")).where("year in (1996, 1997)") \
+        .write.partitionBy("year").parquet(root)
+    kw = dict(value="t2m", lat="latitude", lon="longitude")
+    with pytest.raises(FileNotFoundError, match=r"\[1995, 1998\]"):
+        read_grid_years(spark, root, [1995, 1996, 1997, 1998], **kw)
+    facts, missing = read_grid_years(spark, root, [1995, 1996], on_missing="warn", **kw)
+    assert missing == [1995] and sorted(r[0] for r in facts.select("year").distinct().collect()) == [1996]
+    with pytest.raises(FileNotFoundError):
+        read_grid_years(spark, root, [1990], on_missing="warn", **kw)
