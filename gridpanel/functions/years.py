@@ -39,3 +39,16 @@ def years_missing(requested: DataFrame, landed: DataFrame) -> DataFrame:
 def years_outside(result: DataFrame, requested: DataFrame) -> DataFrame:
     """Years present in a result but not requested."""
     return result.select("year").distinct().join(requested, "year", "left_anti")
+
+
+def parse_year_range(spec: str) -> list[int]:
+    """Range-only variant: ``"2022-2023"`` or a single ``"2023"``."""
+    if "-" in spec:
+        lo, hi = spec.split("-")
+        return list(range(int(lo), int(hi) + 1))
+    return [int(spec)]
+
+
+def default_two_year_window(end_year: int) -> str:
+    """The last two years ending at ``end_year``, as a range spec."""
+    return f"{end_year - 1}-{end_year}"

@@ -421,6 +421,15 @@ def geom_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry_counts(raw, "raw").unionByName(geometry_counts(clean_regions(raw), "clean"))
 
 
+@query("geom_sample_names")
+def geom_sample_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five names of the cleaned polygon table in region order (head-n)."""
+    from ..operators.geometry import clean_regions
+
+    return (clean_regions(fx.customer_geometries(spark, sf_dir)).orderBy("region_id").limit(5)
+            .select("region_id", "name"))
+
+
 @query("temp_outliers")
 def temp_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly regional means outside the plausible range, counted with the range seen."""

@@ -395,6 +395,9 @@ select 'raw' as stage, count(*) as n_rows, count(*) filter (where region_id % 7
 union all
 select 'clean', count(*) filter (where region_id % 7 not in (3, 5)), 0, 0 from cust_box"""
 
+ORACLES["geom_sample_names"] = _with(CUST_BOX) + """
+select region_id, name from cust_box where region_id % 7 not in (3, 5) order by region_id limit 5"""
+
 ORACLES["temp_outliers"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS) + """,
 m as (select name, year, time, sum(w*v)/sum(case when v is not null then w end) as mt
       from cell group by name, year, time)

@@ -68,9 +68,13 @@ def load_regions(spark: SparkSession, path: str, country_col: str | None) -> Dat
 def temperature(spark: SparkSession, grid_path: str, polygons: str, out_dir: str,
                 cfg: PipelineConfig) -> DataFrame:
     years = parse_year_spec(cfg.years)
-    facts, _ = read_grid_years(spark, grid_path, years, **cfg.grid_columns)
+    facts, missing = read_grid_years(spark, grid_path, years, **cfg.grid_columns)
     regions = load_regions(spark, polygons, cfg.country_col)
-    annual, audit = annual_means(facts, regions, cfg.grid, cfg.buffer_m, cfg.cap_km, cfg.weighted,
+    # axes from one landed year (every time step holds the whole grid); partition
+    # pruning keeps this to one year's lat/lon columns instead of the whole table
+    first = min(set(years) - set(missing))
+    grid = cfg.grid or GridSpec.from_facts(facts.where(F.col("year") == first))
+    annual, audit = annual_means(facts, regions, grid, cfg.buffer_m, cfg.cap_km, cfg.weighted,
                                  cfg.use_representative_point)
     annual = annual.where(F.col("year").isin(years)).checkpoint()
     write_year_partitions(annual, f"{out_dir}/annual_temp")

@@ -63,3 +63,11 @@ def test_year_spec_and_path():
 def test_year_from_path(spark):
     df = spark.createDataFrame([("/x/year=2003/part.parquet",), ("/x/other.parquet",)], "p string")
     assert [r[0] for r in df.select(year_from_path(F.col("p"))).collect()] == [2003, None]
+
+
+def test_year_range_variants():
+    from gridpanel.functions.years import default_two_year_window, parse_year_range
+
+    assert parse_year_range("2022-2023") == [2022, 2023]
+    assert parse_year_range("2023") == [2023]
+    assert default_two_year_window(2023) == "2022-2023"
