@@ -40,3 +40,13 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = None,
             df = df.cache()
         known_rows = df.count()
     return F.broadcast(df) if known_rows * row_bytes(df) <= limit else df
+
+
+def broadcast_with_bound(df: DataFrame, rows_bound: int, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` when a static row bound already proves it small; otherwise
+    fall back to measuring it (``sized_broadcast``). Avoids materialising a side
+    whose size is bounded by construction (e.g. regions x grid cells)."""
+    limit = max_bytes if max_bytes is not None else broadcast_limit_bytes(df)
+    if rows_bound * row_bytes(df) <= limit:
+        return F.broadcast(df)
+    return sized_broadcast(df, limit)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cover import buffered_cover
 from ..operators.geometry import region_edges
-from ..operators.joins import sized_broadcast
+from ..operators.joins import broadcast_with_bound
 from ..operators.spatial_agg import regional_monthly, annual_from_monthly
 from ..sources.grid import GridSpec, with_cell_keys
 
@@ -34,7 +34,8 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
     """
     grid = grid or GridSpec.from_facts(facts)
     cov = cover if cover is not None else region_cover(regions, grid, buffer_m)
-    cov = sized_broadcast(cov)
+    # at most one row per (region, cell): broadcast at once when that bound is small
+    cov = broadcast_with_bound(cov, regions.count() * grid.nlat * grid.nlon)
     keyed = with_cell_keys(facts, grid)
     annual = annual_from_monthly(regional_monthly(keyed, cov, weighted))
     # the name dimension is one row per region; the planner's size estimate of
@@ -73,7 +74,7 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
            centroid(regions).withColumnsRenamed({"cx": "plon", "cy": "plat"}))
     fb_cells, audit = fallback_plan(missing, pts, grid, cap_km)
     cover = direct.unionByName(fb_cells.withColumn("priority", F.lit(1)))
-    cover = sized_broadcast(cover)
+    cover = broadcast_with_bound(cover, regions.count() * (grid.nlat * grid.nlon + 1))
     keyed = with_cell_keys(facts, grid)
     # a region is either direct or fallback, so priority rides along as a key
     monthly = regional_monthly(keyed, cover, weighted, carry=["priority"])
