@@ -25,6 +25,22 @@ LOCAL_CONF = {
 }
 
 
+# Suggested settings for large clusters (applied by whoever builds the session; the
+# library never overrides a session it is given). Partitions of ~256 MB keep tasks
+# well inside executor memory; AQE coalesces small shuffles and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.gridpanel.broadcastMaxBytes": str(256 * 1024 * 1024),
+}
+
+
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
                   app: str = "gridpanel") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""

@@ -23,6 +23,23 @@ from ..sinks.files import write_year_partitions
 YearJob = Callable[[DataFrame], DataFrame]
 
 
+def annual_year_job(regions: DataFrame, grid, buffer_m: float = 0.0, weighted: bool = True,
+                    value: str = "t2m", lat: str = "latitude", lon: str = "longitude",
+                    time: str | None = None) -> YearJob:
+    """A per-batch job whose region cover is computed once and checkpointed to the
+    shared folder (it depends on the polygons and the grid, not on the batch)."""
+    from ..plans.annual import direct_annual_means, region_cover
+    from ..sources.grid import normalize_facts
+
+    cover = region_cover(regions, grid, buffer_m).checkpoint()
+
+    def job(src: DataFrame) -> DataFrame:
+        facts = normalize_facts(src, value=value, lat=lat, lon=lon, time=time)
+        return direct_annual_means(facts, regions, grid, weighted=weighted, cover=cover).select(
+            "country", "year", "temp_c")
+    return job
+
+
 def process_years(spark: SparkSession, landing: str, years: list[int], job: YearJob, out: str) -> None:
     """Recompute ``years`` from the landed table and replace their partitions."""
     if not years:

@@ -7,7 +7,7 @@ from gridpanel.plans.catalog import facts_of
 from gridpanel.session import scratch_path
 from gridpanel.sources.fixtures import box_polygons, fixture_grid, grid_facts, regions_box
 from gridpanel.sources.grid import normalize_facts
-from gridpanel.streaming.incremental import start_incremental
+from gridpanel.streaming.incremental import annual_year_job, start_incremental
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,9 +18,7 @@ def test_incremental_years(spark):
     regions = box_polygons(regions_box(spark, SF))
     grid = fixture_grid()
 
-    def job(src):
-        facts = normalize_facts(src, value="t2m", lat="latitude", lon="longitude", time="valid_time")
-        return direct_annual_means(facts, regions, grid).select("country", "year", "temp_c")
+    job = annual_year_job(regions, grid, time="valid_time")
 
     raw.where(F.col("year") <= 1997).write.partitionBy("year").parquet(landing)
     start_incremental(spark, landing, raw.schema, job, out, ckpt).awaitTermination()
