@@ -238,7 +238,7 @@ lat_axis as (select distinct lat, lat_idx from grid_facts),
 lon_axis as (select distinct ((lon + 180) % 360) - 180 as lon, lon_idx from grid_facts),
 mesh as (select a.lat, a.lat_idx, o.lon, o.lon_idx from lat_axis a cross join lon_axis o)"""
 
-FALLBACK = AXES + """,
+FALLBACK_BODY = """
 pts as (select region_id, name, (lon0 + lon1)/2 as plon, (lat0 + lat1)/2 as plat from regions_box),
 dist as (select p.region_id, p.name, m.lat, m.lon, m.lat_idx, m.lon_idx,
                 """ + _hav("p.plat", "p.plon", "m.lat", "m.lon") + """ as km
@@ -255,6 +255,8 @@ direct_m as (select name, year, time, sum(w*v)/sum(case when v is not null then
              from cell group by name, year, time),
 direct as (select name as country, cast(year as int) as year, avg(mt) as temp_c from direct_m group by name, year)"""
 
+FALLBACK = AXES + "," + FALLBACK_BODY
+
 ORACLES["annual_means_full"] = _with(GRID_FACTS, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
 select country, year, round(temp_c, 6) as temp_c from direct
 union all
@@ -441,3 +443,39 @@ where y not in (select distinct year(o_orderdate) from orders)"""
 
 ORACLES["years_outside"] = f"""
 select distinct year from ({_FLAGSHIP}) f where year not in (1996, 1997, 1998, 1999)"""
+
+
+def _buffered_annual():
+    ex, ey = _ease_sql()
+    box_edges = """
+box_edges as (
+  select region_id, lon0 as x0, lat0 as y0, lon1 as x1, lat0 as y1 from regions_box
+  union all select region_id, lon1, lat0, lon1, lat1 from regions_box
+  union all select region_id, lon1, lat1, lon0, lat1 from regions_box
+  union all select region_id, lon0, lat1, lon0, lat0 from regions_box)"""
+    near = f"""
+pe as (select region_id, {ex.format(lon='x0')} as ax, {ey.format(lat='y0')} as ay,
+              {ex.format(lon='x1')} as b_x, {ey.format(lat='y1')} as b_y from box_edges),
+pm as (select lat, lon, {ex.format(lon='lon')} as px, {ey.format(lat='lat')} as py from mesh),
+seg as (select pe.region_id, pm.lat, pm.lon, pm.px, pm.py, pe.ax, pe.ay, pe.b_x, pe.b_y,
+               (pe.b_x - pe.ax) * (pe.b_x - pe.ax) + (pe.b_y - pe.ay) * (pe.b_y - pe.ay) as len2
+        from pe cross join pm),
+segt as (select *, greatest(0.0, least(1.0, case when len2 > 0 then
+                 ((px - ax) * (b_x - ax) + (py - ay) * (b_y - ay)) / len2 else 0.0 end)) as t from seg),
+bcells as (
+  select distinct region_id, lat, lon from segt
+   where sqrt(pow(px - (ax + t * (b_x - ax)), 2) + pow(py - (ay + t * (b_y - ay)), 2)) <= 200000.0
+  union
+  select r.region_id, m.lat, m.lon from mesh m join regions_box r
+    on m.lat >= r.lat0 and m.lat < r.lat1 and m.lon >= r.lon0 and m.lon < r.lon1),
+cell as (
+  select r.region_id, r.name, g.time, g.year, g.lat, cos(radians(g.lat)) as w, g.t2m - 273.15 as v
+  from grid_facts g join bcells b on g.lat = b.lat and ((g.lon + 180) % 360) - 180 = b.lon
+  join regions_box r on r.region_id = b.region_id)"""
+    return _with(GRID_FACTS, REGIONS_BOX, AXES, box_edges, near, FALLBACK_BODY) + """
+select country, year, round(temp_c, 6) as temp_c from direct
+union all
+select country, year, round(temp_c, 6) from fb where country not in (select country from direct)"""
+
+
+ORACLES["annual_means_buffered"] = _buffered_annual()
