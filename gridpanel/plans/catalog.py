@@ -118,12 +118,10 @@ def temp_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("align_years")
 def align_years_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.clean import keep_iso3_year
-    from .panels import align_years
+    from .panels import align_years, prepare_panels
 
-    panels = [keep_iso3_year(temp_panel(spark, sf_dir), ["country"]),
-              keep_iso3_year(co2_panel(spark, sf_dir)), keep_iso3_year(wb_panel(spark, sf_dir))]
-    aligned = align_years(panels)
+    aligned = align_years(prepare_panels(temp_panel(spark, sf_dir), co2_panel(spark, sf_dir),
+                                         wb_panel(spark, sf_dir)))
     parts = [p.agg(F.lit(name).alias("panel"), F.count("*").alias("n_rows"),
                    F.min("year").alias("min_year"), F.max("year").alias("max_year"))
              for name, p in zip(["temperature", "co2", "indicators"], aligned)]

@@ -1,7 +1,8 @@
 """Country-year panel jobs: CO2 cleaning, indicator tidying, enrichment.
 
-All three are pure DataFrame plans; the only scalars are the year-alignment
-maxima, evaluated as scalar subqueries inside the plan.
+All three are DataFrame plans. Enrichment checkpoints each cleaned panel once
+(they are small and read several times); the year-alignment maxima are a scalar
+subquery over those checkpoints.
 """
 
 from __future__ import annotations
@@ -69,20 +70,26 @@ def align_years(panels: list[DataFrame]) -> list[DataFrame]:
     return [p.where(F.col("year") <= cap) for p in panels]
 
 
-def enrich(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> DataFrame:
-    """Temperature x CO2 x indicators on (iso3, year), inner joins.
+def prepare_panels(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> list[DataFrame]:
+    """Clean each panel to one row per (iso3, year) and checkpoint it.
 
-    ``era5`` gets iso3 codes from its country names when it has none. Each panel
-    is cleaned and deduplicated per (iso3, year); temperature collisions (two
-    names mapping to one code) keep the alphabetically first name."""
+    A panel is a code x year table, bounded by codes x years however large its
+    inputs are, while computing it may scan the whole grid. Each is read several
+    times (distinct names for the code lookup, the alignment scalar, the join),
+    so it is computed once and written to the shared checkpoint folder; the
+    readers then see only the small result. ``era5`` gets iso3 codes from its
+    country names when it has none; temperature collisions (two names mapping to
+    one code) keep the alphabetically first name."""
     if "iso3" not in era5.columns:
-        era5 = add_iso3(era5, "country", "iso3")
-    # panels are country x year tables; each is read by the alignment scalar and
-    # by the join, so they are cached rather than computed twice
-    era5 = keep_iso3_year(era5, ["country"] if "country" in era5.columns else None).cache()
-    owid = keep_iso3_year(owid).cache()
-    wb = keep_iso3_year(wb).cache()
-    era5, owid, wb = align_years([era5, owid, wb])
+        era5 = add_iso3(era5.checkpoint(), "country", "iso3")
+    era5 = keep_iso3_year(era5, ["country"] if "country" in era5.columns else None)
+    return [era5.checkpoint(), keep_iso3_year(owid).checkpoint(), keep_iso3_year(wb).checkpoint()]
+
+
+def enrich(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> DataFrame:
+    """Temperature x CO2 x indicators on (iso3, year), inner joins of the
+    prepared panels after year alignment."""
+    era5, owid, wb = align_years(prepare_panels(era5, owid, wb))
     era5 = select_existing(era5, ERA5_KEEP)
     owid = select_existing(owid, OWID_KEEP)
     wb = select_existing(wb, WB_KEEP)
