@@ -53,3 +53,15 @@ def test_keep_first_aggregates_partially(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = physical(keep_first(df, ["k"], ["v"]))
     assert "partial_min_by" in plan
+
+
+def test_enrich_reads_each_panel_once(spark):
+    """Prepared panels are checkpointed: the alignment scalar, the name lookup and
+    the joins read the small result, never the source scans again."""
+    from gridpanel.plans.catalog import co2_panel, temp_panel, wb_panel
+    from gridpanel.plans.panels import enrich, prepare_panels
+
+    panels = prepare_panels(temp_panel(spark, SMOKE), co2_panel(spark, SMOKE), wb_panel(spark, SMOKE))
+    for p in panels:
+        assert "FileScan" not in physical(p)
+    assert "FileScan" not in physical(enrich(*panels))
