@@ -7,6 +7,7 @@ subquery over those checkpoints.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -77,13 +78,21 @@ def prepare_panels(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> list[Data
     inputs are, while computing it may scan the whole grid. Each is read several
     times (distinct names for the code lookup, the alignment scalar, the join),
     so it is computed once and written to the shared checkpoint folder; the
-    readers then see only the small result. ``era5`` gets iso3 codes from its
-    country names when it has none; temperature collisions (two names mapping to
-    one code) keep the alphabetically first name."""
-    if "iso3" not in era5.columns:
-        era5 = add_iso3(era5.checkpoint(), "country", "iso3")
-    era5 = keep_iso3_year(era5, ["country"] if "country" in era5.columns else None)
-    return [era5.checkpoint(), keep_iso3_year(owid).checkpoint(), keep_iso3_year(wb).checkpoint()]
+    readers then see only the small result. The three panels are independent
+    jobs, submitted from three driver threads so that they share the executors
+    instead of queueing. ``era5`` gets iso3 codes from its country names when it
+    has none; temperature collisions (two names mapping to one code) keep the
+    alphabetically first name."""
+    def temperature() -> DataFrame:
+        t = era5
+        if "iso3" not in t.columns:
+            t = add_iso3(t.checkpoint(), "country", "iso3")
+        return keep_iso3_year(t, ["country"] if "country" in t.columns else None).checkpoint()
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(temperature), pool.submit(lambda: keep_iso3_year(owid).checkpoint()),
+                   pool.submit(lambda: keep_iso3_year(wb).checkpoint())]
+        return [f.result() for f in futures]
 
 
 def enrich(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> DataFrame:
