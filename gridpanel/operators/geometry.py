@@ -41,22 +41,37 @@ def clean_regions(regions: DataFrame) -> DataFrame:
 
 
 def dissolve_by_name(regions: DataFrame) -> DataFrame:
-    """Union of all geometries sharing a name: one region per name.
-
-    ``region_id`` becomes the smallest id of the name; parts are concatenated
-    (containment is decided per part and unioned, so overlaps are harmless).
-    Group size is the number of rows sharing a name in the polygon table.
+    """One region per name: every polygon row of a name is relabelled with the
+    name's smallest ``region_id`` and keeps its own id as ``src_id``.
+
+    The polygons are not gathered into one row: a region may span several rows,
+    and the operators combine them (the cover is the union of the rows' cells,
+    keyed per source polygon part; centroid and representative point aggregate
+    over the rows). So a name holding a large share of the polygon table costs a
+    partially aggregated ``min`` and a join, never one oversized row or task.
     """
-    return (regions.groupBy("name")
-            .agg(F.min("region_id").alias("region_id"),
-                 F.flatten(F.collect_list("parts")).alias("parts"))
-            .select("region_id", "name", "parts"))
+    first = regions.groupBy("name").agg(F.min("region_id").alias("_rid"))
+    return (regions.join(first, "name")
+            .select(F.col("_rid").alias("region_id"), "name", "parts",
+                    F.col("region_id").alias("src_id")))
+
+
+def region_names(regions: DataFrame) -> DataFrame:
+    """The region dimension ``(region_id, name)``: one row per region, also when a
+    (dissolved) region spans several polygon rows."""
+    names = regions.select("region_id", "name")
+    return names.distinct() if "src_id" in regions.columns else names
 
 
 def region_edges(regions: DataFrame) -> DataFrame:
     """One row per ring segment: ``region_id, part_id, ring_id, seg_id, x0, y0, x1, y1``
-    (x = lon, y = lat, degrees)."""
-    p = regions.select("region_id", F.posexplode("parts").alias("part_id", "part"))
+    (x = lon, y = lat, degrees). For dissolved regions ``part_id`` is
+    ``(src_id, part)``, so that parts of different source rows never mix."""
+    p = regions.select("region_id", F.posexplode("parts").alias("part_id", "part"),
+                       *(["src_id"] if "src_id" in regions.columns else []))
+    if "src_id" in regions.columns:
+        # rows of a dissolved region: parity is decided per source polygon part
+        p = p.withColumn("part_id", F.struct("src_id", "part_id")).drop("src_id")
     r = (p.select("region_id", "part_id", F.posexplode("part").alias("ring_id", "ring"))
          .select("region_id", "part_id", "ring_id", _closed(F.col("ring")).alias("ring")))
     ring = F.col("ring")   # closed once in its own projection, then indexed

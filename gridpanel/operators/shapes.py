@@ -46,8 +46,14 @@ def centroid(regions: DataFrame) -> DataFrame:
                         (z["my"] + sg * t["r"]["my"]).alias("my"))
 
     tot = F.aggregate(terms, zero, acc)
-    return regions.select("region_id", (tot["mx"] / (F.lit(3.0) * tot["a"])).alias("cx"),
-                          (tot["my"] / (F.lit(3.0) * tot["a"])).alias("cy"))
+    t = regions.select("region_id", tot["a"].alias("a"), tot["mx"].alias("mx"), tot["my"].alias("my"))
+    if "src_id" in regions.columns:
+        # a dissolved region spans several rows: its centroid is the area-weighted
+        # combination of the rows' sums (a partial aggregate, no gathering of rows)
+        t = t.groupBy("region_id").agg(F.sum("a").alias("a"), F.sum("mx").alias("mx"),
+                                       F.sum("my").alias("my"))
+    return t.select("region_id", (F.col("mx") / (F.lit(3.0) * F.col("a"))).alias("cx"),
+                    (F.col("my") / (F.lit(3.0) * F.col("a"))).alias("cy"))
 
 
 def _part_scan(part: Column) -> Column:
@@ -107,10 +113,19 @@ def representative_point(regions: DataFrame) -> DataFrame:
     Computed in three projections so that each per-polygon intermediate (scan
     line, sorted crossings) is materialised once instead of being re-derived at
     every reference inside the lambdas."""
-    a = regions.select("region_id", F.transform(F.col("parts"), _part_scan).alias("_s"))
-    b = a.select("region_id", F.transform(F.col("_s"), _part_crossings).alias("_c"))
-    c = b.select("region_id", F.transform(F.col("_c"), _part_best).alias("_p"))
+    src = ["src_id"] if "src_id" in regions.columns else []
+    a = regions.select("region_id", *src, F.transform(F.col("parts"), _part_scan).alias("_s"))
+    b = a.select("region_id", *src, F.transform(F.col("_s"), _part_crossings).alias("_c"))
+    c = b.select("region_id", *src, F.transform(F.col("_c"), _part_best).alias("_p"))
     init = F.struct(F.lit(-1.0).alias("width"), F.lit(None).cast("double").alias("x"),
                     F.lit(None).cast("double").alias("y"))
     best = F.aggregate(F.col("_p"), init, lambda acc, p: F.when(p["width"] > acc["width"], p).otherwise(acc))
-    return c.select("region_id", best["x"].alias("rx"), best["y"].alias("ry"))
+    if not src:
+        return c.select("region_id", best["x"].alias("rx"), best["y"].alias("ry"))
+    # a dissolved region spans several rows: the widest interval over all rows wins,
+    # the row with the smallest source id on ties (a partial aggregate)
+    r = c.select("region_id", "src_id", best.alias("b"))
+    pick = F.max_by(F.struct(F.col("b.x").alias("x"), F.col("b.y").alias("y")),
+                    F.struct(F.col("b.width"), (-F.col("src_id")).alias("first")))
+    out = r.groupBy("region_id").agg(pick.alias("p"))
+    return out.select("region_id", F.col("p.x").alias("rx"), F.col("p.y").alias("ry"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cover import buffered_cover
-from ..operators.geometry import region_edges
+from ..operators.geometry import region_edges, region_names
 from ..operators.joins import broadcast_with_bound
 from ..operators.spatial_agg import regional_monthly, annual_from_monthly
 from ..sources.grid import GridSpec, with_cell_keys
@@ -40,7 +40,7 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
     annual = annual_from_monthly(regional_monthly(keyed, cov, weighted))
     # the name dimension is one row per region; the planner's size estimate of
     # the region scan decides broadcast vs shuffle (autoBroadcastJoinThreshold)
-    names = regions.select("region_id", F.col("name").alias("country"))
+    names = region_names(regions).withColumnRenamed("name", "country")
     return annual.join(names, "region_id").select(
         "region_id", "country", F.col("year").cast("int").alias("year"), "temp_c")
 
@@ -67,7 +67,7 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
     # cached, not counted: it is read by the anti join and the union below, and
     # the union's measured size decides the broadcast
     direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
-    names = regions.select("region_id", "name")
+    names = region_names(regions)
     missing = names.join(direct.select("region_id").distinct(), "region_id", "left_anti")
     pts = (representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
            if use_representative_point else

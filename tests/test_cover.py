@@ -122,7 +122,39 @@ def test_clean_and_dissolve(spark):
     c = clean_regions(df)
     assert sorted(r["region_id"] for r in c.collect()) == [1, 5]
     d = dissolve_by_name(c).collect()
-    assert len(d) == 1 and d[0]["region_id"] == 1 and len(d[0]["parts"]) == 2
+    # relabelled, not gathered: both rows of "x" now belong to region 1
+    assert sorted((r["region_id"], r["src_id"], r["name"]) for r in d) == [(1, 1, "x"), (1, 5, "x")]
+
+
+def test_dissolved_rows_equal_one_multipolygon(spark):
+    """A region spread over several rows (dissolve) has the cover, centroid and
+    representative point of the same parts held in one multipolygon row."""
+    from gridpanel.operators.geometry import region_names
+    from gridpanel.operators.shapes import centroid, representative_point
+
+    a = [(0, 0), (20, 0), (20, 20), (0, 20), (0, 0)]
+    hole = [(5, 5), (8, 5), (8, 8), (5, 8), (5, 5)]
+    b = [(40, -10), (44, -10), (44, 30), (40, 30), (40, -10)]
+    c = [(10, 10), (30, 10), (30, 15), (10, 15), (10, 10)]          # overlaps a
+    rows = regions_df(spark, [(7, "m", [poly(b)]), (3, "m", [poly(a, hole)]), (9, "m", [poly(c)]),
+                              (4, "n", [poly(b)])])
+    d = dissolve_by_name(rows)
+    one = regions_df(spark, [(3, "m", [poly(a, hole), poly(b), poly(c)]), (4, "n", [poly(b)])])
+    assert sorted(tuple(r) for r in region_names(d).collect()) == [(3, "m"), (4, "n")]
+    for buf in (0.0, 300000.0):
+        assert set(cells(buffered_cover(region_edges(d), G, buf))) == \
+            set(cells(buffered_cover(region_edges(one), G, buf)))
+    # centroid: area-weighted over rows (non-overlapping parts only)
+    nov = dissolve_by_name(rows.where("region_id != 9"))
+    one_nov = regions_df(spark, [(3, "m", [poly(a, hole), poly(b)]), (4, "n", [poly(b)])])
+    got = {r["region_id"]: (r["cx"], r["cy"]) for r in centroid(nov).collect()}
+    want = {r["region_id"]: (r["cx"], r["cy"]) for r in centroid(one_nov).collect()}
+    assert got.keys() == want.keys()
+    for k in got:
+        assert abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9
+    got = {r["region_id"]: (r["rx"], r["ry"]) for r in representative_point(d).collect()}
+    want = {r["region_id"]: (r["rx"], r["ry"]) for r in representative_point(one).collect()}
+    assert got == want
 
 
 def test_random_polygons_match_brute_force(spark):
