@@ -38,6 +38,8 @@ CLUSTER_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.gridpanel.broadcastMaxBytes": str(256 * 1024 * 1024),
+    # checkpointed panels/covers are per run: remove their files once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
