@@ -473,10 +473,11 @@ def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sample_latest")
 def sample_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reproducible sample of five rows of the latest year (order by a hash)."""
+    """Reproducible sample of five rows of the latest year: order by the MD5 of the
+    key (a fixed hash that SQL engines share), then the key."""
     annual, _ = _full(spark, sf_dir)
     latest = annual.select(F.max("year")).scalar()
-    return (annual.where(F.col("year") == latest).orderBy(F.xxhash64("country")).limit(5)
+    return (annual.where(F.col("year") == latest).orderBy(F.md5("country"), "country").limit(5)
             .select("country", "year", r6("temp_c")))
 
 

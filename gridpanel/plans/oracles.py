@@ -433,6 +433,10 @@ ORACLES["top_regions"] = _FULL + """
 select country, year, round(temp_c, 6) as temp_c from full_ where year = (select max(year) from full_)
 order by temp_c desc nulls last, country limit 5"""
 
+ORACLES["sample_latest"] = _FULL + """
+select country, year, round(temp_c, 6) as temp_c from full_ where year = (select max(year) from full_)
+order by md5(country), country limit 5"""
+
 ORACLES["year_spec_filter"] = """
 select cast(year(o_orderdate) as int) as year, count(*) as n_orders from orders
 where year(o_orderdate) in (1996, 1998, 2000) group by 1"""
