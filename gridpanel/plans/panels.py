@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from ..functions.columns import lower_columns, rename_existing, resolve_id_column, select_existing
@@ -89,9 +90,12 @@ def prepare_panels(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> list[Data
             t = add_iso3(t.checkpoint(), "country", "iso3")
         return keep_iso3_year(t, ["country"] if "country" in t.columns else None).checkpoint()
 
+    jobs = [temperature, lambda: keep_iso3_year(owid).checkpoint(),
+            lambda: keep_iso3_year(wb).checkpoint()]
+    # wrapped here, in the caller's thread: the jobs inherit its local properties
+    # (job group, scheduler pool, description), so they can be tracked and cancelled
     with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = [pool.submit(temperature), pool.submit(lambda: keep_iso3_year(owid).checkpoint()),
-                   pool.submit(lambda: keep_iso3_year(wb).checkpoint())]
+        futures = [pool.submit(inheritable_thread_target(j)) for j in jobs]
         return [f.result() for f in futures]
 
 
