@@ -97,6 +97,12 @@ def boundary_cells(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFra
     sx1 = F.col("ax") + (F.col("bx") - F.col("ax")) * t1
     sy1 = F.col("ay") + (F.col("by") - F.col("ay")) * t1
     pieces = pieces.select("region_id", sx0.alias("sx0"), sy0.alias("sy0"), sx1.alias("sx1"), sy1.alias("sy1"))
+    # pieces are a few bytes each but fan out into many candidate cells: hash them
+    # over every core before the fan-out, so that a long outline is not tested in
+    # the one task that read its region row. An explicit count, because AQE would
+    # coalesce such a small shuffle (by bytes) back into one partition.
+    n = max(1, pieces.sparkSession.sparkContext.defaultParallelism)
+    pieces = pieces.repartition(n, "region_id", "sx0", "sy0")
 
     to_lon = F.lit(180.0 / (math.pi * WGS84_A * K0))
     lon_lo = (F.least("sx0", "sx1") - F.lit(b)) * to_lon
