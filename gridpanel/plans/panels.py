@@ -93,9 +93,10 @@ def prepare_panels(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> list[Data
     jobs = [temperature, lambda: keep_iso3_year(owid).checkpoint(),
             lambda: keep_iso3_year(wb).checkpoint()]
     # wrapped here, in the caller's thread: the jobs inherit its local properties
-    # (job group, scheduler pool, description), so they can be tracked and cancelled
+    # (job group, scheduler pool, description, tags), so they can be tracked and cancelled
     with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = [pool.submit(inheritable_thread_target(j)) for j in jobs]
+        wrap = inheritable_thread_target(era5.sparkSession)
+        futures = [pool.submit(wrap(j)) for j in jobs]
         return [f.result() for f in futures]
 
 
