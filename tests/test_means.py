@@ -86,3 +86,51 @@ def test_grid_spec_from_fixture_facts(spark):
     from gridpanel.sources.fixtures import fixture_grid
 
     assert GridSpec.from_facts(facts_of(spark, "/root/testdata/sf0.001")) == fixture_grid()
+
+
+def _shuffle_records(plan) -> list[int]:
+    """Records written by every shuffle of an executed (adaptive) plan."""
+    out = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(plan)
+    return out
+
+
+def test_hot_region_is_preaggregated_before_the_shuffle(spark):
+    """One region holds a third of all fact rows: the spatial mean's shuffle still
+    carries at most one partial row per (task, region, month), not the hot rows."""
+    from gridpanel.operators.spatial_agg import regional_monthly
+    from gridpanel.plans.annual import region_cover
+    from gridpanel.sources.grid import with_cell_keys
+
+    n, tasks = 120_000, 8
+    ids = spark.range(0, n, numPartitions=tasks)
+    ilat, ilon = F.col("id") % 37, (F.col("id") * 7) % 72
+    f = ids.select(F.make_timestamp(F.lit(2000), F.col("id") % 12 + 1, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+                   .alias("time"), F.lit(2000).alias("year"),
+                   (F.lit(-90.0) + F.lit(5.0) * ilat).alias("lat"), (F.lit(-180.0) + F.lit(5.0) * ilon).alias("lon"),
+                   (F.col("id") % 97).cast("double").alias("v"))
+    # region 0: every longitude of the southern rows (a third of the globe's nodes);
+    # regions 1..20: small boxes elsewhere
+    rows = [(0, "hot", [box(-182.5, -92.5, 177.5, -27.5)])]
+    rows += [(k, f"r{k}", [box(-180 + 15 * k, 10, -170 + 15 * k, 20)]) for k in range(1, 21)]
+    regions = regions_df(spark, rows)
+    cover = F.broadcast(region_cover(regions, G))
+    keyed = with_cell_keys(f, G)
+    hot_rows = keyed.join(cover.where("region_id = 0"), ["ilat", "ilon"]).count()
+    assert hot_rows >= n // 3
+    m = regional_monthly(keyed, cover)
+    m.collect()
+    written = _shuffle_records(m._jdf.queryExecution().executedPlan())
+    assert written and 0 < sum(written) <= tasks * len(rows) * 12 < hot_rows, (written, hot_rows)
