@@ -30,4 +30,28 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n_hit USING (rid) LEFT JOIN named USING (rid)
 """
 
-ORACLES = {"op3_benchmark_decontamination": OP3}
+CONTROLS = ("<|im_start|>", "<|im_sep|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<|endoftext|>")
+#: Characters of a string after escaping: one more for each backslash and control string.
+ESCAPED = "length({0}) + length({0}) - length(replace({0}, '\\', '')) + " + " + ".join(
+    f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in CONTROLS)
+OP7 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learned,
+         string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+                    ORDER BY turn NULLS FIRST, role, text) AS path,
+         sum({sum(map(len, CONTROLS[:3]))} + {ESCAPED.format('role')} + {ESCAPED.format('text')}) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
+       sha256(learned) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars,
+       regexp_full_match(path, 's?(ua)+') AS valid
+FROM g
+"""
+
+ORACLES = {"op7_chat_formatting": OP7,
+           "op3_benchmark_decontamination": OP3}
