@@ -53,5 +53,17 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, lengt
 FROM g
 """
 
-ORACLES = {"op7_chat_formatting": OP7,
+OP4 = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+                  octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first_id OR page_id IS NULL AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN page_id > first_id OR page_id IS NULL THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+ORACLES = {"op4_warc_writer": OP4,
+           "op7_chat_formatting": OP7,
            "op3_benchmark_decontamination": OP3}

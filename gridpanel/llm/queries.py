@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate
+from gridpanel.llm import chat, decontaminate, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
-from gridpanel.session import table
+from gridpanel.session import scratch_path, table
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.digest_columns(found)
 
 
+def op4_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), out)
+    return warc.read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -24,4 +30,4 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_columns(chat.conversations(both))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op7_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op7_chat_formatting)}
