@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, warc
+from gridpanel.llm import chat, decontaminate, packing, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -30,4 +30,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_columns(chat.conversations(both))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op7_chat_formatting)}
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op7_chat_formatting,
+                                 op10_best_fit_packing)}
