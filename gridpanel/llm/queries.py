@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, packing, warc
+from gridpanel.llm import chat, decontaminate, html_text, packing, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -20,6 +20,10 @@ def op4_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -36,5 +40,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op7_chat_formatting,
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting,
                                  op10_best_fit_packing)}
