@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, html_text, packing, warc
+from gridpanel.llm import chat, decontaminate, html_text, packing, toxicity, training, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
 
+def _fold(folds: int, held_out: int):
+    """Whether the document is in the held-out fold (a null id is not)."""
+    return F.coalesce(training.fold("doc_id", folds) == held_out, F.lit(False)).alias("held_out")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return toxicity.score(docs, model).select(
+        "doc_id", _fold(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest_columns(found)
@@ -40,5 +53,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting,
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting,
                                  op10_best_fit_packing)}
