@@ -295,7 +295,8 @@ def read_warc(spark: SparkSession, out: str, payloads: bool = False) -> DataFram
                             rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    files = manifest.select("name").repartition("name")
+    # by number: a few names are a few bytes, which would else meet in one task
+    files = manifest.select("name").repartition(max(1, min(manifest.count(), 10_000)))
     return files.mapInArrow(read, columns)
 
 
