@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridpanel.llm.common import byte_slices
-from gridpanel.llm.training import labelled_sample, logistic
+from gridpanel.llm.training import labelled_sample, logistic, without_copies
 
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (3, 4, 5, 6)     # lengths of the prefixes a word's prior comes from
 LONGEST = 40                # of a longer word the first characters stand for it
-PER_CLASS = 12_000
+PER_CLASS = 8_000
 MIN_DOCS = 3
-PRIOR = 12.0                # documents' worth of the prior
+PRIOR = 0.15                # the prior is worth so many times the root of the number of documents
 DRIFT = 0.5                 # subtracted from every word
 REPEAT = 8                  # a word that stands among so many words before it says nothing new
 SIGNIFICANT = 0.01          # E-value of a toxic passage
@@ -75,7 +75,7 @@ def count_features(batches):
 def log_odds(counts: dict[str, tuple[int, int]], n0: int, n1: int) -> dict[str, float]:
     """Score of each feature under its prior; features that say what their prior says
     are left out."""
-    weight = PRIOR / (n0 + n1)
+    weight = PRIOR / np.sqrt(n0 + n1)
     kept: dict[str, float] = {}
     for f in sorted(counts, key=lambda f: (f.endswith("$"), len(f))):
         above = next((kept[p] for p in reversed(chain(f.rstrip("$"))) if p != f and p in kept and f.startswith(p)), 0.0)
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int
         per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Fit on at most ``per_class`` labelled documents of each class outside the fold."""
     spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, label_col, folds, held_out, per_class, id_col, text_col)
+    sample = without_copies(labelled_sample(docs, labels, label_col, folds, held_out, per_class, id_col, text_col))
     size = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(size) < 2:
         return ToxicityModel({}, 1.0, 0.0, np.zeros(3))

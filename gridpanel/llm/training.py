@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridpanel.llm.common import written
+
 
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds`` (null for a null id)."""
@@ -12,7 +19,7 @@ def fold(id_col: str, folds: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_out: int,
                     per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (text, label) of labelled documents outside the held-out fold: of each of
+    """Rows (id, text, label) of labelled documents outside the held-out fold: of each of
     the labels 0 and 1 the ``per_class`` ids that come first by a hash of the id.
 
     The ids are at most 2 * per_class and are broadcast; the documents are not shuffled.
@@ -26,13 +33,40 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(key.alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("text", "label")
+    return texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
+
+
+def _two_minima(text: str) -> tuple[int, int]:
+    """Smallest hashes, under two seeds, of the text's word pairs."""
+    words = re.findall(r"\w+", text.lower()) or [""]
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:] or words, strict=False)}
+    return tuple(min(xxhash.xxh3_64_intdigest(p, seed) for p in pairs) >> 1 for seed in (1, 2))
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The sample with few of the copies and near copies of a text, written once: of
+    rows of one label that share a minimum of their word pairs the smallest id stays.
+    A group of copies would else count as so many witnesses."""
+    id_type = sample.schema["id"].dataType.simpleString()
+
+    def task(batches):
+        for batch in batches:
+            keys = [_two_minima(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text"), batch.column("label"),
+                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
+                ["id", "text", "label", "k1", "k2"])
+
+    kept = sample.mapInArrow(task, f"id {id_type}, text string, label int, k1 bigint, k2 bigint")
+    for key in ("k1", "k2"):
+        kept = (kept.groupBy("label", key)
+                .agg(F.min(F.struct("id", "text", "k1", "k2")).alias("row"))
+                .select("label", "row.id", "row.text", "row.k1", "row.k2"))
+    return written(sample.sparkSession, kept.select("id", "text", "label"), "training")
 
 
 def logistic(x, y, ridge: float = 1e-3, steps: int = 50):
     """Weights (last: intercept) of a ridge logistic regression by Newton's method."""
-    import numpy as np
-
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
