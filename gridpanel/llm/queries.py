@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, html_text, packing, toxicity, training, warc
+from gridpanel.llm import chat, decontaminate, html_text, language, packing, toxicity, training, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -47,11 +47,17 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_columns(chat.conversations(both))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language.fit(docs, folds=4, held_out=2)
+    return language.identify(docs, net).select("doc_id", _fold(4, 2), "lang_pred", "score")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting,
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op9_language_id,
                                  op10_best_fit_packing)}
