@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, html_text, language, packing, toxicity, training, warc
+from gridpanel.llm import chat, decontaminate, html_text, language, packing, quality, toxicity, training, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -47,6 +47,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_columns(chat.conversations(both))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = quality.fit(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return quality.score(docs, net).select(
+        "doc_id", _fold(3, 1), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = language.fit(docs, folds=4, held_out=2)
@@ -59,5 +66,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op9_language_id,
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op8_quality_classifier,
+                                 op9_language_id,
                                  op10_best_fit_packing)}
