@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, html_text, language, packing, quality, toxicity, training, warc
+from gridpanel.llm import chat, decontaminate, html_text, language, neighbours, packing, quality, toxicity, training, warc
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -14,6 +14,11 @@ def _fold(folds: int, held_out: int):
     return F.coalesce(training.fold("doc_id", folds) == held_out, F.lit(False)).alias("held_out")
 
 
+def op1_collision_counting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
@@ -66,6 +71,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op8_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op8_quality_classifier,
                                  op9_language_id,
                                  op10_best_fit_packing)}
