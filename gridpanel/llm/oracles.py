@@ -64,6 +64,24 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
-ORACLES = {"op4_warc_writer": OP4,
-           "op7_chat_formatting": OP7,
-           "op3_benchmark_decontamination": OP3}
+OP6 = f"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all({LOWER_AZ.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(ws[i:i + 4], ' ') AS sh
+  FROM (SELECT rid, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+e AS (
+  SELECT a, b FROM p JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+r AS (SELECT rid AS a, rid AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles,
+       coalesce(min(o.doc_id), d.doc_id)::BIGINT AS component_id
+FROM r JOIN w d ON d.rid = r.a JOIN w o ON o.rid = r.b LEFT JOIN n ON n.rid = r.a
+GROUP BY r.a, d.doc_id
+"""
+
+ORACLES = {"op3_benchmark_decontamination": OP3, "op4_warc_writer": OP4, "op6_ngram_jaccard_join": OP6,
+           "op7_chat_formatting": OP7}

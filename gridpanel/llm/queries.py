@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpanel.llm import chat, decontaminate, html_text, language, neighbours, packing, quality, toxicity, training, warc
+from gridpanel.llm import (chat, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
+                           training, warc)
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -42,6 +43,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -71,6 +76,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction, op7_chat_formatting, op8_quality_classifier,
-                                 op9_language_id,
-                                 op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction,
+    op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing)}
