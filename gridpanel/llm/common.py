@@ -40,3 +40,11 @@ def expand_ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = np.cumsum(n)
     value = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n) + np.repeat(lo, n)
     return which, value
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until none of the columns has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridpanel.llm.common import byte_slices, expand_ranges
+from gridpanel.llm.common import byte_slices, expand_ranges, unused
 
 #: Fixed word pattern on ASCII-lower-cased UTF-8: digits, a-z and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -303,11 +303,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The documents, with all their columns, that are not contaminated."""
     tests = list(_test_sets(benchmark, item_col, item_text_col, window, max_benchmark_bytes))
     if len(tests) > 1:
-        digest = F.sha2(F.col(text_col).cast("string"), 256)
-        bad = (overlap(docs.select(digest.alias("__digest"), F.col(text_col).alias("__text")).dropDuplicates(["__digest"]),
-                       benchmark, "__digest", "__text", item_col, item_text_col, window, max_benchmark_bytes)
-               .where(is_contaminated(F.col("n_hit"), F.col("n_words"), share)).select("__digest"))
-        return (docs.withColumn("__digest", digest).join(bad, "__digest", "left_anti").select(*docs.columns))
+        digest, name = F.sha2(F.col(text_col).cast("string"), 256), unused(docs.columns, "digest")
+        texts = docs.select(digest.alias(name), F.col(text_col).cast("string").alias("t")).dropDuplicates([name])
+        bad = (overlap(texts, benchmark, name, "t", item_col, item_text_col, window, max_benchmark_bytes)
+               .where(is_contaminated(F.col("n_hit"), F.col("n_words"), share)).select(name))
+        return docs.withColumn(name, digest).join(bad, name, "left_anti").select(*docs.columns)
     shared = tests[0]
 
     def task(batches):
@@ -321,7 +321,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 def digest_columns(found: DataFrame) -> DataFrame:
     """The query's columns from overlap()'s rows."""
     items = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())))
-    return (found.withColumn("__items", items)
-            .select("doc_id", "n_words", "n_hit", F.size("__items").cast("long").alias("n_items"),
-                    F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
+    return (found.withColumn("items", items)
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                     is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated")))

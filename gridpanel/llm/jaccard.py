@@ -35,9 +35,9 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gridpanel.llm.common import byte_slices, expand_ranges, written
+from gridpanel.llm.common import byte_slices, expand_ranges, unused, written
 
 SHINGLE = 5
 SHARE = 75                  # percent
@@ -518,10 +518,39 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def _with_class(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """The documents with their class in a further column."""
+    def task(batches):
+        for batch in batches:
+            column = batch.column(text_col)
+            for a, b in byte_slices(column, SLICE):
+                code, first = shingles(column.slice(a, b - a).cast(pa.string()).cast(pa.binary()).to_pylist())
+                n = np.diff(first)
+                has, cls = np.flatnonzero(n), np.zeros(len(n), np.int64)
+                if len(has):
+                    cls[has] = set_code(code, np.concatenate((first[:-1][has], first[-1:])))
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cls, pa.int64(), mask=n == 0)],
+                                                 [*rows.schema.names, name])
+
+    return docs.mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document, with all its columns, of each component: that of the smallest id (of
-    rows that repeat it, the smallest text). Documents without shingles or id stay."""
-    joined = join(docs, id_col, text_col)
-    lost = (joined.where(F.col("component_id").isNotNull() & (F.col(id_col) != F.col("component_id")))
-            .select(F.col(id_col).alias("__id")).distinct())
-    return docs.join(lost, F.col(id_col) == F.col("__id"), "left_anti")
+    """One document, with all its columns, of each component: the one of the smallest id;
+    of rows that repeat that id, one of the smallest class. Documents without shingles stay."""
+    profiles, labels = link_classes(docs, id_col, text_col)
+    known = profiles.where("cls is not null").join(labels, "cls", "left")
+    kept = (known.groupBy(F.coalesce("comp", "cls").alias("comp"))
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "cls")).alias("k")))
+    cls, key = unused(docs.columns, "cls"), unused(docs.columns, "row_key")
+    kept = kept.select(F.xxhash64("k.id", "k.cls").alias("kept_key"), F.col("k.id").alias("kept_id"),
+                       F.col("k.cls").alias("kept_cls"))
+    blank = ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # dealt by one key that no id, class or null makes hot; rows of a kept document meet there
+    rows = (_with_class(docs.where(~blank), text_col, cls)
+            .withColumn(key, F.xxhash64(F.col(id_col), F.col(cls)))
+            .join(kept, (F.col(key) == F.col("kept_key")) & F.col(id_col).eqNullSafe(F.col("kept_id"))
+                  & (F.col(cls) == F.col("kept_cls")), "left_semi")
+            .dropDuplicates([key]))
+    return rows.select(*docs.columns).unionByName(docs.where(blank))

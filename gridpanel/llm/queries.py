@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from gridpanel.llm import (chat, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
                            training, warc)
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
@@ -79,3 +80,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction,
     op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing)}
+QUERIES["pipeline"] = corpus_pipeline.run
