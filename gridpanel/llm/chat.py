@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 ESCAPE = "\\"
+STUCK = ""      # no state's name
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ def segments(turns: DataFrame, template: ChatTemplate | None = None, conv_col: s
 
 
 def _run_machine(roles: Column, template: ChatTemplate) -> Column:
-    """Struct of the state after all roles (null once a move is missing) and the
+    """Struct of the state after all roles (STUCK once a move is missing) and the
     position of the first role without a move."""
     table = F.create_map(*[F.lit(x) for state, by_role in template.moves.items()
                            for role, then in by_role.items() for x in (f"{state}\n{role}", then)])
@@ -98,9 +99,9 @@ def _run_machine(roles: Column, template: ChatTemplate) -> Column:
                      F.lit(None).cast("int").alias("stuck"))
 
     def move(acc, role):
-        then = F.try_element_at(table, F.concat(acc["state"], F.lit("\n"), role))
+        then = F.coalesce(F.try_element_at(table, F.concat(acc["state"], F.lit("\n"), role)), F.lit(STUCK))
         return F.struct(then.alias("state"), (acc["at"] + 1).alias("at"),
-                        F.when(acc["stuck"].isNull() & then.isNull(), acc["at"]).otherwise(acc["stuck"]).alias("stuck"))
+                        F.when(acc["stuck"].isNull() & (then == STUCK), acc["at"]).otherwise(acc["stuck"]).alias("stuck"))
 
     return F.aggregate(roles, begin, move)
 

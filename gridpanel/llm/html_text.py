@@ -160,14 +160,15 @@ def smooth(ratio: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray
 
 
 def main_lines(lines: list[tuple[str, int, int, bool]], share: float = 0.5) -> list[str]:
-    """Lines of the content regions. A line passes whose smoothed ratio is at least
-    ``share`` of the ratios' standard deviation."""
+    """Lines of the content regions. A line passes whose ratio, smoothed and by itself
+    (else it may owe it to the next region's lines), is at least ``share`` of the ratios'
+    standard deviation."""
     if any(x[3] for x in lines):
         lines = [x for x in lines if x[3]]
     if not lines:
         return []
     ratio = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
-    passed = smooth(ratio) >= share * ratio.std()
+    passed = np.minimum(smooth(ratio), ratio) >= share * ratio.std()
     content = {lines[i][2] for i in np.flatnonzero(passed).tolist()}
     return [text for text, _, region, _ in lines if region in content]
 
