@@ -46,10 +46,10 @@ MINIMA = 4
 BUCKET_POSTINGS = 500_000   # prefix postings of a bucket, about
 LONG = 200                  # classes on a list that is no longer paired
 SHARD_SETS = 1_000          # sets in an index shard, about
-QUERIES = 4_000             # queries of a shard in one task, about
+QUERIES = 500               # queries of a shard in one group, about
 BLOOM_SHIFTS = (0, 18, 37)  # the filter's positions are these bits of an id's hash
 BLOOM_BITS = 27             # at most, of the filter of the documents whose sets are needed
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _U = np.uint64
 
@@ -62,45 +62,70 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: Odd numbers for a shingle's first to fifth word.
+ORDINALS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2**64, as many as were needed."""
+
+    base = 0x2545F4914F6CDD1D
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = 1 << (n - 1).bit_length()
+            for name, x in (("up", cls.base), ("down", pow(cls.base, -1, 1 << 64))):
+                table = np.full(size, x, np.uint64)
+                table[0] = 1
+                setattr(cls, name, np.cumprod(table))
+        return cls.up, cls.down
+
+
 def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first hash of each text and the end): per text its sorted distinct shingles."""
-    none = np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     data = _LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
     size = np.array([len(t or b"") + 1 for t in texts], np.int64)
-    begin = np.cumsum(size) - size
     space = _SPACE[data]
-    head = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.concatenate(([0], edge))
+    head, tail = edge[::2], edge[1::2]      # the last byte is a space, so every word ends
     if not len(head):
-        return none
-    tail = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
-    # a word is the sum of its bytes times odd numbers that belong to their places
-    _, at = expand_ranges(head, tail)
-    length = tail - head
-    place = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-    odd = _mix(np.arange(int(length.max()), dtype=np.uint64)) | _U(1)
-    word = _mix(np.add.reduceat((data[at].astype(np.uint64) + _U(1)) * odd[place], np.cumsum(length) - length)
-                + length.astype(np.uint64))
-    doc = np.searchsorted(begin, head, "right") - 1
-    words = np.bincount(doc, minlength=len(texts))
-    first = np.cumsum(words) - words
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    # a word's polynomial, from sums up to its ends, moved to its own beginning
+    up, down = _Powers.of(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + _U(1)) * up[:len(data)], out=total[1:])
+    word = _mix((total[tail] - total[head]) * down[head] + (tail - head).astype(np.uint64))
+    last = np.searchsorted(head, np.cumsum(size))
+    words = np.diff(last, prepend=0)
+    first = last - words
     count = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
-    owner, start = expand_ranges(first, first + count)
-    code = np.zeros(len(start), np.uint64)
-    for k in range(SHINGLE):
-        inside = k < words[owner]
-        code = np.where(inside, _mix(code ^ (word[np.minimum(start + k, len(word) - 1)] + _U(k))), code)
-    order = np.lexsort((code, owner))
-    code, owner = code[order], owner[order]
+    parts = [word * _U(c) for c in ORDINALS]
+    n = len(word) - SHINGLE + 1
+    full = _mix(sum(x[k:k + n] for k, x in enumerate(parts))) if n > 0 else np.zeros(0, np.uint64)
+    out = []
+    for a, w, c in zip(first.tolist(), words.tolist(), count.tolist(), strict=True):
+        if w >= SHINGLE:
+            code = full[a:a + c]
+            code.sort()
+            out.append(code)
+        else:
+            out.append(_mix(sum((x[a + k:a + k + 1] for k, x in enumerate(parts[:w])), np.full(c, w, np.uint64))))
+    code = np.concatenate(out)
+    first = np.cumsum(count) - count
     new = np.ones(len(code), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])
-    code, owner = code[new], owner[new]
-    return code, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts)))))
+    new[1:] = code[1:] != code[:-1]
+    new[first[count > 0]] = True
+    kept = np.concatenate(([0], np.cumsum(new)))
+    return code[new], kept[np.concatenate((first, [len(code)]))]
 
 
 def set_code(code: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -270,17 +295,16 @@ def _prefix_lists(source: DataFrame, buckets: int) -> DataFrame:
                 if c not in seen:       # copies of a text within the task are named once
                     seen.add(c)
                     fresh[i] = True
-            owner = np.repeat(np.arange(len(n)), n)
-            keep = fresh[owner]
-            code, owner = code[keep], owner[keep]
+            key = (counts[code >> _U(64 - SKETCH_BITS)].astype(np.uint64) << _U(48)) | (code & _U((1 << 48) - 1))
+            inside = np.zeros(len(code), bool)
+            for i in np.flatnonzero(fresh).tolist():
+                a, b = first[i], first[i + 1]
+                size = int(n[i]) - required(int(n[i])) + 1
+                inside[a:b] = key[a:b] <= np.partition(key[a:b], size - 1)[size - 1]
+            owner = np.repeat(np.arange(len(n)), n)[inside]
+            code = code[inside]
             if not len(code):
                 continue
-            order = np.lexsort((code, counts[code >> _U(64 - SKETCH_BITS)], owner))
-            code, owner = code[order], owner[order]
-            n_kept = np.where(fresh, n, 0)
-            place = np.arange(len(code)) - (np.cumsum(n_kept) - n_kept)[owner]
-            inside = place < (n_kept - (SHARE * n_kept + 99) // 100 + 1)[owner]
-            code, owner = code[inside], owner[inside]
             of = np.zeros(len(n), np.int64)
             of[has] = cls
             bucket = (code % _U(buckets)).astype(np.int64)
@@ -360,7 +384,8 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
     """Links (a, b) between the classes of each index shard (rows s1, s2, cls) and its
     queries (the same columns)."""
     spark = source.sparkSession
-    index, queries = index.distinct(), queries.distinct()
+    index = written(spark, index.distinct(), "index")
+    queries = written(spark, queries.distinct(), "queries")
     sets = written(spark, _sets(source, classes, index.select("cls").union(queries.select("cls")).distinct()), "sets")
     parts = (queries.groupBy("s1", "s2").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts")))
     left = (index.join(parts, ["s1", "s2"]).withColumn("s3", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -381,6 +406,10 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
                         b.append(max(c, ids[i]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    # dealt by number: a few bytes of sets are much work, and must not meet in a few tasks
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(tasks, "s1", "s2", "s3")
+    right = right.repartition(tasks, "q_s1", "q_s2", "q_s3")
     return (left.groupBy("s1", "s2", "s3").cogroup(right.groupBy("q_s1", "q_s2", "q_s3"))
             .applyInArrow(run, "a bigint, b bigint").distinct())
 
@@ -388,7 +417,7 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
 def _search_pairs(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links among pairs (query, member). Queries are dealt into buckets, the members of a
     query that has very many into shards of their own."""
-    pairs = pairs.distinct()
+    pairs = written(source.sparkSession, pairs.distinct(), "pairs")
     per = pairs.groupBy("query").agg(F.ceil(F.count("*") / SHARD_SETS).alias("salts"))
     buckets = max(1, -(-pairs.count() // SHARD_SETS))
     dealt = (pairs.join(per, "query")
@@ -437,19 +466,21 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
 
     def pair(batches):
         for batch in batches:
-            out = []
             column = batch.column("e")
             flat = column.flatten()
             cls, n, comp, held = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("cls", "n", "comp", "held"))
-            ends = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))))
-            for s, e in zip(ends.tolist(), ends[1:].tolist(), strict=False):
-                i, j = np.triu_indices(e - s, 1)
-                i, j = i + s, j + s
-                ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= SHARE * np.maximum(n[i], n[j]))
-                out.append(np.stack([i[ok], j[ok]]))
-            i, j = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[i], cls[j], n[i], n[j], held[i], held[j])],
-                                             ["a", "b", "na", "nb", "ha", "hb"])
+            size = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+            left = np.arange(len(cls))
+            ends = np.repeat(np.cumsum(size), size)
+            for away in range(1, int(size.max(initial=1))):     # all lists at once
+                left = left[left + away < ends[left]]
+                right = left + away
+                ok = ((comp[left] != comp[right])
+                      & (100 * np.minimum(n[left], n[right]) >= SHARE * np.maximum(n[left], n[right])))
+                i, j = left[ok], right[ok]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[i], cls[j], n[i], n[j], held[i], held[j])],
+                                                     ["a", "b", "na", "nb", "ha", "hb"])
 
     kinds = "a bigint, b bigint, na bigint, nb bigint, ha bigint, hb bigint"
     counted = (whole.select("e").mapInArrow(pair, kinds).groupBy("a", "b").agg(
@@ -461,7 +492,11 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
-    """Links among classes on long prefix lists (rows token, cls, n)."""
+    """Links among classes on long prefix lists (rows token, cls, n, comp). On each list
+    the classes of its largest component need not ask: the others ask for them."""
+    largest = (entries.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token")
+               .agg(F.max(F.struct("k", "comp")).alias("m")).select("token", F.col("m.comp").alias("largest")))
+    asking = entries.join(largest, "token").where("comp <> largest")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.1)))
     members = entries.select("cls", "n", band.alias("s1")).distinct()
     salts = members.groupBy("s1").agg(F.ceil(F.count("*") / SHARD_SETS).alias("salts"))
@@ -469,7 +504,7 @@ def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame) -> D
     placed = entries.select("token", "cls").join(index, "cls")
     shards = placed.select("token", "s1", "s2").distinct()
     low, high = F.pow(F.lit(1.1), F.col("s1")), F.pow(F.lit(1.1), F.col("s1") + 1)
-    routes = (entries.select("token", F.col("cls"), "n").join(shards, "token")
+    routes = (asking.select("token", "cls", "n").join(shards, "token")
               .where((high * 100 / SHARE + 1 >= F.col("n")) & (low * SHARE / 100 - 1 <= F.col("n")))
               .select("s1", "s2", "cls"))
     return _search(source, classes, index.select("s1", "s2", "cls"), routes)
@@ -499,7 +534,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = _search_pairs(source, classes, _cross_pairs(short))
     long_ = lists.where(F.col("size") > LONG)
     if long_.limit(1).count():
-        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n")))
+        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n", "comp")))
     more = written(spark, found, "links")
     if more.limit(1).count():
         labels = components(spark, near.unionByName(more).distinct())
