@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 YEAR_IN_PATH = r"year=(\d{4})"
 
 
-def parse_year_spec(spec: str) -> list[int]:
-    """``"2000-2003"`` (inclusive range), ``"2000,2002"`` (list; a comma wins over a
-    dash) or ``"2000"``; result sorted and de-duplicated."""
-    s = spec.strip()
-    if "," in s:
-        return sorted({int(p) for p in s.split(",") if p.strip()})
-    if "-" in s:
-        a, b = s.split("-", 1)
-        return list(range(int(a), int(b) + 1))
-    return [int(s)]
+_RANGE = re.compile(r"\s*(\d+)\s*(?:-\s*(\d+)\s*)?")
+
+
+def parse_year_spec(spec: str, lists: bool = True) -> list[int]:
+    """Sorted years of ``"2000-2003"`` (both ends), ``"2000,2002"`` or ``"2000"``; a list may
+    hold ranges. With ``lists=False`` a single year or range is all that is allowed."""
+    years: set[int] = set()
+    for item in spec.split(",") if lists else [spec]:
+        m = _RANGE.fullmatch(item)
+        if m:
+            years.update(range(int(m[1]), int(m[2] or m[1]) + 1))
+        elif item.strip() or not lists:
+            raise ValueError(f"not a year or a range of years: {item!r}")
+    return sorted(years)
 
 
 def years_df(spark: SparkSession, years: list[int] | str) -> DataFrame:
@@ -41,14 +47,6 @@ def years_outside(result: DataFrame, requested: DataFrame) -> DataFrame:
     return result.select("year").distinct().join(requested, "year", "left_anti")
 
 
-def parse_year_range(spec: str) -> list[int]:
-    """Range-only variant: ``"2022-2023"`` or a single ``"2023"``."""
-    if "-" in spec:
-        lo, hi = spec.split("-")
-        return list(range(int(lo), int(hi) + 1))
-    return [int(spec)]
-
-
-def default_two_year_window(end_year: int) -> str:
-    """The last two years ending at ``end_year``, as a range spec."""
-    return f"{end_year - 1}-{end_year}"
+def last_years(end_year: int, n: int = 2) -> str:
+    """Range spec of the ``n`` years up to ``end_year``."""
+    return f"{end_year - n + 1}-{end_year}"

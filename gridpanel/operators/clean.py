@@ -42,11 +42,11 @@ def require_not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def keep_iso3_year(df: DataFrame, order: list | None = None) -> DataFrame:
-    """Composite clean: drop NULL iso3 -> upper -> length 3 -> int year -> keep-first
+    """Composite clean: drop NULL iso3 -> upper -> length 3 -> int year (NULL fails) -> keep-first
     per (iso3, year). ``order`` is the explicit keep-first order (default: all
     other columns ascending)."""
     if "iso3" not in df.columns:
         raise KeyError("keep_iso3_year needs an iso3 column")
     out = iso3_only(df.dropna(subset=["iso3"]), "iso3", upper=True)
-    out = out.withColumn("year", F.col("year").cast("int"))
+    out = require_not_null(out.withColumn("year", F.col("year").cast("int")), "year")
     return keep_first(out, ["iso3", "year"], order)

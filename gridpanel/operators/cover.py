@@ -101,7 +101,8 @@ def boundary_cells(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFra
     # over every core before the fan-out, so that a long outline is not tested in
     # the one task that read its region row. An explicit count, because AQE would
     # coalesce such a small shuffle (by bytes) back into one partition.
-    n = max(1, pieces.sparkSession.sparkContext.defaultParallelism)
+    session = pieces.sparkSession
+    n = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
     pieces = pieces.repartition(n, "region_id", "sx0", "sy0")
 
     to_lon = F.lit(180.0 / (math.pi * WGS84_A * K0))
@@ -125,7 +126,7 @@ def boundary_cells(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFra
     ys = F.array(*[F.lit(ease_xy_py(0.0, grid.lat0 + grid.dlat * r)[1]) for r in range(grid.nlat)])
     cx, cy = F.element_at(xs, F.col("ilon") + 1), F.element_at(ys, F.col("ilat") + 1)
     d2 = point_segment_distance2(cx, cy, F.col("sx0"), F.col("sy0"), F.col("sx1"), F.col("sy1"))
-    return cand.where(d2 <= F.lit(b * b)).select("region_id", "ilat", "ilon").distinct()
+    return cand.where(d2 <= F.lit(b * b)).select("region_id", "ilat", "ilon")
 
 
 def buffered_cover(edges: DataFrame, grid: GridSpec, buffer_m: float) -> DataFrame:

@@ -10,6 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SALTS = 16      # parts that the rows of one name are dealt into
+
+
+def one_region_per_name(regions: DataFrame) -> DataFrame:
+    """Dissolved regions as they are, others dissolved: same-named rows are one region."""
+    return regions if "src_id" in regions.columns else dissolve_by_name(regions)
+
+
 def _closed(ring: Column) -> Column:
     """Ring with its closing vertex (GeoJSON rings are closed; be lenient)."""
     first, last = F.element_at(ring, 1), F.element_at(ring, -1)
@@ -50,8 +58,11 @@ def dissolve_by_name(regions: DataFrame) -> DataFrame:
     over the rows). So a name holding a large share of the polygon table costs a
     partially aggregated ``min`` and a join, never one oversized row or task.
     """
-    first = regions.groupBy("name").agg(F.min("region_id").alias("_rid"))
-    return (regions.join(first, "name")
+    # a join with an aggregate cannot be split at run time: deal each name over SALTS tasks
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    first = regions.groupBy("name").agg(F.min("region_id").alias("_rid")).withColumn("_salt", salts)
+    salted = regions.withColumn("_salt", F.pmod(F.xxhash64("region_id"), F.lit(SALTS)).cast("int"))
+    return (salted.join(first, ["name", "_salt"])
             .select(F.col("_rid").alias("region_id"), "name", "parts",
                     F.col("region_id").alias("src_id")))
 

@@ -18,35 +18,27 @@ _FIXED = {"boolean", "byte", "short", "integer", "long", "float", "double", "dat
           "timestamp_ntz"}
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Conservative in-memory width of one row (UnsafeRow: 8 bytes/field + payload;
-    variable-length fields are assumed to carry 64 bytes)."""
-    return 16 + sum(8 if f.dataType.typeName() in _FIXED else 72 for f in df.schema.fields)
-
-
-def sized_broadcast(df: DataFrame, max_bytes: int | None = None,
-                    known_rows: int | None = None, cache: bool = True) -> DataFrame:
+def measured_bytes(df: DataFrame) -> int:
+    """In-memory size (UnsafeRow: 8 bytes a field, plus what variable-length values hold),
+    from one aggregate over all rows; nested values count by their text."""
+    fields = df.schema.fields
+    size = F.lit(16 + 8 * len(fields)).cast("long")
+    for f in fields:
+        if f.dataType.typeName() not in _FIXED:
+            c = F.col(f"`{f.name}`")
+            text = c if f.dataType.typeName() in ("string", "binary") else F.to_json(F.struct(c))
+            size = size + F.coalesce(F.octet_length(text), F.lit(0)) + 8
+    return df.agg(F.sum(size).alias("b")).first()["b"] or 0
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its measured size is under the limit, else ``df`` unchanged.
 
-    The row count is measured (one action on the small side, which is cached so
-    the join does not compute it again) unless the caller already knows it;
-    above the limit the join stays a shuffle join, so growth of this side can
-    never turn into an oversized broadcast. A lost cached block is recomputed
-    from lineage.
+    The size is measured on the data (one action on the small side, cached so that the
+    join does not compute it again); above the limit the join stays a shuffle join, so
+    growth of this side can never turn into an oversized broadcast. A lost cached block
+    is recomputed from lineage.
     """
     limit = max_bytes if max_bytes is not None else broadcast_limit_bytes(df)
-    if known_rows is None:
-        if cache:
-            df = df.cache()
-        known_rows = df.count()
-    return F.broadcast(df) if known_rows * row_bytes(df) <= limit else df
-
-
-def broadcast_with_bound(df: DataFrame, rows_bound: int, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast ``df`` when a static row bound already proves it small; otherwise
-    fall back to measuring it (``sized_broadcast``). Avoids materialising a side
-    whose size is bounded by construction (e.g. regions x grid cells)."""
-    limit = max_bytes if max_bytes is not None else broadcast_limit_bytes(df)
-    if rows_bound * row_bytes(df) <= limit:
-        return F.broadcast(df)
-    return sized_broadcast(df, limit)
+    df = df.cache()
+    return F.broadcast(df) if measured_bytes(df) <= limit else df

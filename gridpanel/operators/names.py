@@ -145,6 +145,6 @@ def add_iso3(df: DataFrame, name_col: str = "country", out_col: str = "iso3") ->
 
 
 def unmapped_names(df: DataFrame, name_col: str = "country", code_col: str = "iso3") -> DataFrame:
-    """Distinct names without a code, with the count as a scalar column."""
+    """Distinct names without a code in alphabetical order, with the count as a scalar column."""
     u = df.where(F.col(code_col).isNull() & F.col(name_col).isNotNull()).select(name_col).distinct()
-    return u.withColumn("n_unmapped", u.select(F.count("*")).scalar())
+    return u.withColumn("n_unmapped", u.select(F.count("*")).scalar()).orderBy(name_col)

@@ -12,12 +12,10 @@ PLAUSIBLE_MAX_C = 60.0
 
 
 def check_columns(columns: list[str], required: set[str], source: str = "table") -> None:
-    """Strict schema: the column *set* must equal ``required``."""
-    cols = set(columns)
-    missing, unexpected = required - cols, cols - required
-    if missing or unexpected:
-        raise ValueError(f"Schema mismatch in {source}: missing={sorted(missing)} "
-                         f"unexpected={sorted(unexpected)}")
+    """The columns are exactly the required ones, in any order."""
+    if odd := set(columns) ^ required:
+        notes = [f"{c} ({'lacking' if c in required else 'not expected'})" for c in sorted(odd)]
+        raise ValueError(f"{source} does not have the columns {sorted(required)}: {', '.join(notes)}")
 
 
 def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
@@ -27,12 +25,13 @@ def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
 
 
 def geometry_counts(regions: DataFrame, stage: str) -> DataFrame:
-    """``stage, n_rows, n_null, n_empty`` for a polygon table."""
+    """``stage, n_rows, n_null, n_empty, n_regions`` (distinct names) for a polygon table."""
     null = F.col("parts").isNull()
     return regions.agg(
         F.lit(stage).alias("stage"), F.count("*").alias("n_rows"),
         F.count_if(null).alias("n_null"),
-        F.count_if(~null & is_empty_geometry(F.col("parts"))).alias("n_empty"))
+        F.count_if(~null & is_empty_geometry(F.col("parts"))).alias("n_empty"),
+        F.count_distinct("name").alias("n_regions"))
 
 
 def out_of_range_flag(c, lo: float = PLAUSIBLE_MIN_C, hi: float = PLAUSIBLE_MAX_C):
@@ -68,6 +67,9 @@ def coverage_report(expected: DataFrame, annual: DataFrame, audit: DataFrame,
     n_missing = names.join(present, "country", "left_anti").select(F.count("*")).scalar()
     # both checks on the annual table come from one aggregate pass
     outside = F.when(~F.col("year").isin(requested_years), F.col("year"))
+    wanted = names.select("country", F.explode(F.array(*[F.lit(y) for y in requested_years])).alias("year"))
+    n_gaps = (wanted.join(annual.select("country", "year").distinct(), ["country", "year"], "left_anti")
+              .select(F.count("*")).scalar())
     in_range = out_of_range_flag(F.col("temp_c"))
     checks = annual.agg(F.count_distinct(outside).alias("o"), F.count_if(in_range).alias("r"))
     n_outside = checks.select("o").scalar()
@@ -82,6 +84,7 @@ def coverage_report(expected: DataFrame, annual: DataFrame, audit: DataFrame,
         row("direct_coverage", "info", n_direct, F.lit(True)),
         row("fallback_used", "info", n_fallback, F.lit(True)),
         row("missing_after_fallback", "error", n_missing, n_missing == 0),
+        row("country_years_missing", "warn", n_gaps, n_gaps == 0),
         row("years_outside_request", "warn", n_outside, n_outside == 0),
         row("temp_out_of_range", "warn", n_range, n_range == 0),
     )).alias("r"))

@@ -15,11 +15,16 @@ def year_columns(df: DataFrame, prefix: str = "yr") -> list[str]:
 
 
 def melt_years(df: DataFrame, ids: list[str], prefix: str = "yr") -> DataFrame:
-    """``(ids..., year, value)`` from ``prefixYYYY`` columns; year parsed leniently."""
+    """``(ids..., year, value)`` from ``prefixYYYY`` columns; year parsed leniently, values
+    that are NaN or not a number are NULL."""
     cols = year_columns(df, prefix)
     if not cols:
         raise KeyError(f"no {prefix}YYYY columns in {df.columns}")
-    long_ = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    def number(c):
+        v = F.expr(f"try_cast(`{c}` as double)")
+        return F.when(~F.isnan(v), v).alias(c)
+
+    long_ = df.select(*ids, *[number(c) for c in cols]).unpivot(
         ids, cols, "year_label", "value")
     year = F.expr(f"try_cast(regexp_replace(year_label, '^{re.escape(prefix)}', '') as int)")
     return long_.select(*ids, year.alias("year"), "value")
@@ -27,15 +32,16 @@ def melt_years(df: DataFrame, ids: list[str], prefix: str = "yr") -> DataFrame:
 
 def pivot_series(long_: DataFrame, index: list[str], series_col: str, values: list[str],
                  value_col: str = "value") -> DataFrame:
-    """One column per series value: first non-NULL value of each cell; index keys
-    with no non-NULL value at all are absent; NULL index keys are dropped.
+    """One column per series value: the non-NULL value of each cell (the smallest of
+    several, whatever the rows' order); index keys with no non-NULL value at all are
+    absent; NULL index keys are dropped.
 
     The pivot values are given, so no extra pass collects them."""
     src = long_.where(F.col(value_col).isNotNull())
     for k in index:
         src = src.where(F.col(k).isNotNull())
     return (src.groupBy(*index).pivot(series_col, values)
-            .agg(F.first(value_col, ignorenulls=True)))
+            .agg(F.min(value_col)))
 
 
 def grid_mesh(spark, nlat: int, nlon: int, lat_of, lon_of) -> DataFrame:

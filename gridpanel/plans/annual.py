@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cover import buffered_cover
-from ..operators.geometry import region_edges, region_names
-from ..operators.joins import broadcast_with_bound
+from ..operators.geometry import one_region_per_name, region_edges, region_names
+from ..operators.joins import sized_broadcast
 from ..operators.spatial_agg import regional_monthly, annual_from_monthly
 from ..sources.grid import GridSpec, with_cell_keys
 
@@ -33,9 +33,9 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
     ``facts`` is the normalised long table ``(time, year, lat, lon, v)``.
     """
     grid = grid or GridSpec.from_facts(facts)
+    regions = one_region_per_name(regions)
     cov = cover if cover is not None else region_cover(regions, grid, buffer_m)
-    # at most one row per (region, cell): broadcast at once when that bound is small
-    cov = broadcast_with_bound(cov, regions.count() * grid.nlat * grid.nlon)
+    cov = sized_broadcast(cov)
     keyed = with_cell_keys(facts, grid)
     annual = annual_from_monthly(regional_monthly(keyed, cov, weighted))
     # the name dimension is one row per region; the planner's size estimate of
@@ -45,12 +45,45 @@ def direct_annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | N
         "region_id", "country", F.col("year").cast("int").alias("year"), "temp_c")
 
 
+def cover_with_fallback(regions: DataFrame, grid: GridSpec, buffer_m: float, cap_km: float,
+                        use_representative_point: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(cover, fallback cells, audit)`` of regions that have distinct names: the cover
+    with ``priority`` 0, and the nearest nodes of regions without a cell with 1."""
+    from ..operators.nearest import fallback_plan
+    from ..operators.shapes import centroid, representative_point
+
+    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
+    missing = region_names(regions).join(direct.select("region_id").distinct(), "region_id", "left_anti")
+    # only regions without a cell need a point
+    lone = regions.join(missing.select("region_id"), "region_id", "left_semi")
+    pts = (representative_point(lone).withColumnsRenamed({"rx": "plon", "ry": "plat"})
+           if use_representative_point else
+           centroid(lone).withColumnsRenamed({"cx": "plon", "cy": "plat"}))
+    fb_cells, audit = fallback_plan(missing, pts, grid, cap_km)
+    return direct, fb_cells.withColumn("priority", F.lit(1)), audit
+
+
+def means_over_cover(facts: DataFrame, regions: DataFrame, grid: GridSpec, cover: DataFrame,
+                     weighted: bool = True) -> DataFrame:
+    """``(country, year, temp_c)`` over a cover with priorities: direct rows win."""
+    from ..operators.dedup import keep_first
+
+    # a region is either direct or fallback, so priority rides along as a key
+    monthly = regional_monthly(with_cell_keys(facts, grid), sized_broadcast(cover), weighted, carry=["priority"])
+    annual = annual_from_monthly(monthly, carry=["priority"])
+    out = (annual.join(region_names(regions), "region_id")
+           .select(F.col("name").alias("country"), F.col("year").cast("int").alias("year"),
+                   F.col("temp_c").cast("double").alias("temp_c"), "priority"))
+    return keep_first(out, ["country", "year"], ["priority"]).drop("priority")
+
+
 def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = None,
                  buffer_m: float = 15000.0, cap_km: float = 25.0, weighted: bool = True,
                  use_representative_point: bool = True) -> tuple[DataFrame, DataFrame]:
     """Full job: ``(annual(country, year, temp_c), audit(country, status, min_km,
     near_lat, near_lon))``.
 
+    * rows that share a name are one region (dissolved);
     * cover of every region (buffered containment), computed once and reused;
     * regions with no cell get their nearest node (capped) as a one-cell cover;
     * direct and fallback cells go through the same two-level aggregate (a
@@ -59,28 +92,17 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
 
     The audit has one row per region that needed a fallback (not one per year).
     """
-    from ..operators.dedup import keep_first
-    from ..operators.nearest import fallback_plan
-    from ..operators.shapes import centroid, representative_point
-
     grid = grid or GridSpec.from_facts(facts)
-    # cached, not counted: it is read by the anti join and the union below, and
-    # the union's measured size decides the broadcast
-    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
-    names = region_names(regions)
-    missing = names.join(direct.select("region_id").distinct(), "region_id", "left_anti")
-    pts = (representative_point(regions).withColumnsRenamed({"rx": "plon", "ry": "plat"})
-           if use_representative_point else
-           centroid(regions).withColumnsRenamed({"cx": "plon", "cy": "plat"}))
-    fb_cells, audit = fallback_plan(missing, pts, grid, cap_km)
-    cover = direct.unionByName(fb_cells.withColumn("priority", F.lit(1)))
-    cover = broadcast_with_bound(cover, regions.count() * (grid.nlat * grid.nlon + 1))
-    keyed = with_cell_keys(facts, grid)
-    # a region is either direct or fallback, so priority rides along as a key
-    monthly = regional_monthly(keyed, cover, weighted, carry=["priority"])
-    annual = annual_from_monthly(monthly, carry=["priority"])
-    out = (annual.join(names, "region_id")
-           .select(F.col("name").alias("country"), F.col("year").cast("int").alias("year"),
-                   F.col("temp_c").cast("double").alias("temp_c"), "priority"))
-    out = keep_first(out, ["country", "year"], ["priority"]).drop("priority")
+    regions = one_region_per_name(regions)
+    direct, fallback, audit = cover_with_fallback(regions, grid, buffer_m, cap_km, use_representative_point)
+    out = means_over_cover(facts, regions, grid, direct.unionByName(fallback), weighted)
     return out, audit.drop("region_id")
+
+
+def fallback_means(facts: DataFrame, regions: DataFrame, grid: GridSpec, buffer_m: float = 15000.0,
+                   cap_km: float = 25.0, use_representative_point: bool = True) -> DataFrame:
+    """``(country, year, temp_c)`` of the regions filled from their nearest node alone:
+    the facts are joined to the fallback cells and to nothing else."""
+    regions = one_region_per_name(regions)
+    _, fallback, _ = cover_with_fallback(regions, grid, buffer_m, cap_km, use_representative_point)
+    return means_over_cover(facts, regions, grid, fallback)

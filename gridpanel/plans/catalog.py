@@ -218,13 +218,10 @@ def fallback_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fallback_series")
 def fallback_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annual means of the regions that were filled from their nearest node."""
-    from .annual import annual_means
+    from .annual import fallback_means
 
-    facts = facts_of(spark, sf_dir)
-    out, audit = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
-                              cap_km=FALLBACK_CAP_KM)
-    used = audit.where(F.col("status") == "fallback_used").select("country")
-    return out.join(used, "country", "left_semi").select("country", "year", r6("temp_c"))
+    out = fallback_means(facts_of(spark, sf_dir), _boxes(spark, sf_dir), grid_of(), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+    return out.select("country", "year", r6("temp_c"))
 
 
 @query("nearest_cell")
@@ -334,12 +331,12 @@ def grid_mesh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("array_flatten")
 def array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding vectors as 8-wide 2-d arrays, flattened with two posexplodes."""
-    e = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    rows = F.transform(F.sequence(F.lit(0), (F.size("embedding") / 8).cast("int") - 1),
-                       lambda i: F.slice("embedding", i * 8 + 1, 8))
-    g = e.select("vec_id", F.posexplode(rows).alias("r", "row"))
-    return g.select("vec_id", "r", F.posexplode("row").alias("c", "value")).select(
-        "vec_id", (F.col("r") * 8 + F.col("c")).alias("pos"), "r", "c", "value")
+    from ..sources.grid import array_grid_to_long, as_rows
+
+    e = _table(spark, sf_dir, "embeddings").select("vec_id", as_rows(F.col("embedding"), 8).alias("rows"))
+    g = array_grid_to_long(e, values="rows", time="vec_id")
+    return g.select(F.col("time").alias("vec_id"), (F.col("lat_pos") * 8 + F.col("lon_pos")).alias("pos"),
+                    F.col("lat_pos").alias("r"), F.col("lon_pos").alias("c"), F.col("v").alias("value"))
 
 
 # -- publish: partitions in, one CSV out ----------------------------------------------
@@ -398,16 +395,21 @@ def publish_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- quality reports ---------------------------------------------------------------------
 
-def _full(spark, sf_dir):
-    """The full annual job, checkpointed to the shared checkpoint folder: the
-    reports below read it several times (scalar subqueries), so lineage is cut
-    once instead of re-running the job per reference."""
+def _full(spark, sf_dir, facts=None):
+    """The full annual job: (annual, audit)."""
     from .annual import annual_means
 
+    facts = facts if facts is not None else facts_of(spark, sf_dir)
+    return annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+
+
+def _latest(spark, sf_dir):
+    """The annual rows of the latest year, from the facts of that year alone; written to
+    the checkpoint folder once."""
     facts = facts_of(spark, sf_dir)
-    annual, audit = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0,
-                                 cap_km=FALLBACK_CAP_KM)
-    return annual.checkpoint(), audit.checkpoint()
+    latest = facts.where(F.col("v").isNotNull()).select(F.max("year")).first()[0]
+    annual, _ = _full(spark, sf_dir, facts.where(F.col("year") == latest))
+    return annual.checkpoint()
 
 
 @query("geom_quality")
@@ -431,7 +433,7 @@ def geom_sample_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("temp_outliers")
 def temp_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly regional means outside the plausible range, counted with the range seen."""
-    from ..operators.quality import out_of_range
+    from ..operators.quality import out_of_range_flag
     from ..operators.spatial_agg import regional_monthly
     from .annual import region_cover
     from ..sources.grid import with_cell_keys
@@ -440,7 +442,7 @@ def temp_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = region_cover(_boxes(spark, sf_dir), g)
     m = regional_monthly(with_cell_keys(facts_of(spark, sf_dir), g), cov).withColumnRenamed("mt", "temp_c")
     return m.agg(F.count("*").alias("n_rows"),
-                 F.count_if((F.col("temp_c") < -60.0) | (F.col("temp_c") > 60.0)).alias("n_out_of_range"),
+                 F.count_if(out_of_range_flag(F.col("temp_c"))).alias("n_out_of_range"),
                  F.round(F.min("temp_c"), 6).alias("min_temp_c"), F.round(F.max("temp_c"), 6).alias("max_temp_c"))
 
 
@@ -448,8 +450,7 @@ def temp_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.quality import latest_year_stats
 
-    annual, _ = _full(spark, sf_dir)
-    s = latest_year_stats(annual)
+    s = latest_year_stats(_latest(spark, sf_dir))
     return s.select("year", "n_rows", r6("mean"), r6("min"), r6("max"), r6("std"))
 
 
@@ -457,17 +458,15 @@ def latest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coverage_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.quality import coverage_report
 
-    annual, audit = _full(spark, sf_dir)
+    # read several times (scalar subqueries): written once to the shared folder
+    annual, audit = (d.checkpoint() for d in _full(spark, sf_dir))
     return coverage_report(fx.regions_box(spark, sf_dir), annual, audit, list(range(1996, 2001)))
 
 
 @query("top_regions")
 def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five warmest countries of the latest year (a top-k report)."""
-    annual, _ = _full(spark, sf_dir)
-    latest = annual.select(F.max("year")).scalar()
-    return (annual.where(F.col("year") == latest)
-            .orderBy(F.col("temp_c").desc_nulls_last(), F.col("country")).limit(5)
+    return (_latest(spark, sf_dir).orderBy(F.col("temp_c").desc_nulls_last(), F.col("country")).limit(5)
             .select("country", "year", r6("temp_c")))
 
 
@@ -475,9 +474,7 @@ def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reproducible sample of five rows of the latest year: order by the MD5 of the
     key (a fixed hash that SQL engines share), then the key."""
-    annual, _ = _full(spark, sf_dir)
-    latest = annual.select(F.max("year")).scalar()
-    return (annual.where(F.col("year") == latest).orderBy(F.md5("country"), "country").limit(5)
+    return (_latest(spark, sf_dir).orderBy(F.md5("country"), "country").limit(5)
             .select("country", "year", r6("temp_c")))
 
 
@@ -521,3 +518,103 @@ def annual_means_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = annual_means(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=ANNUAL_BUFFER_M,
                           cap_km=FALLBACK_CAP_KM)
     return out.select("country", "year", r6("temp_c"))
+
+
+# -- the readers and sinks on landed files -----------------------------------------------
+
+@query("co2_csv_scan")
+def co2_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CO2 panel from a landed CSV with gaps written as NA and NaN."""
+    from ..session import scratch_path
+    from ..sources.tables import read_co2_csv
+    from .panels import clean_co2
+
+    path = scratch_path(spark, "co2-csv")
+    raw = fx.co2_raw(spark, sf_dir)
+    gap = F.when(F.col("year") == 1996, "NA").when(F.col("year") == 1997, "NaN").otherwise(F.col("co2").cast("string"))
+    raw.withColumn("co2", gap).write.option("header", True).csv(path)
+    return _round_doubles(clean_co2(read_co2_csv(spark, path), CO2_START_YEAR, None))
+
+
+@query("wb_dirty_tidy")
+def wb_dirty_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The indicator panel from a landed CSV whose empty cells are ``..`` or NaN."""
+    from ..session import scratch_path
+    from ..sources.tables import read_indicators
+    from .panels import tidy_indicators
+
+    path = scratch_path(spark, "wb-csv")
+    wide = fx.indicators_wide(spark, sf_dir)
+    years = [c for c in wide.columns if c.startswith("YR")]
+    dirty = wide.select("economy", "series", *[
+        F.coalesce(F.col(c).cast("string"), F.lit(".." if i % 2 else "NaN")).alias(c) for i, c in enumerate(years)])
+    dirty.write.option("header", True).csv(path)
+    return _round_doubles(tidy_indicators(read_indicators(spark, path, "csv")))
+
+
+@query("geojson_regions")
+def geojson_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions read from a folder of two GeoJSON files: unique ids, names and corners."""
+    from ..session import scratch_path
+    from ..sources.polygons import read_geojson_features, regions_from_features
+
+    path = scratch_path(spark, "geojson")
+    b = fx.regions_box(spark, sf_dir)
+    corners = F.array(*[F.array(F.col(x), F.col(y)) for x, y in (
+        ("lon0", "lat0"), ("lon1", "lat0"), ("lon1", "lat1"), ("lon0", "lat1"), ("lon0", "lat0"))])
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("name")).alias("properties"),
+                       F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")).alias("geometry"))
+    half = (F.col("region_id") % 2).alias("half")
+    doc = (b.groupBy(half).agg(F.sort_array(F.collect_list(F.struct("region_id", feature.alias("f")))).alias("fs"))
+           .select("half", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                              F.transform("fs", lambda x: x["f"]).alias("features"))).alias("value")))
+    for k in (0, 1):
+        doc.where(F.col("half") == k).select("value").coalesce(1).write.text(f"{path}/file{k}")
+    feats = read_geojson_features(spark, f"{path}/file*")
+    regions, _ = regions_from_features(feats, "name")
+    ring = F.col("parts")[0][0]
+    return regions.select("region_id", "name", F.size(ring).cast("long").alias("n_points"),
+                          F.array_min(F.transform(ring, lambda p: p["lon"])).alias("lon0"),
+                          F.array_max(F.transform(ring, lambda p: p["lat"])).alias("lat1"))
+
+
+@query("dissolved_means")
+def dissolved_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual means where the boxes of all nations of a region share its name."""
+    from .annual import direct_annual_means
+
+    boxes = fx.box_polygons(fx.regions_box(spark, sf_dir))
+    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    named = (boxes.drop("name").join(n, boxes.region_id == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+             .select("region_id", F.col("r_name").alias("name"), "parts"))
+    out = direct_annual_means(facts_of(spark, sf_dir), named, grid_of())
+    return out.select("country", "year", r6("temp_c"))
+
+
+@query("grid_years_scan")
+def grid_years_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per year of a landed grid, read for years of which some are missing."""
+    from ..session import scratch_path
+    from ..sinks.files import write_year_partitions
+    from ..sources.grid import read_grid_years
+
+    path = scratch_path(spark, "grid")
+    write_year_partitions(fx.grid_facts(spark, sf_dir).withColumn("year", F.year("valid_time")), path)
+    facts, missing = read_grid_years(spark, path, [1990, 1996, 1998, 2030], on_missing="warn")
+    assert missing == [1990, 2030]
+    return facts.groupBy("year").agg(F.count("*").alias("n_rows"), F.count("v").alias("n_values"))
+
+
+@query("publish_csv_lines")
+def publish_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line number and text of the published CSV (its header is line 0)."""
+    from ..session import scratch_path
+    from .publish import publish
+
+    out = scratch_path(spark, "published") + ".csv"
+    publish(spark, _landed_annual(spark, sf_dir), out, PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR)
+    whole = spark.read.text(out, wholetext=True)
+    lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\n")).alias("line_no", "line"))
+    parts = F.split("line", ",")
+    return lines.where("line_no > 0").select("line_no", parts[0].alias("country"), parts[1].cast("int").alias("year"))

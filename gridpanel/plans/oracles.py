@@ -370,10 +370,10 @@ ORACLES["grid_mesh"] = _with(GRID_FACTS, AXES) + "select lat, lon from mesh"
 
 ORACLES["array_flatten"] = """
 with u as (select vec_id, unnest(generate_series(0, len(embedding) - 1)) as pos, embedding from embeddings
-           where len(embedding) >= 8)
+           where len(embedding) > 0)
 select vec_id, cast(pos as int) as pos, cast(pos // 8 as int) as r, cast(pos % 8 as int) as c,
        embedding[pos + 1] as value
-from u where pos < (len(embedding) // 8) * 8"""
+from u"""
 
 
 # -- publish, quality, year sets ------------------------------------------------------
@@ -393,9 +393,10 @@ from ({_FLAGSHIP}) f where year between 1996 and 2000"""
 
 ORACLES["geom_quality"] = _with(CUST_BOX) + """
 select 'raw' as stage, count(*) as n_rows, count(*) filter (where region_id % 7 = 3) as n_null,
-       count(*) filter (where region_id % 7 = 5) as n_empty from cust_box
+       count(*) filter (where region_id % 7 = 5) as n_empty, count(distinct name) as n_regions from cust_box
 union all
-select 'clean', count(*) filter (where region_id % 7 not in (3, 5)), 0, 0 from cust_box"""
+select 'clean', count(*) filter (where region_id % 7 not in (3, 5)), 0, 0,
+       count(distinct name) filter (where region_id % 7 not in (3, 5)) from cust_box"""
 
 ORACLES["geom_sample_names"] = _with(CUST_BOX) + """
 select region_id, name from cust_box where region_id % 7 not in (3, 5) order by region_id limit 5"""
@@ -420,12 +421,15 @@ c as (select
   (select count(*) from used) as n_fallback,
   (select count(*) from (select distinct name from regions_box) e
      where name not in (select country from present)) as n_missing,
+  (select count(*) from (select distinct name from regions_box) e cross join range(1996, 2001) y(y)
+     where not exists (select 1 from full_ f where f.country = e.name and f.year = y.y)) as n_gaps,
   (select count(distinct year) from full_ where year not in (1996, 1997, 1998, 1999, 2000)) as n_outside,
   (select count(*) from full_ where temp_c < -60.0 or temp_c > 60.0) as n_range)
 select 'countries_expected' as "check", 'info' as severity, n_expected as n, true as passed from c
 union all select 'direct_coverage', 'info', n_direct, true from c
 union all select 'fallback_used', 'info', n_fallback, true from c
 union all select 'missing_after_fallback', 'error', n_missing, n_missing = 0 from c
+union all select 'country_years_missing', 'warn', n_gaps, n_gaps = 0 from c
 union all select 'years_outside_request', 'warn', n_outside, n_outside = 0 from c
 union all select 'temp_out_of_range', 'warn', n_range, n_range = 0 from c"""
 
@@ -483,3 +487,36 @@ select country, year, round(temp_c, 6) from fb where country not in (select coun
 
 
 ORACLES["annual_means_buffered"] = _buffered_annual()
+
+
+# -- readers and sinks on landed files ---------------------------------------------------
+
+ORACLES["co2_csv_scan"] = _with(CO2_RAW, CO2_CLEAN) + f"""
+select iso3, year, round(case when year in (1996, 1997) then null else co2_mt end, 6) as co2_mt,
+       {_r6(['co2_t_per_capita', 'share_global_co2_pct', 'consumption_co2_mt'])}
+from co2_clean"""
+
+ORACLES["wb_dirty_tidy"] = ORACLES["wb_tidy"]
+
+ORACLES["geojson_regions"] = _with(REGIONS_BOX) + """
+select cast(row_number() over (order by region_id % 2, region_id) - 1 as int) as region_id, name,
+       cast(5 as bigint) as n_points, lon0, lat1 from regions_box"""
+
+ORACLES["dissolved_means"] = _with(GRID_FACTS, REGIONS_BOX) + """,
+rc as (
+  select r.r_name, g.time, g.year, cos(radians(g.lat)) as w, g.t2m - 273.15 as v
+  from grid_facts g cross join region r
+  where exists (select 1 from regions_box b join nation n on n.n_nationkey = b.region_id
+                where n.n_regionkey = r.r_regionkey and g.lat >= b.lat0 and g.lat < b.lat1
+                  and ((g.lon + 180) % 360) - 180 >= b.lon0 and ((g.lon + 180) % 360) - 180 < b.lon1)),
+m as (select r_name, year, time, sum(w*v)/sum(case when v is not null then w end) as mt
+      from rc group by r_name, year, time)
+select r_name as country, cast(year as int) as year, round(avg(mt), 6) as temp_c from m group by r_name, year"""
+
+ORACLES["grid_years_scan"] = _with(GRID_FACTS) + """
+select cast(year as int) as year, count(*) as n_rows, count(t2m) as n_values
+from grid_facts where year in (1996, 1998) group by year"""
+
+ORACLES["publish_csv_lines"] = f"""
+select cast(row_number() over (order by country, year) as int) as line_no, country, year
+from ({_FLAGSHIP}) f where year between 1996 and 2000"""

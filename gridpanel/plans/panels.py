@@ -15,7 +15,7 @@ from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from ..functions.columns import lower_columns, rename_existing, resolve_id_column, select_existing
-from ..operators.clean import iso3_only, keep_iso3_year, year_range
+from ..operators.clean import iso3_only, keep_iso3_year, require_not_null, year_range
 from ..operators.names import add_iso3
 from ..operators.reshape import melt_years, pivot_series
 from ..schemas import CO2_COLUMNS, CO2_RENAME, ERA5_KEEP, INDICATORS, OWID_KEEP, WB_KEEP
@@ -24,10 +24,10 @@ from ..schemas import CO2_COLUMNS, CO2_RENAME, ERA5_KEEP, INDICATORS, OWID_KEEP,
 # -- C2: CO2 table ----------------------------------------------------------------
 
 def clean_co2(raw: DataFrame, start: int | None, end: int | None) -> DataFrame:
-    """rename -> keep existing columns -> int year -> upper iso3 -> length 3 ->
+    """rename -> keep existing columns -> int year (NULL fails) -> upper iso3 -> length 3 ->
     drop ``OWID*`` -> inclusive year range (open end = no upper bound)."""
     df = select_existing(rename_existing(raw, CO2_RENAME), CO2_COLUMNS)
-    df = df.withColumn("year", F.col("year").cast("int"))
+    df = require_not_null(df.withColumn("year", F.col("year").cast("int")), "year")
     df = iso3_only(df, "iso3", upper=True, drop_owid=True)
     return year_range(df, start, end)
 
@@ -100,6 +100,13 @@ def prepare_panels(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> list[Data
         return [f.result() for f in futures]
 
 
+def unmapped_countries(era5: DataFrame) -> DataFrame:
+    """Country names that enrichment loses because they have no code, in order."""
+    from ..operators.names import unmapped_names
+
+    return unmapped_names(add_iso3(era5.select("country").distinct(), "country", "iso3"))
+
+
 def enrich(era5: DataFrame, owid: DataFrame, wb: DataFrame) -> DataFrame:
     """Temperature x CO2 x indicators on (iso3, year), inner joins of the
     prepared panels after year alignment."""

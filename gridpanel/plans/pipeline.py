@@ -15,6 +15,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.years import parse_year_spec
+from ..operators.dedup import keep_first
 from ..operators.geometry import clean_regions, dissolve_by_name
 from ..operators.quality import require_rows
 from ..sinks.files import write_csv_if_any, write_single_csv, write_year_partitions
@@ -22,8 +23,8 @@ from ..sources.grid import GridSpec, read_grid_years
 from ..sources.polygons import read_geojson_features, regions_from_features
 from ..sources.tables import read_co2_csv, read_indicators, read_parquet_dir
 from .annual import annual_means
-from .panels import clean_co2, enrich, tidy_indicators
-from .publish import PublishStats, publish, publish_rows
+from .panels import clean_co2, enrich, tidy_indicators, unmapped_countries
+from .publish import PublishStats, publish
 
 
 @dataclass
@@ -56,11 +57,8 @@ def load_regions(spark: SparkSession, path: str, country_col: str | None) -> Dat
     if path.endswith(".parquet") or not path.endswith((".json", ".geojson")):
         regions = spark.read.parquet(path)
     else:
-        feats = read_geojson_features(spark, path)
-        try:
-            regions, _ = regions_from_features(feats, country_col)
-        except ValueError:
-            regions, _ = regions_from_features(feats, None)
+        # a configured name column must exist; None looks for a known one
+        regions, _ = regions_from_features(read_geojson_features(spark, path), country_col)
     regions = clean_regions(regions).where(F.col("name").isNotNull())
     return dissolve_by_name(require_rows(regions, "polygon table after cleaning"))
 
@@ -80,7 +78,7 @@ def temperature(spark: SparkSession, grid_path: str, polygons: str, out_dir: str
     write_year_partitions(annual, f"{out_dir}/annual_temp")
     write_csv_if_any(audit, f"{out_dir}/annual_temp/fallback_audit.csv")
     preview = f"{out_dir}/preview/annual_country_temperature_preview_{min(years)}-{max(years)}.csv"
-    write_single_csv(publish_rows(annual), preview)
+    write_single_csv(keep_first(annual, ["country", "year"], ["temp_c"]), preview, sort=["country", "year"])
     return annual
 
 
@@ -99,12 +97,12 @@ def run_pipeline(spark: SparkSession, grid_path: str, polygons: str, co2_csv: st
     owid = read_parquet_dir(spark, f"{out_dir}/owid_co2")
     wbr = read_parquet_dir(spark, f"{out_dir}/worldbank")
     # row count and year range come from observe() on the written plan, so the
-    # plan runs once (the metrics sit above the sort: the sort's sampling pass
-    # would otherwise be counted too)
+    # plan runs once
     obs = Observation("enriched")
-    enriched = enrich(era5, owid, wbr).orderBy("iso3", "year").observe(
+    write_csv_if_any(unmapped_countries(era5), f"{out_dir}/outputs/unmapped_countries.csv")
+    enriched = enrich(era5, owid, wbr).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.min("year").alias("y_min"), F.max("year").alias("y_max"))
-    write_single_csv(enriched, f"{out_dir}/outputs/annual_country_enriched.csv")
+    write_single_csv(enriched, f"{out_dir}/outputs/annual_country_enriched.csv", sort=["iso3", "year"])
     m = obs.get
     stats = annual.agg(F.count_distinct("country").alias("c"), F.count_distinct("year").alias("y")).first()
     pub = None

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.years import year_from_path
+from ..operators.clean import require_not_null
 from ..operators.dedup import keep_first
 from ..operators.quality import check_columns, require_rows
 from ..schemas import ANNUAL_TEMP
 from ..sinks.files import write_single_csv, write_success_marker
+from ..sources.grid import year_folders
 
 REQUIRED = {"country", "year", "temp_c"}
 
@@ -29,15 +30,17 @@ def load_partitions(spark: SparkSession, base_dir: str, min_year: int | None = N
                     max_year: int | None = None) -> DataFrame:
     """Year-partitioned table restricted to [min_year, max_year] on the *path's*
     year (partition pruning), strict schema, enforced types."""
-    # only the year=YYYY directories (the folder may also hold e.g. an audit CSV)
-    df = spark.read.option("basePath", base_dir).parquet(f"{base_dir.rstrip('/')}/year=*")
-    check_columns(df.columns, REQUIRED, base_dir)
-    py = year_from_path(F.col("_metadata.file_path"))
-    if min_year is not None:
-        df = df.where(F.col("year") >= min_year)
-    if max_year is not None:
-        df = df.where(F.col("year") <= max_year)
-    df = df.where(py.isNotNull())
+    # only the year=YYYY folders (there may be e.g. an audit CSV beside them)
+    folders = {y: p for y, p in year_folders(spark, base_dir).items()
+               if (min_year is None or y >= min_year) and (max_year is None or y <= max_year)}
+    if not folders:
+        raise ValueError(f"No rows in {base_dir}: no year from {min_year} to {max_year}")
+    # Spark takes the schema from one file: look at a footer of every partition
+    for folder in folders.values():
+        check_columns([*spark.read.parquet(folder).columns, "year"], REQUIRED, folder)
+    df = spark.read.option("basePath", base_dir).parquet(*folders.values())
+    for key in ("country", "year"):
+        df = require_not_null(df, key)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANNUAL_TEMP.fields])
 
 
@@ -58,8 +61,8 @@ def publish_stats(df: DataFrame) -> DataFrame:
 def publish(spark: SparkSession, base_dir: str, out_csv: str, min_year: int | None = None,
             max_year: int | None = None, success_marker: str | None = None) -> PublishStats:
     df = load_partitions(spark, base_dir, min_year, max_year)
-    rows = publish_rows(require_rows(df, "publish after filtering"))
-    write_single_csv(rows, out_csv)
+    rows = keep_first(require_rows(df, "publish after filtering"), ["country", "year"], ["temp_c"])
+    write_single_csv(rows, out_csv, sort=["country", "year"])
     if success_marker:
         write_success_marker(spark, success_marker)
     s = publish_stats(spark.read.option("header", True).schema(ANNUAL_TEMP).csv(out_csv)).first()

@@ -27,26 +27,29 @@ def write_year_partitions(df: DataFrame, path: str, compression: str = "snappy",
      .option("compression", compression).partitionBy(partition_col).parquet(path))
 
 
-def write_single_csv(df: DataFrame, dst: str, header: bool = True) -> str:
-    """Publish ``df`` (already ordered) as one CSV file at ``dst``.
+def write_single_csv(df: DataFrame, dst: str, header: bool = True, sort: list[str] | None = None) -> str:
+    """Publish ``df`` as one CSV file at ``dst``, sorted by ``sort`` (nulls last).
 
-    Written by one task to a staging directory next to ``dst`` and then renamed
-    into place, so readers never see a partial file. Meant for publication-size
-    tables (country x year); the order of a sorted input is kept because
-    ``coalesce(1)`` concatenates the sorted partitions in order.
+    Written by one task to a staging folder next to ``dst``, sorted inside that task, and
+    renamed over ``dst`` in one step: readers see the old file or the new one. Meant for
+    publication-size tables (country x year).
     """
     staging = f"{dst}.staging-{uuid.uuid4().hex[:8]}"
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(staging)
-    fs, sp, jvm = _fs(df.sparkSession, staging)
-    parts = [s.getPath() for s in fs.listStatus(sp) if s.getPath().getName().startswith("part-")]
+    one = df.coalesce(1)
+    if sort:
+        one = one.sortWithinPartitions(*[one[c].asc_nulls_last() for c in sort])
+    one.write.mode("overwrite").option("header", header).csv(staging)
+    spark = df.sparkSession
+    fs, folder, jvm = _fs(spark, staging)
+    parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one CSV part in {staging}, found {len(parts)}")
-    dp = jvm.org.apache.hadoop.fs.Path(dst)
-    if fs.exists(dp):
-        fs.delete(dp, True)
-    if not fs.rename(parts[0], dp):
-        raise RuntimeError(f"could not move {parts[0]} to {dst}")
-    fs.delete(sp, True)
+    hadoop = jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    context.rename(parts[0], fs.makeQualified(hadoop.Path(dst)), options)
+    fs.delete(folder, True)
     return dst
 
 

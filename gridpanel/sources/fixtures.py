@@ -119,7 +119,10 @@ def indicators_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         series = series.when(F.col("l_linenumber") == i, F.lit(code))
     series = series.otherwise(F.lit(codes[-1]))
     j = li.join(s, li.l_suppkey == s.s_suppkey)
+    # a year without a column would be lost: fail instead
     yr = F.year("l_shipdate")
+    yr = F.when(yr.isin(INDICATOR_YEARS) | yr.isNull(), yr).otherwise(F.raise_error(F.concat(
+        F.lit("no indicator column for the year "), yr.cast("string"))))
     return (j.groupBy(iso_code(F.col("s_nationkey")).alias("economy"), series.alias("series"))
             .agg(*[F.avg(F.when(yr == y, F.col("l_extendedprice"))).alias(f"YR{y}")
                    for y in INDICATOR_YEARS]))

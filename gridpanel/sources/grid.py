@@ -9,6 +9,7 @@ be reproduced.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,19 +67,24 @@ class GridSpec:
     @staticmethod
     def from_facts(facts: DataFrame, lat: str = "lat", lon: str = "lon",
                    lat_descending: bool = True) -> "GridSpec":
-        """Derive regular axes from a long fact table (one small aggregate)."""
-        w = wrap_lon(F.col(lon))
-        r = facts.agg(
-            F.min(lat).alias("a0"), F.max(lat).alias("a1"), F.count_distinct(lat).alias("na"),
-            F.min(w).alias("o0"), F.max(w).alias("o1"), F.count_distinct(w).alias("no"),
-            F.min(lon).alias("s0"),
-        ).first()
-        if r is None or r["na"] == 0:
-            raise ValueError("cannot derive a grid from an empty fact table")
-        dlat = (r["a1"] - r["a0"]) / (r["na"] - 1) if r["na"] > 1 else 1.0
-        dlon = (r["o1"] - r["o0"]) / (r["no"] - 1) if r["no"] > 1 else 1.0
-        return GridSpec(float(r["a0"]), float(dlat), int(r["na"]), float(r["o0"]),
-                        float(dlon), int(r["no"]), lat_descending, float(r["s0"]))
+        """Derive the axes from a long fact table: the distinct latitudes and longitudes
+        (bounded by the grid, not by the rows), which must be evenly spaced."""
+        def axis(c: Column, what: str) -> tuple[float, float, int]:
+            found = sorted(r.x for r in facts.select(c.cast("double").alias("x")).distinct().collect()
+                           if r.x is not None)
+            if not found:
+                raise ValueError("cannot derive a grid from an empty fact table")
+            steps = [b - a for a, b in zip(found, found[1:], strict=False)]
+            step = min(steps, default=1.0)
+            for a, d in zip(found, steps, strict=False):
+                if abs(d - step) > 1e-6 * max(1.0, abs(step)):
+                    raise ValueError(f"{what} axis is not even: step {step:g}, but {a:g} is followed by {a + d:g}")
+            return found[0], (found[-1] - found[0]) / len(steps) if steps else 1.0, len(found)
+
+        lat0, dlat, nlat = axis(F.col(lat), "latitude")
+        lon0, dlon, nlon = axis(wrap_lon(F.col(lon)), "longitude")
+        source = facts.agg(F.min(lon).alias("s0")).first()
+        return GridSpec(lat0, dlat, nlat, lon0, dlon, nlon, lat_descending, float(source["s0"]))
 
 
 def with_cell_keys(facts: DataFrame, grid: GridSpec, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -110,22 +116,35 @@ def normalize_facts(df: DataFrame, value: str = "t2m", lat: str = "latitude", lo
     )
 
 
+def year_folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """``{year: folder}`` of a table partitioned by year that hold a data file."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    found = {}
+    for s in fs.listStatus(p):
+        m = re.fullmatch(r"year=(\d+)", s.getPath().getName())
+        if m and s.isDirectory() and any(not f.getPath().getName().startswith(("_", "."))
+                                         for f in fs.listStatus(s.getPath())):
+            found[int(m[1])] = s.getPath().toString()
+    return found
+
+
 def read_grid_years(spark: SparkSession, path: str, years: list[int], on_missing: str = "error",
                     **normalize_kw) -> tuple[DataFrame, list[int]]:
     """Year-partitioned grid scan (``path/year=YYYY/...``) restricted to ``years``.
 
     Partition pruning keeps the scan to the requested years. Missing years are
-    found from partition discovery (no data is read for it): ``on_missing="error"``
-    raises listing all of them, ``"warn"`` returns them and fails only when no
-    year is present.
+    found by listing the ``year=YYYY`` folders (no data is read for it):
+    ``on_missing="error"`` raises listing all of them, ``"warn"`` returns them and
+    fails only when no year is present.
     """
-    raw = spark.read.parquet(path)
-    landed = (raw.select(F.col("year").cast("int").alias("year")).distinct()
-              .where(F.col("year").isin(years)))
-    have = sorted(r["year"] for r in landed.collect())   # at most len(years) rows
+    have = sorted(set(years) & set(year_folders(spark, path)))
     missing = sorted(set(years) - set(have))
     if missing and (on_missing == "error" or not have):
         raise FileNotFoundError(f"missing grid years: {missing}")
+    raw = spark.read.parquet(path)
     facts = normalize_facts(raw.where(F.col("year").isin(years)), **normalize_kw)
     return facts, missing
 
@@ -145,3 +164,10 @@ def array_grid_to_long(df: DataFrame, lats: list[float] | None = None, lons: lis
         out = out.withColumn("lon", F.element_at(F.array(*[F.lit(float(x)) for x in lons]),
                                                  F.col("lon_pos") + 1))
     return out
+
+
+def as_rows(values: Column, width: int) -> Column:
+    """A flat array as an array of rows of ``width`` values; the last may be shorter."""
+    n = F.ceil(F.size(values) / F.lit(width)).cast("int")
+    rows = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.slice(values, i * width + 1, width))
+    return F.when(F.size(values) > 0, rows)

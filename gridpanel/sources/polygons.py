@@ -7,7 +7,7 @@ needed: GeoJSON coordinates are parsed with ``from_json``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,16 @@ def _to_points(coords4):
 
 def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
     """One row per feature: ``feature_pos, properties, geom_type, parts`` (parts NULL for
-    null/other geometries, empty for empty ones)."""
-    raw = spark.read.schema(_FEATURES).option("multiLine", True).json(path)
-    f = raw.select(F.posexplode("features").alias("feature_pos", "f"))
+    null/other geometries, empty for empty ones). Features are numbered through all
+    files of a folder, in order of the files' paths."""
+    raw = (spark.read.schema(_FEATURES).option("multiLine", True).json(path)
+           .select("features", F.col("_metadata.file_path").alias("file")))
+    # one row per file: where its numbers begin
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    begin = (raw.groupBy("file").agg(F.sum(F.greatest(F.size("features"), F.lit(0))).alias("n"))
+             .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin")))
+    f = (raw.select("file", F.posexplode("features").alias("pos", "f")).join(begin, "file")
+         .select((F.col("begin") + F.col("pos")).cast("int").alias("feature_pos"), "f"))
     gtype = F.col("f.geometry.type")
     coords = F.col("f.geometry.coordinates")
     parts4 = (F.when(gtype == "Polygon", F.array(F.from_json(coords, _POLY)))

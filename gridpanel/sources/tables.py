@@ -24,20 +24,25 @@ def _typed(col: str, t: str):
     if t == "string":
         return v
     cast = F.expr(f"try_cast(`{col}` as {t})")
+    if t == "int":      # pandas may have written it as 2000.0
+        year = F.coalesce(cast, F.expr(f"cast(try_cast(`{col}` as double) as int)"))
+        return F.when(year.isNull(), F.raise_error(F.concat(F.lit(f"{col}: not a whole number: "), F.coalesce(v, F.lit("(empty)"))))
+                      ).otherwise(year)
     return F.when(F.isnan(cast), F.lit(None)).otherwise(cast) if t == "double" else cast
 
 
 def read_co2_csv(spark: SparkSession, path: str) -> DataFrame:
     """CO2 CSV with a header. Columns are read as text (no inference pass over the
-    data) and cast leniently: empty, ``NA``, ``NaN`` and ``null`` become NULL.
-    Only the known columns that exist are kept."""
+    data). Measures are cast leniently: empty, ``NA``, ``NaN`` and ``null`` become NULL.
+    A year that is missing or cannot be read fails the job. Only the known columns that
+    exist are kept."""
     raw = spark.read.option("header", True).option("nullValue", "").option("nanValue", "NaN").csv(path)
     return raw.select(*[_typed(c, t).alias(c) for c, t in CO2_RAW_TYPES.items() if c in raw.columns])
 
 
 def read_indicators(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Wide indicator table (id, series, one column per year). Year columns are
-    found by name later; values are cast to double there."""
+    """Wide indicator table (id, series, one column per year). Year columns are found by
+    name later; there values become double, and NaN and text such as ``..`` NULL."""
     if fmt == "csv":
         return spark.read.option("header", True).csv(path)
     return spark.read.format(fmt).load(path)

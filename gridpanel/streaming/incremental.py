@@ -23,20 +23,23 @@ from ..sinks.files import write_year_partitions
 YearJob = Callable[[DataFrame], DataFrame]
 
 
-def annual_year_job(regions: DataFrame, grid, buffer_m: float = 0.0, weighted: bool = True,
+def annual_year_job(regions: DataFrame, grid, buffer_m: float = 0.0, cap_km: float = 25.0, weighted: bool = True,
                     value: str = "t2m", lat: str = "latitude", lon: str = "longitude",
                     time: str | None = None) -> YearJob:
-    """A per-batch job whose region cover is computed once and checkpointed to the
-    shared folder (it depends on the polygons and the grid, not on the batch)."""
-    from ..plans.annual import direct_annual_means, region_cover
+    """A per-batch job that gives what ``annual_means`` gives, fallback rows included. The
+    cover with its fallback cells is computed once and checkpointed to the shared folder
+    (it depends on the polygons and the grid, not on the batch)."""
+    from ..operators.geometry import one_region_per_name
+    from ..plans.annual import cover_with_fallback, means_over_cover
     from ..sources.grid import normalize_facts
 
-    cover = region_cover(regions, grid, buffer_m).checkpoint()
+    regions = one_region_per_name(regions)
+    direct, fallback, _ = cover_with_fallback(regions, grid, buffer_m, cap_km)
+    cover = direct.unionByName(fallback).checkpoint()
 
     def job(src: DataFrame) -> DataFrame:
         facts = normalize_facts(src, value=value, lat=lat, lon=lon, time=time)
-        return direct_annual_means(facts, regions, grid, weighted=weighted, cover=cover).select(
-            "country", "year", "temp_c")
+        return means_over_cover(facts, regions, grid, cover, weighted)
     return job
 
 

@@ -6,9 +6,12 @@
 * the regional mean aggregates partially before its shuffle.
 """
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
+from gridpanel.plans.catalog import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -19,7 +22,7 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products_or_python(spark, name):
     plan = physical(E.queries()[name](spark, SMOKE))
     for bad in FORBIDDEN:
@@ -29,9 +32,9 @@ def test_no_cross_products_or_python(spark, name):
 def test_flagship_scan_is_pruned_and_aggregates_partially(spark):
     df = E.queries()["annual_means_box"](spark, SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    # lineitem read with the five columns the facts need
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double," \
-           "l_shipdate:timestamp_ntz>" in plan or "l_extendedprice" not in plan
+    # lineitem read with the five columns the facts need, and no other
+    read = [set(re.findall(r"(\w+):", m)) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
+    assert {"l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"} in read
     assert "BroadcastHashJoin" in plan
     assert "partial_sum" in plan and "partial_avg" in plan
 

@@ -66,8 +66,10 @@ def test_year_from_path(spark):
 
 
 def test_year_range_variants():
-    from gridpanel.functions.years import default_two_year_window, parse_year_range
+    from gridpanel.functions.years import last_years
 
-    assert parse_year_range("2022-2023") == [2022, 2023]
-    assert parse_year_range("2023") == [2023]
-    assert default_two_year_window(2023) == "2022-2023"
+    assert parse_year_spec("2022-2023", lists=False) == [2022, 2023]
+    assert parse_year_spec("2023", lists=False) == [2023]
+    assert last_years(2023) == "2022-2023"
+    with pytest.raises(ValueError):
+        parse_year_spec("2022,2023", lists=False)
