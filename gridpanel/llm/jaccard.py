@@ -46,9 +46,9 @@ MINIMA = 4
 BUCKET_POSTINGS = 500_000   # prefix postings of a bucket, about
 LONG = 200                  # classes on a list that is no longer paired
 SHARD_SETS = 1_000          # sets in an index shard, about
-QUERIES = 500               # queries of a shard in one group, about
+QUERIES = 100               # queries of a shard in one group, about
 BLOOM_SHIFTS = (0, 18, 37)  # the filter's positions are these bits of an id's hash
-BLOOM_BITS = 27             # at most, of the filter of the documents whose sets are needed
+BLOOM_BITS = 25             # at most, of the filter of the documents whose sets are needed
 SLICE = 1 << 20
 
 _U = np.uint64
@@ -273,7 +273,7 @@ def _sketch(source: DataFrame) -> np.ndarray:
                          "n": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
 
     out = np.zeros(cells, np.uint16)
-    for r in source.mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toLocalIterator():
+    for r in source.mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").collect():
         out[r.part * step:(r.part + 1) * step] = np.frombuffer(r.n, "<u2")
     return out
 
@@ -340,9 +340,9 @@ def _bloom(needed: DataFrame) -> tuple[np.ndarray, int]:
     at = F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(cells - 1)) for k in BLOOM_SHIFTS]))
     words = (needed.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("value")))
-    out = np.zeros(max(1, cells >> 5), np.uint32)
-    for r in words.toLocalIterator():
-        out[r.word] = r.value
+    found = words.toPandas()        # at most cells / 32 rows
+    out = np.zeros(cells >> 5, np.uint32)
+    out[found.word.to_numpy()] = found.value.to_numpy().astype(np.uint32)
     return out, bits
 
 
@@ -382,7 +382,8 @@ def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame
 
 def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame) -> DataFrame:
     """Links (a, b) between the classes of each index shard (rows s1, s2, cls) and its
-    queries (the same columns)."""
+    queries (the same columns): of the links that a task finds, a spanning forest, which
+    has the same components and fewer links than classes."""
     spark = source.sparkSession
     index = written(spark, index.distinct(), "index")
     queries = written(spark, queries.distinct(), "queries")
@@ -399,9 +400,18 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
         if rows.num_rows and asked.num_rows:
             ids = rows["cls"].to_pylist()
             shard = Shard([np.frombuffer(x, np.uint64) for x in rows["set"].to_pylist()])
+            above: dict[int, int] = {}
+
+            def top(v: int) -> int:
+                while (u := above.get(v, v)) != v:
+                    above[v] = v = above.get(u, u)
+                return v
+
             for c, x in zip(asked["q_cls"].to_pylist(), asked["q_set"].to_pylist(), strict=True):
                 for i in shard.search(np.frombuffer(x, np.uint64)):
-                    if ids[i] != c:
+                    u, v = top(c), top(ids[i])
+                    if u != v:      # of a group's links only those that tie it together
+                        above[u] = v
                         a.append(min(c, ids[i]))
                         b.append(max(c, ids[i]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})

@@ -288,7 +288,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begin = counts.withColumn("begin", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     histogram = np.zeros(size + 1, np.int64)
-    for r in pieces.groupBy("length").agg(F.count("*").alias("n")).toLocalIterator():
+    for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():
         histogram[r.length] = r.n
     shared = spark.sparkContext.broadcast(plan_packing(histogram, size))
     numbered = (pieces.join(begin, ["part", "length"])
