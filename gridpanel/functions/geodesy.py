@@ -96,11 +96,6 @@ def point_segment_distance2(px, py, x0, y0, x1, y1) -> Column:
     return F.pow(ex, 2) + F.pow(ey, 2)
 
 
-def point_segment_distance(px, py, x0, y0, x1, y1) -> Column:
-    """Planar distance from point P to segment [A, B] (all Columns, same units)."""
-    return F.sqrt(point_segment_distance2(px, py, x0, y0, x1, y1))
-
-
 _QP = (1 - _E2) * (1 / (1 - _E2) - math.log((1 - _E) / (1 + _E)) / (2 * _E))
 _E4, _E6 = _E2 * _E2, _E2 * _E2 * _E2
 _B2 = _E2 / 3 + 31 * _E4 / 180 + 517 * _E6 / 5040

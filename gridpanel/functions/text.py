@@ -43,10 +43,6 @@ def _tables():
     return "".join(single_src), "".join(single_dst), multi, spaces
 
 
-def _class(chars) -> str:
-    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
-
-
 def strip_unicode(c: Column) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
     return F.btrim(c, F.lit("".join(_tables()[3])))

@@ -38,7 +38,8 @@ def year_from_path(path: Column) -> Column:
 
 
 def years_missing(requested: DataFrame, landed: DataFrame) -> DataFrame:
-    """Requested years with no landed data (what an incremental run must load)."""
+    """Requested years that are not among the landed ones: what an incremental run must
+    load. Give it the valid rows of ``landed_partition_report`` to load broken years again."""
     return requested.join(landed.select("year").distinct(), "year", "left_anti")
 
 

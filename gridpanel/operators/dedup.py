@@ -25,7 +25,3 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column] | None
     payload = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
     out = df.groupBy(*keys).agg(F.min_by(payload, ordkey).alias("_row"))
     return out.select(*[F.col(k) for k in keys], *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*cols)
-
-
-def sort_nulls_last(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])

@@ -96,16 +96,3 @@ def region_edges(regions: DataFrame) -> DataFrame:
         F.col("s.a.lon").alias("x0"), F.col("s.a.lat").alias("y0"),
         F.col("s.b.lon").alias("x1"), F.col("s.b.lat").alias("y1"),
     )
-
-
-def region_vertices(regions: DataFrame) -> DataFrame:
-    """One row per vertex (closing vertex excluded): ``region_id, part_id, ring_id, lon, lat``."""
-    p = regions.select("region_id", F.posexplode("parts").alias("part_id", "part"))
-    r = p.select("region_id", "part_id", F.posexplode("part").alias("ring_id", "ring"))
-    v = r.select("region_id", "part_id", "ring_id", F.posexplode("ring").alias("k", "pt"),
-                 F.size("ring").alias("n"), F.element_at("ring", 1).alias("first"),
-                 F.element_at("ring", -1).alias("last"))
-    closing = ((F.col("k") == F.col("n") - 1) & (F.col("first.lon") == F.col("last.lon"))
-               & (F.col("first.lat") == F.col("last.lat")) & (F.col("n") > 1))
-    return v.where(~closing).select("region_id", "part_id", "ring_id",
-                                    F.col("pt.lon").alias("lon"), F.col("pt.lat").alias("lat"))

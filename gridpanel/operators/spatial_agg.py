@@ -42,8 +42,3 @@ def annual_from_monthly(monthly: DataFrame, key: str = "region_id",
                         carry: list[str] | None = None) -> DataFrame:
     """``(key, *carry, year, temp_c)``: unweighted mean over the months of each year."""
     return monthly.groupBy(key, *(carry or []), "year").agg(F.avg("mt").alias("temp_c"))
-
-
-def region_annual_means(facts: DataFrame, cover: DataFrame, weighted: bool = True,
-                        key: str = "region_id") -> DataFrame:
-    return annual_from_monthly(regional_monthly(facts, cover, weighted, key), key)

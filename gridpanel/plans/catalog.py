@@ -312,11 +312,12 @@ def haversine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # lines per pair first, then one distance per pair
     j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-         .join(s, li.l_suppkey == s.s_suppkey).join(sb, "s_nationkey").join(cb, "c_nationkey"))
+         .join(s, li.l_suppkey == s.s_suppkey).groupBy("s_nationkey", "c_nationkey").agg(F.count("*").alias("n_lines"))
+         .join(sb, "s_nationkey").join(cb, "c_nationkey"))
     km = haversine_km(F.col("slat"), F.col("slon"), F.col("clat"), F.col("clon"))
-    return j.groupBy("s_nationkey", "c_nationkey").agg(F.count("*").alias("n_lines"),
-                                                       F.round(F.avg(km), 6).alias("avg_km"))
+    return j.select("s_nationkey", "c_nationkey", "n_lines", F.round(km, 6).alias("avg_km"))
 
 
 @query("grid_mesh")
@@ -498,6 +499,20 @@ def years_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years_missing(years_df(spark, "1990-2005"), landed)
 
 
+@query("years_to_reload")
+def years_to_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested years that are not landed, or landed with less than twelve months."""
+    from ..functions.years import years_df, years_missing
+    from ..session import scratch_path
+    from ..sinks.files import write_year_partitions
+    from ..sources.tables import landed_partition_report
+
+    path = scratch_path(spark, "grid")
+    write_year_partitions(fx.grid_facts(spark, sf_dir).withColumn("year", F.year("valid_time")), path)
+    report = landed_partition_report(spark, path, ["valid_time", "latitude", "longitude", "t2m"])
+    return years_missing(years_df(spark, "1994-2002"), report.where("valid"))
+
+
 @query("years_outside")
 def years_outside_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.years import years_df, years_outside

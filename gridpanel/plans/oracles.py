@@ -9,6 +9,8 @@ definition the Spark plans must reproduce.
 
 from __future__ import annotations
 
+import math
+
 GRID_FACTS = """
 grid_facts as (
   select date_trunc('month', l_shipdate) as time, year(l_shipdate) as year,
@@ -303,8 +305,16 @@ ORACLES["cover_scanline"] = _with(GRID_FACTS, CUST_BOX, AXES, TRI_EDGES, _TRI_IN
     "select region_id, lat, lon from inside"
 
 def _ease_sql():
-    from ..functions.geodesy import K0, WGS84_A, _E, _E2
-
+    # public constants written out here: a wrong value in the library must not pass.
+    # Extents of the grid: x of 180 degrees 17367530.445 m, y of the pole 7342230.136 m.
+    WGS84_A, f = 6378137.0, 1 / 298.257223563
+    _E2 = f * (2 - f)
+    _E = math.sqrt(_E2)
+    K0 = math.cos(math.radians(30)) / math.sqrt(1 - _E2 * math.sin(math.radians(30)) ** 2)
+    pole = 1 - _E2
+    pole = pole * (1 / (1 - _E2) - math.log((1 - _E) / (1 + _E)) / (2 * _E))
+    assert abs(WGS84_A * K0 * math.pi - 17367530.445) < 1e-3
+    assert abs(WGS84_A / (2 * K0) * pole - 7342230.136) < 2e-3
     x = f"({WGS84_A * K0!r} * radians({{lon}}))"
     s = "sin(radians({lat}))"
     q = (f"({1 - _E2!r} * ({s} / (1.0 - {_E2!r} * {s} * {s}) - "
@@ -520,3 +530,7 @@ from grid_facts where year in (1996, 1998) group by year"""
 ORACLES["publish_csv_lines"] = f"""
 select cast(row_number() over (order by country, year) as int) as line_no, country, year
 from ({_FLAGSHIP}) f where year between 1996 and 2000"""
+
+ORACLES["years_to_reload"] = _with(GRID_FACTS) + """
+select cast(y as int) as year from generate_series(1994, 2002) t(y)
+where y not in (select year from grid_facts group by year having count(distinct month(time)) = 12)"""

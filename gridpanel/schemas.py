@@ -8,14 +8,7 @@ ANNUAL_TEMP = StructType([
     StructField("temp_c", DoubleType()),
 ])
 
-FALLBACK_AUDIT = StructType([
-    StructField("country", StringType()),
-    StructField("status", StringType()),
-    StructField("min_km", DoubleType()),
-    StructField("near_lat", DoubleType()),
-    StructField("near_lon", DoubleType()),
-])
-
+# Raw CO2 column -> output column (fixed values).
 CO2_RENAME = {
     "iso_code": "iso3",
     "country": "country",
@@ -48,12 +41,7 @@ INDICATORS = {
     "VA.EST": "wgi_voice_accountability",
 }
 
-INDICATORS_TIDY = StructType(
-    [StructField("iso3", StringType()), StructField("year", IntegerType())]
-    + [StructField(v, DoubleType()) for v in INDICATORS.values()]
-)
-
 ERA5_KEEP = ["iso3", "year", "country", "temp_c"]
-OWID_KEEP = ["iso3", "year", "co2_mt", "co2_t_per_capita", "share_global_co2_pct", "consumption_co2_mt"]
+OWID_KEEP = ["iso3", "year", *(f.name for f in CO2.fields if isinstance(f.dataType, DoubleType))]
 WB_KEEP = ["iso3", "year"] + list(INDICATORS.values())
 ENRICHED_COLUMNS = ERA5_KEEP + OWID_KEEP[2:] + WB_KEEP[2:]

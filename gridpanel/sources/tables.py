@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.years import year_from_path
+from .grid import year_folders
 
 # Raw CO2 columns used downstream and their types; every other column is ignored.
 CO2_RAW_TYPES = {
@@ -79,14 +80,16 @@ def landed_partition_report(spark: SparkSession, path: str, required: list[str],
                             time_col: str = "valid_time", months: int = 12) -> DataFrame:
     """Validity of each landed year: ``year, n_rows, n_months, valid``.
 
-    A year is valid when its files can be read with the required columns, hold
-    rows, and cover ``months`` distinct months. One aggregate over the landed
-    table; used to decide which years must be (re)loaded."""
-    df = spark.read.parquet(path)
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"landed data lacks required columns {missing}")
-    return (df.groupBy(F.col("year").cast("int").alias("year"))
-            .agg(F.count("*").alias("n_rows"),
-                 F.count_distinct(F.month(time_col)).alias("n_months"))
-            .withColumn("valid", (F.col("n_rows") > 0) & (F.col("n_months") == months)))
+    A year is valid when its files hold the required columns and rows of ``months``
+    distinct months. The columns are checked on a footer of each year's folder, so that one
+    bad year is a row of the report and not an error; the rows of the others are counted by
+    one aggregate. Tells which years must be loaded again (``years_missing``)."""
+    folders = year_folders(spark, path)
+    good = {y: p for y, p in folders.items() if set(required) <= set(spark.read.parquet(p).columns)}
+    schema = "year int, n_rows bigint, n_months bigint"
+    report = spark.createDataFrame([(y, 0, 0) for y in sorted(set(folders) - set(good))], schema)
+    if good:
+        rows = spark.read.option("basePath", path).parquet(*good.values())
+        report = report.unionByName(rows.groupBy(F.col("year").cast("int").alias("year")).agg(
+            F.count("*").alias("n_rows"), F.count_distinct(F.month(time_col)).alias("n_months")))
+    return report.withColumn("valid", (F.col("n_rows") > 0) & (F.col("n_months") == months))

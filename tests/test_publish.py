@@ -19,7 +19,7 @@ def annual(spark):
 
 
 def test_schema_mismatch_message():
-    with pytest.raises(ValueError, match=r"missing=\['temp_c'\] unexpected=\['x'\]"):
+    with pytest.raises(ValueError, match=r"temp_c \(lacking\), x \(not expected\)"):
         check_columns(["country", "year", "x"], {"country", "year", "temp_c"})
 
 

@@ -19,7 +19,7 @@ from conftest import poly, regions_df
 
 
 def box(x, y, h=1.0):
-    return poly([(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h), (x - h, y - h)])
+    return [poly([(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h), (x - h, y - h)])]
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 12, 16])
