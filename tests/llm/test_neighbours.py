@@ -42,7 +42,7 @@ def test_recall_and_scores_on_clusters(spark):
 
 
 def test_odd_vectors_ties_and_repeats(spark):
-    rows = [(0, [1, 0]), (1, [2, 0]), (2, [3, 0]), (3, [0, 1]), (4, None), (5, []), (6, [0, 0]), (7, [None, 1]),
+    rows = [(0, [1, 0]), (1, [2, 0]), (2, [3, 0]), (3, [0, -1]), (4, None), (5, []), (6, [0, 0]), (7, [None, 1]),
             (8, [float("nan"), 1]), (9, [float("inf"), 1]), (10, [1, 0, 0]), (11, [1e-20, 0]), (None, [1, 0]),
             (1, [2, 0]), (2, [5, 5]), (-50, [-1, 0]), (50, [1e30, 1e30])]
     df = frame(spark, rows)
