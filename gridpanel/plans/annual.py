@@ -17,7 +17,7 @@ from ..operators.cover import buffered_cover
 from ..operators.geometry import one_region_per_name, region_edges, region_names
 from ..operators.joins import sized_broadcast
 from ..operators.spatial_agg import regional_monthly, annual_from_monthly
-from ..sources.grid import GridSpec, with_cell_keys
+from ..sources.grid import GridSpec, grids_by_year, with_cell_keys
 
 
 def region_cover(regions: DataFrame, grid: GridSpec, buffer_m: float = 0.0) -> DataFrame:
@@ -106,3 +106,22 @@ def fallback_means(facts: DataFrame, regions: DataFrame, grid: GridSpec, buffer_
     regions = one_region_per_name(regions)
     _, fallback, _ = cover_with_fallback(regions, grid, buffer_m, cap_km, use_representative_point)
     return means_over_cover(facts, regions, grid, fallback)
+
+
+def annual_means_by_extent(facts: DataFrame, regions: DataFrame, buffer_m: float = 15000.0, cap_km: float = 25.0,
+                           weighted: bool = True, use_representative_point: bool = True,
+                           grids: list[tuple[GridSpec, list[int]]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``annual_means`` for years whose grids differ: cover, missing set and fallback are
+    decided for each extent, so a region outside of one year's grid gets its nearest node in
+    that year alone. The audit has a row for each region and year."""
+    regions = one_region_per_name(regions)
+    annual = audit = None
+    for grid, years in grids if grids is not None else grids_by_year(facts):
+        own = facts.where(F.col("year").isin(years))
+        a, b = annual_means(own, regions, grid, buffer_m, cap_km, weighted, use_representative_point)
+        b = b.withColumn("year", F.explode(F.array(*[F.lit(y) for y in years])))
+        annual = a if annual is None else annual.unionByName(a)
+        audit = b if audit is None else audit.unionByName(b)
+    if annual is None:
+        raise ValueError("cannot derive a grid from an empty fact table")
+    return annual, audit

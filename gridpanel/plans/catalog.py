@@ -224,6 +224,17 @@ def fallback_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("country", "year", r6("temp_c"))
 
 
+@query("fallback_by_year")
+def fallback_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual means where one year's grid ends at the equator: regions south of it fall
+    back in that year alone."""
+    from .annual import annual_means_by_extent
+
+    facts = facts_of(spark, sf_dir).where((F.col("year") != 1997) | (F.col("lat") >= 0))
+    out, _ = annual_means_by_extent(facts, _boxes(spark, sf_dir), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+    return out.select("country", "year", r6("temp_c"))
+
+
 @query("nearest_cell")
 def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.nearest import nearest_node

@@ -275,6 +275,18 @@ select name as country,
        case when km <= 230.0 then lon end as near_lon
 from missing"""
 
+def _full_of(where: str) -> str:
+    facts = GRID_FACTS.replace("from lineitem)", f"from lineitem where {where})")
+    return _with(facts, REGIONS_BOX, BOX_CELLS, FALLBACK) + """
+select country, year, round(temp_c, 6) as temp_c from direct
+union all
+select country, year, round(temp_c, 6) from fb where country not in (select country from direct)"""
+
+
+ORACLES["fallback_by_year"] = f"""
+select * from ({_full_of("year(l_shipdate) <> 1997")}) a union all
+select * from ({_full_of("year(l_shipdate) = 1997 and l_partkey % 37 <= 18")}) b"""
+
 ORACLES["nearest_cell"] = _with(GRID_FACTS, CUST_BOX, AXES) + """,
 y as (select region_id, lon0, lon1, clon, lat0, lat1, (lat0 + lat1) / 2.0 as sy from cust_box),
 x as (select region_id, sy, lon1 + (sy - lat0) / ((lat1 - lat0) / (clon - lon1)) as xa,

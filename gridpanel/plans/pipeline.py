@@ -8,6 +8,7 @@ come back to the driver are one-row statistics.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,10 @@ from ..operators.dedup import keep_first
 from ..operators.geometry import clean_regions, dissolve_by_name
 from ..operators.quality import require_rows
 from ..sinks.files import write_csv_if_any, write_single_csv, write_year_partitions
-from ..sources.grid import GridSpec, read_grid_years
+from ..sources.grid import GridSpec, grids_by_year, read_grid_years
 from ..sources.polygons import read_geojson_features, regions_from_features
 from ..sources.tables import read_co2_csv, read_indicators, read_parquet_dir
-from .annual import annual_means
+from .annual import annual_means_by_extent
 from .panels import clean_co2, enrich, tidy_indicators, unmapped_countries
 from .publish import PublishStats, publish
 
@@ -59,7 +60,11 @@ def load_regions(spark: SparkSession, path: str, country_col: str | None) -> Dat
     else:
         # a configured name column must exist; None looks for a known one
         regions, _ = regions_from_features(read_geojson_features(spark, path), country_col)
-    regions = clean_regions(regions).where(F.col("name").isNotNull())
+    regions = clean_regions(regions)
+    unnamed = regions.where(F.col("name").isNull()).count()
+    if unnamed:
+        warnings.warn(f"{path}: {unnamed} features without a name are left out", stacklevel=2)
+        regions = regions.where(F.col("name").isNotNull())
     return dissolve_by_name(require_rows(regions, "polygon table after cleaning"))
 
 
@@ -68,12 +73,11 @@ def temperature(spark: SparkSession, grid_path: str, polygons: str, out_dir: str
     years = parse_year_spec(cfg.years)
     facts, missing = read_grid_years(spark, grid_path, years, **cfg.grid_columns)
     regions = load_regions(spark, polygons, cfg.country_col)
-    # axes from one landed year (every time step holds the whole grid); partition
-    # pruning keeps this to one year's lat/lon columns instead of the whole table
-    first = min(set(years) - set(missing))
-    grid = cfg.grid or GridSpec.from_facts(facts.where(F.col("year") == first))
-    annual, audit = annual_means(facts, regions, grid, cfg.buffer_m, cfg.cap_km, cfg.weighted,
-                                 cfg.use_representative_point)
+    # axes of each landed year from its first time step (a step holds the whole grid)
+    landed = sorted(set(years) - set(missing))
+    grids = [(cfg.grid, landed)] if cfg.grid else grids_by_year(facts, first_step=True)
+    annual, audit = annual_means_by_extent(facts, regions, cfg.buffer_m, cfg.cap_km, cfg.weighted,
+                                           cfg.use_representative_point, grids)
     annual = annual.where(F.col("year").isin(years)).checkpoint()
     write_year_partitions(annual, f"{out_dir}/annual_temp")
     write_csv_if_any(audit, f"{out_dir}/annual_temp/fallback_audit.csv")

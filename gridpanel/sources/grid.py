@@ -69,9 +69,18 @@ class GridSpec:
                    lat_descending: bool = True) -> "GridSpec":
         """Derive the axes from a long fact table: the distinct latitudes and longitudes
         (bounded by the grid, not by the rows), which must be evenly spaced."""
-        def axis(c: Column, what: str) -> tuple[float, float, int]:
-            found = sorted(r.x for r in facts.select(c.cast("double").alias("x")).distinct().collect()
-                           if r.x is not None)
+        def axis(c: Column) -> list[float]:
+            return [r.x for r in facts.select(c.cast("double").alias("x")).distinct().collect() if r.x is not None]
+
+        source = facts.agg(F.min(lon).alias("s0")).first()["s0"]
+        return GridSpec.from_axes(axis(F.col(lat)), axis(wrap_lon(F.col(lon))), source, lat_descending)
+
+    @staticmethod
+    def from_axes(lats: list[float], lons: list[float], src_lon0: float | None,
+                  lat_descending: bool = True) -> "GridSpec":
+        """From the values of both axes (longitudes wrapped), which must be evenly spaced."""
+        def regular(found: list[float], what: str) -> tuple[float, float, int]:
+            found = sorted(found)
             if not found:
                 raise ValueError("cannot derive a grid from an empty fact table")
             steps = [b - a for a, b in zip(found, found[1:], strict=False)]
@@ -81,10 +90,24 @@ class GridSpec:
                     raise ValueError(f"{what} axis is not even: step {step:g}, but {a:g} is followed by {a + d:g}")
             return found[0], (found[-1] - found[0]) / len(steps) if steps else 1.0, len(found)
 
-        lat0, dlat, nlat = axis(F.col(lat), "latitude")
-        lon0, dlon, nlon = axis(wrap_lon(F.col(lon)), "longitude")
-        source = facts.agg(F.min(lon).alias("s0")).first()
-        return GridSpec(lat0, dlat, nlat, lon0, dlon, nlon, lat_descending, float(source["s0"]))
+        return GridSpec(*regular(lats, "latitude"), *regular(lons, "longitude"), lat_descending,
+                        None if src_lon0 is None else float(src_lon0))
+
+
+def grids_by_year(facts: DataFrame, first_step: bool = False) -> list[tuple[GridSpec, list[int]]]:
+    """The grids that the years are on, each with its years: usually one for all. A year's
+    file may have another extent. ``first_step`` looks at the first time step of each year
+    only, which is enough where every step holds the whole grid. The driver sees one pair of
+    axes for each year."""
+    if first_step:
+        first = facts.groupBy("year").agg(F.min("time").alias("time"))
+        facts = facts.join(first, ["year", "time"], "left_semi")
+    rows = facts.groupBy("year").agg(F.collect_set("lat").alias("lats"), F.collect_set(wrap_lon(F.col("lon"))).alias("lons"),
+                                     F.min("lon").alias("s0")).collect()
+    by: dict[GridSpec, list[int]] = {}
+    for r in sorted(rows, key=lambda r: r.year):
+        by.setdefault(GridSpec.from_axes(r.lats, r.lons, r.s0), []).append(r.year)
+    return list(by.items())
 
 
 def with_cell_keys(facts: DataFrame, grid: GridSpec, lat: str = "lat", lon: str = "lon") -> DataFrame:
