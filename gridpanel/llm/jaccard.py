@@ -46,7 +46,8 @@ MINIMA = 4
 BUCKET_POSTINGS = 500_000   # prefix postings of a bucket, about
 LONG = 200                  # classes on a list that is no longer paired
 SHARD_SETS = 1_000          # sets in an index shard, about
-QUERIES = 100               # queries of a shard in one group, about
+QUERIES = 2_000             # queries of a shard in one group, about; its sets go to each group
+LONG_QUERIES = 250          # the same for long lists, where a query is more work
 BLOOM_SHIFTS = (0, 18, 37)  # the filter's positions are these bits of an id's hash
 BLOOM_BITS = 25             # at most, of the filter of the documents whose sets are needed
 SLICE = 1 << 20
@@ -380,7 +381,7 @@ def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame
     return found.join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("set").alias("set"))
 
 
-def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame) -> DataFrame:
+def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame, at_once: int) -> DataFrame:
     """Links (a, b) between the classes of each index shard (rows s1, s2, cls) and its
     queries (the same columns): of the links that a task finds, a spanning forest, which
     has the same components and fewer links than classes."""
@@ -388,7 +389,7 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
     index = written(spark, index.distinct(), "index")
     queries = written(spark, queries.distinct(), "queries")
     sets = written(spark, _sets(source, classes, index.select("cls").union(queries.select("cls")).distinct()), "sets")
-    parts = (queries.groupBy("s1", "s2").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts")))
+    parts = (queries.groupBy("s1", "s2").agg(F.ceil(F.count("*") / at_once).cast("int").alias("parts")))
     left = (index.join(parts, ["s1", "s2"]).withColumn("s3", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .drop("parts").join(sets, "cls"))
     right = (queries.join(parts, ["s1", "s2"]).withColumn("s3", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
@@ -434,7 +435,7 @@ def _search_pairs(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> Da
              .withColumn("s1", F.when(F.col("salts") > 1, F.col("query")).otherwise(F.pmod(F.xxhash64("query"), F.lit(buckets))))
              .withColumn("s2", F.when(F.col("salts") > 1, F.pmod(F.xxhash64("member"), F.col("salts")) + 1).otherwise(0)))
     return _search(source, classes, dealt.select("s1", "s2", F.col("member").alias("cls")),
-                   dealt.select("s1", "s2", F.col("query").alias("cls")))
+                   dealt.select("s1", "s2", F.col("query").alias("cls")), QUERIES)
 
 
 def _anchor_pairs(classes: DataFrame) -> DataFrame:
@@ -517,7 +518,7 @@ def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame) -> D
     routes = (asking.select("token", "cls", "n").join(shards, "token")
               .where((high * 100 / SHARE + 1 >= F.col("n")) & (low * SHARE / 100 - 1 <= F.col("n")))
               .select("s1", "s2", "cls"))
-    return _search(source, classes, index.select("s1", "s2", "cls"), routes)
+    return _search(source, classes, index.select("s1", "s2", "cls"), routes, LONG_QUERIES)
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

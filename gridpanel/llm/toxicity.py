@@ -38,7 +38,7 @@ PRIOR = 0.15                # the prior is worth so many times the root of the n
 DRIFT = 0.5                 # subtracted from every word
 REPEAT = 8                  # a word that stands among so many words before it says nothing new
 SIGNIFICANT = 0.01          # E-value of a toxic passage
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 BINS, BIN = 400, 0.1        # of the background's word scores, from -20 on
 
 

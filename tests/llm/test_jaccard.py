@@ -61,6 +61,7 @@ def test_matches_all_pairs(spark, documents, monkeypatch, long_, sets, queries):
     monkeypatch.setattr(J, "LONG", long_)
     monkeypatch.setattr(J, "SHARD_SETS", sets)
     monkeypatch.setattr(J, "QUERIES", queries)
+    monkeypatch.setattr(J, "LONG_QUERIES", queries)
     docs = corpus(long_)
     got = J.join(documents(docs, ", cls string, n int, token string, component_id string")).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(docs)
