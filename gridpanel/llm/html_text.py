@@ -7,10 +7,10 @@ sectioning element) it stands in. Lines inside navigation, page headers, footers
 sidebars, notices, adverts, forms, scripts, styles and reader comments - told by
 element, ARIA role, or a whole word of class or id - are boilerplate at once.
 
-The text-to-tag ratio of the lines (characters per tag) is smoothed with a Gaussian
-and cut at a share of its standard deviation. A region of which a line passes is
-content, and all its lines are kept, short ones too; if the page has an article or
-main element, regions outside of them do not compete.
+If the page has an article or main element, all their lines are its text. Else the
+text-to-tag ratio of the lines (characters per tag) is smoothed with a Gaussian and
+cut at a share of its standard deviation; a region of which a line passes is content,
+and all its lines are kept, short ones too.
 
 Defined results: null and empty pages give an empty text; unclosed tags end with
 their parent block; text outside any tag is a line of the page's body; a repeated
@@ -160,13 +160,12 @@ def smooth(ratio: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray
 
 
 def main_lines(lines: list[tuple[str, int, int, bool]], share: float = 0.5) -> list[str]:
-    """Lines of the content regions. A line passes whose ratio, smoothed and by itself
-    (else it may owe it to the next region's lines), is at least ``share`` of the ratios'
-    standard deviation."""
-    if any(x[3] for x in lines):
-        lines = [x for x in lines if x[3]]
-    if not lines:
-        return []
+    """Lines of articles and main elements; of a page without them, of the content regions.
+    A line passes whose ratio, smoothed and by itself (else it may owe it to the next
+    region's lines), is at least ``share`` of the ratios' standard deviation."""
+    inside = [text for text, _, _, within in lines if within]
+    if inside or not lines:
+        return inside
     ratio = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
     passed = np.minimum(smooth(ratio), ratio) >= share * ratio.std()
     content = {lines[i][2] for i in np.flatnonzero(passed).tolist()}

@@ -31,6 +31,13 @@ def test_threshold_drops_link_lists_of_a_page_without_article():
     assert "go" not in got.split() and got.count("\n") == 7
 
 
+def test_short_blocks_of_an_article_in_parts_of_their_own():
+    body = "".join(f"<p>{PARA}{i}</p>" for i in range(5))
+    got = extract(f"<article><div><h1>Title</h1></div>{body}<table><tr><td>c1<td>c22</table>"
+                  f"<blockquote><p>A short quote.</p></blockquote></article>").split("\n")
+    assert got[0] == "Title" and got[6:] == ["c1", "c22", "A short quote."] and len(got) == 9
+
+
 def test_frame(spark):
     rows = [(1, None, "<article><p>x</article>", "t"), (1, None, "<article><p>x</article>", "t"), (None, "u", None, "t"),
             (2, "u", "<article>" + "<p>word &amp; more</p>" * 20_000 + "</article>", "t")]
