@@ -5,7 +5,9 @@ tags end a line, so a line is the text of one block, whatever the page's own lin
 breaks; each line knows how many tags it holds and which region (the innermost
 sectioning element) it stands in. Lines inside navigation, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments - told by
-element, ARIA role, or a whole word of class or id - are boilerplate at once.
+element, ARIA role, or a whole word of class or id - are boilerplate at once. Articles,
+main elements and headings are not judged by class or id, and within an article or main
+element a class or id must name boilerplate as a whole ("share-buttons", not "market-share").
 
 If the page has an article or main element, all their lines are its text. Else the
 text-to-tag ratio of the lines (characters per tag) is smoothed with a Gaussian and
@@ -49,20 +51,47 @@ WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "masthead topbar toolbar share sharing social comment comments commentlist respond reply replies "
                   "disqus discussion pagination pager skip toc".split())
 LAYOUT = frozenset("has with without no is".split())
+#: Elements that are what they are, whatever their class or id.
+UNNAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: Within an article a name holds nothing but words of WORDS and of these; words of FRAME tell nothing.
+FRAME = frozenset("area block body box container content inner item items main outer page post section text wrap "
+                  "wrapper article".split())
+PARTS = FRAME | frozenset("articles bar button buttons count form icon icons label labels link links list notice notices "
+                          "posts reader readers site stories thread user users".split())
+#: Words that alone may as well name content: a note, a menu, a section called after its heading (by id).
+NOTES = frozenset("alert discussion notice notices".split())
+TOPICS = frozenset("advertising banner consent cookie cookies menu navigation promotion reply replies respond".split())
+HEADINGS = TOPICS | frozenset("login newsletter recommended related share sharing signup skip social sponsor sponsored "
+                              "subscribe widget".split())
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
-def _named_boilerplate(attrs) -> bool:
+def _whole_name(words: list[str], topics: frozenset) -> bool:
+    """Whether a class or id of these words names boilerplate within an article."""
+    named = WORDS - NOTES
+    if named.isdisjoint(words) or not all(w in named or w in PARTS for w in words):
+        return False
+    told = set(words) - FRAME
+    return len(told) > 1 or told.isdisjoint(topics)
+
+
+def _named_boilerplate(tag: str, attrs, inside: bool) -> bool:
     for name, value in attrs:
         if not value:
             continue
         if name in ("class", "id"):
+            if tag in UNNAMED:
+                continue
+            topics = HEADINGS if name == "id" else TOPICS
+            if tag in INLINE:
+                topics = topics | {"comment"}   # of a program text
             # "articleComments" and "article-comments" have the same words; "has-sidebar"
             # tells of a layout around the article
             for token in value.split():
                 words = WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-                if words and words[0] not in LAYOUT and not WORDS.isdisjoint(words):
+                if words and words[0] not in LAYOUT and not WORDS.isdisjoint(words) and (
+                        not inside or _whole_name(words, topics)):
                     return True
         elif name == "role" and value.strip().lower() in ROLES:
             return True
@@ -109,12 +138,13 @@ class Lines(HTMLParser):
             self.tags += 1
             self._close_implied(tag)
         skip, region, inside = self._state()
+        within = inside
         if tag in SECTION:
             self.regions += 1
             region = self.regions
             inside = inside or tag in ("article", "main")
         skip = (skip or tag in RAW or tag in BOILERPLATE or tag == "header" and not inside
-                or tag not in ("html", "body") and _named_boilerplate(attrs))
+                or tag not in ("html", "body") and _named_boilerplate(tag, attrs, within))
         if tag in INLINE and not skip:
             return      # only blocks and skipped parts are kept track of
         self.open.append((tag, skip, region, inside))

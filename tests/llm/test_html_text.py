@@ -38,6 +38,18 @@ def test_short_blocks_of_an_article_in_parts_of_their_own():
     assert got[0] == "Title" and got[6:] == ["c1", "c22", "A short quote."] and len(got) == 9
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<article><p>a</p><section id='discussion'><p>b</p></section></article>", "a\nb"),
+    ("<article><section id='market-share'><h2 id='related-work'>Related</h2><p>c</p></section></article>", "Related\nc"),
+    ("<p>out</p><article class='post category-social'><p>d</p></article>", "d"),
+    ("<main id='social'><div class='notice'>Mind.</div><pre><span class='token comment'># x</span> y</pre></main>", "Mind.\n# x y"),
+    ("<article><p>e</p><div class='share-buttons'>s</div><ol class='comment-list'><li>r</ol><div class='related'>t</div>"
+     "<div id='cookie-notice'>n</div></article>", "e"),
+])
+def test_content_of_an_article_with_a_boilerplate_word_in_its_name(html, text):
+    assert extract(html) == text
+
+
 def test_frame(spark):
     rows = [(1, None, "<article><p>x</article>", "t"), (1, None, "<article><p>x</article>", "t"), (None, "u", None, "t"),
             (2, "u", "<article>" + "<p>word &amp; more</p>" * 20_000 + "</article>", "t")]
