@@ -12,6 +12,9 @@ The model is fitted on at most ``per_class`` labelled documents of each class; i
 scored on every word of every text. Nothing but the bounded sample's ids and the
 model is broadcast, and no document is shuffled.
 
+A run of letters that is no single word - of a script without spaces, or of more than
+LONGEST characters - is scored by overlapping pieces that begin at each of its characters.
+
 Defined results: a null or wordless text has no passages and the score of one without
 any; without training rows of both classes every score is 0; repeated rows are
 scored row by row. Other columns are ignored (``remove_toxic`` keeps them).
@@ -31,7 +34,11 @@ from gridpanel.llm.training import labelled_sample, logistic, without_copies
 
 WORD = re.compile(r"[^\W_]+")
 PREFIXES = (3, 4, 5, 6)     # lengths of the prefixes a word's prior comes from
-LONGEST = 40                # of a longer word the first characters stand for it
+LONGEST = 40                # a longer run of letters is many words
+#: Letters of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese.
+UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\u3005-\u3007\u3041-\u309f"
+            "\u30a1-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+HAS_UNSPACED, RUN = re.compile(f"[{UNSPACED}]"), re.compile(f"[{UNSPACED}]+|[^{UNSPACED}]+")
 PER_CLASS = 8_000
 MIN_DOCS = 3
 PRIOR = 0.15                # the prior is worth so many times the root of the number of documents
@@ -42,9 +49,32 @@ CACHE_WORDS = 150_000
 BINS, BIN = 400, 0.1        # of the background's word scores, from -20 on
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Places [start, end) of the text's words, and of the pieces of runs without spaces."""
+    out = []
+    for word in WORD.finditer(text):
+        for run in RUN.finditer(text, *word.span()):
+            a, b = run.span()
+            unspaced = HAS_UNSPACED.match(text, a) is not None
+            if not unspaced and b - a <= LONGEST:
+                out.append((a, b))
+                continue
+            # two characters of an unspaced script; else as long as the longest prefix,
+            # and down to the shortest at the end
+            size, least = (2, 2) if unspaced else (PREFIXES[-1], PREFIXES[0])
+            out += [(i, min(i + size, b)) for i in range(a, max(a + 1, b - least + 1))]
+    return out
+
+
+def words_of(text: str) -> list[str]:
+    found = WORD.findall(text)
+    if max(map(len, found), default=0) > LONGEST or not text.isascii() and HAS_UNSPACED.search(text):
+        return [text[a:b] for a, b in spans(text)]
+    return found
+
+
 def chain(word: str) -> list[str]:
     """Features of a word from the most general to the word itself ("$" ends it)."""
-    word = word[:LONGEST]
     return [word[:n] for n in PREFIXES if len(word) > n] + [word + "$"]
 
 
@@ -63,7 +93,7 @@ def count_features(batches):
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             found = set()
-            for word in set(WORD.findall(text.lower())):
+            for word in set(words_of(text.lower())):
                 found.update(chain(word))
             for f in found:
                 counts.setdefault(f, [0, 0])[label] += 1
@@ -101,7 +131,7 @@ class Scorer:
         return score
 
     def __call__(self, text: str) -> np.ndarray:
-        words = WORD.findall(text.lower())
+        words = words_of(text.lower())
         get, word = self.cache.get, self._word
         found = [word(w) if (s := get(w)) is None else s for w in words]
         scores = np.array(found, float)
@@ -257,8 +287,8 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
         chosen = [(s, float(n)) for s, n in zip(segments, level, strict=True) if n >= -np.log(SIGNIFICANT)]
         if not chosen:
             return []
-        spans = [m.span() for m in WORD.finditer(text.lower())]
-        return [{"start": spans[a][0], "end": spans[b - 1][1], "score": s, "e_value": float(np.exp(-n))}
+        places = spans(text.lower())
+        return [{"start": places[a][0], "end": places[b - 1][1], "score": s, "e_value": float(np.exp(-n))}
                 for (a, b, s), n in chosen]
 
     def task(batches):

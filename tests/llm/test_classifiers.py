@@ -50,6 +50,18 @@ def test_unseen_words_inherit_from_their_stem():
     assert bad > 1 and new > 1 and good < 0
 
 
+def test_runs_without_spaces_are_scored_to_their_end():
+    odds = toxicity.log_odds({"vil": (0, 40), "vile$": (0, 60), "毒蛇$": (0, 60), "plain$": (300, 30)}, 300, 60)
+    scorer = toxicity.Scorer(odds)
+    joined, chinese = "plain" * 20 + "vile", "天地玄黄宇宙洪荒" * 4 + "毒蛇"
+    assert scorer(joined).max() > 1 and scorer(chinese).max() > 1
+    for text in (joined, chinese, "a " + chinese + "word" + joined, "๑ ไทย ok x" + "y" * 40):
+        places = toxicity.spans(text)
+        assert toxicity.words_of(text) == [text[a:b] for a, b in places]
+        assert {i for a, b in places for i in range(a, b)} == {i for i, c in enumerate(text) if toxicity.WORD.match(c)}
+    assert toxicity.words_of("a bc_" + "d" * 40) == ["a", "bc", "d" * 40]
+
+
 @pytest.fixture
 def labelled(documents, spark):
     r = random.Random(5)
