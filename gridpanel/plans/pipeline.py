@@ -73,9 +73,9 @@ def temperature(spark: SparkSession, grid_path: str, polygons: str, out_dir: str
     years = parse_year_spec(cfg.years)
     facts, missing = read_grid_years(spark, grid_path, years, **cfg.grid_columns)
     regions = load_regions(spark, polygons, cfg.country_col)
-    # axes of each landed year from its first time step (a step holds the whole grid)
+    # axes of each landed year from all its time steps (a step may hold a part of the grid)
     landed = sorted(set(years) - set(missing))
-    grids = [(cfg.grid, landed)] if cfg.grid else grids_by_year(facts, first_step=True)
+    grids = [(cfg.grid, landed)] if cfg.grid else grids_by_year(facts)
     annual, audit = annual_means_by_extent(facts, regions, cfg.buffer_m, cfg.cap_km, cfg.weighted,
                                            cfg.use_representative_point, grids)
     annual = annual.where(F.col("year").isin(years)).checkpoint()

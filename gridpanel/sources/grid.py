@@ -94,14 +94,10 @@ class GridSpec:
                         None if src_lon0 is None else float(src_lon0))
 
 
-def grids_by_year(facts: DataFrame, first_step: bool = False) -> list[tuple[GridSpec, list[int]]]:
+def grids_by_year(facts: DataFrame) -> list[tuple[GridSpec, list[int]]]:
     """The grids that the years are on, each with its years: usually one for all. A year's
-    file may have another extent. ``first_step`` looks at the first time step of each year
-    only, which is enough where every step holds the whole grid. The driver sees one pair of
-    axes for each year."""
-    if first_step:
-        first = facts.groupBy("year").agg(F.min("time").alias("time"))
-        facts = facts.join(first, ["year", "time"], "left_semi")
+    file may have another extent; its axes are those of all its time steps, of which one may
+    hold less than another. The driver sees one pair of axes for each year."""
     rows = facts.groupBy("year").agg(F.collect_set("lat").alias("lats"), F.collect_set(wrap_lon(F.col("lon"))).alias("lons"),
                                      F.min("lon").alias("s0")).collect()
     by: dict[GridSpec, list[int]] = {}

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from gridpanel.plans.catalog import FALLBACK_CAP_KM, annual_means_full
-from gridpanel.plans.pipeline import PipelineConfig, run_pipeline
+from gridpanel.plans.pipeline import PipelineConfig, run_pipeline, temperature
 from gridpanel.session import scratch_path
 from gridpanel.sources import fixtures as fx
 from gridpanel.sources.tables import landed_partition_report, read_co2_csv, read_parquet_dir
@@ -68,6 +68,22 @@ def test_pipeline_end_to_end(spark):
     assert read_parquet_dir(spark, f"{out}/owid_co2").count() > 0
 
 
+def test_axes_of_a_year_whose_first_step_holds_a_part_of_the_grid(spark):
+    root = scratch_path(spark, "part-grid")
+    months = spark.sql("select explode(array(1, 2)) as m, explode(sequence(0, 3)) as i").crossJoin(
+        spark.range(8).withColumnRenamed("id", "j")).where("m = 2 or j < 4")
+    facts = months.selectExpr("make_timestamp(2000, m, 1, 0, 0, 0) as valid_time", "cast(10 * i as double) as latitude",
+                              "cast(10 * j as double) as longitude", "273.15 + m as t2m", "2000 as year")
+    facts.write.partitionBy("year").parquet(f"{root}/grid")
+    feats = [{"type": "Feature", "properties": {"name": name}, "geometry": {"type": "Polygon", "coordinates": [
+        [[x, 5], [x + 20, 5], [x + 20, 25], [x, 25], [x, 5]]]}} for name, x in (("Near", 5), ("Far", 55))]
+    spark.createDataFrame([(json.dumps({"type": "FeatureCollection", "features": feats}),)], "v string") \
+        .coalesce(1).write.text(f"{root}/countries.geojson")
+    cfg = PipelineConfig(years="2000", buffer_m=0.0, cap_km=1.0)
+    got = temperature(spark, f"{root}/grid", f"{root}/countries.geojson", f"{root}/out", cfg)
+    assert {r.country: round(r.temp_c, 6) for r in got.collect()} == {"Near": 1.5, "Far": 2.0}
+
+
 def test_co2_csv_nulls(spark):
     path = scratch_path(spark, "co2") + ".csv"
     spark.createDataFrame([("fra", "France", "2000", "NaN", "", "NA")],
