@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridpanel.llm.common import byte_slices
-from gridpanel.llm.training import fold
+from gridpanel.llm.training import fold, without_copies
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -158,33 +158,36 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) ->
 def fit(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang") -> ByteNetwork:
     """Train on about ``per_language`` labelled documents of each language outside the
-    fold, chosen by a hash of the id, and PER_DOCUMENT windows of each."""
+    fold, chosen by a hash of the id, and PER_DOCUMENT windows of each. A repeated id
+    counts once in its language, and so do near copies."""
     known = (docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col, folds) != held_out))
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
              .where(F.col("text").isNotNull()))
-    size = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    size = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")).collect()}
     if not size:
         return ByteNetwork([], {}, *(np.zeros(0) for _ in range(3)))
     languages = sorted(size)
     every = F.create_map(*[F.lit(x) for k in languages for x in (k, max(1, size[k] // per_language))])
-    chosen = known.where(F.pmod(F.xxhash64("id"), every[F.col("lang")]) == 0)
+    label = F.create_map(*[F.lit(x) for i, k in enumerate(languages) for x in (k, i)])
+    chosen = (known.where(F.pmod(F.xxhash64("id"), every[F.col("lang")]) == 0)
+              .groupBy("id", label[F.col("lang")].alias("label")).agg(F.min("text").alias("text")))
+    sample = without_copies(chosen.select("id", "text", "label"))
 
     def cut(batches):
         for batch in batches:
             lang, window = [], []
-            for key, k, text in zip(*(batch.column(c).to_pylist() for c in ("id", "lang", "text")), strict=True):
+            for key, k, text in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "text")), strict=True):
                 if not LETTER.search(text):
                     continue
                 data = to_bytes(text)
                 rng = np.random.default_rng(zlib.crc32(str(key).encode()))
                 for start in rng.integers(0, max(1, len(data) - WINDOW + 1), PER_DOCUMENT).tolist():
-                    lang.append(k)
+                    lang.append(languages[k])
                     window.append(windows(data[start:start + WINDOW])[0].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(window, pa.binary())],
                                              ["lang", "window"])
 
-    most = 2 * PER_DOCUMENT * per_language * len(languages)
-    rows = (chosen.mapInArrow(cut, "lang string, window binary").orderBy("lang", "window").limit(most).toPandas())
+    rows = sample.mapInArrow(cut, "lang string, window binary").toPandas().sort_values(["lang", "window"])
     languages = sorted(set(rows.lang))
     if not languages:
         return ByteNetwork([], {}, *(np.zeros(0) for _ in range(3)))

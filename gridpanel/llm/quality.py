@@ -26,6 +26,7 @@ from gridpanel.llm.training import labelled_sample, without_copies
 
 PASSAGE_WORDS = 64
 PER_CLASS = 2_500
+PER_DOCUMENT = 64       # training passages of a document at most
 HIDDEN, GATE = 24, 12
 STEPS, BATCH, RATE = 500, 64, 0.01
 
@@ -159,12 +160,15 @@ def train(bags: list[np.ndarray], y: np.ndarray, seed: int = 11) -> AttentionNet
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 3, held_out: int = 1,
         per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> AttentionNetwork:
+    """Train on at most ``per_class`` labelled documents of each class outside the fold and,
+    of each, on PER_DOCUMENT passages evenly over its length at most."""
     sample = without_copies(labelled_sample(docs, labels, label_col, folds, held_out, per_class, id_col, text_col))
 
     def bags(batches):
         for batch in batches:
             x, first = encode(batch.column("text").cast(pa.binary()).to_pylist())
-            rows = [x[a:b].astype(np.float16).tobytes() for a, b in zip(first, first[1:], strict=False)]
+            rows = [x[a:b][np.arange(n := min(b - a, PER_DOCUMENT)) * (b - a) // n].astype(np.float16).tobytes()
+                    for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                              ["id", "label", "bag"])
 

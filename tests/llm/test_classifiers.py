@@ -154,6 +154,15 @@ def test_quality_gradient_is_that_of_its_loss():
         assert abs((up - down) / 2e-6 - g[k][i]) < 1e-6, k
 
 
+def test_quality_training_passages_are_bounded(documents, spark, monkeypatch):
+    docs = documents([(1, " ".join(["good"] * 64 * 300)), (2, "bad words"), (3, None)])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int")
+    bags = []
+    monkeypatch.setattr(quality, "train", lambda b, y: bags.extend(len(x) for x in b))
+    quality.fit(docs, labels, folds=10**9, held_out=-1)
+    assert sorted(bags) == [1, 1, quality.PER_DOCUMENT]
+
+
 def test_passage_features():
     x, first = quality.encode([b"a a a b", None, b" ", b"x " * 130])
     assert first.tolist() == [0, 1, 2, 3, 6]
@@ -202,6 +211,19 @@ def test_language_odd_texts_and_filter(net, documents):
     assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} == {4, 5, 6}
 
 
+def test_language_training_counts_ids_and_copies_once(spark, documents, monkeypatch):
+    r, seen = random.Random(3), {}
+    words = {"aa": ["alpha", "beta", "gamma", "delta", "rho"], "zz": ["zorn", "wurm", "topf", "pferd", "kraut"]}
+    rows = [(i, " ".join(f"{r.choice(words[k])}{r.randrange(99)}" for _ in range(30)), k)
+            for i, k in enumerate(["aa", "zz"] * 20)]
+    rows += [(0, rows[0][1] + f" x{i}", "aa") for i in range(200)] + [(1000 + i, rows[2][1], "aa") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language, "train", lambda x, y, languages: seen.update(y=y, languages=languages))
+    language.fit(df, folds=10**9, held_out=-1, per_language=1000)
+    n = np.bincount(seen["y"])
+    assert seen["languages"] == ["aa", "zz"] and 0 < n[0] <= 21 * language.PER_DOCUMENT and n[1] >= 15 * language.PER_DOCUMENT
+
+
 def test_language_without_training_rows(documents):
     none = language.fit(documents([(1, "text")]))
     assert [(x.lang_pred, x.score) for x in language.identify(documents([(1, "text"), (2, None)]), none).collect()] == [("und", 0.0)] * 2
