@@ -83,5 +83,101 @@ FROM r JOIN w d ON d.rid = r.a JOIN w o ON o.rid = r.b LEFT JOIN n ON n.rid = r.
 GROUP BY r.a, d.doc_id
 """
 
+OP12 = f"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all({LOWER_AZ.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT rid, len(ws) < 3 AS few, array_to_string(ws[i:i + 2], ' ') AS sh
+  FROM (SELECT rid, ws, unnest(range(1, greatest(2, len(ws) - 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS i
+  FROM s a JOIN s b ON a.sh = b.sh AND a.few = b.few AND a.rid < b.rid GROUP BY a.rid, b.rid),
+l AS (
+  SELECT a, b FROM p JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rid AS a, rid AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (
+  SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles,
+         coalesce(min(o.doc_id), d.doc_id)::BIGINT AS component_id
+  FROM r JOIN w d ON d.rid = r.a JOIN w o ON o.rid = r.b LEFT JOIN n ON n.rid = r.a GROUP BY r.a, d.doc_id)
+SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM c
+"""
+
+#: The role automaton as a table: state, role, next state. 0 and 3 accept.
+ROLE_MOVES = "(VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS m(st, role, st2)"
+#: State, state after inserts, their number and their lines.
+ROLE_INSERTS = """(VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''),
+  (0, 2, 1, '|user:'), (1, 2, 1, '|user:'), (2, 3, 1, '|assistant:'), (3, 2, 1, '|user:'),
+  (0, 3, 2, '|user:|assistant:'), (1, 3, 2, '|user:|assistant:'), (2, 2, 2, '|assistant:|user:'),
+  (3, 3, 2, '|user:|assistant:')) AS ins(st, st2, n, lines)"""
+BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+OP13 = f"""
+WITH RECURSIVE crc AS (     -- the byte table of CRC-32
+  SELECT list(v ORDER BY i) AS tab
+  FROM (SELECT i, list_reduce(list_prepend(i, range(0, 8)), lambda c, k:
+          CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hit AS (
+  SELECT src.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(key) + 1),
+           lambda j: ascii(key[j])::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS k
+  FROM src CROSS JOIN crc),
+dmg AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hit WHERE k <> 0),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dmg),
+judged AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS c0,
+         CASE WHEN rtrim(text, {BLANKS}) = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(rtrim(text, {BLANKS}), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+  FROM placed),
+facts AS (
+  SELECT g, any_value(conv_id) AS conv_id, max(i) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY g),
+acts AS (       -- what may be done to a turn in a state
+  SELECT g, i, st, st AS st2, 4 AS cost, 'D' AS edit, '' AS line FROM judged CROSS JOIN range(4) s(st)
+  UNION ALL
+  SELECT g, i, m.st, m.st2, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', chr(10) || judged.role || ':' || text
+  FROM judged JOIN {ROLE_MOVES} ON m.role = c WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT g, i, m.st, m.st2, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R',
+         chr(10) || CASE m.role WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+  FROM judged JOIN {ROLE_MOVES} ON m.role <> 's' WHERE fault NOT IN ('blank', 'duplicate')),
+ways AS (
+  SELECT g, i, ins.st, a.st2, 3 * ins.n + a.cost AS cost, repeat('I', ins.n) || edit AS edits,
+         replace(ins.lines, '|', chr(10)) || line AS lines
+  FROM acts a JOIN {ROLE_INSERTS} ON ins.st2 = a.st),
+dp AS (
+  SELECT g, 0::BIGINT AS i, 0 AS st, {{'cost': 0, 'audit': '', 'lines': ''}} AS v FROM facts
+  UNION ALL
+  SELECT g, i, st, min(v) FROM (
+    SELECT dp.g, w.i, w.st2 AS st,
+           {{'cost': v.cost + w.cost, 'audit': v.audit || edits, 'lines': v.lines || w.lines}} AS v
+    FROM dp JOIN ways w ON w.g = dp.g AND w.i = dp.i + 1 AND w.st = dp.st)
+  GROUP BY g, i, st),
+best AS (
+  SELECT g, min({{'cost': v.cost + 3 * ins.n, 'audit': v.audit || repeat('I', ins.n),
+                  'lines': v.lines || replace(ins.lines, '|', chr(10))}}) AS v
+  FROM dp JOIN facts USING (g) JOIN {ROLE_INSERTS} ON ins.st = dp.st AND ins.st2 IN (0, 3)
+  WHERE dp.i = facts.n GROUP BY g)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.cost, 0)::BIGINT AS cost, coalesce(v.audit, '') AS audit,
+       sha256(coalesce(substr(v.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN (facts JOIN best USING (g)) f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES = {"op3_benchmark_decontamination": OP3, "op4_warc_writer": OP4, "op6_ngram_jaccard_join": OP6,
-           "op7_chat_formatting": OP7}
+           "op7_chat_formatting": OP7, "op13_conversation_repair": OP13}

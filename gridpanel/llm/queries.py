@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gridpanel.llm import (chat, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
+from gridpanel.llm import (chat, conversation_repair, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
                            training, warc)
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
@@ -77,7 +77,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.digest_columns(turns, conversation_repair.repair(conversation_repair.damaged(turns)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction,
-    op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing)}
+    op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing,
+    op13_conversation_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
