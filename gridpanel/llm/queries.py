@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from gridpanel.llm import (chat, conversation_repair, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
-                           training, warc)
+                           training, warc, whitening)
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -77,6 +77,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
+            .withColumn("deviation", F.col("deviation").cast("long")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return conversation_repair.digest_columns(turns, conversation_repair.repair(conversation_repair.damaged(turns)))
@@ -85,5 +90,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction,
     op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing,
-    op13_conversation_repair)}
+    op11_embedding_whitening, op13_conversation_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
