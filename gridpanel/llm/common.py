@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpanel.session import scratch_path
 
@@ -33,6 +33,51 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+U = np.uint64
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers with good avalanche (public-domain splitmix64)."""
+    x = x + U(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+    return x ^ (x >> U(31))
+
+
+def set_code(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One signed 64-bit hash for each (non-empty) set of hashes; ``first`` holds the sets'
+    beginnings and the end."""
+    total = np.add.reduceat(mix(code), first[:-1])
+    other = np.bitwise_xor.reduceat(mix(code ^ U(0xD6E8FEB86659FD93)), first[:-1])
+    return mix(total ^ mix(other + (first[1:] - first[:-1]).astype(np.uint64))).view(np.int64)
+
+
+BLOOM_SHIFTS = (0, 18, 37)  # a filter's positions are these bits of a 64-bit hash
+BLOOM_BITS = 25             # of a filter at most: 4 MB
+
+
+def bloom(hashes: DataFrame) -> tuple[np.ndarray, int]:
+    """(words, bits) of a Bloom filter of the column ``h``, built by a bounded aggregate."""
+    bits = min(BLOOM_BITS, max(12, int(12 * max(1, hashes.count())).bit_length()))
+    cells = 1 << bits
+    at = F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(cells - 1)) for k in BLOOM_SHIFTS]))
+    words = (hashes.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("value")))
+    found = words.toPandas()        # at most cells / 32 rows
+    out = np.zeros(cells >> 5, np.uint32)
+    out[found.word.to_numpy()] = found.value.to_numpy().astype(np.uint32)
+    return out, bits
+
+
+def in_bloom(h: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the (unsigned) hashes may be in the filter."""
+    may = np.ones(len(h), bool)
+    for k in BLOOM_SHIFTS:
+        at = (h >> U(k)) & U((1 << bits) - 1)
+        may &= (words[(at >> U(5)).astype(np.int64)] >> (at & U(31)).astype(np.uint32)) & 1 == 1
+    return may
+
+
 def expand_ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(which, value) for every integer value of the ranges [lo, hi)."""
     n = np.maximum(hi - lo, 0)

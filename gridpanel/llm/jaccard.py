@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gridpanel.llm.common import byte_slices, expand_ranges, unused, written
+from gridpanel.llm.common import U as _U, bloom, byte_slices, in_bloom, mix, set_code, unused, written
 
 SHINGLE = 5
 SHARE = 75                  # percent
@@ -48,21 +48,8 @@ LONG = 200                  # classes on a list that is no longer paired
 SHARD_SETS = 1_000          # sets in an index shard, about
 QUERIES = 2_000             # queries of a shard in one group, about; its sets go to each group
 LONG_QUERIES = 250          # the same for long lists, where a query is more work
-BLOOM_SHIFTS = (0, 18, 37)  # the filter's positions are these bits of an id's hash
-BLOOM_BITS = 25             # at most, of the filter of the documents whose sets are needed
 SLICE = 1 << 20
 
-_U = np.uint64
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit integers with good avalanche (public-domain splitmix64)."""
-    x = x + _U(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 #: Odd numbers for a shingle's first to fifth word.
 ORDINALS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -104,14 +91,14 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     up, down = _Powers.of(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + _U(1)) * up[:len(data)], out=total[1:])
-    word = _mix((total[tail] - total[head]) * down[head] + (tail - head).astype(np.uint64))
+    word = mix((total[tail] - total[head]) * down[head] + (tail - head).astype(np.uint64))
     last = np.searchsorted(head, np.cumsum(size))
     words = np.diff(last, prepend=0)
     first = last - words
     count = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
     parts = [word * _U(c) for c in ORDINALS]
     n = len(word) - SHINGLE + 1
-    full = _mix(sum(x[k:k + n] for k, x in enumerate(parts))) if n > 0 else np.zeros(0, np.uint64)
+    full = mix(sum(x[k:k + n] for k, x in enumerate(parts))) if n > 0 else np.zeros(0, np.uint64)
     out = []
     for a, w, c in zip(first.tolist(), words.tolist(), count.tolist(), strict=True):
         if w >= SHINGLE:
@@ -119,7 +106,7 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
             code.sort()
             out.append(code)
         else:
-            out.append(_mix(sum((x[a + k:a + k + 1] for k, x in enumerate(parts[:w])), np.full(c, w, np.uint64))))
+            out.append(mix(sum((x[a + k:a + k + 1] for k, x in enumerate(parts[:w])), np.full(c, w, np.uint64))))
     code = np.concatenate(out)
     first = np.cumsum(count) - count
     new = np.ones(len(code), bool)
@@ -129,13 +116,6 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return code[new], kept[np.concatenate((first, [len(code)]))]
 
 
-def set_code(code: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One signed 64-bit hash for each (non-empty) set."""
-    total = np.add.reduceat(_mix(code), first[:-1])
-    other = np.bitwise_xor.reduceat(_mix(code ^ _U(0xD6E8FEB86659FD93)), first[:-1])
-    return _mix(total ^ _mix(other + (first[1:] - first[:-1]).astype(np.uint64))).view(np.int64)
-
-
 def required(n: int) -> int:
     """Overlap that a set of n shingles needs with any it links to."""
     return -(-SHARE * n // 100)
@@ -240,7 +220,7 @@ def _profiles(source: DataFrame) -> DataFrame:
             if len(has):
                 cls[has] = set_code(code, own)
                 for k in range(MINIMA):
-                    minima[k, has] = np.minimum.reduceat(_mix(code ^ _mix(np.array([k + 1], np.uint64))), own[:-1]).view(np.int64)
+                    minima[k, has] = np.minimum.reduceat(mix(code ^ mix(np.array([k + 1], np.uint64))), own[:-1]).view(np.int64)
             flat, offsets = minima.T.ravel(), np.arange(0, MINIMA * len(n) + 1, MINIMA, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64(), mask=n == 0),
@@ -334,34 +314,17 @@ def _prefix_lists(source: DataFrame, buckets: int) -> DataFrame:
             .groupBy("bucket").applyInArrow(group, "token bigint, cls bigint, n bigint"))
 
 
-def _bloom(needed: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits for the ids' hashes (column h), built by a bounded aggregate."""
-    bits = min(BLOOM_BITS, max(12, int(12 * max(1, needed.count())).bit_length()))
-    cells = 1 << bits
-    at = F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(cells - 1)) for k in BLOOM_SHIFTS]))
-    words = (needed.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("value")))
-    found = words.toPandas()        # at most cells / 32 rows
-    out = np.zeros(cells >> 5, np.uint32)
-    out[found.word.to_numpy()] = found.value.to_numpy().astype(np.uint32)
-    return out, bits
-
-
 def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
     """(cls, set) of the needed classes (column cls). Only documents whose id is that of
     a needed class, or passes its Bloom filter by chance, are shingled again."""
     ids = needed.join(classes.select("cls", "id"), "cls").select(F.xxhash64("id").alias("h")).distinct()
-    shared = source.sparkSession.sparkContext.broadcast(_bloom(ids))
+    shared = source.sparkSession.sparkContext.broadcast(bloom(ids))
 
     def task(batches):
         words, bits = shared.value
         seen = set()
         for batch in batches:
-            h = batch.column("h").to_numpy().view(np.uint64)
-            may = np.ones(len(h), bool)
-            for k in BLOOM_SHIFTS:
-                at = (h >> _U(k)) & _U((1 << bits) - 1)
-                may &= (words[(at >> _U(5)).astype(np.int64)] >> (at & _U(31)).astype(np.uint32)) & 1 == 1
+            may = in_bloom(batch.column("h").to_numpy().view(np.uint64), words, bits)
             for _, code, first in _shingled([batch.filter(pa.array(may))]):
                 n = np.diff(first)
                 has = np.flatnonzero(n)

@@ -180,4 +180,4 @@ LEFT JOIN (facts JOIN best USING (g)) f ON f.conv_id IS NOT DISTINCT FROM o.conv
 """
 
 ORACLES = {"op3_benchmark_decontamination": OP3, "op4_warc_writer": OP4, "op6_ngram_jaccard_join": OP6,
-           "op7_chat_formatting": OP7, "op13_conversation_repair": OP13}
+           "op7_chat_formatting": OP7, "op12_odd_sketch_dedup": OP12, "op13_conversation_repair": OP13}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gridpanel.llm import (chat, conversation_repair, decontaminate, html_text, jaccard, language, neighbours, packing, quality, toxicity,
-                           training, warc, whitening)
+from gridpanel.llm import (chat, conversation_repair, decontaminate, html_text, jaccard, language, neighbours, odd_sketch, packing,
+                           quality, toxicity, training, warc, whitening)
 from gridpanel.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 from gridpanel.session import scratch_path, table
 
@@ -82,6 +82,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("deviation", F.col("deviation").cast("long")))
 
 
+def op12_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return conversation_repair.digest_columns(turns, conversation_repair.repair(conversation_repair.damaged(turns)))
@@ -90,5 +94,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_collision_counting_ann, op2_toxicity, op3_benchmark_decontamination, op4_warc_writer, op5_html_extraction,
     op6_ngram_jaccard_join, op7_chat_formatting, op8_quality_classifier, op9_language_id, op10_best_fit_packing,
-    op11_embedding_whitening, op13_conversation_repair)}
+    op11_embedding_whitening, op12_odd_sketch_dedup, op13_conversation_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
