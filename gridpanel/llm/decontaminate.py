@@ -203,12 +203,12 @@ def _test_sets(benchmark: DataFrame, id_col: str, text_col: str, window: int, ma
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
         items = sorted(((r.i, None if r.t is None else r.t.encode()) for r in part.toLocalIterator()),
                        key=lambda x: (x[0] is not None, x[0] or "", x[1] or b""))
-        yield spark.sparkContext.broadcast(build_test_set(items, window))
+        yield spark.sparkContext.broadcast(vars(build_test_set(items, window)))
 
 
 def _searched(batches, text_col: str, shared, window: int):
     """(record batch slice, counts, spans, matches) for each shard of the batches."""
-    test = shared.value
+    test = TestSet(**shared.value)
     for batch in batches:
         column = batch.column(text_col)
         for a, b in byte_slices(column, SHARD_BYTES):
@@ -249,7 +249,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id"), pa.array(counts, pa.int64()),
                      pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span_type),
-                     pa.array([_named(m, shared.value.item_ids) for m in matches], match_type)],
+                     pa.array([_named(m, shared.value["item_ids"]) for m in matches], match_type)],
                     ["id", "n_words", "spans", "matches"])
         return run
 
@@ -261,7 +261,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
                      pa.array([[{"start": a, "end": b} for a, b in spans[i]] for i in hit], span_type),
-                     pa.array([_named(matches[i], shared.value.item_ids) for i in hit], match_type)],
+                     pa.array([_named(matches[i], shared.value["item_ids"]) for i in hit], match_type)],
                     ["digest", "spans", "matches"])
         return run
 
@@ -275,7 +275,7 @@ def overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         whole = parts.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                             F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
         empty = build_test_set([], window)
-        nothing = docs.sparkSession.sparkContext.broadcast(empty)
+        nothing = docs.sparkSession.sparkContext.broadcast(vars(empty))
         counted = source.select("id", "text").withColumn("digest", F.unhex(F.sha2("text", 256)))
 
         def count(batches):

@@ -49,6 +49,7 @@ SHARD_SETS = 1_000          # sets in an index shard, about
 QUERIES = 2_000             # queries of a shard in one group, about; its sets go to each group
 LONG_QUERIES = 250          # the same for long lists, where a query is more work
 SLICE = 1 << 20
+PIECE = 1 << 20             # bytes of a long text at a time
 
 #: Odd numbers for a shingle's first to fifth word.
 ORDINALS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -76,29 +77,54 @@ class _Powers:
         return cls.up, cls.down
 
 
-def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first hash of each text and the end): per text its sorted distinct shingles."""
-    data = _LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
-    size = np.array([len(t or b"") + 1 for t in texts], np.int64)
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, beginnings) of the words of lower-cased bytes that end with a space."""
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
         edge = np.concatenate(([0], edge))
-    head, tail = edge[::2], edge[1::2]      # the last byte is a space, so every word ends
-    if not len(head):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    head, tail = edge[::2], edge[1::2]
     # a word's polynomial, from sums up to its ends, moved to its own beginning
     up, down = _Powers.of(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + _U(1)) * up[:len(data)], out=total[1:])
-    word = mix((total[tail] - total[head]) * down[head] + (tail - head).astype(np.uint64))
+    return mix((total[tail] - total[head]) * down[head] + (tail - head).astype(np.uint64)), head
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_word_hashes`` in pieces of about PIECE bytes, cut where a word ends."""
+    if len(data) <= 2 * PIECE:
+        return _word_hashes(data)
+    word, head, at = [], [], 0
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        while end < len(data) and not (spaces := np.flatnonzero(_SPACE[data[end - 1:end - 1 + PIECE]])).size:
+            end += PIECE
+        if end < len(data):
+            end += int(spaces[0])
+        w, h = _word_hashes(data[at:end])
+        word.append(w)
+        head.append(h + at)
+        at = end
+    return np.concatenate(word), np.concatenate(head)
+
+
+def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first hash of each text and the end): per text its sorted distinct shingles."""
+    data = _LOWER[np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
+    size = np.array([len(t or b"") + 1 for t in texts], np.int64)
+    word, head = _words(data)       # the last byte is a space, so every word ends
+    if not len(head):
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     last = np.searchsorted(head, np.cumsum(size))
     words = np.diff(last, prepend=0)
     first = last - words
     count = np.where(words >= SHINGLE, words - SHINGLE + 1, np.minimum(words, 1))
-    parts = [word * _U(c) for c in ORDINALS]
     n = len(word) - SHINGLE + 1
-    full = mix(sum(x[k:k + n] for k, x in enumerate(parts))) if n > 0 else np.zeros(0, np.uint64)
+    full = np.zeros(max(0, n), np.uint64)
+    for k, c in enumerate(ORDINALS):
+        full += word[k:k + len(full)] * _U(c)
+    full = mix(full)
     out = []
     for a, w, c in zip(first.tolist(), words.tolist(), count.tolist(), strict=True):
         if w >= SHINGLE:
@@ -106,7 +132,7 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
             code.sort()
             out.append(code)
         else:
-            out.append(mix(sum((x[a + k:a + k + 1] for k, x in enumerate(parts[:w])), np.full(c, w, np.uint64))))
+            out.append(mix(sum((word[a + k:a + k + 1] * _U(o) for k, o in enumerate(ORDINALS[:w])), np.full(c, w, np.uint64))))
     code = np.concatenate(out)
     first = np.cumsum(count) - count
     new = np.ones(len(code), bool)

@@ -29,7 +29,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16            # of each width
 PER_LANGUAGE = 1_500    # training documents of a language, about
-PER_DOCUMENT = 4        # training windows of a document
+PER_WINDOWS = 6_000     # training windows of a language, about, out of all windows of those
 STEPS, BATCH, RATE = 500, 128, 0.01
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
@@ -156,10 +156,11 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) ->
 
 
 def fit(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, id_col: str = "doc_id",
-        text_col: str = "text", lang_col: str = "lang") -> ByteNetwork:
+        text_col: str = "text", lang_col: str = "lang", per_windows: int = PER_WINDOWS) -> ByteNetwork:
     """Train on about ``per_language`` labelled documents of each language outside the
-    fold, chosen by a hash of the id, and PER_DOCUMENT windows of each. A repeated id
-    counts once in its language, and so do near copies."""
+    fold, chosen by a hash of the id, and on about ``per_windows`` of all the windows of
+    these whole texts, by chance. A repeated id counts once in its language, and so do near
+    copies."""
     known = (docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col, folds) != held_out))
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
              .where(F.col("text").isNotNull()))
@@ -173,17 +174,20 @@ def fit(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int =
               .groupBy("id", label[F.col("lang")].alias("label")).agg(F.min("text").alias("text")))
     sample = without_copies(chosen.select("id", "text", "label"))
 
+    windows_of = {r.label: r.n for r in sample.groupBy("label").agg(
+        F.sum(F.ceil(F.greatest(F.octet_length("text"), F.lit(1)) / WINDOW)).alias("n")).collect()}
+    share = {k: min(1.0, per_windows / n) for k, n in windows_of.items()}
+
     def cut(batches):
         for batch in batches:
             lang, window = [], []
             for key, k, text in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "text")), strict=True):
                 if not LETTER.search(text):
                     continue
-                data = to_bytes(text)
-                rng = np.random.default_rng(zlib.crc32(str(key).encode()))
-                for start in rng.integers(0, max(1, len(data) - WINDOW + 1), PER_DOCUMENT).tolist():
-                    lang.append(languages[k])
-                    window.append(windows(data[start:start + WINDOW])[0].tobytes())
+                rows = windows(to_bytes(text))
+                taken = np.random.default_rng(zlib.crc32(str(key).encode())).random(len(rows)) < share[k]
+                lang += [languages[k]] * int(taken.sum())
+                window += [row.tobytes() for row in rows[taken]]
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(window, pa.binary())],
                                              ["lang", "window"])
 
@@ -196,7 +200,7 @@ def fit(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int =
 
 
 def _identified(batches, text_col: str, shared):
-    identify = Identifier(shared.value)
+    identify = Identifier(ByteNetwork(**shared.value))
     for batch in batches:
         column = batch.column(text_col)
         for a, b in byte_slices(column, 2 << 20):
@@ -206,7 +210,7 @@ def _identified(batches, text_col: str, shared):
 def identify(docs: DataFrame, net: ByteNetwork, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: id, lang_pred, score."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(net))
 
     def task(batches):
         for rows, found in _identified(batches, "text", shared):
@@ -221,7 +225,7 @@ def identify(docs: DataFrame, net: ByteNetwork, id_col: str = "doc_id", text_col
 def keep_identified(docs: DataFrame, net: ByteNetwork, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The documents, with all their columns, whose language is found with a score of
     ``least`` or more; undetermined ones go."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(net))
 
     def task(batches):
         for rows, found in _identified(batches, text_col, shared):

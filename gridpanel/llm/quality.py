@@ -15,18 +15,19 @@ without any); repeated rows are scored row by row. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridpanel.llm.common import byte_slices
 from gridpanel.llm.training import labelled_sample, without_copies
 
 PASSAGE_WORDS = 64
 PER_CLASS = 2_500
-PER_DOCUMENT = 64       # training passages of a document at most
+MOST_PASSAGES = 200_000 # of a class' training documents; about 100 MB
 HIDDEN, GATE = 24, 12
 STEPS, BATCH, RATE = 500, 64, 0.01
 
@@ -50,11 +51,33 @@ def _class_table() -> np.ndarray:
 
 TABLE = _class_table()
 FEATURES = CLASSES * CLASSES + 4
+LONG, BLOCK = 1 << 20, 1_024        # bytes of a long text, passages of its blocks
+ROWS = 8_192
+WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 SPACES = np.zeros(256, bool)
 SPACES[list(b" \t\n\r\x0b\x0c")] = True
 
 
+def blocks_of(text: bytes) -> list[bytes]:
+    """A long text in blocks of whole passages, which are encoded one after the other."""
+    at = [m.start() for n, m in enumerate(WORD.finditer(text)) if n % (PASSAGE_WORDS * BLOCK) == 0]
+    return [text[a:b] for a, b in zip([0, *at[1:]], [*at[1:], len(text)], strict=True)]
+
+
 def encode(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_block`` with bounded memory: texts of more than LONG bytes go in blocks of
+    BLOCK passages, between which the line ends."""
+    if not any(t and len(t) > LONG for t in texts):
+        return encode_block(texts)
+    rows, bags = [], []
+    for text in texts:
+        found = [encode_block([b])[0] for b in (blocks_of(text) if text and len(text) > LONG else [text])]
+        rows += found
+        bags.append(sum(len(x) for x in found))
+    return np.concatenate(rows), np.concatenate(([0], np.cumsum(bags)))
+
+
+def encode_block(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(passages x FEATURES, first passage of each text and their end).
 
     Features are square roots of the shares of byte-class pairs, then the share of
@@ -78,11 +101,16 @@ def encode(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros((n, FEATURES), np.float32)
     if not len(head):
         return out, first
-    # byte pairs belong to the passage of the word they begin in or follow
-    of_byte = passage[np.maximum(np.searchsorted(head, np.arange(len(data) - 1), "right") - 1, 0)]
+    # byte pairs belong to the passage of the word they begin in or follow; those before the
+    # first word to the first passage, those between texts and of blank texts to none
+    own = np.repeat(np.arange(len(texts)), size)[:-1]
+    word = np.maximum(np.searchsorted(head, np.arange(len(data) - 1), "right") - 1, 0)
+    of_byte = np.where(doc[word] == own, passage[word], first[own])
+    inside = words[own] > 0
+    inside[(begin + size - 1)[:-1]] = False
     kind = TABLE[data].astype(np.int64)
-    pair = np.bincount(of_byte * CLASSES * CLASSES + kind[:-1] * CLASSES + kind[1:],
-                       minlength=n * CLASSES * CLASSES).reshape(n, -1)
+    code = of_byte * CLASSES * CLASSES + kind[:-1] * CLASSES + kind[1:]
+    pair = np.bincount(code[inside], minlength=n * CLASSES * CLASSES).reshape(n, -1)
     out[:, :-4] = np.sqrt(pair / np.maximum(1, pair.sum(axis=1, keepdims=True)))
     # words by hash: sum of bytes times odd powers of their place in the word
     place = np.arange(len(data)) - head[np.maximum(np.searchsorted(head, np.arange(len(data)), "right") - 1, 0)]
@@ -114,7 +142,8 @@ class AttentionNetwork:
     def forward(self, x: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
         bag = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        h = np.tanh(x @ w["encode"] + w["shift"])
+        # rows in blocks: a long text has very many, and all but their encodings is let go
+        h = np.concatenate([np.tanh(x[a:a + ROWS].astype(float) @ w["encode"] + w["shift"]) for a in range(0, len(x), ROWS)])
         t, g = np.tanh(h @ w["tanh"]), 1 / (1 + np.exp(-(h @ w["gate"])))
         s = (t * g) @ w["attend"]
         s = np.exp(s - np.maximum.reduceat(s, first[:-1])[bag])
@@ -159,20 +188,29 @@ def train(bags: list[np.ndarray], y: np.ndarray, seed: int = 11) -> AttentionNet
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 3, held_out: int = 1,
-        per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> AttentionNetwork:
-    """Train on at most ``per_class`` labelled documents of each class outside the fold and,
-    of each, on PER_DOCUMENT passages evenly over its length at most."""
+        per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text",
+        most_passages: int = MOST_PASSAGES) -> AttentionNetwork:
+    """Train on at most ``per_class`` whole labelled documents of each class outside the fold,
+    in the order of a hash of their ids, as long as they have no more than ``most_passages``
+    passages together (the first document counts whatever its length)."""
     sample = without_copies(labelled_sample(docs, labels, label_col, folds, held_out, per_class, id_col, text_col))
 
     def bags(batches):
         for batch in batches:
             x, first = encode(batch.column("text").cast(pa.binary()).to_pylist())
-            rows = [x[a:b][np.arange(n := min(b - a, PER_DOCUMENT)) * (b - a) // n].astype(np.float16).tobytes()
-                    for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
+            rows = [x[a:b].astype(np.float16).tobytes() for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                              ["id", "label", "bag"])
 
     id_type = sample.schema["id"].dataType.simpleString()
+    # at most 2 * per_class rows are numbered here, by label
+    so_far = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "row").rowsBetween(Window.unboundedPreceding, -1)
+    before = (sample.select("id", "label", F.xxhash64("text").alias("row"), F.size(F.split("text", r"\s+")).alias("words"))
+              .withColumn("before", F.sum(F.ceil(F.col("words") / PASSAGE_WORDS)).over(so_far))
+              .withColumn("own", F.ceil(F.col("words") / PASSAGE_WORDS))
+              .where(F.col("before").isNull() | (F.col("before") + F.col("own") <= most_passages)).select("id", "label", "row"))
+    sample = (sample.withColumn("row", F.xxhash64("text")).join(before, ["id", "label", "row"], "left_semi")
+              .select("id", "text", "label"))
     rows = sample.mapInArrow(bags, f"id {id_type}, label int, bag binary").toPandas().sort_values(["id", "bag"])
     return train([np.frombuffer(b, np.float16).reshape(-1, FEATURES) for b in rows.bag], rows.label.to_numpy())
 
@@ -181,18 +219,18 @@ def score(docs: DataFrame, net: AttentionNetwork, id_col: str = "doc_id", text_c
           with_passages: bool = False) -> DataFrame:
     """Per document row: id, score, and on request the passages' (first word, attention)."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(net))
     attention = pa.list_(pa.struct([("first_word", pa.int64()), ("attention", pa.float64())]))
 
     def task(batches):
-        net = shared.value
+        net = AttentionNetwork(**shared.value)
         for batch in batches:
             column = batch.column("text")
             for a, b in byte_slices(column, 2 << 20):
                 texts = column.slice(a, b - a).cast(pa.binary()).to_pylist()
                 x, first = encode(texts)
                 if net.weights:
-                    f = net.forward(x.astype(float), first)
+                    f = net.forward(x, first)
                     p, weight = f["p"], f["a"]
                 else:
                     p, weight = np.full(len(texts), net.base), np.repeat(1 / np.diff(first), np.diff(first))

@@ -237,29 +237,42 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int
                 scores = scorer(text)
                 if label == 0 and len(scores):
                     bins += np.bincount(np.clip((scores + 20) / BIN, 0, BINS - 1).astype(int), minlength=BINS)
-                # few segments of a text matter: those of the largest scores
-                rows.append((label, len(scores), sorted((s for _, _, s in maximal_segments(scores)), reverse=True)[:64]))
-            label, words, best = zip(*[*rows, (-1, 0, bins.tolist())], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(words, pa.int64()),
-                                              pa.array(best, pa.list_(pa.float64()))], ["label", "words", "best"])
-
-    seen = sample.mapInArrow(scan, "label int, words bigint, best array<double>").toPandas()
-    background = seen[seen.label == -1].best
-    rate = _background_rate(np.sum([np.asarray(b) for b in background], axis=0))
-    texts = seen[seen.label >= 0]
+                    rows.append((len(scores), max((s for _, _, s in maximal_segments(scores)), default=0.0), None))
+            words, best, counts = zip(*[*rows, (0, 0.0, bins.tolist())], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(best, pa.float64()),
+                                              pa.array(counts, pa.list_(pa.int64()))], ["words", "best", "bins"])
+
+    seen = sample.mapInArrow(scan, "words bigint, best double, bins array<bigint>").toPandas()
+    rate = _background_rate(np.sum([np.asarray(b) for b in seen.bins if b is not None], axis=0))
     model = ToxicityModel(odds, rate, 0.0, np.zeros(3))
     # Gumbel location of clean documents' best segments: mean less Euler's constant
-    clean = texts[(texts.label == 0) & (texts.words > 0)]
-    best = np.array([rate * (b[0] if len(b) else 0.0) - np.log(n) for b, n in zip(clean.best, clean.words, strict=True)])
+    clean = seen[seen.words > 0]
+    best = rate * clean.best.to_numpy() - np.log(clean.words.to_numpy(float))
     model.log_k = float(np.median(best) + np.log(np.log(2))) if len(best) else 0.0
-    x = np.array([model.features([(0, 0, s) for s in b], n) for b, n in zip(texts.best, texts.words, strict=True)])
-    model.weights = logistic(x, texts.label.to_numpy().astype(float))
+    calibrated = spark.sparkContext.broadcast(vars(model))
+
+    def evidence(batches):
+        model = ToxicityModel(**calibrated.value)
+        scorer = Scorer(model.odds)
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                scores = scorer(text)
+                found.append(model.features(maximal_segments(scores), len(scores)))
+            best, total = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(best, pa.float64()), pa.array(total, pa.float64())],
+                                             ["label", "best", "total"])
+
+    # two numbers of each whole training text
+    seen = sample.mapInArrow(evidence, "label int, best double, total double").toPandas()
+    seen = seen.sort_values(["label", "best", "total"])
+    model.weights = logistic(seen[["best", "total"]].to_numpy(), seen.label.to_numpy().astype(float))
     return model
 
 
 def _scored(batches, text_col: str, shared):
     """(rows, per row (score, segments, words, text)) in slices of bounded text."""
-    model = shared.value
+    model = ToxicityModel(**shared.value)
     scorer = Scorer(model.odds)
     for batch in batches:
         column = batch.column(text_col)
@@ -276,14 +289,14 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     """Per document row: id, score and the toxic passages (character spans [start, end)
     of the lower-cased text, segment score, E-value)."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     passage = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()),
                                   ("e_value", pa.float64())]))
 
     def passages(segments, words, text):
         if not segments:
             return []
-        level = shared.value.normalized(segments, words)
+        level = ToxicityModel(**shared.value).normalized(segments, words)
         chosen = [(s, float(n)) for s, n in zip(segments, level, strict=True) if n >= -np.log(SIGNIFICANT)]
         if not chosen:
             return []
@@ -305,7 +318,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
 def remove_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents, with all their columns, that score below the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def task(batches):
         for rows, out in _scored(batches, text_col, shared):

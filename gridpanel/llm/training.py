@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridpanel.llm.common import written
+from gridpanel.llm.common import U, byte_slices, mix, written
+from gridpanel.llm.jaccard import shingles
+
+BANDS, ROWS = 16, 3
+SLICE = 1 << 20
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -36,33 +37,47 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
     return texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
 
 
-def _two_minima(text: str) -> tuple[int, int]:
-    """Smallest hashes, under two seeds, of the text's word pairs."""
-    words = re.findall(r"\w+", text.lower()) or [""]
-    pairs = {f"{a} {b}" for a, b in zip(words, words[1:] or words, strict=False)}
-    return tuple(min(xxhash.xxh3_64_intdigest(p, seed) for p in pairs) >> 1 for seed in (1, 2))
+def _bands(codes: np.ndarray) -> np.ndarray:
+    """A hash of each band of the set's MinHash samples."""
+    least = np.array([mix(codes ^ U(k)).min() for k in range(1, BANDS * ROWS + 1)], np.uint64).reshape(BANDS, ROWS)
+    out = np.zeros(BANDS, np.uint64)
+    for column in least.T:
+        out = mix(out ^ column)
+    return out.view(np.int64)
 
 
 def without_copies(sample: DataFrame) -> DataFrame:
-    """The sample with few of the copies and near copies of a text, written once: of
-    rows of one label that share a minimum of their word pairs the smallest id stays.
-    A group of copies would else count as so many witnesses."""
-    id_type = sample.schema["id"].dataType.simpleString()
+    """The sample without copies and near copies of a text, written once: a row goes if
+    a row of the same label and a smaller id has 75 % or more of their five-word shingles in
+    common, checked on the full sets. A group of copies would else count as so many
+    witnesses. Rows that share a band of MinHash samples are compared with the smallest."""
+    spark, id_type = sample.sparkSession, sample.schema["id"].dataType.simpleString()
 
     def task(batches):
         for batch in batches:
-            keys = [_two_minima(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text"), batch.column("label"),
-                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())],
-                ["id", "text", "label", "k1", "k2"])
-
-    kept = sample.mapInArrow(task, f"id {id_type}, text string, label int, k1 bigint, k2 bigint")
-    for key in ("k1", "k2"):
-        kept = (kept.groupBy("label", key)
-                .agg(F.min(F.struct("id", "text", "k1", "k2")).alias("row"))
-                .select("label", "row.id", "row.text", "row.k1", "row.k2"))
-    return written(sample.sparkSession, kept.select("id", "text", "label"), "training")
+            column = batch.column("text")
+            for a, b in byte_slices(column, SLICE):
+                code, first = shingles(column.slice(a, b - a).cast(pa.binary()).to_pylist())
+                sets = [np.sort(code[x:y]) if x < y else np.zeros(1, np.uint64)     # texts without words are alike
+                        for x, y in zip(first.tolist(), first[1:].tolist(), strict=False)]
+                bands = [_bands(s) for s in sets]
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in ("id", "text", "label")),
+                     pa.array([s.view(np.int64) for s in sets], longs), pa.array(bands, longs)],
+                    ["id", "text", "label", "set", "bands"])
+
+    rows = sample.mapInArrow(task, f"id {id_type}, text string, label int, set array<bigint>, bands array<bigint>")
+    rows = written(spark, rows.withColumn("row", F.xxhash64("id", "text")).dropDuplicates(["label", "row"]), "training-sets")
+    keys = rows.select("label", "row", "id", F.posexplode("bands").alias("k", "m"))
+    heads = keys.groupBy("label", "k", "m").agg(F.count("*").alias("c"), F.min(F.struct("id", "row")).alias("head")).where("c > 1")
+    pairs = (keys.join(heads, ["label", "k", "m"]).where(F.col("row") != F.col("head.row"))
+             .select("label", "row", F.col("head.row").alias("head")).distinct())
+    sets = rows.select("label", "row", "set")
+    both = pairs.join(sets, ["label", "row"]).join(sets.toDF("label", "head", "head_set"), ["label", "head"])
+    common = F.size(F.array_intersect("set", "head_set"))
+    copies = both.where(100 * common >= 75 * (F.size("set") + F.size("head_set") - common)).select("label", "row").distinct()
+    return written(spark, rows.join(copies, ["label", "row"], "left_anti").select("id", "text", "label"), "training")
 
 
 def logistic(x, y, ridge: float = 1e-3, steps: int = 50):

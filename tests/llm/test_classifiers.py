@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from gridpanel.llm import language, quality, toxicity
 from gridpanel.llm.training import fold, labelled_sample, without_copies
 
@@ -115,8 +117,66 @@ def test_copies_in_the_sample_are_one_witness(spark):
     assert sorted(r.id for r in without_copies(df).collect()) == [0, 100, 101]
 
 
+def test_a_common_passage_makes_no_copies(spark):
+    r = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"w{r.randrange(10**6)}" for _ in range(20)), i % 2) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " more", i % 2) for i in range(30)]        # 30 near copies
+    df = spark.createDataFrame(rows, "id bigint, text string, label int")
+    assert sorted(r.id for r in without_copies(df).collect()) == list(range(400))
+
+
+def test_repeated_rows_and_other_columns_get_the_same_scores(labelled):
+    docs, labels = labelled
+    more = docs.unionByName(docs.where("doc_id < 20")).withColumns({"score": F.lit("x"), "label": F.lit(1), "id": F.lit("i")})
+    for module in (toxicity, quality):
+        model = module.fit(docs, labels)
+        one = {x.doc_id: x.score for x in module.score(docs, model).collect()}
+        two = module.score(more, model).collect()
+        assert len(two) == more.count() and all(abs(x.score - one[x.doc_id]) < 1e-12 for x in two)
+
+
 # ---- quality ---------------------------------------------------------------------
 
+def plain_scores(net, texts):
+    """The network's scores one text and one passage at a time."""
+    w, out = net.weights, []
+    for text in texts:
+        x, _ = quality.encode([(text or "").encode()])
+        h = [np.tanh(row.astype(float) @ w["encode"] + w["shift"]) for row in x]
+        attend = np.exp([float(np.tanh(a @ w["tanh"]) / (1 + np.exp(-(a @ w["gate"]))) @ w["attend"]) for a in h])
+        z = sum(a * b for a, b in zip(attend / attend.sum(), h, strict=True)) @ w["score"] + w["offset"][0]
+        out.append(1 / (1 + np.exp(-z)))
+    return out
+
+
+def test_quality_scores_against_a_plain_version(labelled):
+    docs, labels = labelled
+    net = quality.fit(docs, labels)
+    rows = docs.orderBy("doc_id").collect()
+    got = {x.doc_id: x.score for x in quality.score(docs, net).collect()}
+    for r, want in zip(rows, plain_scores(net, [r.text for r in rows]), strict=True):
+        assert abs(got[r.doc_id] - want) < 1e-6
+
+
+def test_features_do_not_depend_on_the_texts_beside():
+    texts = [b"One two.", b"  lead", None, b"trail \n", b" \t", b"A-b c!" * 50, b"last"]
+    x, first = quality.encode(texts)
+    for i, t in enumerate(texts):
+        assert (x[first[i]:first[i + 1]] == quality.encode([t])[0]).all(), t
+
+
+def test_quality_reads_long_texts_in_blocks(monkeypatch):
+    text = b"  " + b" ".join(b"w%d." % (i % 37) for i in range(5_000)) + b" \n"
+    whole, first = quality.encode_block([text])
+    monkeypatch.setattr(quality, "LONG", 100)
+    monkeypatch.setattr(quality, "BLOCK", 3)
+    x, f = quality.encode([b"short", text, None])
+    assert f.tolist() == [0, 1, 1 + first[-1], 2 + first[-1]]
+    assert b"".join(quality.blocks_of(text)) == text
+    assert np.abs(x[1:-1] - whole).max() < 0.08     # a byte pair a block differs: the line ends there
+
+
 def test_quality_held_out(labelled, documents):
     docs, labels = labelled
     net = quality.fit(docs, labels)
@@ -154,13 +214,16 @@ def test_quality_gradient_is_that_of_its_loss():
         assert abs((up - down) / 2e-6 - g[k][i]) < 1e-6, k
 
 
-def test_quality_training_passages_are_bounded(documents, spark, monkeypatch):
+def test_quality_trains_on_whole_documents_as_far_as_the_bound(documents, spark, monkeypatch):
     docs = documents([(1, " ".join(["good"] * 64 * 300)), (2, "bad words"), (3, None)])
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int")
     bags = []
     monkeypatch.setattr(quality, "train", lambda b, y: bags.extend(len(x) for x in b))
     quality.fit(docs, labels, folds=10**9, held_out=-1)
-    assert sorted(bags) == [1, 1, quality.PER_DOCUMENT]
+    assert sorted(bags) == [1, 1, 300]
+    bags.clear()
+    quality.fit(docs, labels, folds=10**9, held_out=-1, most_passages=1)
+    assert sorted(bags) == [1, 300]
 
 
 def test_passage_features():
@@ -221,7 +284,9 @@ def test_language_training_counts_ids_and_copies_once(spark, documents, monkeypa
     monkeypatch.setattr(language, "train", lambda x, y, languages: seen.update(y=y, languages=languages))
     language.fit(df, folds=10**9, held_out=-1, per_language=1000)
     n = np.bincount(seen["y"])
-    assert seen["languages"] == ["aa", "zz"] and 0 < n[0] <= 21 * language.PER_DOCUMENT and n[1] >= 15 * language.PER_DOCUMENT
+    assert seen["languages"] == ["aa", "zz"] and 0 < n[0] <= 22 and n[1] >= 15
+    language.fit(df, folds=10**9, held_out=-1, per_language=1000, per_windows=5)
+    assert 0 < np.bincount(seen["y"]).max() <= 12
 
 
 def test_language_without_training_rows(documents):
