@@ -3,16 +3,21 @@
 The page goes once through the standard library's streaming ``html.parser``. Block
 tags end a line, so a line is the text of one block, whatever the page's own line
 breaks; each line knows how many tags it holds and which region (the innermost
-sectioning element) it stands in. Lines inside navigation, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments - told by
-element, ARIA role, or a whole word of class or id - are boilerplate at once. Articles,
-main elements and headings are not judged by class or id, and within an article or main
-element a class or id must name boilerplate as a whole ("share-buttons", not "market-share").
-
-If the page has an article or main element, all their lines are its text. Else the
-text-to-tag ratio of the lines (characters per tag) is smoothed with a Gaussian and
-cut at a share of its standard deviation; a region of which a line passes is content,
-and all its lines are kept, short ones too.
+sectioning element) it stands in. On every page the text-to-tag ratio of all lines
+(characters per tag), menus and notices included, is smoothed with a Gaussian and cut at
+a share of its standard deviation; that decides between the page's regions, and all lines
+of a chosen region are kept, short ones too. What the page says of a region comes first:
+
+* never: navigation, page headers, footers, sidebars, notices, adverts, forms and reader
+  comments, told by element, ARIA role, or a word of class or id. Within an article or
+  main element a class or id must name boilerplate as a whole ("share-buttons", not
+  "market-share"). Scripts, styles and the like are no lines at all.
+* always: articles and main elements, whatever their ratio.
+* by the ratio: parts of an article of which a class or id has a word of boilerplate among
+  others; they are content if their smoothed ratio is not far below the article's. On a
+  page without an article or main element every region that passes the cut.
+* for want of others: articles and main elements that are named like boilerplate
+  themselves (class "comment" or "related").
 
 Defined results: null and empty pages give an empty text; unclosed tags end with
 their parent block; text outside any tag is a line of the page's body; a repeated
@@ -52,15 +57,17 @@ WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "disqus discussion pagination pager skip toc".split())
 LAYOUT = frozenset("has with without no is".split())
 #: Elements that are what they are, whatever their class or id.
-UNNAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6".split())
+#: What a line may be.
+BODY, ARTICLE, SUSPECT, SPARE, NEVER = range(5)
 #: Within an article a name holds nothing but words of WORDS and of these; words of FRAME tell nothing.
 FRAME = frozenset("area block body box container content inner item items main outer page post section text wrap "
                   "wrapper article".split())
 PARTS = FRAME | frozenset("articles bar button buttons count form icon icons label labels link links list notice notices "
-                          "posts reader readers site stories thread user users".split())
+                          "posts reader readers site stories thread user users v x js unit slot zone id module teaser card row".split())
 #: Words that alone may as well name content: a note, a menu, a section called after its heading (by id).
 NOTES = frozenset("alert discussion notice notices".split())
-TOPICS = frozenset("advertising banner consent cookie cookies menu navigation promotion reply replies respond".split())
+TOPICS = frozenset("advertising banner consent cookie cookies menu navigation promotion reply replies".split())
 HEADINGS = TOPICS | frozenset("login newsletter recommended related share sharing signup skip social sponsor sponsored "
                               "subscribe widget".split())
 WORD = re.compile(r"[a-z]+")
@@ -76,51 +83,62 @@ def _whole_name(words: list[str], topics: frozenset) -> bool:
     return len(told) > 1 or told.isdisjoint(topics)
 
 
-def _named_boilerplate(tag: str, attrs, inside: bool) -> bool:
+def _words(token: str) -> list[str]:
+    """"articleComments" and "article-comments" have the same words."""
+    return WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+
+
+def _hidden(attrs) -> bool:
+    for name, value in attrs:
+        value = (value or "").strip().lower()
+        if (name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES
+                or name == "style" and re.search(r"display\s*:\s*none", value)):
+            return True
+    return False
+
+
+def _told_by_name(tag: str, attrs, inside: bool) -> int:
+    """2: a class or id names boilerplate, 1: one holds a word of it among others, 0: none."""
+    told = 0
     for name, value in attrs:
-        if not value:
+        if name not in ("class", "id") or not value or tag in UNNAMED:
             continue
-        if name in ("class", "id"):
-            if tag in UNNAMED:
+        topics = HEADINGS if name == "id" else TOPICS
+        if tag in INLINE:
+            topics = topics | {"comment"}   # of a program text
+        for token in value.split():
+            words = _words(token)
+            if tag == "header" and "header" in words and not {"site", "global"}.isdisjoint(words):
+                return 2
+            # "has-sidebar" tells of a layout around the article
+            if not words or words[0] in LAYOUT or WORDS.isdisjoint(words):
                 continue
-            topics = HEADINGS if name == "id" else TOPICS
-            if tag in INLINE:
-                topics = topics | {"comment"}   # of a program text
-            # "articleComments" and "article-comments" have the same words; "has-sidebar"
-            # tells of a layout around the article
-            for token in value.split():
-                words = WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-                if words and words[0] not in LAYOUT and not WORDS.isdisjoint(words) and (
-                        not inside or _whole_name(words, topics)):
-                    return True
-        elif name == "role" and value.strip().lower() in ROLES:
-            return True
-        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none", value.lower()):
-            return True
-    return any(name == "hidden" for name, _ in attrs)
+            if not inside or _whole_name(words, topics):
+                return 2
+            if not (WORDS - NOTES - topics).isdisjoint(words):
+                told = 1
+    return told
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, region, inside an article or main element)."""
+    """Lines of a page: (text, tags, region, what it may be)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []   # name, boilerplate, region, in article
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.open: list[tuple[str, bool, int, int]] = []    # name, no text of it counts, region, kind
         self.text: list[str] = []
         self.tags = 0
         self.regions = 0
 
-    def _state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, BODY)
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            _, region, inside = self._state()
-            self.lines.append((text, self.tags, region, inside))
+            _, region, kind = self._state()
+            self.lines.append((text, self.tags, region, kind))
         self.text.clear()
         self.tags = 0
 
@@ -137,17 +155,30 @@ class Lines(HTMLParser):
             self.end_line()
             self.tags += 1
             self._close_implied(tag)
-        skip, region, inside = self._state()
-        within = inside
-        if tag in SECTION:
+        skip, region, kind = self._state()
+        if skip or tag in RAW:
+            self.open.append((tag, True, region, kind))
+            return
+        inside = kind in (ARTICLE, SUSPECT, SPARE)
+        told = _told_by_name(tag, attrs, inside or tag in ("article", "main"))
+        if tag in INLINE:       # only what does not count is kept track of
+            if told == 2 or _hidden(attrs) or tag in BOILERPLATE:
+                self.open.append((tag, True, region, kind))
+            return
+        before = kind
+        if kind != NEVER:
+            if _hidden(attrs) or tag in BOILERPLATE or tag == "header" and not inside:
+                kind = NEVER
+            elif tag in ("article", "main"):
+                kind = SPARE if told == 2 else ARTICLE if kind != SUSPECT else kind
+            elif told == 2:
+                kind = NEVER
+            elif told == 1 and kind == ARTICLE:
+                kind = SUSPECT
+        if tag in SECTION or kind != before:
             self.regions += 1
             region = self.regions
-            inside = inside or tag in ("article", "main")
-        skip = (skip or tag in RAW or tag in BOILERPLATE or tag == "header" and not inside
-                or tag not in ("html", "body") and _named_boilerplate(tag, attrs, within))
-        if tag in INLINE and not skip:
-            return      # only blocks and skipped parts are kept track of
-        self.open.append((tag, skip, region, inside))
+        self.open.append((tag, False, region, kind))
 
     def _close_implied(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -189,17 +220,29 @@ def smooth(ratio: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray
     return np.convolve(ratio, kernel)[radius:radius + len(ratio)] / weight
 
 
-def main_lines(lines: list[tuple[str, int, int, bool]], share: float = 0.5) -> list[str]:
-    """Lines of articles and main elements; of a page without them, of the content regions.
-    A line passes whose ratio, smoothed and by itself (else it may owe it to the next
-    region's lines), is at least ``share`` of the ratios' standard deviation."""
-    inside = [text for text, _, _, within in lines if within]
-    if inside or not lines:
-        return inside
-    ratio = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
-    passed = np.minimum(smooth(ratio), ratio) >= share * ratio.std()
-    content = {lines[i][2] for i in np.flatnonzero(passed).tolist()}
-    return [text for text, _, region, _ in lines if region in content]
+def main_lines(lines: list[tuple[str, int, int, int]], share: float = 0.5) -> list[str]:
+    """The lines of the regions chosen. A line passes whose ratio, smoothed and by itself
+    (else it may owe it to the next region's lines), is at least ``share`` of the ratios'
+    standard deviation; a doubtful part of an article must also reach, on the average of its
+    characters, that share of the article's own level."""
+    if not lines:
+        return []
+    size = np.array([len(text) for text, *_ in lines], float)
+    ratio = size / np.maximum(1, [tags for _, tags, *_ in lines])
+    region, kind = (np.array([line[k] for line in lines]) for k in (2, 3))
+    level = np.minimum(smooth(ratio), ratio)
+    cut = share * ratio.std()
+    best = next((k for k in (ARTICLE, SUSPECT, SPARE) if (kind == k).any()), BODY)
+    if best == BODY:
+        content = set(region[(kind == BODY) & (level >= cut)].tolist())
+    else:
+        content = set(region[kind == best].tolist())
+        own = np.average(level[kind == best], weights=size[kind == best])
+        for k in set(region[kind == SUSPECT].tolist()) - content:
+            part = region == k
+            if np.average(level[part], weights=size[part]) >= max(cut, share * own):
+                content.add(k)
+    return [line[0] for line in lines if line[2] in content and line[3] != NEVER]
 
 
 def extract(html: str | None) -> str:

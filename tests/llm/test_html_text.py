@@ -58,3 +58,62 @@ def test_frame(spark):
     assert got == {(1, 1), (None, 0), (2, 20_000 * 12 - 1)} and main_text(df).count() == 4
     assert main_text(df).columns == ["page_id", "url", "text", "n_chars"]
     assert main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='newsletter-box-v2'><p>{}</p></div>", "<div class='promo-unit'>{}</div>", "<div id='ad_300x250'>{}</div>",
+    "<div class='js-ad-slot'><p>{}</p></div>", "<section class='article-comments-v2'><p>{}</p></section>",
+    "<div id='respond'><p>{}</p></div>", "<header class='site-header'><p>{}</p></header>"])
+@pytest.mark.parametrize("words", ["Short.", PARA])
+def test_boilerplate_within_an_article(part, words):
+    html = f"<article><h1>Title</h1><p>{PARA}</p>{part.format(words)}<p>End.</p></article>"
+    assert extract(html) == f"Title\n{PARA.strip()}\nEnd."
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<article><p>Own.</p></article><article class='comment'><p>{PARA}</p></article>", "Own."),
+    (f"<main><h1>T</h1><p>Own.</p><article class='teaser related'><p>{PARA}</p></article></main>", "T\nOwn."),
+    ("<article class='comment'><p>All there is.</p></article>", "All there is."),
+    # the ratio decides about a part that is named in a doubtful way
+    (f"<article><p>{PARA}</p><div class='market-share'><p>{PARA}</p><p>So.</p></div></article>", "\n".join([PARA.strip()] * 2 + ["So."])),
+    (f"<article><p>{PARA}</p><div class='tip-share'><ul><li><a>go</a></li><li><a>to</a></li></ul></div></article>", PARA.strip()),
+])
+def test_regions_of_a_page_with_an_article(html, text):
+    assert extract(html) == text
+
+
+def test_planted_pages():
+    """Pages put together at random from parts whose text is or is not the article's."""
+    import random
+
+    r = random.Random(11)
+
+    def words(n):
+        return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(1, 9))) for _ in range(n)).capitalize() + "."
+
+    def block():
+        kind, t = r.randrange(6), words(r.choice([1, 4, 30, 90]))
+        if kind == 0:
+            return f"<h2>{t}</h2>", [t]
+        if kind == 1:
+            u = words(3)
+            return f"<ul><li>{t}<li>{u}</ul>", [t, u]
+        if kind == 2:
+            return f"<div><section><blockquote><p>{t}</p></blockquote></section></div>", [t]
+        if kind == 3:
+            return f"<table><tr><td>{t}<td>x</table>", [t, "x"]
+        return f"<p>{t[:-1]} <b>&amp;</b> <a href='#'>more</a>.", [f"{t[:-1]} & more."]
+
+    names = ["class='share-buttons'", "id='comments'", "class='ad-slot'", "class='related-posts'", "role='complementary'", "hidden"]
+    for _ in range(150):
+        want, body = [], ""
+        for _ in range(r.randint(1, 12)):
+            html, text = block()
+            body, want = body + html, want + text
+            if r.random() < 0.3:
+                body += f"<div {r.choice(names)}><p>{words(r.choice([2, 60]))}</p></div>"
+        tag = r.choice(["article", "main", "main><article"])
+        end = "</article></main>" if "><" in tag else f"</{tag}>"
+        around = f"<div class='ad'>{words(9)}</div><div><p>{words(40)}</p></div>"
+        page = f"<body><header>{words(5)}</header><nav><a>{words(1)}</a></nav>{around}<{tag}>{body}{end}<footer>{words(30)}</footer>"
+        assert extract(page).split("\n") == want
