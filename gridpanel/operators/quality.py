@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,40 +54,60 @@ def latest_year_stats(df: DataFrame, col: str = "temp_c") -> DataFrame:
         F.stddev_samp(col).alias("std"))
 
 
-def coverage_report(expected: DataFrame, annual: DataFrame, audit: DataFrame,
-                    requested_years: list[int]) -> DataFrame:
+def coverage_report(expected: DataFrame, annual: DataFrame, audit: DataFrame, requested_years: list[int],
+                    source_years: DataFrame | None = None, polygons: DataFrame | None = None) -> DataFrame:
     """One row per check: ``check, severity, n, passed``.
 
-    expected: region names; annual: (country, year, temp_c); audit: fallback audit.
-    Missing countries fail; out-of-range temperatures and unexpected years warn."""
-    names = expected.select(F.col("name").alias("country")).distinct()
-    present = annual.select("country").distinct()
-    used = audit.where(F.col("status") == "fallback_used").select("country").distinct()
-    n_expected = names.select(F.count("*")).scalar()
-    n_fallback = used.select(F.count("*")).scalar()
-    n_direct = present.join(used, "country", "left_anti").select(F.count("*")).scalar()
-    n_missing = names.join(present, "country", "left_anti").select(F.count("*")).scalar()
-    # both checks on the annual table come from one aggregate pass
-    outside = F.when(~F.col("year").isin(requested_years), F.col("year"))
-    wanted = names.select("country", F.explode(F.array(*[F.lit(y) for y in requested_years])).alias("year"))
-    n_gaps = (wanted.join(annual.select("country", "year").distinct(), ["country", "year"], "left_anti")
-              .select(F.count("*")).scalar())
-    in_range = out_of_range_flag(F.col("temp_c"))
-    checks = annual.agg(F.count_distinct(outside).alias("o"), F.count_if(in_range).alias("r"))
-    n_outside = checks.select("o").scalar()
-    n_range = checks.select("r").scalar()
-    spark = annual.sparkSession
-    def row(check, severity, n, passed):
-        return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"),
-                        n.cast("long").alias("n"), passed.cast("boolean").alias("passed"))
-
-    rows = spark.range(1).select(F.explode(F.array(
-        row("countries_expected", "info", n_expected, F.lit(True)),
-        row("direct_coverage", "info", n_direct, F.lit(True)),
-        row("fallback_used", "info", n_fallback, F.lit(True)),
-        row("missing_after_fallback", "error", n_missing, n_missing == 0),
-        row("country_years_missing", "warn", n_gaps, n_gaps == 0),
-        row("years_outside_request", "warn", n_outside, n_outside == 0),
-        row("temp_out_of_range", "warn", n_range, n_range == 0),
-    )).alias("r"))
-    return rows.select("r.*")
+    expected: region names; annual: (country, year, temp_c); audit: fallback audit;
+    source_years: the years that are landed; polygons: one row per region polygon, whose
+    number the regions must have. Missing countries and regions fail; missing source years,
+    gaps, unexpected years and out-of-range temperatures warn. Checks whose table is not
+    given are left out.
+
+    One pass: all tables are tagged and put together, counted per country (pre-aggregated,
+    so a large country costs a row a task), and the countries' counts are added up."""
+    tagged = [
+        expected.select(F.lit("expected").alias("tag"), F.col("name").alias("country")).distinct(),
+        annual.select(F.lit("annual").alias("tag"), "country", "year", "temp_c"),
+        audit.where(F.col("status") == "fallback_used").select(F.lit("fallback").alias("tag"), "country"),
+        expected.select(F.lit("region").alias("tag"), F.col("name").alias("country")),
+    ]
+    if source_years is not None:
+        tagged.append(source_years.select(F.lit("source").alias("tag"), F.col("year").cast("int").alias("year")))
+    if polygons is not None:
+        tagged.append(polygons.select(F.lit("polygon").alias("tag")))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    years = F.array(*[F.lit(y) for y in requested_years])
+
+    def has(tag):
+        return F.col("tag") == tag
+
+    wanted = F.array_contains(years, F.col("year"))
+    per = rows.groupBy("country").agg(
+        *[F.count_if(has(t)).alias(t) for t in ("expected", "annual", "fallback", "region", "polygon")],
+        F.collect_set(F.when(has("annual") & wanted, F.col("year"))).alias("years"),
+        F.collect_set(F.when(has("annual") & ~wanted, F.col("year"))).alias("others"),
+        F.collect_set(F.when(has("source"), F.col("year"))).alias("sources"),
+        F.count_if(has("annual") & out_of_range_flag(F.col("temp_c"))).alias("odd"))
+    known, present, filled = F.col("expected") > 0, F.col("annual") > 0, F.col("fallback") > 0
+    landed = F.flatten(F.collect_list("sources"))
+    total = per.agg(
+        F.count_if(known).alias("countries_expected"),
+        F.count_if(present & ~filled).alias("direct_coverage"),
+        F.count_if(filled).alias("fallback_used"),
+        F.count_if(known & ~present).alias("missing_after_fallback"),
+        F.sum(F.when(known, F.size(years) - F.size("years")).otherwise(0)).alias("country_years_missing"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("others")))).alias("years_outside_request"),
+        F.sum("odd").alias("temp_out_of_range"),
+        F.size(F.array_except(years, landed)).alias("source_years_missing"),
+        F.abs(F.sum("region") - F.sum("polygon")).alias("regions_without_polygon"))
+    checks = {"countries_expected": "info", "direct_coverage": "info", "fallback_used": "info",
+              "missing_after_fallback": "error", "country_years_missing": "warn", "years_outside_request": "warn",
+              "temp_out_of_range": "warn"}
+    if source_years is not None:
+        checks["source_years_missing"] = "warn"
+    if polygons is not None:
+        checks["regions_without_polygon"] = "error"
+    out = [F.struct(F.lit(c).alias("check"), F.lit(severity).alias("severity"), F.col(c).cast("long").alias("n"),
+                    (F.lit(severity == "info") | (F.col(c) == 0)).alias("passed")) for c, severity in checks.items()]
+    return total.select(F.explode(F.array(*out)).alias("r")).select("r.*")

@@ -31,17 +31,17 @@ def melt_years(df: DataFrame, ids: list[str], prefix: str = "yr") -> DataFrame:
 
 
 def pivot_series(long_: DataFrame, index: list[str], series_col: str, values: list[str],
-                 value_col: str = "value") -> DataFrame:
-    """One column per series value: the non-NULL value of each cell (the smallest of
-    several, whatever the rows' order); index keys with no non-NULL value at all are
-    absent; NULL index keys are dropped.
+                 value_col: str = "value", order_col: str | None = None) -> DataFrame:
+    """One column per series value: the non-NULL value of each cell, of several the first
+    by ``order_col`` (without one the smallest, whatever the rows' order); index keys with
+    no non-NULL value at all are absent; NULL index keys are dropped.
 
     The pivot values are given, so no extra pass collects them."""
     src = long_.where(F.col(value_col).isNotNull())
     for k in index:
         src = src.where(F.col(k).isNotNull())
     return (src.groupBy(*index).pivot(series_col, values)
-            .agg(F.min(value_col)))
+            .agg(F.min(value_col) if order_col is None else F.min_by(value_col, order_col)))
 
 
 def grid_mesh(spark, nlat: int, nlon: int, lat_of, lon_of) -> DataFrame:

@@ -49,27 +49,36 @@ def cover_with_fallback(regions: DataFrame, grid: GridSpec, buffer_m: float, cap
                         use_representative_point: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(cover, fallback cells, audit)`` of regions that have distinct names: the cover
     with ``priority`` 0, and the nearest nodes of regions without a cell with 1."""
+    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
+    fb_cells, audit = fallback_cells(regions, direct, grid, cap_km, use_representative_point)
+    return direct, fb_cells.withColumn("priority", F.lit(1)), audit
+
+
+def fallback_cells(regions: DataFrame, direct: DataFrame, grid: GridSpec, cap_km: float,
+                   use_representative_point: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(cells, audit)`` for the regions without a row in the cover ``direct``."""
     from ..operators.nearest import fallback_plan
     from ..operators.shapes import centroid, representative_point
 
-    direct = region_cover(regions, grid, buffer_m).withColumn("priority", F.lit(0)).cache()
     missing = region_names(regions).join(direct.select("region_id").distinct(), "region_id", "left_anti")
     # only regions without a cell need a point
     lone = regions.join(missing.select("region_id"), "region_id", "left_semi")
     pts = (representative_point(lone).withColumnsRenamed({"rx": "plon", "ry": "plat"})
            if use_representative_point else
            centroid(lone).withColumnsRenamed({"cx": "plon", "cy": "plat"}))
-    fb_cells, audit = fallback_plan(missing, pts, grid, cap_km)
-    return direct, fb_cells.withColumn("priority", F.lit(1)), audit
+    return fallback_plan(missing, pts, grid, cap_km)
 
 
 def means_over_cover(facts: DataFrame, regions: DataFrame, grid: GridSpec, cover: DataFrame,
                      weighted: bool = True) -> DataFrame:
     """``(country, year, temp_c)`` over a cover with priorities: direct rows win."""
+    # a region is either direct or fallback, so priority rides along as a key
+    return _direct_wins(regional_monthly(with_cell_keys(facts, grid), sized_broadcast(cover), weighted, carry=["priority"]), regions)
+
+
+def _direct_wins(monthly: DataFrame, regions: DataFrame) -> DataFrame:
     from ..operators.dedup import keep_first
 
-    # a region is either direct or fallback, so priority rides along as a key
-    monthly = regional_monthly(with_cell_keys(facts, grid), sized_broadcast(cover), weighted, carry=["priority"])
     annual = annual_from_monthly(monthly, carry=["priority"])
     out = (annual.join(region_names(regions), "region_id")
            .select(F.col("name").alias("country"), F.col("year").cast("int").alias("year"),
@@ -99,6 +108,32 @@ def annual_means(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = N
     return out, audit.drop("region_id")
 
 
+def annual_means_over_runs(facts: DataFrame, regions: DataFrame, grid: GridSpec | None = None, buffer_m: float = 15000.0,
+                           cap_km: float = 25.0, weighted: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``annual_means`` with the cover as runs of columns: facts meet the runs' ends alone."""
+    from ..operators.runs import monthly_over_runs, runs_of, scanline_runs
+
+    grid = grid or GridSpec.from_facts(facts)
+    regions = one_region_per_name(regions)
+    direct = (runs_of(region_cover(regions, grid, buffer_m)) if buffer_m and buffer_m > 0
+              else scanline_runs(region_edges(regions), grid)).cache()
+    cells, audit = fallback_cells(regions, direct, grid, cap_km)
+    runs = direct.withColumn("priority", F.lit(0)).unionByName(runs_of(cells).withColumn("priority", F.lit(1)))
+    return _direct_wins(monthly_over_runs(facts, grid, runs, weighted, carry=["priority"]), regions), audit.drop("region_id")
+
+
+def annual_means_over_tiles(tiles: DataFrame, regions: DataFrame, grid: GridSpec, buffer_m: float = 0.0,
+                            weighted: bool = True) -> DataFrame:
+    """``(region_id, country, year, temp_c)`` from array tiles, for regions with a cell."""
+    from ..operators.tiles import monthly_over_tiles, tile_weights
+
+    regions = one_region_per_name(regions)
+    weights = tile_weights(region_cover(regions, grid, buffer_m), grid, weighted)
+    annual = annual_from_monthly(monthly_over_tiles(tiles, weights))
+    return annual.join(region_names(regions).withColumnRenamed("name", "country"), "region_id").select(
+        "region_id", "country", F.col("year").cast("int").alias("year"), "temp_c")
+
+
 def fallback_means(facts: DataFrame, regions: DataFrame, grid: GridSpec, buffer_m: float = 15000.0,
                    cap_km: float = 25.0, use_representative_point: bool = True) -> DataFrame:
     """``(country, year, temp_c)`` of the regions filled from their nearest node alone:

@@ -72,6 +72,27 @@ def _round_doubles(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+@query("annual_means_runs")
+def annual_means_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full annual job over runs of columns instead of cells."""
+    from .annual import annual_means_over_runs
+
+    facts = facts_of(spark, sf_dir)
+    out, _ = annual_means_over_runs(facts, _boxes(spark, sf_dir), grid_of(facts), buffer_m=0.0, cap_km=FALLBACK_CAP_KM)
+    return out.select("country", "year", r6("temp_c"))
+
+
+@query("tile_means")
+def tile_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual means from 16 x 16 array tiles of the monthly grid."""
+    from ..operators.tiles import tile_facts
+    from .annual import annual_means_over_tiles
+
+    grid = grid_of()
+    out = annual_means_over_tiles(tile_facts(facts_of(spark, sf_dir), grid), _boxes(spark, sf_dir), grid)
+    return out.select("country", "year", r6("temp_c"))
+
+
 @query("co2_clean")
 def co2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(co2_panel(spark, sf_dir))
@@ -89,6 +110,26 @@ def wb_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(wb_panel(spark, sf_dir))
 
 
+@query("wb_first_rows")
+def wb_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The indicator panel where files hold three rows of each (economy, series): of every
+    cell the first value in the files counts."""
+    from ..session import scratch_path
+    from ..sources.tables import read_indicators
+    from .panels import tidy_indicators
+
+    path = scratch_path(spark, "wb-repeated")
+    wide = fx.indicators_wide(spark, sf_dir)
+    years = [c for c in wide.columns if c.startswith("YR")]
+    takes = F.array(*[F.struct(F.lit(k).alias("take"), F.lit(d).alias("times")) for k, d in enumerate((2.0, 1.0, 3.0))])
+    rows = wide.withColumn("t", F.explode(takes))
+    # the first take has no values for even years
+    cells = [F.when((F.col("t.take") > 0) | F.lit(int(c[2:]) % 2 == 1), F.col(c) * F.col("t.times")).alias(c) for c in years]
+    (rows.repartitionByRange(3, "t.take").sortWithinPartitions("t.take", "economy", "series")
+     .select("economy", "series", *cells).write.parquet(path))
+    return _round_doubles(tidy_indicators(read_indicators(spark, path, ordered=True)))
+
+
 @query("keep_iso3_year")
 def keep_iso3_year_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level rows with mixed-quality codes; first order per (iso3, year)."""
@@ -385,10 +426,46 @@ def path_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .publish import load_partitions, publish_rows
 
-    df = load_partitions(spark, _landed_annual(spark, sf_dir), PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR)
+    df = load_partitions(spark, _landed_annual(spark, sf_dir), PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR, ordered=True)
     return publish_rows(df)
 
 
+@query("publish_first_rows")
+def publish_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with several rows of a (country, year): the first row in the files is published,
+    which is neither the coldest nor the warmest."""
+    from ..session import scratch_path
+    from .publish import load_partitions, publish_rows
+
+    path = scratch_path(spark, "repeated")
+    takes = F.array(*[F.struct(F.lit(k).alias("take"), F.lit(d).alias("more")) for k, d in enumerate((1.0, -2.0, 3.0, 0.5))])
+    rows = annual_means_box(spark, sf_dir).select("country", "year", "temp_c", F.explode(takes).alias("t"))
+    # later takes in later files of the same folder
+    (rows.repartitionByRange(4, "t.take").sortWithinPartitions("year", "t.take", F.desc("country"))
+     .select("country", "year", (F.col("temp_c") + F.col("t.more")).alias("temp_c"))
+     .write.partitionBy("year").parquet(path))
+    df = publish_rows(load_partitions(spark, path, PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR, ordered=True))
+    return df.select("country", "year", r6("temp_c"))
+
+
+@query("partition_drift")
+def partition_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with the files of a landed table: in every third year one of two files
+    holds the temperature as text, in the next one a further column and no country."""
+    from ..session import scratch_path
+    from ..sources.footers import partition_files, partition_problems
+    from .publish import REQUIRED
+
+    path = scratch_path(spark, "drift")
+    rows = annual_means_box(spark, sf_dir)
+    rows.write.partitionBy("year").parquet(path)
+    (rows.where(F.col("year") % 3 == 0).withColumn("temp_c", F.col("temp_c").cast("string")).coalesce(1)
+     .write.mode("append").partitionBy("year").parquet(path))
+    (rows.where(F.col("year") % 3 == 1).select("year", "temp_c", F.lit("x").alias("note")).coalesce(1)
+     .write.mode("append").partitionBy("year").parquet(path))
+    return partition_problems(partition_files(spark, path, REQUIRED))
+
+
 @query("publish_stats")
 def publish_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import scratch_path
@@ -472,7 +549,8 @@ def coverage_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # read several times (scalar subqueries): written once to the shared folder
     annual, audit = (d.checkpoint() for d in _full(spark, sf_dir))
-    return coverage_report(fx.regions_box(spark, sf_dir), annual, audit, list(range(1996, 2001)))
+    boxes, landed = fx.regions_box(spark, sf_dir), facts_of(spark, sf_dir).select("year").distinct()
+    return coverage_report(boxes, annual, audit, list(range(1996, 2004)), landed, _boxes(spark, sf_dir))
 
 
 @query("top_regions")

@@ -132,6 +132,12 @@ ORACLES["wb_melt"] = _with(INDICATORS_WIDE, WB_LONG) + "select iso3, series, yea
 
 ORACLES["wb_tidy"] = _with(INDICATORS_WIDE, WB_LONG, WB_TIDY) + f"select iso3, year, {_r6(_SHORT)} from wb_tidy"
 
+_ODD_TWICE = INDICATORS_WIDE
+for _y in _YEARS:
+    if _y % 2:
+        _ODD_TWICE = _ODD_TWICE.replace(f"l_extendedprice end) as YR{_y}", f"l_extendedprice end) * 2 as YR{_y}")
+ORACLES["wb_first_rows"] = ORACLES["wb_tidy"].replace(INDICATORS_WIDE, _ODD_TWICE)
+
 ORACLES["keep_iso3_year"] = """
 with r as (
   select case when o_orderkey % 50 = 0 then 'OWID_WRL' when o_orderkey % 50 = 1 then 'eu'
@@ -408,6 +414,19 @@ full_ as (select country, year, temp_c from direct
 ORACLES["parquet_roundtrip"] = _FLAGSHIP
 ORACLES["path_year"] = f"select year as path_year, count(*) as n_rows from ({_FLAGSHIP}) f group by year"
 ORACLES["publish_rows"] = f"select * from ({_FLAGSHIP}) f where year between 1996 and 2000"
+ORACLES["publish_first_rows"] = (f"select country, year, round(temp_c + 1.0, 6) as temp_c from ({_FLAGSHIP}) f "
+                                 "where year between 1996 and 2000")
+ORACLES["partition_drift"] = f"""
+with years as (select distinct year from ({_FLAGSHIP}) f)
+select cast(year as int) as year, 'temp_c (string, not double)' as problem, cast(1 as bigint) as n_files from years where year % 3 = 0
+union all select cast(year as int), unnest(['country (lacking)', 'note (not expected)']), 1 from years where year % 3 = 1"""
+ORACLES["annual_means_runs"] = ORACLES["annual_means_full"]
+ORACLES["tile_means"] = _with(GRID_FACTS, REGIONS_BOX) + """,
+one as (select time, year, lat, ((lon + 180) % 360) - 180 as lon, avg(t2m - 273.15) as v from grid_facts group by all),
+m as (select name, year, time, sum(cos(radians(lat))*v)/sum(cos(radians(lat))) as mt
+      from one join regions_box r on lat >= lat0 and lat < lat1 and lon >= lon0 and lon < lon1
+      where v is not null group by name, year, time)
+select name as country, cast(year as int) as year, round(avg(mt), 6) as temp_c from m group by name, year"""
 ORACLES["publish_stats"] = f"""
 select count(distinct year) as n_partitions, count(distinct country) as n_countries, count(*) as n_rows,
        min(year) as y_min, max(year) as y_max
@@ -443,9 +462,10 @@ c as (select
   (select count(*) from used) as n_fallback,
   (select count(*) from (select distinct name from regions_box) e
      where name not in (select country from present)) as n_missing,
-  (select count(*) from (select distinct name from regions_box) e cross join range(1996, 2001) y(y)
+  (select count(*) from (select distinct name from regions_box) e cross join range(1996, 2004) y(y)
      where not exists (select 1 from full_ f where f.country = e.name and f.year = y.y)) as n_gaps,
-  (select count(distinct year) from full_ where year not in (1996, 1997, 1998, 1999, 2000)) as n_outside,
+  (select count(distinct year) from full_ where year not between 1996 and 2003) as n_outside,
+  (select count(*) from range(1996, 2004) y(y) where y not in (select year from grid_facts)) as n_unlanded,
   (select count(*) from full_ where temp_c < -60.0 or temp_c > 60.0) as n_range)
 select 'countries_expected' as "check", 'info' as severity, n_expected as n, true as passed from c
 union all select 'direct_coverage', 'info', n_direct, true from c
@@ -453,7 +473,9 @@ union all select 'fallback_used', 'info', n_fallback, true from c
 union all select 'missing_after_fallback', 'error', n_missing, n_missing = 0 from c
 union all select 'country_years_missing', 'warn', n_gaps, n_gaps = 0 from c
 union all select 'years_outside_request', 'warn', n_outside, n_outside = 0 from c
-union all select 'temp_out_of_range', 'warn', n_range, n_range = 0 from c"""
+union all select 'temp_out_of_range', 'warn', n_range, n_range = 0 from c
+union all select 'source_years_missing', 'warn', n_unlanded, n_unlanded = 0 from c
+union all select 'regions_without_polygon', 'error', 0, true from c"""
 
 ORACLES["top_regions"] = _FULL + """
 select country, year, round(temp_c, 6) as temp_c from full_ where year = (select max(year) from full_)

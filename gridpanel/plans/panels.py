@@ -18,6 +18,7 @@ from ..functions.columns import lower_columns, rename_existing, resolve_id_colum
 from ..operators.clean import iso3_only, keep_iso3_year, require_not_null, year_range
 from ..operators.names import add_iso3
 from ..operators.reshape import melt_years, pivot_series
+from ..operators.source_order import SOURCE_ORDER
 from ..schemas import CO2_COLUMNS, CO2_RENAME, ERA5_KEEP, INDICATORS, OWID_KEEP, WB_KEEP
 
 
@@ -39,11 +40,13 @@ def tidy_indicators(wide: DataFrame, indicators: dict[str, str] = INDICATORS,
     """Wide-by-year indicator table -> ``iso3, year, <one column per indicator>``.
 
     lower-case names -> resolve id column -> 3-letter codes (not upper-cased) ->
-    melt ``yrYYYY`` -> pivot series (first non-NULL) -> short names."""
+    melt ``yrYYYY`` -> pivot series (first non-NULL, in input order where the table has
+    the rows' places) -> short names."""
     df = resolve_id_column(lower_columns(wide))
     df = iso3_only(df.dropna(subset=["iso3"]), "iso3", upper=False, exclude=exclude_codes)
-    long_ = melt_years(df, ["iso3", "series"])
-    wide_ = pivot_series(long_, ["iso3", "year"], "series", list(indicators))
+    placed = [SOURCE_ORDER] if SOURCE_ORDER in df.columns else []
+    long_ = melt_years(df, ["iso3", "series", *placed])
+    wide_ = pivot_series(long_, ["iso3", "year"], "series", list(indicators), order_col=SOURCE_ORDER if placed else None)
     wide_ = rename_existing(wide_, indicators)
     return select_existing(wide_, WB_KEEP)
 

@@ -93,7 +93,7 @@ def run_pipeline(spark: SparkSession, grid_path: str, polygons: str, co2_csv: st
     # ingest panels (K2: per-year partitions, NULL years dropped)
     co2 = clean_co2(read_co2_csv(spark, co2_csv), cfg.co2_start, cfg.co2_end)
     write_year_partitions(co2, f"{out_dir}/owid_co2")
-    wb = tidy_indicators(read_indicators(spark, indicators, indicators_fmt))
+    wb = tidy_indicators(read_indicators(spark, indicators, indicators_fmt, ordered=indicators_fmt in ("csv", "parquet")))
     write_year_partitions(wb, f"{out_dir}/worldbank")
     annual = temperature(spark, grid_path, polygons, out_dir, cfg)
     # enrich from what was written (the same files a separate run would read)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.years import year_from_path
-from .grid import year_folders
+from ..operators.source_order import with_line_order, with_source_order
+from .footers import partition_files
 
 # Raw CO2 columns used downstream and their types; every other column is ignored.
 CO2_RAW_TYPES = {
@@ -41,12 +42,15 @@ def read_co2_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[_typed(c, t).alias(c) for c, t in CO2_RAW_TYPES.items() if c in raw.columns])
 
 
-def read_indicators(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_indicators(spark: SparkSession, path: str, fmt: str = "parquet", ordered: bool = False) -> DataFrame:
     """Wide indicator table (id, series, one column per year). Year columns are found by
-    name later; there values become double, and NaN and text such as ``..`` NULL."""
+    name later; there values become double, and NaN and text such as ``..`` NULL.
+    ``ordered`` adds the rows' place in the files (CSV or Parquet)."""
     if fmt == "csv":
-        return spark.read.option("header", True).csv(path)
-    return spark.read.format(fmt).load(path)
+        scan = spark.read.option("header", True).csv(path)
+        return with_line_order(scan) if ordered else scan
+    scan = spark.read.format(fmt).load(path)
+    return with_source_order(scan) if ordered else scan
 
 
 def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +61,7 @@ def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        raise FileNotFoundError(f"No parquet partitions found in {path}")
+        raise FileNotFoundError(f"{path} holds no year=YYYY folder or file")
     nested = [s for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("year=")]
     flat = [s for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().startswith("year=")
             and s.getPath().getName().endswith(".parquet")]
@@ -69,7 +73,7 @@ def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame:
         parts.append(f.withColumn("year", F.coalesce(F.col("year").cast("int"),
                                                      year_from_path(F.col("_metadata.file_path")))))
     if not parts:
-        raise FileNotFoundError(f"No parquet partitions found in {path}")
+        raise FileNotFoundError(f"{path} holds no year=YYYY folder or file")
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
@@ -80,16 +84,21 @@ def landed_partition_report(spark: SparkSession, path: str, required: list[str],
                             time_col: str = "valid_time", months: int = 12) -> DataFrame:
     """Validity of each landed year: ``year, n_rows, n_months, valid``.
 
-    A year is valid when its files hold the required columns and rows of ``months``
-    distinct months. The columns are checked on a footer of each year's folder, so that one
-    bad year is a row of the report and not an error; the rows of the others are counted by
-    one aggregate. Tells which years must be loaded again (``years_missing``)."""
-    folders = year_folders(spark, path)
-    good = {y: p for y, p in folders.items() if set(required) <= set(spark.read.parquet(p).columns)}
+    A year is valid when every one of its files holds the required columns and its rows
+    are of ``months`` distinct months. The executors read the footers of all files; a bad
+    file makes its year a row of the report and not an error, and the other years' months
+    are counted by one aggregate. Tells which years must be loaded again (``years_missing``)."""
+    files = partition_files(spark, path, dict.fromkeys(required), exact=False)
+    by_year = files.groupBy("year").agg(F.sum("n_rows").alias("n_rows"), F.max(F.size("problems")).alias("bad"))
+    years = by_year.collect()       # a row per year
+    good = [r.year for r in years if r.bad == 0]
     schema = "year int, n_rows bigint, n_months bigint"
-    report = spark.createDataFrame([(y, 0, 0) for y in sorted(set(folders) - set(good))], schema)
+    report = spark.createDataFrame([(r.year, 0, 0) for r in years if r.bad], schema)
     if good:
-        rows = spark.read.option("basePath", path).parquet(*good.values())
-        report = report.unionByName(rows.groupBy(F.col("year").cast("int").alias("year")).agg(
-            F.count("*").alias("n_rows"), F.count_distinct(F.month(time_col)).alias("n_months")))
+        # empty years have no month, but they are in the report; the rows' number is in the footers
+        rows = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/year={y}" for y in good])
+        seen = (rows.groupBy(F.col("year").cast("int").alias("year")).agg(F.count_distinct(F.month(time_col)).alias("n_months")))
+        counted = spark.createDataFrame([(r.year, r.n_rows) for r in years if not r.bad], "year int, n_rows bigint")
+        report = report.unionByName(counted.join(F.broadcast(seen), "year", "left").select(
+            "year", "n_rows", F.coalesce("n_months", F.lit(0)).alias("n_months")))
     return report.withColumn("valid", (F.col("n_rows") > 0) & (F.col("n_months") == months))

@@ -30,7 +30,7 @@ def test_publish_roundtrip(spark):
     s = publish(spark, base, out, 2000, None, success_marker=out + "._SUCCESS")
     assert (s.n_partitions, s.n_countries, s.n_rows, s.y_min, s.y_max) == (2, 2, 3, 2000, 2001)
     text = read_text(spark, out).splitlines()
-    assert text == ["country,year,temp_c", "a,2000,0.25", "a,2001,2.5", "b,2000,1.5"]
+    assert text == ["country,year,temp_c", "a,2000,0.5", "a,2001,2.5", "b,2000,1.5"]
     assert read_text(spark, out + "._SUCCESS") == "ok\n"
 
 
