@@ -185,33 +185,40 @@ def damaged(turns: DataFrame) -> DataFrame:
 
 
 def ordered(turns: DataFrame) -> DataFrame:
-    """The turns with their place ``pos`` in the order of the table and their first
-    ``fault`` (blank, duplicate, truncated or null)."""
-    spark = turns.sparkSession
+    """The turns in a written table, with their place ``pos`` in its order."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
     keys = ["conv_id", "turn", "role", "text"]
-    rows = written(spark, rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return written(turns.sparkSession, rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
                    .withColumn("pos", F.monotonically_increasing_id()), "turns")
+
+
+def faults(rows: DataFrame) -> DataFrame:
+    """(conv_id, pos, initial, fault) of ``ordered`` turns, where fault is the first of blank,
+    duplicate and truncated, or null. Texts are not moved for it, only their digests."""
     told = F.rtrim("text", F.lit(SPACE))
-    said = rows.where(told != "").groupBy("conv_id", "role", F.md5("text").alias("digest")).agg(F.min("pos").alias("pos"))
-    return (rows.join(said.select("pos", F.lit(True).alias("first")), "pos", "left")
-            .withColumn("fault", F.when(told == "", "blank").when(F.col("first").isNull(), "duplicate")
-                        .when(~F.right(told, F.lit(1)).isin(*ENDS), "truncated"))
-            .drop("first"))
+    about = rows.select("conv_id", "pos", "role", F.substring("role", 1, 1).alias("initial"), (told == "").alias("blank"),
+                        F.right(told, F.lit(1)).isin(*ENDS).alias("ended"), F.md5("text").alias("digest"))
+    said = about.where("not blank").groupBy("conv_id", "role", "digest").agg(F.min("pos").alias("pos"))
+    return (about.drop("role", "digest").join(said.select("pos", F.lit(True).alias("first")), "pos", "left")
+            .select("conv_id", "pos", "initial", F.when(F.col("blank"), "blank").when(F.col("first").isNull(), "duplicate")
+                    .when(~F.col("ended"), "truncated").alias("fault")))
 
 
-def edits(rows: DataFrame) -> DataFrame:
-    """The cheapest edits of ``ordered`` turns: conv_id, place (from 0), edit (Keep, Rerole,
+def edits(marks: DataFrame) -> DataFrame:
+    """The cheapest edits of turns of these ``faults``: conv_id, place (from 0), edit (Keep, Rerole,
     Delete, Insert by its initial), given (new role or null), cost, illegal (whether the turn
-    may not follow the one before it) and pos of the turn (null: inserted)."""
-    code = turn_code(F.substring("role", 1, 1), F.col("fault"))
-    packed = (rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", code.alias("code")))).alias("t"))
-              .select("conv_id", F.col("t.pos").alias("pos"), F.array_join("t.code", "").alias("codes")))
+    may not follow the one before it), pos of the turn (null: inserted) and its fault."""
+    code = turn_code(F.col("initial"), F.col("fault"))
+    turn = F.struct("pos", code.alias("code"), "fault")
+    packed = (marks.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+              .select("conv_id", F.col("t.pos").alias("pos"), F.col("t.fault").alias("fault"),
+                      F.array_join("t.code", "").alias("codes")))
 
     def task(batches):
         for batch in batches:
-            for i, (pos, codes) in enumerate(zip(batch.column("pos"), batch.column("codes").to_pylist(), strict=True)):
+            turns = zip(batch.column("pos"), batch.column("fault"), batch.column("codes").to_pylist(), strict=True)
+            for i, (pos, fault, codes) in enumerate(turns):
                 _, audit, given = cheapest_edits(codes)
                 n, edit = len(audit), np.frombuffer(audit.encode(), np.uint8)
                 own = edit != ord("I")
@@ -220,31 +227,32 @@ def edits(rows: DataFrame) -> DataFrame:
                 illegal, at, cut = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, bool)
                 illegal[np.flatnonzero(own)[1:]] = ~np.isin(pair, (1, 6, 9))        # su, ua, au
                 at[own] = pos.values.to_numpy()
+                nth = np.cumsum(own) - 1
                 cut[own] = state == 2
                 cost = np.select([edit == ord("D"), ~own, edit == ord("R")], [DELETE, INSERT, REROLE], 0)
                 cost[cut & (edit != ord("D"))] += TRUNCATED
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("conv_id").take(pa.array(np.full(n, i))), pa.array(np.arange(n)),
                      pa.array(list(audit), pa.string()), pa.array([ROLE_OF.get(r) for r in given], pa.string()),
-                     pa.array(cost, pa.int64()), pa.array(illegal), pa.array(at, mask=~own)],
-                    ["conv_id", "place", "edit", "given", "cost", "illegal", "pos"])
+                     pa.array(cost, pa.int64()), pa.array(illegal), pa.array(at, mask=~own),
+                     fault.values.take(pa.array(nth, mask=~own))],
+                    ["conv_id", "place", "edit", "given", "cost", "illegal", "pos", "fault"])
 
-    id_type = rows.schema["conv_id"].dataType.simpleString()
+    id_type = marks.schema["conv_id"].dataType.simpleString()
     return packed.mapInArrow(task, f"conv_id {id_type}, place bigint, edit string, given string, cost bigint, "
-                                   "illegal boolean, pos bigint")
+                                   "illegal boolean, pos bigint, fault string")
 
 
 def repair(turns: DataFrame) -> DataFrame:
     """Every turn of the conversations with what is done to it, and every turn put in:
     conv_id, place, edit, role and text after it, fault, cost, illegal, and the turn's number
     (null for inserts). The repaired conversation is the rows whose edit is not D, by place."""
-    rows = written(turns.sparkSession, ordered(turns), "faults")
-    done = written(turns.sparkSession, edits(rows), "edits")
+    rows = ordered(turns)
+    done = written(turns.sparkSession, edits(faults(rows)), "edits")
     own = (done.where("edit <> 'I'").join(rows.drop("conv_id"), "pos")
            .withColumn("role", F.coalesce("given", "role")).drop("given", "pos"))
     new = done.where("edit = 'I'").select("conv_id", "place", "edit", F.col("given").alias("role"), F.lit("").alias("text"),
-                                          F.lit(None).cast("string").alias("fault"), "cost", "illegal",
-                                          F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"))
+                                          "fault", "cost", "illegal", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"))
     return own.select(new.columns).unionByName(new)
 
 
