@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,6 +36,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, make):
+    """``make()``, kept by this Python worker for its later tasks. Functions that are pickled by
+    value bring new globals with every task, so the value hangs on a module of the process;
+    of keys with the same first part the last one stays."""
+    kept = sys.modules.setdefault("gridpanel_worker_values", types.ModuleType("gridpanel_worker_values")).__dict__
+    if kept.get(key[0], (None,))[0] != key:
+        kept[key[0]] = (key, make())
+    return kept[key[0]][1]
+
+
 U = np.uint64
 
 

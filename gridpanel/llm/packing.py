@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridpanel.llm.common import byte_slices, written
+from gridpanel.llm.common import byte_slices, per_worker, written
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000       # words of at most 40 characters whose ids a worker keeps: 50 MB
+SLICE = 1 << 20             # bytes of text at a time
 #: Fixed word pattern of byte-level BPE files with use_regex.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -48,23 +49,21 @@ class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.words = self._word_encoder(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.path, self.whole = path, None
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.words = self._word_encoder(spec)
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
         self.odd_space = re.compile(r" (?!\S)")
 
     @staticmethod
-    def _word_encoder(path: str):
+    def _word_encoder(spec: dict):
         """An encoder of single words if the file is plain byte-level BPE, with ids in
         the order of its merges; None if not."""
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         model, split = spec["model"], spec.get("pre_tokenizer") or {}
         if (spec.get("normalizer") or model.get("type") != "BPE" or split.get("type") != "ByteLevel"
                 or split.get("add_prefix_space") or not split.get("use_regex", True) or model.get("dropout")
@@ -90,9 +89,16 @@ class Encoder:
             self.cache[chunk] = ids
         return ids
 
+    def _library(self, text: str) -> bytes:
+        if self.whole is None:      # large, and most texts do without
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
         if self.words is None or any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._library(text)
         # A space before a non-space always begins a word of the pattern, so such texts
         # can be encoded between spaces; any other space needs its neighbours.
         if self.odd_space.search(text):
@@ -119,11 +125,12 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id:
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def task(batches):
-        encode, end, part = Encoder(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encode = per_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
+        end, part = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         nth = [0] * (size + 1)
         for batch in batches:
             column = batch.column("text")
-            for a, b in byte_slices(column, 8 << 20):
+            for a, b in byte_slices(column, SLICE):
                 at, out, kept = [], [], []
                 for i, text in enumerate(column.slice(a, b - a).to_pylist()):
                     ids = encode(text or "") + end
@@ -290,13 +297,13 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_
     histogram = np.zeros(size + 1, np.int64)
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():
         histogram[r.length] = r.n
-    shared = spark.sparkContext.broadcast(plan_packing(histogram, size))
+    shared = spark.sparkContext.broadcast(vars(plan_packing(histogram, size)))
     numbered = (pieces.join(begin, ["part", "length"])
                 .select("id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("begin")).alias("number"),
                         *(["ids"] if with_ids else [])))
 
     def place(batches):
-        plan = shared.value
+        plan = Plan(**shared.value)
         first_slot = np.searchsorted(plan.slot_length, np.arange(size + 2))
         for batch in batches:
             length, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "number"))

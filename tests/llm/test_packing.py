@@ -29,6 +29,10 @@ def test_encoder_gives_the_library_s_ids(whole):
     for text in TEXTS + ["".join(r.choice(alphabet) for _ in range(r.randint(1, 40))) for _ in range(400)]:
         assert np.frombuffer(encode(text or ""), "<u4").tolist() == ids(whole, text), repr(text)
     assert encode.words is not None
+    vocabulary = sorted(whole.get_vocab())
+    for _ in range(1500):       # random joins of decoded vocabulary entries
+        text = whole.decode([whole.token_to_id(r.choice(vocabulary)) for _ in range(r.randint(1, 12))])
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids(whole, text), repr(text)
 
 
 def test_other_tokenizer_files_go_through_the_library():
