@@ -26,7 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpanel.llm.common import byte_slices, expand_ranges, unused
 
@@ -35,6 +35,8 @@ WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SHARD_BYTES = 4 << 20
 MAX_BENCHMARK_BYTES = 2 << 20
 
+MATCHES_AT_ONCE = 1 << 20     # occurrences of windows that a report holds
+SPANS = "array<struct<start:int,end:int>>"
 MATCH = "item_id string, item_start int, doc_start int, n_words int"
 
 
@@ -145,9 +147,55 @@ def search(keys: np.ndarray, test: TestSet) -> tuple[np.ndarray, np.ndarray, np.
     return live, lo, hi
 
 
-def search_shard(texts: list[bytes | None], test: TestSet, window: int):
-    """Per text: (number of words, hit spans, matches). A span is a merged run of hit
-    words; a match (item, item start, text start, words) is a longest verbatim match."""
+@dataclass
+class ShardHits:
+    """What a shard of texts has of the benchmark: per text the number of words, the hit
+    spans (merged runs of hit words) and the items; and every occurrence of a window as
+    (pattern, place in the shard). Places and items meet in ``matches`` alone, because a
+    common line of many items occurs places x items times."""
+
+    counts: list[int]
+    spans: list[list[tuple[int, int]]]
+    items: list[list[int]]
+    pattern: np.ndarray
+    place: np.ndarray
+    begin: np.ndarray
+
+    def matches(self, test: TestSet):
+        """Arrays (text, item, item start, text start, words) of the longest verbatim
+        matches, for a bounded number of occurrences at a time. Windows that follow one
+        another in the text and in the item are one match."""
+        order = np.argsort(self.pattern, kind="stable")
+        place = self.place[order]
+        known, first = np.unique(self.pattern[order], return_index=True)
+        many = np.diff(np.append(first, len(place)))
+        which, occ = expand_ranges(test.occ_from[known], test.occ_from[known + 1])
+        by_item = np.argsort(test.occ_item[occ], kind="stable")
+        which, occ = which[by_item], occ[by_item]
+        item_of = test.occ_item[occ]
+        ends = np.flatnonzero(np.diff(item_of, append=-1)) + 1      # of each item's windows
+        so_far = np.cumsum(many[which])
+        at = 0
+        while at < len(occ):
+            reach = (so_far[at - 1] if at else 0) + MATCHES_AT_ONCE
+            fits = ends[(ends > at) & (so_far[ends - 1] <= reach)]
+            to = int(fits[-1]) if len(fits) else int(ends[ends > at][0])
+            w, o = which[at:to], occ[at:to]
+            each, spot = expand_ranges(first[w], first[w] + many[w])
+            item, at_item, at_text = item_of[at:to][each], test.occ_start[o[each]], place[spot]
+            size = test.length[known[w[each]]]
+            sort = np.lexsort((at_text, at_text - at_item, item))
+            item, at_item, at_text, size = item[sort], at_item[sort], at_text[sort], size[sort]
+            new = np.ones(len(item), bool)
+            new[1:] = (np.diff(item) != 0) | (np.diff(at_text - at_item) != 0) | (np.diff(at_text) != 1)
+            head = np.flatnonzero(new)
+            run = np.diff(np.append(head, len(item)))
+            text = np.searchsorted(self.begin, at_text[head], "right") - 1
+            yield text, item[head], at_item[head], at_text[head] - self.begin[text], size[head] + run - 1
+            at = to
+
+
+def search_shard(texts: list[bytes | None], test: TestSet, window: int) -> ShardHits:
     parts, begin, counts, at = [], [], [], 0
     get = test.vocab.get
     for text in texts:
@@ -158,39 +206,33 @@ def search_shard(texts: list[bytes | None], test: TestSet, window: int):
         parts.append(np.zeros(1, np.int32))
         at += len(ws) + 1
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    matches: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-    if len(test.length) and at:
-        start, keys = suffix_array(np.concatenate(parts), test, window)
-        pattern, lo, hi = search(keys, test)
-        which, place = expand_ranges(lo, hi)
-        pattern, place = pattern[which], start[place]
-        offset = np.array(begin)
-        if len(place):
-            # hit words: merged runs of the windows that occur
-            edge = np.zeros(at + window + 1, np.int32)
-            np.add.at(edge, place, 1)
-            np.add.at(edge, place + test.length[pattern], -1)
-            covered = np.concatenate(([0], (np.cumsum(edge) > 0).astype(np.int8)))
-            step = np.diff(covered)
-            for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
-                d = int(np.searchsorted(offset, a, "right")) - 1
-                spans[d].append((a - begin[d], b - begin[d]))
-            # longest matches: windows that follow one another in the text and in the item
-            each, occ = expand_ranges(test.occ_from[pattern], test.occ_from[pattern + 1])
-            item, at_item, at_text = test.occ_item[occ], test.occ_start[occ], place[each]
-            size = test.length[pattern[each]]
-            order = np.lexsort((at_text, at_text - at_item, item))
-            item, at_item, at_text, size = item[order], at_item[order], at_text[order], size[order]
-            new = np.ones(len(item), bool)
-            new[1:] = (np.diff(item) != 0) | (np.diff(at_text - at_item) != 0) | (np.diff(at_text) != 1)
-            head = np.flatnonzero(new)
-            run = np.diff(np.concatenate((head, [len(item)])))
-            doc = np.searchsorted(offset, at_text[head], "right") - 1
-            for d, k, s, p, m in zip(doc.tolist(), item[head].tolist(), at_item[head].tolist(),
-                                     (at_text[head] - offset[doc]).tolist(), (size[head] + run - 1).tolist(),
-                                     strict=True):
-                matches[d].append((k, s, p, m))
-    return counts, spans, matches
+    items: list[list[int]] = [[] for _ in texts]
+    none = np.zeros(0, np.int64)
+    hits = ShardHits(counts, spans, items, none, none, np.array(begin, np.int64))
+    if not len(test.length) or not at:
+        return hits
+    start, keys = suffix_array(np.concatenate(parts), test, window)
+    pattern, lo, hi = search(keys, test)
+    which, place = expand_ranges(lo, hi)
+    if not len(place):
+        return hits
+    hits.pattern, hits.place = pattern[which], start[place]
+    # hit words: merged runs of the windows that occur
+    edge = np.zeros(at + window + 1, np.int32)
+    np.add.at(edge, hits.place, 1)
+    np.add.at(edge, hits.place + test.length[hits.pattern], -1)
+    covered = np.concatenate(([0], (np.cumsum(edge) > 0).astype(np.int8)))
+    step = np.diff(covered)
+    for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
+        d = int(np.searchsorted(hits.begin, a, "right")) - 1
+        spans[d].append((a - begin[d], b - begin[d]))
+    # items: each window once for a text, however often it stands there
+    text = np.searchsorted(hits.begin, hits.place, "right") - 1
+    once = np.unique(np.stack((text, hits.pattern)), axis=1)
+    each, occ = expand_ranges(test.occ_from[once[1]], test.occ_from[once[1] + 1])
+    for d, k in np.unique(np.stack((once[0][each], test.occ_item[occ])), axis=1).T.tolist():
+        items[d].append(k)
+    return hits
 
 
 def _test_sets(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_bytes: int):
@@ -207,62 +249,58 @@ def _test_sets(benchmark: DataFrame, id_col: str, text_col: str, window: int, ma
 
 
 def _searched(batches, text_col: str, shared, window: int):
-    """(record batch slice, counts, spans, matches) for each shard of the batches."""
+    """(record batch slice, test set, hits) for each shard of the batches."""
     test = TestSet(**shared.value)
     for batch in batches:
         column = batch.column(text_col)
         for a, b in byte_slices(column, SHARD_BYTES):
             texts = column.slice(a, b - a).cast(pa.binary()).to_pylist()
-            yield batch.slice(a, b - a), *search_shard(texts, test, window)
+            yield batch.slice(a, b - a), test, search_shard(texts, test, window)
 
 
-def _named(matches: list[tuple[int, int, int, int]], ids: list[str | None]) -> list[dict]:
-    return [{"item_id": ids[k], "item_start": s, "doc_start": p, "n_words": m} for k, s, p, m in sorted(matches)]
+def _merged_spans(spans: Column) -> Column:
+    """Sorted spans without overlaps."""
+    def add(done, span):
+        last = F.element_at(done, -1)
+        grown = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end")))
+        joins = (F.size(done) > 0) & (span["start"] <= F.try_element_at(done, F.lit(-1))["end"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), grown)).otherwise(F.concat(done, F.array(span)))
 
-
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), add)
 
 
 def overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text_col: str = "text", window: int = 13,
             max_benchmark_bytes: int = MAX_BENCHMARK_BYTES) -> DataFrame:
-    """Per document row: id, n_words, n_hit, spans (runs of hit words as
-    [start, end)) and matches (the longest verbatim matches with their places)."""
+    """Per document row: id, n_words, n_hit, spans (runs of hit words as [start, end)) and
+    items (ids, sorted, of items with an occurring window; null ids are left out)."""
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     tests = list(_test_sets(benchmark, item_col, item_text_col, window, max_benchmark_bytes))
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    match_type = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int32()),
-                                     ("doc_start", pa.int32()), ("n_words", pa.int32())]))
-    detail = f"spans array<struct<start:int,end:int>>, matches array<struct<{MATCH.replace(' ', ':').replace(',:', ',')}>>"
+    detail = f"spans {SPANS}, items array<string>"
+
+    def found_in(hits: ShardHits, test: TestSet, rows: list[int]):
+        names = [sorted(n for k in hits.items[i] if (n := test.item_ids[k]) is not None) for i in rows]
+        return [pa.array([[{"start": a, "end": b} for a, b in hits.spans[i]] for i in rows], span_type),
+                pa.array(names, pa.list_(pa.string()))]
 
     def task(shared):
         def run(batches):
-            for rows, counts, spans, matches in _searched(batches, "text", shared, window):
+            for rows, test, hits in _searched(batches, "text", shared, window):
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), pa.array(counts, pa.int64()),
-                     pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span_type),
-                     pa.array([_named(m, shared.value["item_ids"]) for m in matches], match_type)],
-                    ["id", "n_words", "spans", "matches"])
+                    [rows.column("id"), pa.array(hits.counts, pa.int64()), *found_in(hits, test, range(rows.num_rows))],
+                    ["id", "n_words", "spans", "items"])
         return run
 
     def task_part(shared):
         def run(batches):
-            for rows, _, spans, matches in _searched(batches, "text", shared, window):
-                hit = [i for i, s in enumerate(spans) if s]
+            for rows, test, hits in _searched(batches, "text", shared, window):
+                hit = [i for i, s in enumerate(hits.spans) if s]
                 texts = rows.column("text").take(pa.array(hit, pa.int64())).to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
-                     pa.array([[{"start": a, "end": b} for a, b in spans[i]] for i in hit], span_type),
-                     pa.array([_named(matches[i], shared.value["item_ids"]) for i in hit], match_type)],
-                    ["digest", "spans", "matches"])
+                    [pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()), *found_in(hits, test, hit)],
+                    ["digest", "spans", "items"])
         return run
 
     if len(tests) == 1:
@@ -273,23 +311,46 @@ def overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             p = source.mapInArrow(task_part(t), f"digest binary, {detail}").dropDuplicates(["digest"])
             parts = p if parts is None else parts.unionByName(p)
         whole = parts.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"),
-                                            F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
-        empty = build_test_set([], window)
-        nothing = docs.sparkSession.sparkContext.broadcast(vars(empty))
+                                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        nothing = docs.sparkSession.sparkContext.broadcast(vars(build_test_set([], window)))
         counted = source.select("id", "text").withColumn("digest", F.unhex(F.sha2("text", 256)))
 
         def count(batches):
-            for rows, counts, _, _ in _searched(batches, "text", nothing, window):
+            for rows, _, hits in _searched(batches, "text", nothing, window):
                 yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("digest"),
-                                                  pa.array(counts, pa.int64())], ["id", "digest", "n_words"])
+                                                  pa.array(hits.counts, pa.int64())], ["id", "digest", "n_words"])
 
         found = (counted.mapInArrow(count, f"id {id_type}, digest binary, n_words bigint")
                  .join(whole, "digest", "left").drop("digest"))
-        merge = F.udf(_merged, "array<struct<start:int,end:int>>")
-        found = found.withColumn("spans", merge(F.coalesce("spans", F.array()))).withColumn(
-            "matches", F.coalesce("matches", F.array()))
+        found = (found.withColumn("spans", _merged_spans(F.coalesce("spans", F.array().cast(SPANS))))
+                 .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
-    return found.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), "spans", "matches")
+    return found.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), "spans", "items")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text_col: str = "text", window: int = 13,
+            max_benchmark_bytes: int = MAX_BENCHMARK_BYTES) -> DataFrame:
+    """The longest verbatim matches with their places, a row each: id, item_id, item_start,
+    doc_start, n_words (in words)."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def task(shared):
+        def run(batches):
+            for rows, test, hits in _searched(batches, "text", shared, window):
+                for text, item, at_item, at_text, size in hits.matches(test):
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("id").take(pa.array(text)), pa.array([test.item_ids[k] for k in item.tolist()], pa.string()),
+                         *(pa.array(x, pa.int32()) for x in (at_item, at_text, size))],
+                        ["id", "item_id", "item_start", "doc_start", "n_words"])
+        return run
+
+    out = None
+    for shared in _test_sets(benchmark, item_col, item_text_col, window, max_benchmark_bytes):
+        part = source.mapInArrow(task(shared), f"id {id_type}, {MATCH}")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumnRenamed("id", id_col)
 
 
 def is_contaminated(n_hit, n_words, share: int = 20):
@@ -311,17 +372,15 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     shared = tests[0]
 
     def task(batches):
-        for rows, counts, spans, _ in _searched(batches, text_col, shared, window):
-            hit = [sum(b - a for a, b in s) for s in spans]
-            yield rows.filter(pa.array([not (h > 0 and share * h >= n) for h, n in zip(hit, counts, strict=True)], pa.bool_()))
+        for rows, _, hits in _searched(batches, text_col, shared, window):
+            hit = [sum(b - a for a, b in s) for s in hits.spans]
+            yield rows.filter(pa.array([not (h > 0 and share * h >= n) for h, n in zip(hit, hits.counts, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(task, docs.schema)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
     """The query's columns from overlap()'s rows."""
-    items = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())))
-    return (found.withColumn("items", items)
-            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                    is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))

@@ -68,9 +68,12 @@ def test_matches_brute_force_with_one_or_many_parts(spark, documents, limit):
 def test_longest_match_and_place(spark, documents):
     item = " ".join(f"w{i}" for i in range(30))
     text = "x y z " + " ".join(f"W{i}" for i in range(5, 25)) + " q " + " ".join(f"w{i}" for i in range(13))
-    found = D.overlap(documents([(1, text)]), bench(spark, [(7, item)])).first()
-    assert sorted((m.item_id, m.item_start, m.doc_start, m.n_words) for m in found.matches) == [
-        ("7", 0, 24, 13), ("7", 5, 3, 20)]
+    docs, items = documents([(1, text)]), bench(spark, [(7, item)])
+    for limit in (D.MAX_BENCHMARK_BYTES, 1):
+        assert sorted(tuple(m) for m in D.matches(docs, items, max_benchmark_bytes=limit).collect()) == [
+            (1, "7", 0, 24, 13), (1, "7", 5, 3, 20)]
+    found = D.overlap(docs, items).first()
+    assert found["items"] == ["7"]
     assert [(s.start, s.end) for s in found.spans] == [(3, 23), (24, 37)]
 
 
@@ -93,3 +96,28 @@ def test_empty_tables(spark, documents):
     assert [(x.n_words, x.n_hit, x.contaminated) for x in r] == [(2, 0, False)]
     assert D.overlap(documents([]), none).count() == 0
     assert D.drop_contaminated(documents([]), none).count() == 0
+
+
+def test_a_hot_line_of_many_items_stays_small():
+    import resource
+
+    line = " ".join(f"h{i}" for i in range(13))
+    test = D.build_test_set([(str(k), f"{line} own{k}".encode()) for k in range(400)], 13)
+    hits = D.search_shard([f"{line} x ".encode() * 20_000, b"clean words"], test, 13)
+    assert len(hits.items[0]) == 400 and not hits.items[1] and len(hits.spans[0]) == 20_000
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n = sum(len(found[0]) for found in hits.matches(test))      # a report's rows come in bounded pieces
+    assert n == 400 * 20_000
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) < 300 * 1024
+
+
+def test_matches_do_not_depend_on_the_pieces(monkeypatch):
+    r = random.Random(4)
+    items = [(str(k), " ".join(r.choice("abc") for _ in range(30)).encode()) for k in range(6)]
+    texts = [(" ".join(r.choice("abc") for _ in range(60)) + " " + items[k][1].decode()).encode() for k in range(6)]
+    test = D.build_test_set(items, 4)
+    hits = D.search_shard(texts, test, 4)
+    whole = sorted(x for found in hits.matches(test) for x in zip(*(a.tolist() for a in found), strict=True))
+    monkeypatch.setattr(D, "MATCHES_AT_ONCE", 1)
+    pieces = list(hits.matches(test))
+    assert len(pieces) == 6 and sorted(x for found in pieces for x in zip(*(a.tolist() for a in found), strict=True)) == whole
