@@ -46,7 +46,7 @@ HTTP_TYPE = "application/http;msgtype=response"
 
 SHARD_BYTES = 16 << 20      # payload of a shard at least
 MAX_SHARDS = 20_000         # beyond, shards grow
-FILE_BYTES = 64 << 20       # compressed size from which the next file begins
+FILE_SHARE = 8              # a file ends at this part of a shard's payload, compressed
 SAMPLE_IDS = 20_000         # ids read by the driver for the bounds, about
 MANIFEST = "shard int, seq int, temporary string, name string, records bigint, bytes bigint, sha256 string"
 
@@ -168,20 +168,22 @@ class ShardFiles:
         self.records += 1
 
 
-def _bounds(slim: DataFrame, shard_bytes: int) -> np.ndarray:
-    """Ids between shards, from a sample by hash that depends on the ids alone."""
+def _bounds(slim: DataFrame, shard_bytes: int) -> tuple[np.ndarray, int]:
+    """(ids between shards, from a sample by hash that depends on the ids alone; payload of
+    a shard, about)."""
     whole = slim.agg(F.count("page_id").alias("n"), F.sum("size").alias("b")).first()
     n = min(MAX_SHARDS, max(1, -(-int(whole.b or 0) // shard_bytes)))
+    payload = max(shard_bytes, int(whole.b or 0) // n)
     if n == 1 or not whole.n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), payload
     every = max(1, whole.n // SAMPLE_IDS)
     sample = (slim.where(F.col("page_id").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0))
               .groupBy("page_id").agg(F.sum(F.col("size") + 1).alias("w")).orderBy("page_id").toPandas())
     if not len(sample):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), payload
     share = sample.w.cumsum().to_numpy() / sample.w.sum()
     at = np.searchsorted(share, np.arange(1, n) / n, "left")
-    return sample.page_id.to_numpy()[at].astype(np.int64)
+    return sample.page_id.to_numpy()[at].astype(np.int64), payload
 
 
 def _shard_of(bounds: np.ndarray):
@@ -195,14 +197,17 @@ def _shard_of(bounds: np.ndarray):
 
 
 def write_warc(pages: DataFrame, out: str, min_dedup_bytes: int = 100, shard_bytes: int = SHARD_BYTES,
-               file_bytes: int = FILE_BYTES, level: int = 6, date: str = "2000-01-01T00:00:00Z") -> DataFrame:
-    """Write the pages' archive below the folder ``out`` and return its manifest."""
+               file_bytes: int | None = None, level: int = 6, date: str = "2000-01-01T00:00:00Z") -> DataFrame:
+    """Write the pages' archive below the folder ``out`` and return its manifest. A file ends
+    at ``file_bytes`` compressed; if that is not given, at an eighth of a shard's payload, so
+    that a shard is a few files however large shards are."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("html")).withColumn("digest", F.sha2("html", 256))
     slim = written(spark, rows.select("page_id", "digest", F.octet_length("html").alias("size")), "warc-ids")
-    bounds = _bounds(slim, shard_bytes)
+    bounds, payload = _bounds(slim, shard_bytes)
+    file_bytes = file_bytes or max(1, payload // FILE_SHARE)
     shard = _shard_of(bounds)
     firsts = (slim.where(F.col("size") >= min_dedup_bytes).groupBy("digest")
               .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null"))
