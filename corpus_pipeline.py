@@ -2,6 +2,14 @@
 
 Each stage works on all that its predecessor kept. ``run`` writes every stage's result
 as Parquet below the shared checkpoint folder and reads it again for the next.
+
+Defined results: documents whose text is null, empty, blank or without a letter have no
+language and go in the first stage, and so does every document if none has a language to
+learn from; of rows that repeat an id or a text one stays after the third stage (of rows
+that repeat the smallest id of a component one row); a null id is kept where its
+component has no other; texts count whole, however long; an empty table gives an empty
+result. All stages but the last return the columns of the documents, also such whose names
+are used inside the operators; the last returns the columns of ``packing.pack``.
 """
 
 from __future__ import annotations
