@@ -40,11 +40,6 @@ def out_of_range_flag(c, lo: float = PLAUSIBLE_MIN_C, hi: float = PLAUSIBLE_MAX_
     return (c < lo) | (c > hi)
 
 
-def out_of_range(df: DataFrame, col: str = "temp_c", lo: float = PLAUSIBLE_MIN_C,
-                 hi: float = PLAUSIBLE_MAX_C) -> DataFrame:
-    return df.where(out_of_range_flag(F.col(col), lo, hi))
-
-
 def latest_year_stats(df: DataFrame, col: str = "temp_c") -> DataFrame:
     """Mean, min, max and sample standard deviation over the latest year's rows."""
     latest = df.select(F.max("year")).scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import fixtures as fx
@@ -712,13 +712,30 @@ def grid_years_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("publish_csv_lines")
 def publish_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line number and text of the published CSV (its header is line 0)."""
+    """Line number and values of the published CSV (its header is line 0)."""
+    from ..operators.source_order import SOURCE_ORDER, with_line_order
+    from ..schemas import ANNUAL_TEMP
     from ..session import scratch_path
     from .publish import publish
 
     out = scratch_path(spark, "published") + ".csv"
     publish(spark, _landed_annual(spark, sf_dir), out, PUBLISH_MIN_YEAR, PUBLISH_MAX_YEAR)
-    whole = spark.read.text(out, wholetext=True)
-    lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\n")).alias("line_no", "line"))
-    parts = F.split("line", ",")
-    return lines.where("line_no > 0").select("line_no", parts[0].alias("country"), parts[1].cast("int").alias("year"))
+    lines = with_line_order(spark.read.option("header", True).schema(ANNUAL_TEMP).csv(out))
+    # a published table is country x year: one task numbers its lines
+    number = F.row_number().over(Window.orderBy(SOURCE_ORDER))
+    return lines.select(number.alias("line_no"), "country", "year", r6("temp_c"))
+
+
+BAND = (0.0, 30.0)
+
+
+@query("regions_in_band")
+def regions_in_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of a polygon table that reach into a band of latitudes."""
+    from ..session import scratch_path
+    from ..sources.polygons import read_region_table, write_region_table
+
+    path = scratch_path(spark, "regions")
+    write_region_table(fx.triangle_polygons(fx.customer_boxes(spark, sf_dir)), path)
+    found = read_region_table(spark, path, *BAND)
+    return found.select("region_id", "name", F.size(F.col("parts")[0][0]).cast("long").alias("n_points"))

@@ -562,9 +562,12 @@ select cast(year as int) as year, count(*) as n_rows, count(t2m) as n_values
 from grid_facts where year in (1996, 1998) group by year"""
 
 ORACLES["publish_csv_lines"] = f"""
-select cast(row_number() over (order by country, year) as int) as line_no, country, year
+select cast(row_number() over (order by country, year) as int) as line_no, country, year, temp_c
 from ({_FLAGSHIP}) f where year between 1996 and 2000"""
 
+ORACLES["regions_in_band"] = _with(CUST_BOX) + """
+select region_id, name, cast(4 as bigint) as n_points from cust_box where lat1 >= 0 and lat0 <= 30"""
+
 ORACLES["years_to_reload"] = _with(GRID_FACTS) + """
 select cast(y as int) as year from generate_series(1994, 2002) t(y)
 where y not in (select year from grid_facts group by year having count(distinct month(time)) = 12)"""

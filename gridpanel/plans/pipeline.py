@@ -21,7 +21,7 @@ from ..operators.geometry import clean_regions, dissolve_by_name
 from ..operators.quality import require_rows
 from ..sinks.files import write_csv_if_any, write_single_csv, write_year_partitions
 from ..sources.grid import GridSpec, grids_by_year, read_grid_years
-from ..sources.polygons import read_geojson_features, regions_from_features
+from ..sources.polygons import read_geojson_features, read_region_table, regions_from_features, write_region_table
 from ..sources.tables import read_co2_csv, read_indicators, read_parquet_dir
 from .annual import annual_means_by_extent
 from .panels import clean_co2, enrich, tidy_indicators, unmapped_countries
@@ -53,13 +53,17 @@ class PipelineResult:
     publish: PublishStats | None
 
 
-def load_regions(spark: SparkSession, path: str, country_col: str | None) -> DataFrame:
-    """Polygons -> cleaned regions, one per name (name column must be non-NULL)."""
+def load_regions(spark: SparkSession, path: str, country_col: str | None, table: str | None = None) -> DataFrame:
+    """Polygons -> cleaned regions, one per name (name column must be non-NULL). GeoJSON is
+    parsed once, into the polygon table ``table`` where that is given."""
     if path.endswith(".parquet") or not path.endswith((".json", ".geojson")):
-        regions = spark.read.parquet(path)
+        regions = spark.read.parquet(path).select("region_id", "name", "parts")
     else:
         # a configured name column must exist; None looks for a known one
         regions, _ = regions_from_features(read_geojson_features(spark, path), country_col)
+        if table:
+            write_region_table(regions, table)
+            regions = read_region_table(spark, table)
     regions = clean_regions(regions)
     unnamed = regions.where(F.col("name").isNull()).count()
     if unnamed:
@@ -72,7 +76,7 @@ def temperature(spark: SparkSession, grid_path: str, polygons: str, out_dir: str
                 cfg: PipelineConfig) -> DataFrame:
     years = parse_year_spec(cfg.years)
     facts, missing = read_grid_years(spark, grid_path, years, **cfg.grid_columns)
-    regions = load_regions(spark, polygons, cfg.country_col)
+    regions = load_regions(spark, polygons, cfg.country_col, f"{out_dir}/polygons")
     # axes of each landed year from all its time steps (a step may hold a part of the grid)
     landed = sorted(set(years) - set(missing))
     grids = [(cfg.grid, landed)] if cfg.grid else grids_by_year(facts)

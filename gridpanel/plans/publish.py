@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.columns import conform
 from ..operators.clean import require_not_null
 from ..operators.dedup import keep_first
 from ..operators.quality import require_rows
@@ -56,8 +58,8 @@ def load_partitions(spark: SparkSession, base_dir: str, min_year: int | None = N
     df = df.where(within(min_year, max_year))
     for key in KEYS:
         df = require_not_null(df, key)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANNUAL_TEMP.fields],
-                     *([SOURCE_ORDER] if ordered else []))
+    wanted = ANNUAL_TEMP.fields + ([df.schema[SOURCE_ORDER]] if ordered else [])
+    return conform(df, StructType(wanted))
 
 
 def first_rows(df: DataFrame) -> DataFrame:

@@ -76,5 +76,23 @@ def regions_from_features(features: DataFrame, country_col: str | None = None) -
 
 
 def write_region_table(regions: DataFrame, path: str) -> None:
-    """GeoJSON -> Parquet polygon table (replaces the reference's shapefile conversion)."""
-    regions.write.mode("overwrite").parquet(path)
+    """Polygon table in Parquet: the regions with the bounds of their outlines, in files of
+    neighbouring latitudes, so that a reader of a band opens few files and row groups."""
+    points = F.flatten(F.flatten("parts"))
+    lats, lons = F.transform(points, lambda p: p["lat"]), F.transform(points, lambda p: p["lon"])
+    bounded = regions.withColumns({"lat_min": F.array_min(lats), "lat_max": F.array_max(lats),
+                                   "lon_min": F.array_min(lons), "lon_max": F.array_max(lons)})
+    (bounded.repartitionByRange("lat_min", "region_id").sortWithinPartitions("lat_min", "region_id")
+     .write.mode("overwrite").parquet(path))
+
+
+def read_region_table(spark: SparkSession, path: str, south: float | None = None, north: float | None = None) -> DataFrame:
+    """``region_id, name, parts`` of the regions of a polygon table that reach into the band
+    from ``south`` to ``north`` (both ends included; None: open). The bounds are pushed to the
+    scan, so outlines elsewhere are not read. Without a band, regions without outlines too."""
+    table = spark.read.parquet(path)
+    if south is not None:
+        table = table.where(F.col("lat_max") >= south)
+    if north is not None:
+        table = table.where(F.col("lat_min") <= north)
+    return table.select("region_id", "name", "parts")

@@ -147,3 +147,18 @@ def test_tiles_are_the_long_path(spark):
     for size in ((16, 16), (5, 7)):
         got = monthly_over_tiles(tile_facts(one, GRID, *size), tile_weights(cells, GRID, True, *size))
         close(got, long_, ["region_id", "year", "time"])
+
+
+def test_a_band_of_the_polygon_table_is_pushed_to_the_scan(spark):
+    from gridpanel.sources.polygons import read_region_table, write_region_table
+
+    rows = [(i, f"r{i}", [poly([(0.0, float(i)), (1.0, float(i)), (1.0, i + 1.5), (0.0, float(i))])]) for i in range(-40, 40)]
+    regions = regions_df(spark, [*rows, (99, "none", None)])
+    path = scratch_path(spark, "regions")
+    write_region_table(regions.repartition(4), path)
+    band = read_region_table(spark, path, 10.0, 12.0)
+    assert sorted(r.region_id for r in band.collect()) == [9, 10, 11, 12]
+    assert band.schema == regions.schema
+    plan = band._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(lat_max), IsNotNull(lat_min)" in plan
+    assert read_region_table(spark, path).exceptAll(regions).count() == 0 and read_region_table(spark, path).count() == 81
