@@ -28,10 +28,17 @@ def byte_slices(column: pa.ChunkedArray | pa.Array, max_bytes: int):
     yield start, n
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+ROWS_A_FILE = 50_000
+
+
+def written(spark: SparkSession, df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read again:
-    computed once, without lineage, readable by every executor."""
+    computed once, without lineage, readable by every executor. Where it is known that it has
+    ``most`` (short) rows at most, it goes into as many files as they need, but two for each
+    core at least, instead of one for every shuffle partition."""
     path = scratch_path(spark, name)
+    if most is not None:
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-most // ROWS_A_FILE)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,8 +3,8 @@
 A document's set are its distinct 3-word shingles, as 64-bit hashes; two sets link when
 they share 85 % or more of their union. Equal sets are one class, and classes are compared.
 
-Each class has 128 MinHash samples. They make 32 bands of 4: a pair at the threshold shares
-none of them with probability 6e-11. The samples are also folded into an odd sketch, 512
+Each class has 128 MinHash samples. The first 60 make 20 bands of 3: a pair at the threshold
+shares none of them with probability 5e-9. All are also folded into an odd sketch, 512
 bits of which each sample flips one: the bits in which two sketches differ are twice the
 samples in which the classes differ, up to flips that meet, so a population count tells
 high similarities apart without the sets. A pair that differs in more bits than a linked one
@@ -39,8 +39,8 @@ from gridpanel.llm.jaccard import components
 
 SHINGLE = 3
 SHARE = 85                  # percent
-BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
+BANDS, ROWS = 20, 3
+SAMPLES = 128
 BITS = 512                  # of an odd sketch
 MISS = 1e-9                 # chance that a pair at the threshold fails the sketches
 SMALL = 32                  # classes of a bucket whose candidates are given as pairs
@@ -98,7 +98,7 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
     """(sets, bands) of hashes of the bands' samples."""
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64)[:, None], (BANDS, mins.shape[1]))
     for r in range(ROWS):
-        key = mix(key ^ mins[r::ROWS])
+        key = mix(key ^ mins[r:BANDS * ROWS:ROWS])
     return key.T.view(np.int64)
 
 
@@ -215,10 +215,10 @@ def _differing(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, most: int | None = None) -> DataFrame:
     """The pairs (a, b) that link, by their full sets."""
     spark = source.sparkSession
-    pairs = written(spark, pairs, "candidates")
+    pairs = written(spark, pairs, "candidates", most)
     needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     sets = written(spark, _sets(source, classes, needed), "sets")
     both = (pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a"))
@@ -358,16 +358,17 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     profiles = written(spark, _profiles(source), "profiles")
     classes = written(spark, profiles.where("cls is not null").groupBy("cls").agg(
         F.min("id").alias("id"), F.min("n").alias("n"), F.first("bands", ignorenulls=True).alias("bands"),
-        F.first("sketch", ignorenulls=True).alias("sketch")), "classes")
+        F.first("sketch", ignorenulls=True).alias("sketch")), "classes", profiles.count())
+    most = classes.count()
     keys = classes.select(F.explode("bands").alias("key"), "cls")
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    lists = written(spark, keys.join(shared, "key"), "lists")
+    lists = written(spark, keys.join(shared, "key"), "lists", BANDS * most)
     limit = sketch_limit()
-    near = written(spark, _confirmed(source, classes, _anchor_pairs(lists, classes, limit)), "anchor-links")
+    near = written(spark, _confirmed(source, classes, _anchor_pairs(lists, classes, limit), most), "anchor-links", most)
     labels = components(spark, near)
     named = lists.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = (named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key"))
-    mixed = written(spark, named.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls"), "mixed")
+    mixed = written(spark, named.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls"), "mixed", BANDS * most)
     more = _confirmed(source, classes, _small_pairs(mixed.where(F.col("c") <= SMALL), limit))
     wide = mixed.where(F.col("c") > SMALL).drop("c")
     if wide.limit(1).count():
