@@ -46,6 +46,7 @@ MINIMA = 4
 BUCKET_POSTINGS = 500_000   # prefix postings of a bucket, about
 LONG = 200                  # classes on a list that is no longer paired
 SHARD_SETS = 1_000          # sets in an index shard, about
+HOT_QUERIES = 100_000       # queries of more than a shard that are broadcast at most (2 MB)
 QUERIES = 2_000             # queries of a shard in one group, about; its sets go to each group
 LONG_QUERIES = 250          # the same for long lists, where a query is more work
 SLICE = 1 << 20
@@ -370,10 +371,11 @@ def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame
     return found.join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("set").alias("set"))
 
 
-def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame, at_once: int) -> DataFrame:
+def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame, at_once: int,
+            every: bool = False) -> DataFrame:
     """Links (a, b) between the classes of each index shard (rows s1, s2, cls) and its
-    queries (the same columns): of the links that a task finds, a spanning forest, which
-    has the same components and fewer links than classes."""
+    queries (the same columns): every one, or of the links that a task finds a spanning
+    forest, which has the same components and fewer links than classes."""
     spark = source.sparkSession
     index = written(spark, index.distinct(), "index")
     queries = written(spark, queries.distinct(), "queries")
@@ -399,8 +401,10 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
 
             for c, x in zip(asked["q_cls"].to_pylist(), asked["q_set"].to_pylist(), strict=True):
                 for i in shard.search(np.frombuffer(x, np.uint64)):
+                    if c == ids[i]:
+                        continue
                     u, v = top(c), top(ids[i])
-                    if u != v:      # of a group's links only those that tie it together
+                    if u != v or every:     # of a group's links those that tie it together
                         above[u] = v
                         a.append(min(c, ids[i]))
                         b.append(max(c, ids[i]))
@@ -414,17 +418,20 @@ def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: Da
             .applyInArrow(run, "a bigint, b bigint").distinct())
 
 
-def _search_pairs(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _search_pairs(source: DataFrame, classes: DataFrame, pairs: DataFrame, every: bool = False) -> DataFrame:
     """Links among pairs (query, member). Queries are dealt into buckets, the members of a
     query that has very many into shards of their own."""
-    pairs = written(source.sparkSession, pairs.distinct(), "pairs")
-    per = pairs.groupBy("query").agg(F.ceil(F.count("*") / SHARD_SETS).alias("salts"))
+    spark = source.sparkSession
+    pairs = written(spark, pairs.distinct(), "pairs")
+    # only queries of more than a shard are looked up; they are few, so pairs need not meet by query
+    hot = written(spark, pairs.groupBy("query").agg(F.ceil(F.count("*") / SHARD_SETS).alias("salts")).where("salts > 1"), "hot-queries")
+    hot = F.broadcast(hot) if hot.count() <= HOT_QUERIES else hot
     buckets = max(1, -(-pairs.count() // SHARD_SETS))
-    dealt = (pairs.join(per, "query")
+    dealt = (pairs.join(hot, "query", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
              .withColumn("s1", F.when(F.col("salts") > 1, F.col("query")).otherwise(F.pmod(F.xxhash64("query"), F.lit(buckets))))
              .withColumn("s2", F.when(F.col("salts") > 1, F.pmod(F.xxhash64("member"), F.col("salts")) + 1).otherwise(0)))
     return _search(source, classes, dealt.select("s1", "s2", F.col("member").alias("cls")),
-                   dealt.select("s1", "s2", F.col("query").alias("cls")), QUERIES)
+                   dealt.select("s1", "s2", F.col("query").alias("cls")), QUERIES, every)
 
 
 def _anchor_pairs(classes: DataFrame) -> DataFrame:
@@ -445,14 +452,15 @@ def _anchor_pairs(classes: DataFrame) -> DataFrame:
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(cls, comp): the smallest class reachable, for all classes with an edge. Each round
     takes the smallest label of the neighbours and then the label of that label."""
-    both = written(spark, edges.union(edges.select("b", "a")).toDF("u", "v"), "edges")
-    labels = written(spark, both.groupBy(F.col("u").alias("cls")).agg(F.least(F.col("cls"), F.min("v")).alias("comp")), "labels")
+    n = 2 * edges.count()       # classes with an edge, at most
+    both = written(spark, edges.union(edges.select("b", "a")).toDF("u", "v"), "edges", n)
+    labels = written(spark, both.groupBy(F.col("u").alias("cls")).agg(F.least(F.col("cls"), F.min("v")).alias("comp")), "labels", n)
     while True:
         near = (both.join(labels.toDF("v", "comp"), "v").groupBy(F.col("u").alias("cls")).agg(F.min("comp").alias("near")))
         step = labels.join(near, "cls").select("cls", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         jumped = (step.join(labels.toDF("comp", "above"), "comp", "left")
                   .select("cls", "old", F.least("comp", F.coalesce("above", "comp")).alias("comp")))
-        then = written(spark, jumped, "labels")
+        then = written(spark, jumped, "labels", n)
         labels = then.select("cls", "comp")
         if then.where("old <> comp").limit(1).count() == 0:
             return labels
@@ -491,7 +499,7 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
     return counted.where(possible).select(F.col("a").alias("query"), F.col("b").alias("member"))
 
 
-def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame) -> DataFrame:
+def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame, every: bool = False) -> DataFrame:
     """Links among classes on long prefix lists (rows token, cls, n, comp). On each list
     the classes of its largest component need not ask: the others ask for them."""
     largest = (entries.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token")
@@ -507,23 +515,27 @@ def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame) -> D
     routes = (asking.select("token", "cls", "n").join(shards, "token")
               .where((high * 100 / SHARE + 1 >= F.col("n")) & (low * SHARE / 100 - 1 <= F.col("n")))
               .select("s1", "s2", "cls"))
-    return _search(source, classes, index.select("s1", "s2", "cls"), routes, LONG_QUERIES)
+    return _search(source, classes, index.select("s1", "s2", "cls"), routes, LONG_QUERIES, every)
 
 
-def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(profiles, labels): per document row its id, n and class; per linked class its
-    component (a class)."""
-    spark = docs.sparkSession
-    source = _source(docs, id_col, text_col)
+def _classes(source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(profiles of the documents, classes with their smallest id), written."""
+    spark = source.sparkSession
     profiles = written(spark, _profiles(source), "profiles")
     classes = written(spark, profiles.where("cls is not null").groupBy("cls").agg(
         F.min("id").alias("id"), F.min("n").alias("n"), F.min("minima").alias("minima")), "classes")
-    near = written(spark, _search_pairs(source, classes, _anchor_pairs(classes)), "anchor-links")
-    labels = components(spark, near)
+    return profiles, classes
+
+
+def _list_links(source: DataFrame, classes: DataFrame, labels: DataFrame | None, every: bool = False) -> DataFrame:
+    """Links (a, b) between classes of different components (``labels``: cls, comp; without
+    it each class is one) that share a prefix list."""
+    spark = source.sparkSession
     total = classes.agg(F.sum("n").alias("s")).first().s or 0
     buckets = max(1, int(total * (100 - SHARE) // 100) // BUCKET_POSTINGS)
-    lists = (_prefix_lists(source, buckets).join(labels, "cls", "left")
-             .withColumn("comp", F.coalesce("comp", "cls")))
+    lists = _prefix_lists(source, buckets)
+    lists = lists.withColumn("comp", F.col("cls")) if labels is None else (
+        lists.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     lists = written(spark, lists, "lists")
     size = (lists.groupBy("token").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
             .where("low <> high"))
@@ -531,16 +543,38 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     held = lists.where(F.col("size") > LONG).groupBy("cls").agg(F.count("*").alias("held"))
     short = (lists.where(F.col("size") <= LONG).join(held, "cls", "left")
              .select("token", "cls", "n", "comp", F.coalesce("held", F.lit(0)).cast("long").alias("held")))
-    found = _search_pairs(source, classes, _cross_pairs(short))
+    found = _search_pairs(source, classes, _cross_pairs(short), every)
     long_ = lists.where(F.col("size") > LONG)
     if long_.limit(1).count():
-        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n", "comp")))
-    more = written(spark, found, "links")
+        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n", "comp"), every))
+    return found
+
+
+def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(profiles, labels): per document row its id, n and class; per linked class its
+    component (a class)."""
+    spark = docs.sparkSession
+    source = _source(docs, id_col, text_col)
+    profiles, classes = _classes(source)
+    near = written(spark, _search_pairs(source, classes, _anchor_pairs(classes)), "anchor-links")
+    labels = components(spark, near)
+    more = written(spark, _list_links(source, classes, labels), "links")
     if more.limit(1).count():
         labels = components(spark, near.unionByName(more).distinct())
     return profiles, labels
 
 
+def links_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The whole join: (members, links). Members have each document row's id, n_shingles
+    and class (null without shingles; equal sets are one class); links are all pairs of
+    classes a < b that link, none left out, so their number is that of the answer. For
+    components alone ``join`` is much less work."""
+    source = _source(docs, id_col, text_col)
+    profiles, classes = _classes(source)
+    links = written(docs.sparkSession, _list_links(source, classes, None, every=True).distinct(), "all-links")
+    return profiles.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "cls"), links
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: id, n_shingles and component_id, the smallest id of its component."""
     profiles, labels = link_classes(docs, id_col, text_col)

@@ -109,3 +109,48 @@ def test_shingle_counts(text):
     code, first = J.shingles([b"pad", text.encode(), None, text.upper().encode() if text.isascii() else text.encode()])
     assert first[2] - first[1] == len(word_sets(text)) and first[3] == first[2]
     assert (code[first[1]:first[2]] == code[first[3]:first[4]]).all()
+
+
+@pytest.mark.parametrize("long_", [200, 2])
+def test_links_are_all_links(spark, documents, monkeypatch, long_):
+    monkeypatch.setattr(J, "LONG", long_)
+    monkeypatch.setattr(J, "SHARD_SETS", 9)
+    docs = [(i, t) for i, (_, t) in enumerate(corpus(3))]
+    members, links = J.links_of(documents(docs))
+    of = {}
+    for r in members.where("cls is not null").collect():
+        of.setdefault(r.cls, set()).add(r.doc_id)
+    sets = {i: word_sets(t) for i, t in docs}
+    first = {c: min(ids) for c, ids in of.items()}
+    assert all(len({frozenset(sets[i]) for i in ids}) == 1 for ids in of.values())
+    got = sorted(tuple(sorted((first[r.a], first[r.b]))) for r in links.collect())
+    heads = sorted(first.values())
+    want = [(i, j) for i in heads for j in heads if i < j and (n := len(sets[i] & sets[j])) and 100 * n >= 75 * len(sets[i] | sets[j])]
+    assert got == want and len(got) > 50
+
+
+def test_long_texts_have_the_same_shingles_in_pieces(monkeypatch):
+    r = random.Random(6)
+    texts = [" ".join(f"W{r.randrange(50)}" for _ in range(400)).encode(), b"", b"a b", b"  lead  " + b"x" * 300 + b" y z\t"]
+    whole = J.shingles(texts)
+    for piece in (8, 100, 1000):
+        monkeypatch.setattr(J, "PIECE", piece)
+        got = J.shingles(texts)
+        assert (got[0] == whole[0]).all() and (got[1] == whole[1]).all()
+
+
+def test_a_text_of_40_mb_takes_bounded_memory():
+    import subprocess
+    import sys
+
+    code = ("import resource, sys; sys.path.insert(0, %r)\n"
+            "from gridpanel.llm import jaccard, quality, odd_sketch\n"
+            "text = b' '.join(b'w%%d' %% (i * 7919 %% 100003) for i in range(6_000_000))\n"
+            "jaccard.shingles([text]); x, first = quality.encode([text]); odd_sketch.shingles([text])\n"
+            "assert len(text) > 40_000_000 and len(x) == 93_750\n"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)" % sys.path[0])
+    root = __file__.rsplit("/tests/", 1)[0]
+    code = code.replace(repr(sys.path[0]), repr(root))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 900
