@@ -4,10 +4,16 @@ Exact arg-min without a regions x cells cross product: on a lat/lon grid every
 row has the same longitudes, and for a fixed row the haversine distance grows
 with |dlon| (hav(d) = hav(dlat) + cos(lat1) cos(lat2) hav(dlon), cosines >= 0).
 So the nearest node of each row lies in the column(s) nearest in longitude,
-the same for all rows. Candidates per point are therefore every row x at most
-four columns (the two neighbours of the point's longitude, plus the two axis
-ends for grids that do not span the full circle) -- O(nlat) per point, exact,
-and ties resolve to the first node in the source's row-major order.
+the same for all rows: at most four (the two neighbours of the point's longitude,
+plus the two axis ends for grids that do not span the full circle).
+
+Along a column cos(d) = A cos(lat - top) with top = atan2(sin(lat1), cos(lat1)
+cos(dlon)), so the nearest row is one of the two beside ``top``, or the axis end
+towards it. Candidates are these and one more on either side: the others are
+farther by far more than rounding. Where that is not sure (the column a quarter
+of the circle away, so that A may vanish; rows near the antipode; a point without
+coordinates) every row is a candidate. Exact, O(1) per point otherwise; ties
+resolve to the first node in the source's row-major order.
 """
 
 from __future__ import annotations
@@ -31,13 +37,35 @@ def nearest_node(points: DataFrame, grid: GridSpec, key: str = "region_id",
         cands = F.array(clip(c0), clip(c0 + 1), F.lit(0), F.lit(grid.nlon - 1))
     p = points.select(F.col(key).alias(key), F.col(lat).alias("_plat"), F.col(lon).alias("_plon"),
                       F.array_distinct(cands).alias("_cols"))
-    rows = p.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid.nlat - 1))).alias("ilat"))
-    cand = rows.select(key, "_plat", "_plon", "ilat", F.explode("_cols").alias("ilon"))
-    nlat_, nlon_ = grid.lat_of(F.col("ilat")), grid.lon_of(F.col("ilon"))
-    cand = cand.select(key, "ilat", "ilon", nlat_.alias("near_lat"), nlon_.alias("near_lon"),
-                       haversine_km(F.col("_plat"), F.col("_plon"), nlat_, nlon_).alias("d"),
-                       grid.cell_order(F.col("ilat"), F.col("ilon")).alias("order"))
-    best = cand.groupBy(key).agg(F.min(F.struct("d", "order", "ilat", "ilon", "near_lat", "near_lon")).alias("b"))
+
+    last = grid.nlat - 1
+
+    def nearest_row(c):
+        # along a column cos(d) = A cos(lat - top), A > 0
+        cosd = F.cos(F.radians(grid.lon_of(c)) - F.radians(F.col("_plon")))
+        top = F.degrees(F.atan2(F.sin(F.radians(F.col("_plat"))), F.cos(F.radians(F.col("_plat"))) * cosd))
+        return F.struct(c.alias("c"), cosd.alias("cosd"), top.alias("top"))
+
+    def below(s):
+        r = F.floor((s["top"] - F.lit(grid.lat0)) / F.lit(grid.dlat))
+        r = F.greatest(F.lit(0), F.least(F.lit(last), r)).cast("int")
+        return F.struct(s["c"].alias("c"), s["cosd"].alias("cosd"), s["top"].alias("top"), r.alias("r"))
+
+    def node(ilat, ilon):
+        nlat_, nlon_ = grid.lat_of(ilat), grid.lon_of(ilon)
+        return F.struct(haversine_km(F.col("_plat"), F.col("_plon"), nlat_, nlon_).alias("d"),
+                        grid.cell_order(ilat, ilon).alias("order"), ilat.alias("ilat"), ilon.alias("ilon"),
+                        nlat_.alias("near_lat"), nlon_.alias("near_lon"))
+
+    def least(s):
+        sure = (s["cosd"] > 0.1) & (F.abs(s["top"] - grid.lat_of(s["r"])) < 89.0)
+        near = F.sequence(F.greatest(F.lit(0), s["r"] - 1), F.least(F.lit(last), s["r"] + 2))
+        rows = F.when(sure, near).otherwise(F.sequence(F.lit(0), F.lit(last)))
+        return F.array_min(F.transform(rows, lambda i: node(i, s["c"])))
+
+    # candidates meet inside the point's row: one row a point is shuffled and sorted
+    cols = F.transform(F.transform(F.col("_cols"), nearest_row), below)
+    best = p.select(key, F.array_min(F.transform(cols, least)).alias("b")).groupBy(key).agg(F.min("b").alias("b"))
     return best.select(key, "b.ilat", "b.ilon", "b.near_lat", "b.near_lon", F.col("b.d").alias("min_km"))
 
 
