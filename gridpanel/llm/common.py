@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 
@@ -53,6 +55,28 @@ def per_worker(key: tuple, make):
     return kept[key[0]][1]
 
 
+def release(kept: bool = False) -> None:
+    """Give back memory that this Python worker's allocators hold but do not use, and with it
+    (unless ``kept``) the values of ``per_worker``."""
+    if not kept:
+        sys.modules.pop("gridpanel_worker_values", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def fresh(task):
+    """The task (for ``mapInArrow``), begun without what earlier tasks left in their Python worker,
+    those of other operators too, and leaving nothing itself: Spark's workers live on."""
+    def run(batches):
+        release()
+        yield from task(batches)
+        release()
+
+    return run
+
+
 U = np.uint64
 
 

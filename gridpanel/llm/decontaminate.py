@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridpanel.llm.common import byte_slices, expand_ranges, unused
+from gridpanel.llm.common import byte_slices, expand_ranges, fresh, unused
 
 #: Fixed word pattern on ASCII-lower-cased UTF-8: digits, a-z and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -376,7 +376,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             hit = [sum(b - a for a, b in s) for s in hits.spans]
             yield rows.filter(pa.array([not (h > 0 and share * h >= n) for h, n in zip(hit, hits.counts, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(fresh(task), docs.schema)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

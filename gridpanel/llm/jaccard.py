@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gridpanel.llm.common import U as _U, bloom, byte_slices, in_bloom, mix, set_code, unused, written
+from gridpanel.llm.common import U as _U, bloom, byte_slices, fresh, in_bloom, mix, set_code, unused, written
 
 SHINGLE = 5
 SHARE = 75                  # percent
@@ -254,7 +254,7 @@ def _profiles(source: DataFrame) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "n", "cls", "minima"])
 
     id_type = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(task, f"id {id_type}, n bigint, cls bigint, minima array<bigint>")
+    return source.mapInArrow(fresh(task), f"id {id_type}, n bigint, cls bigint, minima array<bigint>")
 
 
 def _sketch(source: DataFrame) -> np.ndarray:
@@ -281,7 +281,7 @@ def _sketch(source: DataFrame) -> np.ndarray:
                          "n": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
 
     out = np.zeros(cells, np.uint16)
-    for r in source.mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").collect():
+    for r in source.mapInArrow(fresh(count), "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").collect():
         out[r.part * step:(r.part + 1) * step] = np.frombuffer(r.n, "<u2")
     return out
 
@@ -337,7 +337,7 @@ def _prefix_lists(source: DataFrame, buckets: int) -> DataFrame:
         two = np.concatenate((same, [False])) | np.concatenate(([False], same))
         return pa.table({"token": token[two], "cls": cls[two], "n": n[two].astype(np.int64)})
 
-    return (source.mapInArrow(emit, "bucket int, token binary, cls binary, n binary")
+    return (source.mapInArrow(fresh(emit), "bucket int, token binary, cls binary, n binary")
             .groupBy("bucket").applyInArrow(group, "token bigint, cls bigint, n bigint"))
 
 
@@ -367,7 +367,7 @@ def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                                       pa.array([r[1] for r in rows], pa.binary())], ["cls", "set"])
 
-    found = source.withColumn("h", F.xxhash64("id")).mapInArrow(task, "cls bigint, set binary")
+    found = source.withColumn("h", F.xxhash64("id")).mapInArrow(fresh(task), "cls bigint, set binary")
     return found.join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("set").alias("set"))
 
 
@@ -602,7 +602,7 @@ def _with_class(docs: DataFrame, text_col: str, name: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cls, pa.int64(), mask=n == 0)],
                                                  [*rows.schema.names, name])
 
-    return docs.mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return docs.mapInArrow(fresh(task), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

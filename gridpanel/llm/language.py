@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridpanel.llm.common import byte_slices
+from gridpanel.llm.common import byte_slices, fresh
 from gridpanel.llm.training import fold, without_copies
 
 WINDOW = 256
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, folds: int = 4, held_out: int = 2, per_language: int =
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(window, pa.binary())],
                                              ["lang", "window"])
 
-    rows = sample.mapInArrow(cut, "lang string, window binary").toPandas().sort_values(["lang", "window"])
+    rows = sample.mapInArrow(fresh(cut), "lang string, window binary").toPandas().sort_values(["lang", "window"])
     languages = sorted(set(rows.lang))
     if not languages:
         return ByteNetwork([], {}, *(np.zeros(0) for _ in range(3)))
@@ -219,7 +219,7 @@ def identify(docs: DataFrame, net: ByteNetwork, id_col: str = "doc_id", text_col
                  pa.array([f[1] for f in found], pa.float64())], ["id", "lang_pred", "score"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return (source.mapInArrow(task, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col))
+    return (source.mapInArrow(fresh(task), f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col))
 
 
 def keep_identified(docs: DataFrame, net: ByteNetwork, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -231,4 +231,4 @@ def keep_identified(docs: DataFrame, net: ByteNetwork, text_col: str = "text", l
         for rows, found in _identified(batches, text_col, shared):
             yield rows.filter(pa.array([lang != UNDETERMINED and p >= least for lang, p in found], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(fresh(task), docs.schema)

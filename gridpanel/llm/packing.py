@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridpanel.llm.common import byte_slices, per_worker, written
+from gridpanel.llm.common import byte_slices, per_worker, release, written
 
 CACHE_WORDS = 200_000       # words of at most 40 characters whose ids a worker keeps: 50 MB
 SLICE = 1 << 20             # bytes of text at a time
@@ -147,6 +147,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id:
                      pa.array([part] * len(at), pa.int32()), pa.array(number, pa.int64()),
                      *([pa.array(kept, pa.binary())] if with_ids else [])],
                     ["id", "piece", "start", "length", "ids_crc32", "part", "nth", *(["ids"] if with_ids else [])])
+        release(kept=True)
 
     return source.mapInArrow(task, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, "
                                    f"part int, nth bigint{ids_type}")

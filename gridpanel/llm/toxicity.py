@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridpanel.llm.common import byte_slices
+from gridpanel.llm.common import byte_slices, fresh
 from gridpanel.llm.training import labelled_sample, logistic, without_copies
 
 WORD = re.compile(r"[^\W_]+")
@@ -324,4 +324,4 @@ def remove_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
         for rows, out in _scored(batches, text_col, shared):
             yield rows.filter(pa.array([x[0] < threshold for x in out], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(fresh(task), docs.schema)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridpanel.llm.common import U, byte_slices, mix, written
+from gridpanel.llm.common import U, byte_slices, fresh, mix, written
 from gridpanel.llm.jaccard import shingles
 
 BANDS, ROWS = 16, 3
@@ -67,7 +67,7 @@ def without_copies(sample: DataFrame) -> DataFrame:
                      pa.array([s.view(np.int64) for s in sets], longs), pa.array(bands, longs)],
                     ["id", "text", "label", "set", "bands"])
 
-    rows = sample.mapInArrow(task, f"id {id_type}, text string, label int, set array<bigint>, bands array<bigint>")
+    rows = sample.mapInArrow(fresh(task), f"id {id_type}, text string, label int, set array<bigint>, bands array<bigint>")
     rows = written(spark, rows.withColumn("row", F.xxhash64("id", "text")).dropDuplicates(["label", "row"]), "training-sets")
     keys = rows.select("label", "row", "id", F.posexplode("bands").alias("k", "m"))
     heads = keys.groupBy("label", "k", "m").agg(F.count("*").alias("c"), F.min(F.struct("id", "row")).alias("head")).where("c > 1")
