@@ -37,13 +37,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
     return texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
 
 
-def _bands(codes: np.ndarray) -> np.ndarray:
-    """A hash of each band of the set's MinHash samples."""
-    least = np.array([mix(codes ^ U(k)).min() for k in range(1, BANDS * ROWS + 1)], np.uint64).reshape(BANDS, ROWS)
-    out = np.zeros(BANDS, np.uint64)
-    for column in least.T:
-        out = mix(out ^ column)
-    return out.view(np.int64)
+def _bands(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Of each (non-empty) set a hash of each band of its MinHash samples."""
+    if not sets:
+        return []
+    code, first = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
+    least = np.array([np.minimum.reduceat(mix(code ^ U(k)), first) for k in range(1, BANDS * ROWS + 1)], np.uint64)
+    out = np.zeros((BANDS, len(sets)), np.uint64)
+    for i in range(ROWS):
+        out = mix(out ^ least[i::ROWS])
+    return list(np.ascontiguousarray(out.T).view(np.int64))
 
 
 def without_copies(sample: DataFrame) -> DataFrame:
@@ -60,7 +63,7 @@ def without_copies(sample: DataFrame) -> DataFrame:
                 code, first = shingles(column.slice(a, b - a).cast(pa.binary()).to_pylist())
                 sets = [np.sort(code[x:y]) if x < y else np.zeros(1, np.uint64)     # texts without words are alike
                         for x, y in zip(first.tolist(), first[1:].tolist(), strict=False)]
-                bands = [_bands(s) for s in sets]
+                bands = _bands(sets)
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(a, b - a) for c in ("id", "text", "label")),

@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import language, quality, toxicity
+from gridpanel.llm import language, quality, toxicity, training
 from gridpanel.llm.training import fold, labelled_sample, without_copies
 
 ODD = [None, "", "   ", "?!.", "ok", "word " * 30_000, "\x00 ​ é"]
@@ -64,6 +65,56 @@ def test_runs_without_spaces_are_scored_to_their_end():
     assert toxicity.words_of("a bc_" + "d" * 40) == ["a", "bc", "d" * 40]
 
 
+def test_words_need_no_pattern_search(monkeypatch):
+    every = "".join(f"a{chr(i)}b" for i in [*range(0x3000), *range(0x1f000, 0x1fb00), 0x1d400, 0xffff, 0x10000, 0x10ffff])
+    texts = ["", " ", "_a_b", "Two words, 3rd\x85x", every, "caf\u00e9 \U0001f600ok \U0001d400b\ud800c " * 3]
+    want = [[text[a:b] for a, b in toxicity.spans(text)] for text in texts]
+    for size in (7, toxicity.PIECE):
+        monkeypatch.setattr(toxicity, "PIECE", size)
+        assert [toxicity.words_of(text) for text in texts] == want
+    plain = [text for text in texts if toxicity.HAS_UNSPACED.search(text) is None]
+    assert len(plain) == 5
+    want = [toxicity.WORD.findall(text) for text in plain]
+    monkeypatch.setattr(toxicity, "WORD", None)
+    assert [toxicity.words_of(text) for text in plain] == want
+
+
+def test_word_scores_do_not_depend_on_the_cache(monkeypatch):
+    odds = {"bad": 1.0, "badd": 2.0, "baddxy": 3.0, "bad$": 4.0, "baddx$": 5.0, "on$": -1.0}
+    words = ["bad", "badd", "baddx", "baddxy", "baddxyz", "bady", "on", "one", "b", "", "\u00e9bad"]
+    want = [next((odds[f] for f in reversed(toxicity.chain(w)) if f in odds), 0.0) - toxicity.DRIFT for w in words]
+    for size in (1, 3, 100):
+        monkeypatch.setattr(toxicity, "CACHE_WORDS", size)
+        scores = toxicity.WordScores(odds)
+        for _ in range(3):
+            assert [scores[w] for w in words] == want
+            assert len(scores) <= 3 + size and {"bad", "baddx", "on"} <= scores.keys()      # the known words stay
+
+
+def test_features_are_counted_once_a_document():
+    rows = [("Badd badd baddxyz", 1), ("baddxyz on", 0), ("", 0), ("on on _ on", 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([n for _, n in rows], pa.int32())], ["text", "label"])
+    want = {}
+    for text, label in rows:
+        for f in {f for w in toxicity.words_of(text.lower()) for f in toxicity.chain(w)}:
+            want.setdefault(f, [0, 0])[label] += 1
+    got = [r for out in toxicity.count_features([batch]) for r in out.to_pylist()]
+    assert len(got) == len(want) and {r["feature"]: [r["n0"], r["n1"]] for r in got} == want
+
+
+def test_bands_of_many_sets_are_those_of_each():
+    r = np.random.default_rng(3)
+    sets = [np.sort(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 5, 400, 2)]
+    got = training._bands(sets)
+    for s, bands in zip(sets, got, strict=True):
+        least = [training.mix(s ^ np.uint64(k)).min() for k in range(1, training.BANDS * training.ROWS + 1)]
+        want = np.zeros(training.BANDS, np.uint64)
+        for i in range(training.ROWS):
+            want = training.mix(want ^ np.array(least[i::training.ROWS], np.uint64))
+        assert bands.tolist() == want.view(np.int64).tolist()
+    assert training._bands([]) == []
+
+
 @pytest.fixture
 def labelled(documents, spark):
     r = random.Random(5)
