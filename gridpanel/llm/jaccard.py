@@ -9,8 +9,8 @@ n - T + 1 shingles that are first in a common order (rare ones first, by a count
 the corpus) with whatever it links to. Those prefix lists are the short lists; lists of
 one class are dropped where they are made, and what short lists have in common bounds the
 overlap of a pair. Within a task: a query's lists over an index shard of whole sets are
-split into short ones, merged with a heap that skips what cannot reach T, and long ones
-that are binary-probed for the candidates.
+split into short ones, merged by counting, and long ones that are never merged: what they
+add is probed for the candidates.
 
 Large groups of near copies are first tied to a few anchors (smallest class of those
 that share one of four minima and a size band), a linear number of searches; after that
@@ -30,9 +30,6 @@ Other columns are ignored (``keep_one`` keeps them).
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from heapq import heapify, heappop, heappush
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -49,6 +46,7 @@ SHARD_SETS = 1_000          # sets in an index shard, about
 HOT_QUERIES = 100_000       # queries of more than a shard that are broadcast at most (2 MB)
 QUERIES = 2_000             # queries of a shard in one group, about; its sets go to each group
 LONG_QUERIES = 250          # the same for long lists, where a query is more work
+PROBE = 4                   # listed sets that are counted in the time of a probe, about
 SLICE = 1 << 20
 PIECE = 1 << 20             # bytes of a long text at a time
 
@@ -154,47 +152,29 @@ def links(overlap: int, a: int, b: int) -> bool:
 
 # ---- DivideSkip within a task --------------------------------------------------
 
-def merge_skip(lists: list[list[int]], t: int) -> list[tuple[int, int]]:
-    """(value, number of lists) of the values on at least t of the sorted lists."""
-    out: list[tuple[int, int]] = []
-    place = [0] * len(lists)
-    heap = [(values[0], i) for i, values in enumerate(lists)]
-    heapify(heap)
-    while len(heap) >= t:
-        value = heap[0][0]
-        popped = []
-        while heap and heap[0][0] == value:
-            popped.append(heappop(heap)[1])
-        if len(popped) >= t:
-            out.append((value, len(popped)))
-            for i in popped:
-                place[i] += 1
-                if place[i] < len(lists[i]):
-                    heappush(heap, (lists[i][place[i]], i))
-        else:
-            while heap and len(popped) < t - 1:
-                popped.append(heappop(heap)[1])
-            if not heap:
-                break           # fewer than t lists are left
-            reach = heap[0][0]
-            for i in popped:    # values below are on fewer than t lists
-                place[i] = bisect_left(lists[i], reach, place[i])
-                if place[i] < len(lists[i]):
-                    heappush(heap, (lists[i][place[i]], i))
-    return out
+def merge_skip(lists: list, t: int) -> list[tuple[int, int]]:
+    """(value, number of lists) of the values on at least t of the sorted lists of small
+    numbers. All lists are merged by counting, in a few array operations."""
+    count = np.bincount(np.concatenate(lists))
+    value = np.flatnonzero(count >= t)
+    return list(zip(value.tolist(), count[value].tolist(), strict=True))
 
 
 class Shard:
     """Inverted lists over whole sets."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.size = [len(s) for s in sets]
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
         code = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(sets)), self.size)
-        order = np.lexsort((owner, code))
-        self.owner = owner[order]
-        self.code, self.first = np.unique(code[order], return_index=True)
-        self.first = np.append(self.first, len(code))
+        order = np.argsort(code, kind="stable")     # so the sets on a list are sorted
+        new = np.ones(len(code), bool)
+        new[1:] = code[order[1:]] != code[order[:-1]]
+        self.code, self.first = code[order[new]], np.append(np.flatnonzero(new), len(code))
+        self.owner = np.repeat(np.arange(len(sets)), self.size)[order]
+        self.token = np.empty(len(code), np.int64)  # of each shingle of each set, its list
+        self.token[order] = np.cumsum(new) - 1
+        self.asked = np.zeros(len(self.code), bool)
 
     def search(self, query: np.ndarray) -> list[int]:
         """Sets of the shard that link with the query."""
@@ -205,21 +185,28 @@ class Shard:
         hit = at[known]
         if len(hit) < t:
             return []
-        lists = sorted((self.owner[self.first[i]:self.first[i + 1]].tolist() for i in hit), key=len)
-        longest = len(lists[-1])
+        length = self.first[hit + 1] - self.first[hit]
         # DivideSkip's rule for the number of long lists, with its constant 0.01
-        held = min(t - 1, int(t / (0.01 * np.log2(longest + 1) + 1)))
-        short, long_ = lists[:len(lists) - held], lists[len(lists) - held:]
-        found = []
-        for i, count in merge_skip(short, t - held):
-            if 100 * min(n, self.size[i]) < SHARE * max(n, self.size[i]):
-                continue
-            for values in long_:
-                j = bisect_left(values, i)
-                count += j < len(values) and values[j] == i
-            if links(count, n, self.size[i]):
-                found.append(i)
-        return found
+        held = min(t - 1, int(t / (0.01 * np.log2(int(length.max()) + 1) + 1)))
+        hit = hit[np.argsort(length, kind="stable")]
+        lists = [self.owner[a:b] for a, b in zip(self.first[hit].tolist(), self.first[hit + 1].tolist(), strict=True)]
+        found = merge_skip(lists[:len(lists) - held], t - held)
+        if not found:
+            return []
+        may, count = np.array(found, np.int64).T
+        near = 100 * np.minimum(n, self.size[may]) >= SHARE * np.maximum(n, self.size[may])
+        may, count = may[near], count[near]
+        if not len(may):
+            return []
+        # what the long lists add: all of it counted, or the candidates' own shingles probed in the query's
+        if held and int(length.sum()) <= PROBE * int(self.size[may].sum()):
+            count += np.bincount(np.concatenate(lists[len(lists) - held:]), minlength=len(self.size))[may]
+        elif held:
+            self.asked[hit] = True
+            for k, i in enumerate(may.tolist()):
+                count[k] = np.count_nonzero(self.asked[self.token[self.begin[i]:self.begin[i] + self.size[i]]])
+            self.asked[hit] = False
+        return may[100 * count >= SHARE * (n + self.size[may] - count)].tolist()
 
 
 # ---- stages ---------------------------------------------------------------------

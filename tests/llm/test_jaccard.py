@@ -104,6 +104,36 @@ def test_shard_search_is_exact():
         assert shard.search(q) == want
 
 
+def test_a_shard_of_near_copies_is_searched_in_little_time():
+    import time
+
+    r = np.random.default_rng(7)
+    base, sets = r.integers(0, 1 << 62, 390), []
+    for edits in r.integers(2, 17, 1000):
+        copy = base.copy()
+        for a in r.integers(0, 386, edits):
+            copy[a:a + 5] = r.integers(0, 1 << 62, 5)
+        sets.append(np.unique(copy).astype(np.uint64))
+    shard, start = J.Shard(sets), time.process_time()
+    got = [shard.search(q) for q in sets[:40]]
+    assert time.process_time() - start < 2      # the heap merge took 6
+    for q, found in zip(sets[:3], got, strict=False):
+        assert found == [i for i, s in enumerate(sets) if J.links(len(np.intersect1d(q, s)), len(q), len(s))]
+    assert 0 < len(got[0]) < 1000
+
+
+def test_few_candidates_on_long_lists_are_probed():
+    r = np.random.default_rng(8)
+    common = r.integers(0, 1 << 62, 300)
+    own = lambda n: r.integers(0, 1 << 62, n)
+    sets = [np.unique(np.concatenate((common[i % 3:240], own(160)))).astype(np.uint64) for i in range(300)]
+    sets += [np.unique(np.concatenate((sets[i][:390].astype(np.int64), own(9)))).astype(np.uint64) for i in range(20)]
+    shard = J.Shard(sets)
+    for q in sets[::13]:
+        assert shard.search(q) == [i for i, s in enumerate(sets) if J.links(len(np.intersect1d(q, s)), len(q), len(s))]
+    assert not shard.asked.any()
+
+
 @pytest.mark.parametrize("text", ["a b c d e f", "A  b\tc\nd e", "a", "a b", "", "é É ß a b c", "x" * 5000 + " y", "a b c d e a b c d e"])
 def test_shingle_counts(text):
     code, first = J.shingles([b"pad", text.encode(), None, text.upper().encode() if text.isascii() else text.encode()])
