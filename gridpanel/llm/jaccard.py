@@ -273,10 +273,14 @@ def _sketch(source: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefix_lists(source: DataFrame, buckets: int) -> DataFrame:
-    """Rows (token, cls, n) of the prefix lists that name two classes or more."""
-    shared = source.sparkSession.sparkContext.broadcast(_sketch(source))
+def _order(code: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Keys of the common order of shingles: rare ones first; of equal keys the smaller shingle."""
+    return (counts[code >> _U(64 - SKETCH_BITS)].astype(np.uint64) << _U(48)) | (code & _U((1 << 48) - 1))
 
+
+def _prefix_lists(source: DataFrame, buckets: int, shared) -> DataFrame:
+    """Rows (token, cls, n) of the prefix lists that name two classes or more. ``shared``:
+    the sketch, broadcast."""
     def emit(batches):
         counts, seen = shared.value, set()
         for _, code, first in _shingled(batches):
@@ -290,7 +294,7 @@ def _prefix_lists(source: DataFrame, buckets: int) -> DataFrame:
                 if c not in seen:       # copies of a text within the task are named once
                     seen.add(c)
                     fresh[i] = True
-            key = (counts[code >> _U(64 - SKETCH_BITS)].astype(np.uint64) << _U(48)) | (code & _U((1 << 48) - 1))
+            key = _order(code, counts)
             inside = np.zeros(len(code), bool)
             for i in np.flatnonzero(fresh).tolist():
                 a, b = first[i], first[i + 1]
@@ -359,14 +363,15 @@ def _sets(source: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame
 
 
 def _search(source: DataFrame, classes: DataFrame, index: DataFrame, queries: DataFrame, at_once: int,
-            every: bool = False) -> DataFrame:
+            every: bool = False, sets: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between the classes of each index shard (rows s1, s2, cls) and its
     queries (the same columns): every one, or of the links that a task finds a spanning
     forest, which has the same components and fewer links than classes."""
     spark = source.sparkSession
     index = written(spark, index.distinct(), "index")
     queries = written(spark, queries.distinct(), "queries")
-    sets = written(spark, _sets(source, classes, index.select("cls").union(queries.select("cls")).distinct()), "sets")
+    if sets is None:
+        sets = written(spark, _sets(source, classes, index.select("cls").union(queries.select("cls")).distinct()), "sets")
     parts = (queries.groupBy("s1", "s2").agg(F.ceil(F.count("*") / at_once).cast("int").alias("parts")))
     left = (index.join(parts, ["s1", "s2"]).withColumn("s3", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .drop("parts").join(sets, "cls"))
@@ -486,9 +491,44 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
     return counted.where(possible).select(F.col("a").alias("query"), F.col("b").alias("member"))
 
 
-def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame, every: bool = False) -> DataFrame:
+def _long_places(sets: DataFrame, shared) -> DataFrame:
+    """(token, cls, place): the place in the common order that a shingle which may have a long
+    list has in its set, for those of the set's prefix."""
+    def task(batches):
+        counts = shared.value
+        for batch in batches:
+            token, place, size = [], [], []
+            for x in batch.column("set").to_pylist():
+                code = np.frombuffer(x, np.uint64)
+                key = _order(code, counts)
+                last = np.partition(key, k := len(code) - required(len(code)))[k]
+                first = np.flatnonzero(key <= last)
+                first = first[np.argsort(key[first], kind="stable")]    # sets are sorted, so ties too
+                # a list of more than LONG classes is of a shingle that the sketch counts as often
+                long_ = np.flatnonzero(counts[code[first] >> _U(64 - SKETCH_BITS)] > min(LONG, 65534))
+                token.append(code[first[long_]].view(np.int64))
+                place.append(long_)
+                size.append(len(long_))
+            if size:
+                cls = np.repeat(batch.column("cls").to_numpy(), size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), pa.array(cls), pa.array(np.concatenate(place))],
+                                                 ["token", "cls", "place"])
+
+    return sets.select("cls", "set").mapInArrow(fresh(task), "token bigint, cls bigint, place bigint")
+
+
+def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame, shared, every: bool = False) -> DataFrame:
     """Links among classes on long prefix lists (rows token, cls, n, comp). On each list
-    the classes of its largest component need not ask: the others ask for them."""
+    the classes of its largest component need not ask: the others ask for them.
+
+    Two classes need only meet on the first shingle that they have in common. With n shingles,
+    a class has at most n - place left from there on, so it links with sizes up to a reach."""
+    sets = written(source.sparkSession, _sets(source, classes, entries.select("cls").distinct()), "sets")
+    reach = F.lit(100) * F.col("n") - F.lit(100 + SHARE) * F.col("place")       # in units of 1 / SHARE
+    entries = entries.join(_long_places(sets, shared), ["token", "cls"]).withColumn("reach", reach).drop("place")
+    least = entries.groupBy("token").agg(F.min("n").alias("least"))
+    entries = entries.join(least, "token").where(F.lit(SHARE) * F.col("least") <= F.col("reach")).drop("least")
+    entries = written(source.sparkSession, entries, "long-entries")
     largest = (entries.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token")
                .agg(F.max(F.struct("k", "comp")).alias("m")).select("token", F.col("m.comp").alias("largest")))
     asking = entries.join(largest, "token").where("comp <> largest")
@@ -496,13 +536,14 @@ def _long_search(source: DataFrame, classes: DataFrame, entries: DataFrame, ever
     members = entries.select("cls", "n", band.alias("s1")).distinct()
     salts = members.groupBy("s1").agg(F.ceil(F.count("*") / SHARD_SETS).alias("salts"))
     index = members.join(salts, "s1").select("cls", "n", "s1", F.pmod(F.xxhash64("cls"), F.col("salts")).alias("s2"))
-    placed = entries.select("token", "cls").join(index, "cls")
-    shards = placed.select("token", "s1", "s2").distinct()
+    placed = entries.select("token", "cls", "reach").join(index, "cls")
+    shards = placed.groupBy("token", "s1", "s2").agg(F.min("n").alias("least"), F.max("reach").alias("furthest"))
     low, high = F.pow(F.lit(1.1), F.col("s1")), F.pow(F.lit(1.1), F.col("s1") + 1)
-    routes = (asking.select("token", "cls", "n").join(shards, "token")
+    routes = (asking.select("token", "cls", "n", "reach").join(shards, "token")
               .where((high * 100 / SHARE + 1 >= F.col("n")) & (low * SHARE / 100 - 1 <= F.col("n")))
+              .where((F.lit(SHARE) * F.col("least") <= F.col("reach")) & (F.lit(SHARE) * F.col("n") <= F.col("furthest")))
               .select("s1", "s2", "cls"))
-    return _search(source, classes, index.select("s1", "s2", "cls"), routes, LONG_QUERIES, every)
+    return _search(source, classes, index.select("s1", "s2", "cls"), routes, LONG_QUERIES, every, sets)
 
 
 def _classes(source: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -520,7 +561,8 @@ def _list_links(source: DataFrame, classes: DataFrame, labels: DataFrame | None,
     spark = source.sparkSession
     total = classes.agg(F.sum("n").alias("s")).first().s or 0
     buckets = max(1, int(total * (100 - SHARE) // 100) // BUCKET_POSTINGS)
-    lists = _prefix_lists(source, buckets)
+    shared = spark.sparkContext.broadcast(_sketch(source))
+    lists = _prefix_lists(source, buckets, shared)
     lists = lists.withColumn("comp", F.col("cls")) if labels is None else (
         lists.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     lists = written(spark, lists, "lists")
@@ -533,7 +575,7 @@ def _list_links(source: DataFrame, classes: DataFrame, labels: DataFrame | None,
     found = _search_pairs(source, classes, _cross_pairs(short), every)
     long_ = lists.where(F.col("size") > LONG)
     if long_.limit(1).count():
-        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n", "comp"), every))
+        found = found.unionByName(_long_search(source, classes, long_.select("token", "cls", "n", "comp"), shared, every))
     return found
 
 

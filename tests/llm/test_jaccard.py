@@ -122,6 +122,34 @@ def test_a_shard_of_near_copies_is_searched_in_little_time():
     assert 0 < len(got[0]) < 1000
 
 
+def test_copies_too_far_from_all_do_not_ask_on_long_lists(spark, documents, monkeypatch):
+    monkeypatch.setattr(J, "LONG", 3)
+    asked, search = [], J._search
+
+    def counted(source, classes, index, queries, at_once, *rest):
+        if at_once == J.LONG_QUERIES:
+            asked.append(queries.select("cls").distinct().count())
+        return search(source, classes, index, queries, at_once, *rest)
+
+    monkeypatch.setattr(J, "_search", counted)
+    monkeypatch.setattr(J, "LONG_QUERIES", 251)
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+
+    def copy(name, edits):      # each edit makes five of the 116 shingles its own
+        w = list(base)
+        for k in range(edits):
+            w[8 + 22 * k] = f"{name}_{k}"
+        return " ".join(w)
+
+    far = [(i, copy(f"far{i}", 5)) for i in range(30)]          # 25 of their own, more than a seventh
+    links = J._list_links
+    monkeypatch.setattr(J, "_list_links", lambda source, classes, labels, every=False: links(source, classes, None, every))
+    near = far + [(100 + i, copy(f"near{i}", r.randint(0, 3))) for i in range(12)]
+    assert sorted(map(tuple, J.join(documents(near)).collect()), key=str) == brute(near)
+    assert 0 < sum(asked) <= 12     # those that are near; all but one asked before
+
+
 def test_few_candidates_on_long_lists_are_probed():
     r = np.random.default_rng(8)
     common = r.integers(0, 1 << 62, 300)
